@@ -225,6 +225,102 @@ _VIDEO_REQUESTS_SQL = """video_requests AS (
   FROM lineitem)"""
 
 
+# ---------------------------------------------------------------- artifact documents
+# documents → one artifact JSON document each.  Language and size pick the
+# URI form (valid, with a query, padded upper-case scheme, key-less), the
+# content type (blank for es), an upper-case hash (short texts), a missing or
+# foreign schema version, and an undeclared field (very long texts).
+
+
+def artifact_docs(spark: SparkSession, sf: str) -> DataFrame:
+    d = table(spark, sf, "documents")
+    lang, src, did = F.col("lang"), F.col("source"), F.col("doc_id").cast("string")
+    uri = (F.when(lang == "en", F.concat(F.lit("s3://"), src, F.lit("/en/"), did, F.lit(".txt")))
+           .when(lang == "fr", F.concat(F.lit("s3://"), src, F.lit("/fr/"), did, F.lit(".txt?versionId=1")))
+           .when(lang == "de", F.concat(F.lit(" S3://"), src, F.lit("/de/"), did, F.lit(" ")))
+           .otherwise(F.concat(F.lit("s3://"), src, F.lit("/"))))
+    sha = F.sha2("text", 256)
+    raw = F.to_json(F.struct(
+        F.when(lang != "de", F.when(F.col("n_chars").between(200, 209), F.lit("2.0")).otherwise(F.lit("1.0"))).alias("schema_version"),
+        uri.alias("uri"),
+        F.when(lang == "es", F.lit("  ")).otherwise(F.lit("text/plain")).alias("content_type"),
+        F.col("n_chars").alias("size"),
+        F.md5("text").alias("etag"),
+        F.when(F.col("n_chars") < 200, F.upper(sha)).otherwise(sha).alias("sha256"),
+        F.when(F.col("n_chars") > 15000, F.lit("x")).alias("secret"),
+    ))
+    return d.select("doc_id", raw.alias("raw"))
+
+
+_ARTIFACT_DOCS_SQL = """artifact_docs AS (
+  SELECT doc_id, '{' ||
+    CASE WHEN lang <> 'de' THEN '"schema_version":"' || CASE WHEN n_chars BETWEEN 200 AND 209 THEN '2.0' ELSE '1.0' END || '",'
+         ELSE '' END ||
+    '"uri":' || to_json(CASE WHEN lang = 'en' THEN 's3://' || source || '/en/' || doc_id || '.txt'
+                             WHEN lang = 'fr' THEN 's3://' || source || '/fr/' || doc_id || '.txt?versionId=1'
+                             WHEN lang = 'de' THEN ' S3://' || source || '/de/' || doc_id || ' '
+                             ELSE 's3://' || source || '/' END) ||
+    ',"content_type":"' || CASE WHEN lang = 'es' THEN '  ' ELSE 'text/plain' END || '"' ||
+    ',"size":' || n_chars || ',"etag":"' || md5(text) || '"' ||
+    ',"sha256":"' || CASE WHEN n_chars < 200 THEN upper(sha256(text)) ELSE sha256(text) END || '"' ||
+    CASE WHEN n_chars > 15000 THEN ',"secret":"x"' ELSE '' END || '}' AS raw
+  FROM documents)"""
+
+# ---------------------------------------------------------------- job status log
+# events → job status payloads as a gateway returns them.  user = job;
+# event type → status; props.k picks alias keys, a doubled key, a missing or
+# unexpected error, an unknown status and naive timestamps.
+
+JOB_TYPE_LIST = ("download", "transcribe", "translate_subtitles", "separate_audio",
+                 "synthesize_speech", "render_video", "media_quality_check")
+
+
+def job_log(spark: SparkSession, sf: str) -> DataFrame:
+    e = table(spark, sf, "events")
+    k = F.get_json_object("props", "$.k").cast("int")
+    et = F.col("event_type")
+    status = (F.when((et == "view") & (k >= 95), F.lit("cancelled"))
+              .when((et == "click") & (k >= 97), F.lit("done"))
+              .when(et == "signup", F.lit("queued")).when(et.isin("view", "click"), F.lit("running"))
+              .when(et == "purchase", F.lit("succeeded")).otherwise(F.lit("failed")))
+    jtype = F.element_at(F.array(*[F.lit(x) for x in JOB_TYPE_LIST]), (F.col("user_id") % 7 + 1).cast("int"))
+    jid = F.concat(F.lit("job-"), F.col("user_id").cast("string"))
+    ts = as_utc("ts")
+    upd = F.when(k.between(3, 5), F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")).otherwise(iso_text(ts))
+    has_err = ((status == "failed") & (k >= 10)) | ((status == "succeeded") & (k < 5))
+    err = F.when(has_err, F.struct(F.concat(F.lit("E"), k.cast("string")).alias("code"),
+                                   F.concat(F.lit("failure "), k.cast("string")).alias("message"),
+                                   (k >= 50).alias("retryable")))
+    raw = F.to_json(F.struct(
+        F.when(k < 50, jid).alias("id"), F.when(k < 50, jtype).alias("type"),
+        F.when((k >= 50) | (k == 49), jid).alias("job_id"), F.when(k >= 50, jtype).alias("job_type"),
+        status.alias("status"), err.alias("error"), upd.alias("updated_at")))
+    return e.select("event_id", raw.alias("raw"), F.col("user_id"), ts.alias("polled_at"))
+
+
+_JOB_LOG_SQL = """job_log AS (
+  SELECT event_id, user_id, ts AS polled_at, '{' ||
+    CASE WHEN k < 50 THEN '"id":"job-' || user_id || '","type":"' || jtype || '",' ELSE '' END ||
+    CASE WHEN k >= 50 OR k = 49 THEN '"job_id":"job-' || user_id || '",' ELSE '' END ||
+    CASE WHEN k >= 50 THEN '"job_type":"' || jtype || '",' ELSE '' END ||
+    '"status":"' || status || '"' ||
+    CASE WHEN (status = 'failed' AND k >= 10) OR (status = 'succeeded' AND k < 5)
+         THEN ',"error":{"code":"E' || k || '","message":"failure ' || k || '","retryable":' ||
+              CASE WHEN k >= 50 THEN 'true' ELSE 'false' END || '}' ELSE '' END ||
+    ',"updated_at":"' ||
+    CASE WHEN k BETWEEN 3 AND 5 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S')
+         WHEN epoch_us(ts) % 1000000 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') || 'Z'
+         ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || 'Z' END || '"}' AS raw
+  FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+          CASE WHEN event_type = 'view' AND CAST(json_extract_string(props, '$.k') AS INTEGER) >= 95 THEN 'cancelled'
+               WHEN event_type = 'click' AND CAST(json_extract_string(props, '$.k') AS INTEGER) >= 97 THEN 'done'
+               WHEN event_type = 'signup' THEN 'queued' WHEN event_type IN ('view', 'click') THEN 'running'
+               WHEN event_type = 'purchase' THEN 'succeeded' ELSE 'failed' END AS status,
+          ['download', 'transcribe', 'translate_subtitles', 'separate_audio', 'synthesize_speech',
+           'render_video', 'media_quality_check'][user_id % 7 + 1] AS jtype
+        FROM events))"""
+
+
 SQL = {
     "publications": _PUBLICATIONS_SQL,
     "playlist_items": _playlist_sql("playlist_items", "newest"),
@@ -233,6 +329,8 @@ SQL = {
     "channel_items": _CHANNEL_ITEMS_SQL,
     "channel_refs": _CHANNEL_REFS_SQL,
     "video_requests": _VIDEO_REQUESTS_SQL,
+    "artifact_docs": _ARTIFACT_DOCS_SQL,
+    "job_log": _JOB_LOG_SQL,
 }
 
 # Bindings whose SQL reads another binding.
@@ -251,6 +349,8 @@ def with_sql(names: list[str], body: str) -> str:
 
     for n in names:
         add(n)
+    if not ordered:
+        return body.strip()
     ctes = ",\n".join(SQL[n] for n in ordered)
     body = body.strip()
     if body.upper().startswith("WITH "):

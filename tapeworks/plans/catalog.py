@@ -27,6 +27,7 @@ def register(key: str, sql: str | None):
 def _load_all() -> None:
     # Import for side effects: each module registers its keys.
     from tapeworks.plans import (  # noqa: F401
+        q_contracts,
         q_discovery,
     )
 
