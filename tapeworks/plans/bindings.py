@@ -321,6 +321,120 @@ _JOB_LOG_SQL = """job_log AS (
         FROM events))"""
 
 
+# ---------------------------------------------------------------- timelines
+# conversations → transcripts: one document per conversation, one segment
+# per turn (10 ms per character, back to back), words split on spaces
+# (10 ms per character offset, 12 ms per character length, so long words can
+# run past their segment), media duration rounded down to whole seconds.
+# Translations: version 1 for every turn, version 2 for assistant turns.
+# Synthesis: non-system turns, made from version 1, 9 ms per character + 150.
+
+def transcript_segments(spark: SparkSession, sf: str) -> DataFrame:
+    c = table(spark, sf, "conversations")
+    dur = F.length("text").cast("long") * 10
+    before = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+    pos = Window.partitionBy("conv_id").orderBy("turn")
+    start = F.coalesce(F.sum(dur).over(before), F.lit(0).cast("long"))
+    return c.select(F.col("conv_id").alias("doc_id"), (F.row_number().over(pos) - 1).cast("long").alias("seg_pos"),
+                    F.concat(F.lit("seg-"), F.lpad(F.col("turn").cast("string"), 4, "0")).alias("segment_id"),
+                    start.alias("start_ms"), (start + dur).alias("end_ms"), "text", F.col("role").alias("speaker"))
+
+
+_SEGMENTS_SQL = """transcript_segments AS (
+  SELECT conv_id AS doc_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS BIGINT) AS seg_pos,
+    'seg-' || lpad(CAST(turn AS VARCHAR), 4, '0') AS segment_id,
+    CAST(coalesce(sum(10 * length(text)) OVER (PARTITION BY conv_id ORDER BY turn
+         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start_ms,
+    CAST(coalesce(sum(10 * length(text)) OVER (PARTITION BY conv_id ORDER BY turn
+         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + 10 * length(text) AS BIGINT) AS end_ms,
+    text, role AS speaker
+  FROM conversations)"""
+
+
+def transcript_docs(spark: SparkSession, sf: str) -> DataFrame:
+    seg = transcript_segments(spark, sf)
+    words = F.split("text", " ")
+    seg = seg.withColumn("words", F.transform(words, lambda w, i: F.struct(
+        (F.col("start_ms") + 10 * (F.length(F.array_join(F.slice(words, 1, i), " ")) + F.when(i > 0, 1).otherwise(0))).alias("start_ms"),
+        (F.col("start_ms") + 10 * (F.length(F.array_join(F.slice(words, 1, i), " ")) + F.when(i > 0, 1).otherwise(0))
+         + 12 * F.length(w)).alias("end_ms"),
+        w.alias("text"), F.lit(None).cast("double").alias("probability"))))
+    docs = seg.groupBy("doc_id").agg(
+        (F.floor(F.sum(F.col("end_ms") - F.col("start_ms")) / 1000) * 1000).cast("long").alias("duration_ms"),
+        F.array_sort(F.collect_list(F.struct("seg_pos", "segment_id", "start_ms", "end_ms", "text", "words",
+                                             "speaker"))).alias("_s"))
+    return docs.select("doc_id", "duration_ms", F.lit("en").alias("language"),
+                       F.transform("_s", lambda s: s.dropFields("seg_pos")).alias("segments"))
+
+
+_DOCS_SQL = """transcript_durations AS (
+  SELECT doc_id, CAST(floor(sum(end_ms - start_ms) / 1000) * 1000 AS BIGINT) AS duration_ms
+  FROM transcript_segments GROUP BY doc_id)"""
+
+_WORDS_SQL = """transcript_words AS (
+  SELECT doc_id, segment_id, word_pos,
+    start_ms + 10 * (length(array_to_string(list_slice(ws, 1, word_pos), ' ')) + CASE WHEN word_pos > 0 THEN 1 ELSE 0 END) AS start_ms,
+    start_ms + 10 * (length(array_to_string(list_slice(ws, 1, word_pos), ' ')) + CASE WHEN word_pos > 0 THEN 1 ELSE 0 END)
+      + 12 * length(w) AS end_ms, w AS text
+  FROM (SELECT doc_id, segment_id, start_ms, string_split(text, ' ') AS ws,
+               unnest(string_split(text, ' ')) AS w, unnest(range(len(string_split(text, ' ')))) AS word_pos
+        FROM transcript_segments))"""
+
+
+def translations(spark: SparkSession, sf: str) -> DataFrame:
+    seg = transcript_segments(spark, sf)
+    base = seg.select("doc_id", "segment_id", F.col("start_ms").alias("source_start_ms"),
+                      F.col("end_ms").alias("source_end_ms"), F.col("text").alias("source_text"), "speaker")
+    v1 = base.withColumn("translated_text", F.concat(F.lit("T1:"), "source_text")).withColumn(
+        "translation_version", F.lit(1).cast("long"))
+    v2 = base.filter(F.col("speaker") == "assistant").withColumn(
+        "translated_text", F.concat(F.lit("T2:"), "source_text")).withColumn("translation_version", F.lit(2).cast("long"))
+    return v1.unionByName(v2)
+
+
+_TRANSLATIONS_SQL = """translations AS (
+  SELECT doc_id, segment_id, start_ms AS source_start_ms, end_ms AS source_end_ms, text AS source_text, speaker,
+         'T1:' || text AS translated_text, CAST(1 AS BIGINT) AS translation_version FROM transcript_segments
+  UNION ALL
+  SELECT doc_id, segment_id, start_ms, end_ms, text, speaker, 'T2:' || text, CAST(2 AS BIGINT)
+  FROM transcript_segments WHERE speaker = 'assistant')"""
+
+
+def synthesis(spark: SparkSession, sf: str) -> DataFrame:
+    t = translations(spark, sf).filter((F.col("translation_version") == 1) & (F.col("speaker") != "system"))
+    return t.select("doc_id", "segment_id", F.col("source_start_ms").alias("target_start_ms"),
+                    F.col("source_end_ms").alias("target_end_ms"), F.col("translated_text").alias("text"),
+                    F.concat(F.lit("voice-"), "speaker").alias("voice"),
+                    F.concat(F.lit("s3://tts/"), F.col("doc_id").cast("string"), F.lit("/"), "segment_id",
+                             F.lit(".wav")).alias("audio_uri"),
+                    (F.length("translated_text").cast("long") * 9 + 150).alias("actual_duration_ms"))
+
+
+_SYNTHESIS_SQL = """synthesis AS (
+  SELECT doc_id, segment_id, source_start_ms AS target_start_ms, source_end_ms AS target_end_ms,
+    translated_text AS text, 'voice-' || speaker AS voice,
+    's3://tts/' || doc_id || '/' || segment_id || '.wav' AS audio_uri,
+    CAST(length(translated_text) * 9 + 150 AS BIGINT) AS actual_duration_ms
+  FROM translations WHERE translation_version = 1 AND speaker <> 'system')"""
+
+CHUNK_MS = 30000
+OVERLAP_MS = 2000
+
+
+def recognition_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    """Chunked recognition output: a segment appears (chunk-relative) in every
+    chunk whose range holds its midpoint, so overlaps repeat it."""
+    seg = transcript_segments(spark, sf)
+    step = CHUNK_MS - OVERLAP_MS
+    mid2 = F.col("start_ms") + F.col("end_ms")
+    lo = F.greatest(F.lit(0).cast("long"), (F.floor((mid2 - 2 * CHUNK_MS) / (2 * step)) + 1).cast("long"))
+    hi = F.floor(mid2 / (2 * step)).cast("long")
+    x = seg.select("doc_id", "start_ms", "end_ms", "text", F.explode(F.sequence(lo, hi)).alias("chunk"))
+    return x.select("doc_id", "chunk", (F.col("chunk") * step).alias("offset_ms"),
+                    (F.col("start_ms") - F.col("chunk") * step).alias("start_ms"),
+                    (F.col("end_ms") - F.col("chunk") * step).alias("end_ms"), "text")
+
+
 SQL = {
     "publications": _PUBLICATIONS_SQL,
     "playlist_items": _playlist_sql("playlist_items", "newest"),
@@ -331,10 +445,17 @@ SQL = {
     "video_requests": _VIDEO_REQUESTS_SQL,
     "artifact_docs": _ARTIFACT_DOCS_SQL,
     "job_log": _JOB_LOG_SQL,
+    "transcript_segments": _SEGMENTS_SQL,
+    "transcript_durations": _DOCS_SQL,
+    "transcript_words": _WORDS_SQL,
+    "translations": _TRANSLATIONS_SQL,
+    "synthesis": _SYNTHESIS_SQL,
 }
 
 # Bindings whose SQL reads another binding.
-_NEEDS = {"playlist_items": ["publications"], "playlist_shuffled": ["publications"]}
+_NEEDS = {"playlist_items": ["publications"], "playlist_shuffled": ["publications"],
+          "transcript_durations": ["transcript_segments"], "transcript_words": ["transcript_segments"],
+          "translations": ["transcript_segments"], "synthesis": ["translations"]}
 
 
 def with_sql(names: list[str], body: str) -> str:
