@@ -68,8 +68,8 @@ def split(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid rows, quarantined rows with first code and message)."""
     valid = validated.filter(F.size("violations") == 0).drop("violations")
     bad = validated.filter(F.size("violations") > 0).withColumn(
-        "error_code", F.col("violations")[0]["code"]).withColumn(
-        "error_message", F.col("violations")[0]["message"])
+        "error_code", F.try_element_at("violations", F.lit(1))["code"]).withColumn(
+        "error_message", F.try_element_at("violations", F.lit(1))["message"])
     return valid, bad
 
 

@@ -435,6 +435,132 @@ def recognition_chunks(spark: SparkSession, sf: str) -> DataFrame:
                     (F.col("end_ms") - F.col("chunk") * step).alias("end_ms"), "text")
 
 
+# ---------------------------------------------------------------- HTTP attempt log
+# events → API attempts: request = (user, day), attempts in time order; the
+# status comes from props.k (429, 503, 500, 403, 404, 401, 422, 451 or 200);
+# error bodies carry a reason, a message and a debug field with a key that
+# must never reach error text.
+
+def attempt_log(spark: SparkSession, sf: str) -> DataFrame:
+    e = table(spark, sf, "events")
+    k = F.get_json_object("props", "$.k").cast("int")
+    status = (F.when(k < 8, 429).when(k < 12, 503).when(k < 14, 500).when(k == 14, 403).when(k == 15, 404)
+              .when(k == 16, 401).when(k == 17, 422).when(k == 18, 451).otherwise(200))
+    reason = (F.when(status == 429, F.lit("rateLimitExceeded")).when(status == 403, F.lit("quotaExceeded"))
+              .when(status == 404, F.lit("notFound")).when(status == 401, F.lit("")).otherwise(F.lit("backendError")))
+    body = F.when(status >= 400, F.to_json(F.struct(F.struct(
+        status.alias("code"), F.concat(F.lit("Request failed: "), F.col("event_type")).alias("message"),
+        F.array(F.struct(reason.alias("reason"))).alias("errors"),
+        F.concat(F.lit("key=AIza-"), F.col("user_id").cast("string")).alias("debug")).alias("error"))))
+    req = F.concat(F.col("user_id").cast("string"), F.lit(":"), F.date_format("ts", "yyyy-MM-dd"))
+    w = Window.partitionBy(req).orderBy("ts", "event_id")
+    return e.select("event_id", req.alias("request_id"), (F.row_number().over(w) - 1).alias("attempt"),
+                    status.alias("status"), body.alias("body"))
+
+
+_ATTEMPT_LOG_SQL = """attempt_log AS (
+  SELECT event_id, request_id, CAST(row_number() OVER (PARTITION BY request_id ORDER BY ts, event_id) - 1 AS INTEGER) AS attempt,
+    status, CASE WHEN status >= 400 THEN
+      '{"error":{"code":' || status || ',"message":"Request failed: ' || event_type || '","errors":[{"reason":"' ||
+      CASE status WHEN 429 THEN 'rateLimitExceeded' WHEN 403 THEN 'quotaExceeded' WHEN 404 THEN 'notFound'
+                  WHEN 401 THEN '' ELSE 'backendError' END || '"}],"debug":"key=AIza-' || user_id || '"}}' END AS body
+  FROM (SELECT *, user_id || ':' || strftime(ts, '%Y-%m-%d') AS request_id,
+          CASE WHEN k < 8 THEN 429 WHEN k < 12 THEN 503 WHEN k < 14 THEN 500 WHEN k = 14 THEN 403 WHEN k = 15 THEN 404
+               WHEN k = 16 THEN 401 WHEN k = 17 THEN 422 WHEN k = 18 THEN 451 ELSE 200 END AS status
+        FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)))"""
+
+# ---------------------------------------------------------------- stages and artifacts
+# orders → stage records of the video 'vid'+customer: order priority → job
+# type, order status → status (F succeeded, O running, P failed); price
+# bands decide error presence and completion times (some inconsistent).
+# lineitem → the artifact keys a stage reads ('N' lines are outputs).
+# part (size <= 40) → the artifact catalogue, so some references are missing.
+
+PRIORITY_JOB = (("1-URGENT", "download"), ("2-HIGH", "transcribe"), ("3-MEDIUM", "translate_subtitles"),
+                ("4-NOT SPECIFIED", "synthesize_speech"), ("5-LOW", "render_video"))
+
+
+def _job_type_of(priority):
+    out = None
+    for p, j in PRIORITY_JOB:
+        out = F.when(priority == p, F.lit(j)) if out is None else out.when(priority == p, F.lit(j))
+    return out
+
+
+def stage_records(spark: SparkSession, sf: str) -> DataFrame:
+    o = table(spark, sf, "orders")
+    price = F.col("o_totalprice")
+    status = F.when(F.col("o_orderstatus") == "F", F.lit("succeeded")).when(
+        F.col("o_orderstatus") == "O", F.lit("running")).otherwise(F.lit("failed"))
+    started = as_utc("o_orderdate")
+    completed = (F.when(status == "running", F.lit(None).cast("timestamp"))
+                 .when(price > 450000, started - F.expr("INTERVAL 1 DAY"))
+                 .when(price > 50000, started + F.expr("INTERVAL 1 DAY")))
+    error = F.when(((status == "failed") & (price > 100000)) | ((status == "succeeded") & (price < 5000)),
+                   F.struct(F.lit("E_STAGE").alias("code"), F.concat(F.lit("order "), F.col("o_orderkey").cast("string")).alias("message")))
+    return o.select(
+        F.concat(F.lit("vid"), F.col("o_custkey").cast("string")).alias("video_id"),
+        _job_type_of(F.col("o_orderpriority")).alias("job_type"), status.alias("status"),
+        F.concat(F.lit("job-"), F.col("o_orderkey").cast("string")).alias("job_id"),
+        F.concat_ws(":", F.col("o_custkey").cast("string"), F.col("o_orderkey").cast("string")).alias("idempotency_key"),
+        F.sha2(F.col("o_orderkey").cast("string"), 256).alias("parameters_sha256"),
+        error.alias("error"), started.alias("started_at"), completed.alias("completed_at"),
+        F.coalesce(completed, started).alias("updated_at"))
+
+
+_STAGES_SQL = """stage_records AS (
+  SELECT 'vid' || o_custkey AS video_id,
+    CASE o_orderpriority WHEN '1-URGENT' THEN 'download' WHEN '2-HIGH' THEN 'transcribe'
+      WHEN '3-MEDIUM' THEN 'translate_subtitles' WHEN '4-NOT SPECIFIED' THEN 'synthesize_speech'
+      WHEN '5-LOW' THEN 'render_video' END AS job_type,
+    status, 'job-' || o_orderkey AS job_id, o_custkey || ':' || o_orderkey AS idempotency_key,
+    sha256(CAST(o_orderkey AS VARCHAR)) AS parameters_sha256,
+    CASE WHEN (status = 'failed' AND o_totalprice > 100000) OR (status = 'succeeded' AND o_totalprice < 5000)
+         THEN 'E_STAGE' END AS error_code,
+    o_orderdate AS started_at, completed_at, coalesce(completed_at, o_orderdate) AS updated_at
+  FROM (SELECT *, CASE o_orderstatus WHEN 'F' THEN 'succeeded' WHEN 'O' THEN 'running' ELSE 'failed' END AS status,
+          CASE WHEN o_orderstatus = 'O' THEN NULL
+               WHEN o_totalprice > 450000 THEN o_orderdate - INTERVAL 1 DAY
+               WHEN o_totalprice > 50000 THEN o_orderdate + INTERVAL 1 DAY END AS completed_at
+        FROM orders))"""
+
+
+def stage_refs(spark: SparkSession, sf: str) -> DataFrame:
+    li = table(spark, sf, "lineitem")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    j = li.join(o, li.l_orderkey == o.o_orderkey)
+    return j.select(F.concat(F.lit("vid"), F.col("o_custkey").cast("string")).alias("video_id"),
+                    F.concat(F.lit("job-"), F.col("l_orderkey").cast("string")).alias("job_id"),
+                    _job_type_of(F.col("o_orderpriority")).alias("job_type"),
+                    F.when(F.col("l_returnflag") == "N", F.lit("output")).otherwise(F.lit("input")).alias("direction"),
+                    F.concat(F.lit("part/"), F.col("l_partkey").cast("string")).alias("key"),
+                    as_utc("l_shipdate").alias("ref_at"))
+
+
+_STAGE_REFS_SQL = """stage_refs AS (
+  SELECT 'vid' || o_custkey AS video_id, 'job-' || l_orderkey AS job_id,
+    CASE o_orderpriority WHEN '1-URGENT' THEN 'download' WHEN '2-HIGH' THEN 'transcribe'
+      WHEN '3-MEDIUM' THEN 'translate_subtitles' WHEN '4-NOT SPECIFIED' THEN 'synthesize_speech'
+      WHEN '5-LOW' THEN 'render_video' END AS job_type,
+    CASE WHEN l_returnflag = 'N' THEN 'output' ELSE 'input' END AS direction,
+    'part/' || l_partkey AS key, l_shipdate AS ref_at
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+
+
+def artifact_catalog(spark: SparkSession, sf: str) -> DataFrame:
+    p = table(spark, sf, "part").filter(F.col("p_size") <= 40)
+    return p.select(F.concat(F.lit("part/"), F.col("p_partkey").cast("string")).alias("key"),
+                    F.concat(F.lit("s3://parts/"), F.lower(F.regexp_replace("p_brand", "#", "")), F.lit("/"),
+                             F.col("p_partkey").cast("string")).alias("uri"),
+                    (F.col("p_size").cast("long") * 1000).alias("size"))
+
+
+_CATALOG_SQL = """artifact_catalog AS (
+  SELECT 'part/' || p_partkey AS key, 's3://parts/' || lower(replace(p_brand, '#', '')) || '/' || p_partkey AS uri,
+         CAST(p_size AS BIGINT) * 1000 AS size
+  FROM part WHERE p_size <= 40)"""
+
+
 SQL = {
     "publications": _PUBLICATIONS_SQL,
     "playlist_items": _playlist_sql("playlist_items", "newest"),
@@ -450,6 +576,10 @@ SQL = {
     "transcript_words": _WORDS_SQL,
     "translations": _TRANSLATIONS_SQL,
     "synthesis": _SYNTHESIS_SQL,
+    "attempt_log": _ATTEMPT_LOG_SQL,
+    "stage_records": _STAGES_SQL,
+    "stage_refs": _STAGE_REFS_SQL,
+    "artifact_catalog": _CATALOG_SQL,
 }
 
 # Bindings whose SQL reads another binding.

@@ -29,6 +29,8 @@ def _load_all() -> None:
     from tapeworks.plans import (  # noqa: F401
         q_contracts,
         q_discovery,
+        q_jobs,
+        q_manifest,
         q_timeline,
     )
 
