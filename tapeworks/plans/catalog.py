@@ -30,6 +30,7 @@ def _load_all() -> None:
         q_contracts,
         q_discovery,
         q_jobs,
+        q_calendar,
         q_manifest,
         q_timeline,
     )
