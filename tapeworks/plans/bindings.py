@@ -19,7 +19,11 @@ from tapeworks.sources.tables import as_utc, table
 
 
 def publications(spark: SparkSession, sf: str) -> DataFrame:
-    e = table(spark, sf, "events")
+    return publications_of(table(spark, sf, "events"))
+
+
+def publications_of(e: DataFrame) -> DataFrame:
+    """The same mapping on any events frame (batch or stream)."""
     return e.select(
         F.concat(F.lit("v"), e.event_id.cast("string")).alias("video_id"),
         F.concat(F.lit("UC"), e.user_id.cast("string")).alias("channel_id"),
@@ -276,8 +280,12 @@ JOB_TYPE_LIST = ("download", "transcribe", "translate_subtitles", "separate_audi
 
 
 def job_log(spark: SparkSession, sf: str) -> DataFrame:
-    e = table(spark, sf, "events")
-    k = F.get_json_object("props", "$.k").cast("int")
+    return job_log_of(table(spark, sf, "events"))
+
+
+def job_log_of(e: DataFrame) -> DataFrame:
+    """The same mapping on any events frame (batch or stream)."""
+    k =F.get_json_object("props", "$.k").cast("int")
     et = F.col("event_type")
     status = (F.when((et == "view") & (k >= 95), F.lit("cancelled"))
               .when((et == "click") & (k >= 97), F.lit("done"))

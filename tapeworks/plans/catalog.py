@@ -32,6 +32,7 @@ def _load_all() -> None:
         q_jobs,
         q_calendar,
         q_manifest,
+        q_streams,
         q_timeline,
     )
 
