@@ -48,15 +48,14 @@ _PUBLICATIONS_SQL = """publications AS (
 # The next-page token is the first publication day of the next page.
 
 _ORDERS = {
-    "newest": ([F.col("published_at").desc(), F.col("event_id").desc()], 50,
-               "published_at DESC, event_id DESC"),
-    "shuffled": ([F.col("value").desc(), F.col("event_id").asc()], 10,
-                 "value DESC, event_id ASC"),
+    "newest": ([("published_at", "desc"), ("event_id", "desc")], 50, "published_at DESC, event_id DESC"),
+    "shuffled": ([("value", "desc"), ("event_id", "asc")], 10, "value DESC, event_id ASC"),
 }
 
 
 def playlist_items(spark: SparkSession, sf: str, order: str = "newest") -> DataFrame:
-    order_by, size, _ = _ORDERS[order]
+    spec, size, _ = _ORDERS[order]
+    order_by = [getattr(F.col(c), d)() for c, d in spec]
     w = Window.partitionBy("playlist_id").orderBy(*order_by)
     p = publications(spark, sf).withColumn("rn", F.row_number().over(w) - 1)
     p = p.select("playlist_id", "video_id", "channel_id",
@@ -361,12 +360,15 @@ _SEGMENTS_SQL = """transcript_segments AS (
 
 def transcript_docs(spark: SparkSession, sf: str) -> DataFrame:
     seg = transcript_segments(spark, sf)
-    words = F.split("text", " ")
-    seg = seg.withColumn("words", F.transform(words, lambda w, i: F.struct(
-        (F.col("start_ms") + 10 * (F.length(F.array_join(F.slice(words, 1, i), " ")) + F.when(i > 0, 1).otherwise(0))).alias("start_ms"),
-        (F.col("start_ms") + 10 * (F.length(F.array_join(F.slice(words, 1, i), " ")) + F.when(i > 0, 1).otherwise(0))
-         + 12 * F.length(w)).alias("end_ms"),
-        w.alias("text"), F.lit(None).cast("double").alias("probability"))))
+    w = seg.select("doc_id", "segment_id", "start_ms", F.posexplode(F.split("text", " ")).alias("word_pos", "w"))
+    before = Window.partitionBy("doc_id", "segment_id").orderBy("word_pos").rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum(F.length("w") + 1).over(before), F.lit(0))
+    w = w.select("doc_id", "segment_id", "word_pos", (F.col("start_ms") + 10 * offset).alias("ws"), "w")
+    words = w.groupBy("doc_id", "segment_id").agg(F.array_sort(F.collect_list(F.struct(
+        "word_pos", F.col("ws").alias("start_ms"), (F.col("ws") + 12 * F.length("w")).alias("end_ms"),
+        F.col("w").alias("text"), F.lit(None).cast("double").alias("probability")))).alias("_w"))
+    seg = seg.join(words, ["doc_id", "segment_id"], "left").withColumn(
+        "words", F.transform("_w", lambda x: x.dropFields("word_pos"))).drop("_w")
     docs = seg.groupBy("doc_id").agg(
         (F.floor(F.sum(F.col("end_ms") - F.col("start_ms")) / 1000) * 1000).cast("long").alias("duration_ms"),
         F.array_sort(F.collect_list(F.struct("seg_pos", "segment_id", "start_ms", "end_ms", "text", "words",

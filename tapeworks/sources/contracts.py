@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tapeworks.functions import col_of
+from tapeworks.functions import col_of, evaluate_once
 from tapeworks.functions.text import strip_ws
 from tapeworks.functions.time import iso_text
 
@@ -256,10 +256,10 @@ def parse_contract(df: DataFrame, raw: str, contract: Contract) -> DataFrame:
         if f.name in contract.json_fields:
             c = F.get_json_object(r, f"$.{f.name}")
         cols.append(strip_strings(c, f.dataType).alias(f.name))
-    out = out.select(*[c for c in df.columns], *cols,
-                     unknown_fields(r, schema, aliases=contract.aliases,
-                                    opaque=contract.json_fields).alias("unknown_fields"),
-                     F.get_json_object(r, "$").isNull().alias("malformed"))
+    out = evaluate_once(out, list(df.columns), [
+        *cols,
+        unknown_fields(r, schema, aliases=contract.aliases, opaque=contract.json_fields).alias("unknown_fields"),
+        F.get_json_object(r, "$").isNull().alias("malformed")])
     if contract.versioned:
         out = out.withColumn("version_ok", F.coalesce(F.col("schema_version"), F.lit(SCHEMA_VERSION)) == SCHEMA_VERSION)
         out = out.withColumn("schema_version", F.coalesce(F.col("schema_version"), F.lit(SCHEMA_VERSION)))
