@@ -37,9 +37,19 @@ def _load_all() -> None:
     )
 
 
+def _in_utc(fn: QueryFn) -> QueryFn:
+    """Contract instants are UTC: pin the session time zone before planning."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return fn(spark, sf_dir)
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def queries() -> dict[str, QueryFn]:
     _load_all()
-    return {k: fn for k, (fn, _) in REGISTRY.items()}
+    return {k: _in_utc(fn) for k, (fn, _) in REGISTRY.items()}
 
 
 def oracle_sql() -> dict[str, str]:

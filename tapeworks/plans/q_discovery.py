@@ -15,8 +15,10 @@ from tapeworks.plans import bindings as B
 from tapeworks.plans.catalog import register
 
 # Query parameters (ours; the reference takes them per call).
-AFTER = "2024-01-10 00:00:00"
-BEFORE = "2024-01-20 00:00:00"
+AFTER = "2024-01-10T00:00:00Z"
+AFTER_SQL = "2024-01-10 00:00:00"
+BEFORE = "2024-01-20T00:00:00Z"
+BEFORE_SQL = "2024-01-20 00:00:00"
 K = 20
 
 _ID_RE = "^[A-Za-z0-9_-]+$"
@@ -126,7 +128,7 @@ _B_VID = ["video_items"]
 
 # ------------------------------------------------------------------ G1 (flagship)
 
-@register("channel_events", B.with_sql([_ITEMS] + _B_VID, f"""WITH {_found_sql(_ITEMS, AFTER, BEFORE, K)}
+@register("channel_events", B.with_sql([_ITEMS] + _B_VID, f"""WITH {_found_sql(_ITEMS, AFTER_SQL, BEFORE_SQL, K)}
 SELECT 'youtube://channel/' || channel_id || '/uploads' AS uri, channel_id,
        count(*) AS video_count,
        array_to_string(list(video_id ORDER BY page, pos)[1:50], ',') AS video_ids,
@@ -141,7 +143,7 @@ def channel_events(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------------ D2 / L1 / U4
 
-@register("channel_videos", B.with_sql([_ITEMS] + _B_VID, f"""WITH {_found_sql(_ITEMS, AFTER, BEFORE, K)},
+@register("channel_videos", B.with_sql([_ITEMS] + _B_VID, f"""WITH {_found_sql(_ITEMS, AFTER_SQL, BEFORE_SQL, K)},
 channels AS (SELECT DISTINCT channel_id, playlist_id FROM publications)
 SELECT c.channel_id, f.playlist_id, f.page, f.pos, f.rank, f.video_id, f.title,
        {_ts_sql('f.published_at')} AS published_at, f.duration_ms, f.thumbnail_url, f.default_language
@@ -219,7 +221,7 @@ def page_dedupe(spark: SparkSession, sf: str) -> DataFrame:
     return D.page_dedupe(B.playlist_items(spark, sf, "shuffled")).select("playlist_id", "video_id", "page", "pos")
 
 
-@register("early_stop", B.with_sql([_SHUF] + _B_VID, f"""WITH {_found_sql(_SHUF, AFTER, BEFORE, 200)}
+@register("early_stop", B.with_sql([_SHUF] + _B_VID, f"""WITH {_found_sql(_SHUF, AFTER_SQL, BEFORE_SQL, 200)}
 SELECT playlist_id, page, pos, video_id FROM kept"""))
 def early_stop(spark: SparkSession, sf: str) -> DataFrame:
     """F3 on a playlist whose order crosses the lower bound early: rows on
@@ -250,7 +252,7 @@ def token_cycle_cut(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("window_half_open", f"""
 SELECT 'v' || event_id AS video_id, 'UC' || user_id AS channel_id, {_ts_sql('ts')} AS published_at
-FROM events WHERE ts >= TIMESTAMP '{AFTER}' AND ts < TIMESTAMP '{BEFORE}'""")
+FROM events WHERE ts >= TIMESTAMP '{AFTER_SQL}' AND ts < TIMESTAMP '{BEFORE_SQL}'""")
 def window_half_open(spark: SparkSession, sf: str) -> DataFrame:
     """Publications with after <= published_at < before (pushed to the scan)."""
     p = D.window_half_open(B.publications(spark, sf), "published_at", AFTER, BEFORE)
@@ -382,7 +384,7 @@ def dataset_uri(spark: SparkSession, sf: str) -> DataFrame:
     return r.select("pos", "ref", channel_uploads_uri("ref").alias("channel_uri"), video_uri("ref").alias("video_uri"))
 
 
-@register("video_event", B.with_sql([_ITEMS] + _B_VID, f"""WITH {_found_sql(_ITEMS, AFTER, BEFORE, K)}
+@register("video_event", B.with_sql([_ITEMS] + _B_VID, f"""WITH {_found_sql(_ITEMS, AFTER_SQL, BEFORE_SQL, K)}
 SELECT 'youtube://video/' || video_id AS uri, video_id,
   '{{"video_id":"' || video_id || '","channel_id":"' || channel_id || '","published_at":"' ||
   {_iso_sql('published_at', '+00:00')} || '","title":"' || title || '","url":"' || source_url || '"}}' AS extra
@@ -392,7 +394,7 @@ def video_event(spark: SparkSession, sf: str) -> DataFrame:
     return D.video_event(_found(spark, sf)).select("uri", "video_id", "extra")
 
 
-_NOTIFY_SQL = f"""WITH {_found_sql(_ITEMS, AFTER, BEFORE, K)}
+_NOTIFY_SQL = f"""WITH {_found_sql(_ITEMS, AFTER_SQL, BEFORE_SQL, K)}
 SELECT video_id, coalesce(nullif(channel_title, ''), 'YouTube') || ' 发布了新视频' AS title, title AS body,
        source_url AS url, 'youtube-updates' AS "group", true AS isArchive
 FROM found"""
@@ -404,7 +406,7 @@ def notifications(spark: SparkSession, sf: str) -> DataFrame:
     return D.notifications(_found(spark, sf))
 
 
-@register("message_payload", B.with_sql([_ITEMS] + _B_VID, f"""WITH {_found_sql(_ITEMS, AFTER, BEFORE, K)}
+@register("message_payload", B.with_sql([_ITEMS] + _B_VID, f"""WITH {_found_sql(_ITEMS, AFTER_SQL, BEFORE_SQL, K)}
 SELECT video_id, '{{"title":"' || coalesce(nullif(channel_title, ''), 'YouTube') || ' 发布了新视频","body":"' || title ||
   '","level":"active","url":"' || source_url || '","group":"youtube-updates","isArchive":1}}' AS payload
 FROM found"""))
@@ -413,7 +415,7 @@ def message_payload_q(spark: SparkSession, sf: str) -> DataFrame:
     return message_payload(D.notifications(_found(spark, sf))).select("video_id", "payload")
 
 
-@register("event_dedupe", B.with_sql([_ITEMS] + _B_VID, f"""WITH {_found_sql(_ITEMS, AFTER, BEFORE, K)},
+@register("event_dedupe", B.with_sql([_ITEMS] + _B_VID, f"""WITH {_found_sql(_ITEMS, AFTER_SQL, BEFORE_SQL, K)},
 ev AS (SELECT 'youtube://channel/' || channel_id || '/uploads' AS uri, count(*) AS n FROM found GROUP BY channel_id)
 SELECT uri FROM ev"""))
 def event_dedupe(spark: SparkSession, sf: str) -> DataFrame:

@@ -15,7 +15,7 @@ from tapeworks.operators import jobs as J
 from tapeworks.plans import bindings as B
 from tapeworks.plans.catalog import register
 from tapeworks.plans.q_contracts import _JOB_SQL
-from tapeworks.plans.q_discovery import AFTER, BEFORE
+from tapeworks.plans.q_discovery import AFTER, AFTER_SQL, BEFORE, BEFORE_SQL
 from tapeworks.plans.q_jobs import _VALID_JOBS
 from tapeworks.session import scratch_path
 from tapeworks.sources import sinks
@@ -29,7 +29,7 @@ def _ts_sql(x: str) -> str:
 
 @register("stream_uploads", f"""
 SELECT 'v' || event_id AS video_id, 'UC' || user_id AS channel_id, {_ts_sql('ts')} AS published_at
-FROM events WHERE ts >= TIMESTAMP '{AFTER}' AND ts < TIMESTAMP '{BEFORE}'""")
+FROM events WHERE ts >= TIMESTAMP '{AFTER_SQL}' AND ts < TIMESTAMP '{BEFORE_SQL}'""")
 def stream_uploads(spark: SparkSession, sf: str) -> DataFrame:
     """Uploads in the window from a stream that delivers every event
     twice (two sources); each video comes out once."""
