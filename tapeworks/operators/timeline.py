@@ -13,8 +13,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapeworks.operators.discovery import dedupe_keep_last
+from tapeworks.operators.ordering import dense_positions
 
 MS_PER_HOUR = 3600000
+PART_SEGMENTS = 10000   # ours: segments per nested part (one part = one task's array)
 
 
 # ------------------------------------------------------------------ T1
@@ -33,14 +35,19 @@ def flatten_words(segments: DataFrame, doc: str = "doc_id") -> DataFrame:
     return x.select(doc, "segment_id", "word_pos", "w.*")
 
 
-def nest_segments(segments: DataFrame, doc: str = "doc_id", fields: list[str] | None = None) -> DataFrame:
-    """T1 inverse: flat segments → one ``segments`` array per document in
-    position order.  One array per document is the contract's shape; its
-    size is bounded by one media file's segment count."""
+def nest_segments(segments: DataFrame, doc: str = "doc_id", fields: list[str] | None = None,
+                  part_size: int = PART_SEGMENTS) -> DataFrame:
+    """T1 inverse: flat segments → ``segments`` arrays in position order.
+
+    A document is cut into parts of at most ``part_size`` segments
+    (``part`` = seg_pos div part_size), so no task ever collects more than
+    one part, however long one document is; the parts in ``part`` order are
+    the whole document."""
     fields = fields or [c for c in segments.columns if c not in (doc, "seg_pos")]
     arr = F.array_sort(F.collect_list(F.struct("seg_pos", *fields)))
-    return segments.groupBy(doc).agg(arr.alias("_s")).select(
-        doc, F.transform("_s", lambda s: s.dropFields("seg_pos")).alias("segments"))
+    part = F.floor(F.col("seg_pos") / part_size).alias("part")
+    return segments.groupBy(doc, part).agg(arr.alias("_s")).select(
+        doc, "part", F.transform("_s", lambda s: s.dropFields("seg_pos")).alias("segments"))
 
 
 # ------------------------------------------------------------------ V19–V24
@@ -146,9 +153,10 @@ def chunk_merge(chunks: DataFrame, chunk_ms: int, overlap_ms: int, doc: str = "d
     mid2 = F.col("start_ms") + F.col("end_ms")      # twice the midpoint, stays integral
     lo2 = F.when(F.col("chunk") == 0, F.lit(0)).otherwise(2 * F.col("offset_ms") + overlap_ms)
     hi2 = 2 * F.col("offset_ms") + 2 * chunk_ms - overlap_ms
-    kept = a.filter((mid2 >= lo2) & (mid2 < hi2))
-    w = Window.partitionBy(doc).orderBy("start_ms", "end_ms", "text")
-    return kept.withColumn("seg_pos", F.row_number().over(w) - 1).drop("chunk", "offset_ms")
+    kept = a.filter((mid2 >= lo2) & (mid2 < hi2)).drop("chunk", "offset_ms")
+    # renumber per document; buckets are minutes of media time (monotone in start)
+    return dense_positions(kept, [doc], F.floor(F.col("start_ms") / 60000), ["start_ms", "end_ms", "text"],
+                           name="seg_pos")
 
 
 def _srt_time(ms) -> F.Column:
@@ -157,12 +165,16 @@ def _srt_time(ms) -> F.Column:
                            (ms % 1000).cast("long"))
 
 
-def srt_text(segments: DataFrame, text: str = "text", doc: str = "doc_id") -> DataFrame:
-    """T5: one SRT document per timeline (cues numbered from 1 in position order)."""
+def srt_text(segments: DataFrame, text: str = "text", doc: str = "doc_id",
+             part_size: int = PART_SEGMENTS) -> DataFrame:
+    """T5: SRT text per timeline (cues numbered from 1 in position order).
+
+    Like ``nest_segments`` the text comes in parts of ``part_size`` cues;
+    concatenating the parts in ``part`` order gives the whole file."""
     cue = F.concat_ws("\n", (F.col("seg_pos") + 1).cast("string"),
                       F.concat(_srt_time(F.col("start_ms")), F.lit(" --> "), _srt_time(F.col("end_ms"))),
                       F.col(text))
-    cues = segments.select(doc, "seg_pos", cue.alias("cue"))
+    cues = segments.select(doc, "seg_pos", F.floor(F.col("seg_pos") / part_size).alias("part"), cue.alias("cue"))
     agg = F.array_sort(F.collect_list(F.struct("seg_pos", "cue")))
-    return cues.groupBy(doc).agg(agg.alias("_c")).select(
-        doc, F.concat(F.array_join(F.transform("_c", lambda c: c["cue"]), "\n\n"), F.lit("\n")).alias("srt"))
+    return cues.groupBy(doc, "part").agg(agg.alias("_c")).select(
+        doc, "part", F.concat(F.array_join(F.transform("_c", lambda c: c["cue"]), "\n\n"), F.lit("\n\n")).alias("srt"))

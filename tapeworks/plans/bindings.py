@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tapeworks.functions.time import iso_text
+from tapeworks.operators.ordering import dense_positions
 from tapeworks.sources.tables import as_utc, table
 
 # ---------------------------------------------------------------- publications
@@ -51,13 +52,17 @@ _ORDERS = {
     "newest": ([("published_at", "desc"), ("event_id", "desc")], 50, "published_at DESC, event_id DESC"),
     "shuffled": ([("value", "desc"), ("event_id", "asc")], 10, "value DESC, event_id ASC"),
 }
+# order buckets (monotone in the order) for skew-safe numbering
+_BUCKETS = {
+    "newest": lambda: -F.floor(F.unix_seconds(F.col("published_at")) / 3600),
+    "shuffled": lambda: -F.floor(F.col("value")),
+}
 
 
 def playlist_items(spark: SparkSession, sf: str, order: str = "newest") -> DataFrame:
     spec, size, _ = _ORDERS[order]
     order_by = [getattr(F.col(c), d)() for c, d in spec]
-    w = Window.partitionBy("playlist_id").orderBy(*order_by)
-    p = publications(spark, sf).withColumn("rn", F.row_number().over(w) - 1)
+    p = dense_positions(publications(spark, sf), ["playlist_id"], _BUCKETS[order](), order_by, name="rn")
     p = p.select("playlist_id", "video_id", "channel_id",
                  F.floor(F.col("rn") / size).alias("page"),
                  (F.col("rn") % size).alias("pos"))

@@ -32,15 +32,17 @@ def timeline_flatten(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("timeline_nest", B.with_sql(["transcript_segments"], """
-SELECT doc_id, count(*) AS n_segments, string_agg(segment_id, ',' ORDER BY seg_pos) AS segment_ids,
+SELECT doc_id, seg_pos // 10000 AS part, count(*) AS n_segments,
+       string_agg(segment_id, ',' ORDER BY seg_pos) AS segment_ids,
        min(start_ms) AS first_start_ms, max(end_ms) AS last_end_ms
-FROM transcript_segments GROUP BY doc_id"""))
+FROM transcript_segments GROUP BY doc_id, seg_pos // 10000"""))
 def timeline_nest(spark: SparkSession, sf: str) -> DataFrame:
-    """T1 inverse: flat segment rows → one ordered segments array per document."""
+    """T1 inverse: flat segment rows → ordered segments arrays per document
+    (in parts of at most 10,000 segments)."""
     nested = TL.nest_segments(B.transcript_segments(spark, sf), fields=["segment_id", "start_ms", "end_ms"])
-    return nested.select("doc_id", F.size("segments").cast("long").alias("n_segments"),
+    return nested.select("doc_id", "part", F.size("segments").cast("long").alias("n_segments"),
                          F.array_join(F.transform("segments", lambda s: s["segment_id"]), ",").alias("segment_ids"),
-                         F.col("segments")[0]["start_ms"].alias("first_start_ms"),
+                         F.try_element_at("segments", F.lit(1))["start_ms"].alias("first_start_ms"),
                          F.element_at("segments", -1)["end_ms"].alias("last_end_ms"))
 
 
@@ -175,8 +177,9 @@ def _srt_sql_time(x: str) -> str:
 
 @register("srt_text", B.with_sql(["transcript_segments"], f"""
 SELECT doc_id, string_agg((seg_pos + 1) || chr(10) || {_srt_sql_time('start_ms')} || ' --> ' ||
-                          {_srt_sql_time('end_ms')} || chr(10) || text, chr(10) || chr(10) ORDER BY seg_pos) || chr(10) AS srt
-FROM transcript_segments GROUP BY doc_id"""))
+                          {_srt_sql_time('end_ms')} || chr(10) || text, chr(10) || chr(10) ORDER BY seg_pos) || chr(10) || chr(10) AS srt,
+  seg_pos // 10000 AS part
+FROM transcript_segments GROUP BY doc_id, seg_pos // 10000"""))
 def srt_text(spark: SparkSession, sf: str) -> DataFrame:
     """T5: one SRT document per transcript."""
     return TL.srt_text(_segments(spark, sf))

@@ -56,7 +56,9 @@ def test_chunk_merge_restores_timeline(spark):
 def test_srt(spark):
     segs = spark.createDataFrame([(1, 0, "s1", 1000, 2400, "Hi"), (1, 1, "s2", 3723500, 3724000, "Bye")], SEG)
     assert TL.srt_text(segs).collect()[0]["srt"] == (
-        "1\n00:00:01,000 --> 00:00:02,400\nHi\n\n2\n01:02:03,500 --> 01:02:04,000\nBye\n")
+        "1\n00:00:01,000 --> 00:00:02,400\nHi\n\n2\n01:02:03,500 --> 01:02:04,000\nBye\n\n")
+    parts = TL.srt_text(segs, part_size=1).orderBy("part").collect()
+    assert "".join(r["srt"] for r in parts) == TL.srt_text(segs).collect()[0]["srt"]
 
 
 def test_http_outcomes_and_backoff(spark):
