@@ -381,3 +381,12 @@ def message_fields_payload(spark: SparkSession, sf: str) -> DataFrame:
     false flags absent, copy under its alias)."""
     valid, _ = R.split(R.validate(_messages(spark, sf), R.message_rules()))
     return message_payload(valid).select("c_custkey", "payload")
+
+
+@register("path_segment", """
+SELECT page_id, url, url_encode(url) AS segment FROM pages""")
+def path_segment_q(spark: SparkSession, sf: str) -> DataFrame:
+    """A whole value percent-encoded as one URL path segment (nothing safe)."""
+    from tapeworks.functions.uri import path_segment
+    p = table(spark, sf, "pages")
+    return p.select("page_id", "url", path_segment("url").alias("segment"))

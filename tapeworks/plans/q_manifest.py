@@ -13,7 +13,7 @@ from tapeworks.plans import bindings as B
 from tapeworks.plans.catalog import register
 from tapeworks.sources.tables import table
 
-CLEANUP_CUTOFF = "1999-01-01 00:00:00"  # ours: artifacts unused since before this may go
+CLEANUP_CUTOFF = "2001-01-01 00:00:00"  # ours: artifacts unused since before this may go
 TARGET_LANG = "zh-CN"                   # ours: target language of the layout
 
 
