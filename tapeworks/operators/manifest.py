@@ -65,7 +65,9 @@ def build_manifests(stages: DataFrame, refs: DataFrame, catalog: DataFrame) -> D
     st = rec.groupBy("video_id").agg(
         F.map_from_entries(F.collect_list(F.struct("job_type", stage_struct))).alias("stages"),
         F.min("started_at").alias("created_at"), F.max("updated_at").alias("updated_at"))
-    used = refs.select("video_id", "key").distinct().join(catalog, "key")
+    from tapeworks.operators.discovery import dedupe_keep_first
+    known = dedupe_keep_first(catalog.select("key", "uri", "size"), ["key"], ["uri"])
+    used = refs.select("video_id", "key").distinct().join(known, "key")
     art = used.groupBy("video_id").agg(
         F.map_from_entries(F.collect_list(F.struct("key", F.struct("uri", "size")))).alias("artifacts"))
     m = st.join(art, "video_id", "left").withColumn(

@@ -11,6 +11,7 @@ retried batch after a lost executor rewrites the same files.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,27 +60,24 @@ def run_latest_state(spark: SparkSession, rows: DataFrame, key: str, order: list
                      name: str = "latest") -> DataFrame:
     """R2: latest row per key across micro-batches.
 
-    Each batch is reduced to one row per key (``max_by``), merged with the
-    previous version of the table, and written as a new version named by the
-    batch ID; state is the table itself, so nothing grows in memory.
+    Each batch is reduced to one row per key (``max_by``, partial aggregation)
+    and written under its batch ID (overwrite: a retried batch rewrites the
+    same folder).  The latest table is the per-key ``max_by`` over all batch
+    folders, so the state lives only in storage: a restarted driver resumes
+    from the checkpoint and loses nothing.
     """
     base = scratch_path(spark, name)
-    done: list[str] = []
-
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        latest = dedupe_keep_last(batch, [key], order)
-        if done:
-            prev = batch.sparkSession.read.parquet(done[-1])
-            latest = dedupe_keep_last(prev.unionByName(latest), [key], order)
-        path = f"{base}/v{batch_id:08d}"
-        latest.write.mode("overwrite").parquet(path)
-        done.append(path)
-
-    w = rows.writeStream.foreachBatch(merge).option("checkpointLocation", f"{base}/checkpoint")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        dedupe_keep_last(batch, [key], order).write.mode("overwrite").parquet(f"{base}/b{batch_id:08d}")
+
+    w = rows.writeStream.foreachBatch(write).option("checkpointLocation", f"{base}/checkpoint")
     _run(w, name)
-    if not done:
+    try:
+        out = spark.read.schema(rows.schema).parquet(base + "/b*")
+    except AnalysisException:      # no batch had rows
         return spark.createDataFrame([], rows.schema)
-    return spark.read.parquet(done[-1])
+    return dedupe_keep_last(out, [key], order)
 
 
 def daily_counts(pubs: DataFrame, key: str = "channel_id", ts: str = "published_at",
@@ -100,5 +98,8 @@ def run_updates(spark: SparkSession, agg: DataFrame, keys: list[str], name: str
 
     w = agg.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{base}/checkpoint")
     _run(w, name)
-    out = spark.read.option("recursiveFileLookup", "true").parquet(base + "/b*")
+    try:
+        out = spark.read.parquet(base + "/b*")
+    except AnalysisException:      # no batch had rows
+        return spark.createDataFrame([], agg.schema)
     return dedupe_keep_last(out, keys, ["batch_id"]).drop("batch_id")
