@@ -63,11 +63,10 @@ def playlist_items(spark: SparkSession, sf: str, order: str = "newest") -> DataF
     spec, size, _ = _ORDERS[order]
     order_by = [getattr(F.col(c), d)() for c, d in spec]
     p = dense_positions(publications(spark, sf), ["playlist_id"], _BUCKETS[order](), order_by, name="rn")
-    p = p.select("playlist_id", "video_id", "channel_id",
+    p = p.select("playlist_id", "video_id", "published_at",
                  F.floor(F.col("rn") / size).alias("page"),
                  (F.col("rn") % size).alias("pos"))
-    firsts = (p.join(publications(spark, sf).select("video_id", "published_at"), "video_id")
-              .groupBy("playlist_id", "page")
+    firsts = (p.groupBy("playlist_id", "page")
               .agg(F.min_by("published_at", "pos").alias("first_at"))
               .select("playlist_id", (F.col("page") - 1).alias("page"),
                       F.concat(F.lit("T"), F.date_format("first_at", "yyyyMMdd")).alias("next_token")))

@@ -130,3 +130,17 @@ def test_ids_and_handles(spark):
     got = rows(df.select("v", R.resource_id("v").ok.alias("id"), R.handle("v").ok.alias("h")))
     assert (" @EarnMoar ", False, True) in got and ("UC_abc-123", True, True) in got
     assert ("abc/../../key", False, False) in got and ("@a/b", False, False) in got and ("@@x", False, False) in got
+
+
+def test_read_contract_files_with_nested_unknown_fields(spark, tmp_path):
+    from tapeworks.sources.contracts import read_contract
+    docs = [{"job_id": "j1", "job_type": "download", "status": "failed",
+             "error": {"code": "E1", "message": "m", "token": "x"}},
+            {"job_id": "j2", "job_type": "download", "status": "queued", "extra": 1}]
+    path = tmp_path / "jobs.jsonl"
+    path.write_text("\n".join(json.dumps(d) for d in docs) + "\n{not json\n")
+    j = read_contract(spark, str(path), CONTRACTS["localization_job"]).orderBy("job_id")
+    got = [(r["job_id"], r["unknown_fields"], r["malformed"]) for r in j.collect()]
+    assert got == [(None, [], True), ("j1", ["error.token"], False), ("j2", ["extra"], False)]
+    err = j.filter("job_id = 'j1'").select("error.retryable", "error.details").collect()[0]
+    assert err["retryable"] is None  # defaults fill top-level fields; nested ones via their own contract
