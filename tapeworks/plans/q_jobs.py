@@ -47,7 +47,7 @@ def http_outcome(spark: SparkSession, sf: str) -> DataFrame:
     return J.http_outcome(B.attempt_log(spark, sf))
 
 
-@register("backoff_wait", _outcome_sql(5, 0.5).replace("SELECT request_id,\n  CASE", "SELECT request_id, CASE", 1))
+@register("backoff_wait", _outcome_sql(5, 0.5))
 def backoff_wait(spark: SparkSession, sf: str) -> DataFrame:
     """Total back-off per request with 5 retries and a 0.5 s first delay."""
     return J.http_outcome(B.attempt_log(spark, sf), retries=5, delay_s=0.5)
