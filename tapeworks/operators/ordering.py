@@ -1,16 +1,17 @@
-"""Dense positions within a group without sorting the whole group in one task.
+"""Positions and running totals within a group without sorting the whole
+group in one task.
 
-``row_number().over(partitionBy(g).orderBy(o))`` sends every row of a group
-to one task.  When one channel or document holds a third of the data, that
-task sorts a third of the data.  ``dense_positions`` gives the same numbers
-in three skew-proof steps:
+``row_number()`` or ``sum() OVER (PARTITION BY g ORDER BY o)`` sends every
+row of a group to one task.  When one channel or document holds a third of
+the data, that task sorts a third of the data.  ``running_total`` gives the
+same numbers in three skew-proof steps:
 
 1. rows are labelled with an order bucket (a coarse key monotone in the
-   order: hour of publication, minute of media time, ...);
-2. rows per (group, bucket) are counted (partial aggregation) and turned
+   order: hour of publication, minute of media time, a block of positions);
+2. values per (group, bucket) are summed (partial aggregation) and turned
    into a running offset per group (a window over buckets only: small);
-3. ``row_number`` runs within (group, bucket) — bounded by what one bucket
-   holds — and is added to the bucket's offset.
+3. the running total runs within (group, bucket) — bounded by what one
+   bucket holds — and is added to the bucket's offset.
 """
 
 from __future__ import annotations
@@ -19,16 +20,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def running_total(df: DataFrame, group: list[str], bucket: Column, order: list, value: Column,
+                  name: str, inclusive: bool = False) -> DataFrame:
+    """Add ``name`` = sum of ``value`` over the rows before (``inclusive``:
+    up to and including) each row within ``group`` in ``order``.
+    ``bucket`` must be monotone in ``order``: rows of a smaller bucket always
+    come first."""
+    d = df.withColumn("_bucket", bucket).withColumn("_value", value)
+    sums = d.groupBy(*group, "_bucket").agg(F.sum("_value").alias("_sum"))
+    before = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(*group, "_bucket", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
+    frame = Window.partitionBy(*group, "_bucket").orderBy(*order).rowsBetween(
+        Window.unboundedPreceding, 0 if inclusive else -1)
+    return (d.join(offsets, [*group, "_bucket"])
+            .withColumn(name, F.col("_offset") + F.coalesce(F.sum("_value").over(frame), F.lit(0)))
+            .drop("_bucket", "_value", "_offset"))
+
+
 def dense_positions(df: DataFrame, group: list[str], bucket: Column, order: list, name: str = "pos",
                     start: int = 0) -> DataFrame:
     """Add ``name`` = position (from ``start``) of each row within ``group``
-    in ``order``.  ``bucket`` must be monotone in ``order``: rows of a smaller
-    bucket always come first."""
-    d = df.withColumn("_bucket", bucket)
-    counts = d.groupBy(*group, "_bucket").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*group, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    within = Window.partitionBy(*group, "_bucket").orderBy(*order)
-    return (d.join(offsets, [*group, "_bucket"])
-            .withColumn(name, F.col("_offset") + F.row_number().over(within) - 1 + start)
-            .drop("_bucket", "_offset"))
+    in ``order`` — ``row_number() - 1 + start`` without a whole-group sort.
+    ``order`` must be a total order (ties broken by a key)."""
+    out = running_total(df, group, bucket, order, F.lit(1).cast("long"), name)
+    return out.withColumn(name, F.col(name) + start) if start else out

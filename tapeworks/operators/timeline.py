@@ -22,11 +22,14 @@ PART_SEGMENTS = 10000   # ours: segments per nested part (one part = one task's
 # ------------------------------------------------------------------ T1
 
 
-def flatten_segments(docs: DataFrame, doc: str = "doc_id") -> DataFrame:
+def flatten_segments(docs: DataFrame, doc: str = "doc_id", part_size: int = PART_SEGMENTS) -> DataFrame:
     """Nested documents (``segments`` array) → one row per segment with
-    its position ``seg_pos``."""
-    x = docs.select(doc, F.posexplode("segments").alias("seg_pos", "s"))
-    return x.select(doc, "seg_pos", "s.*")
+    its position ``seg_pos``.  Documents stored in parts (a ``part`` column,
+    ``part_size`` segments each, as ``nest_segments`` writes them) get
+    positions continued across parts."""
+    base = (F.col("part") * part_size) if "part" in docs.columns else F.lit(0)
+    x = docs.select(doc, base.alias("_base"), F.posexplode("segments").alias("_i", "s"))
+    return x.select(doc, (F.col("_base") + F.col("_i")).cast("long").alias("seg_pos"), "s.*")
 
 
 def flatten_words(segments: DataFrame, doc: str = "doc_id") -> DataFrame:

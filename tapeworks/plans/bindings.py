@@ -8,11 +8,11 @@ so both sides start from the same rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeworks.functions.time import iso_text
-from tapeworks.operators.ordering import dense_positions
+from tapeworks.operators.ordering import dense_positions, running_total
 from tapeworks.sources.tables import as_utc, table
 
 # ---------------------------------------------------------------- publications
@@ -341,14 +341,14 @@ _JOB_LOG_SQL = """job_log AS (
 # Synthesis: non-system turns, made from version 1, 9 ms per character + 150.
 
 def transcript_segments(spark: SparkSession, sf: str) -> DataFrame:
-    c = table(spark, sf, "conversations")
-    dur = F.length("text").cast("long") * 10
-    before = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
-    pos = Window.partitionBy("conv_id").orderBy("turn")
-    start = F.coalesce(F.sum(dur).over(before), F.lit(0).cast("long"))
-    return c.select(F.col("conv_id").alias("doc_id"), (F.row_number().over(pos) - 1).cast("long").alias("seg_pos"),
+    c = table(spark, sf, "conversations").withColumn("_dur", F.length("text").cast("long") * 10)
+    block = F.floor(F.col("turn") / 1000)   # buckets of 1000 turns: skew-safe numbering and offsets
+    c = dense_positions(c, ["conv_id"], block, ["turn"], name="seg_pos")
+    c = running_total(c, ["conv_id"], block, ["turn"], F.col("_dur"), name="start_ms")
+    return c.select(F.col("conv_id").alias("doc_id"), "seg_pos",
                     F.concat(F.lit("seg-"), F.lpad(F.col("turn").cast("string"), 4, "0")).alias("segment_id"),
-                    start.alias("start_ms"), (start + dur).alias("end_ms"), "text", F.col("role").alias("speaker"))
+                    "start_ms", (F.col("start_ms") + F.col("_dur")).alias("end_ms"), "text",
+                    F.col("role").alias("speaker"))
 
 
 _SEGMENTS_SQL = """transcript_segments AS (
@@ -362,23 +362,27 @@ _SEGMENTS_SQL = """transcript_segments AS (
   FROM conversations)"""
 
 
-def transcript_docs(spark: SparkSession, sf: str) -> DataFrame:
+def transcript_docs(spark: SparkSession, sf: str, part_size: int = 10000) -> DataFrame:
+    """Nested transcript documents, in parts of at most ``part_size``
+    segments (``part``), each part carrying its document's duration."""
     seg = transcript_segments(spark, sf)
     w = seg.select("doc_id", "segment_id", "start_ms", F.posexplode(F.split("text", " ")).alias("word_pos", "w"))
-    before = Window.partitionBy("doc_id", "segment_id").orderBy("word_pos").rowsBetween(Window.unboundedPreceding, -1)
-    offset = F.coalesce(F.sum(F.length("w") + 1).over(before), F.lit(0))
-    w = w.select("doc_id", "segment_id", "word_pos", (F.col("start_ms") + 10 * offset).alias("ws"), "w")
+    w = running_total(w, ["doc_id", "segment_id"], F.floor(F.col("word_pos") / 1000), ["word_pos"],
+                      F.length("w") + 1, name="offset")
+    w = w.select("doc_id", "segment_id", "word_pos", (F.col("start_ms") + 10 * F.col("offset")).alias("ws"), "w")
     words = w.groupBy("doc_id", "segment_id").agg(F.array_sort(F.collect_list(F.struct(
         "word_pos", F.col("ws").alias("start_ms"), (F.col("ws") + 12 * F.length("w")).alias("end_ms"),
         F.col("w").alias("text"), F.lit(None).cast("double").alias("probability")))).alias("_w"))
     seg = seg.join(words, ["doc_id", "segment_id"], "left").withColumn(
         "words", F.transform("_w", lambda x: x.dropFields("word_pos"))).drop("_w")
-    docs = seg.groupBy("doc_id").agg(
-        (F.floor(F.sum(F.col("end_ms") - F.col("start_ms")) / 1000) * 1000).cast("long").alias("duration_ms"),
+    durations = seg.groupBy("doc_id").agg(
+        (F.floor(F.sum(F.col("end_ms") - F.col("start_ms")) / 1000) * 1000).cast("long").alias("duration_ms"))
+    parts = seg.groupBy("doc_id", F.floor(F.col("seg_pos") / part_size).alias("part")).agg(
         F.array_sort(F.collect_list(F.struct("seg_pos", "segment_id", "start_ms", "end_ms", "text", "words",
                                              "speaker"))).alias("_s"))
-    return docs.select("doc_id", "duration_ms", F.lit("en").alias("language"),
-                       F.transform("_s", lambda s: s.dropFields("seg_pos")).alias("segments"))
+    return parts.join(durations, "doc_id").select(
+        "doc_id", "part", "duration_ms", F.lit("en").alias("language"),
+        F.transform("_s", lambda s: s.dropFields("seg_pos")).alias("segments"))
 
 
 _DOCS_SQL = """transcript_durations AS (
@@ -467,9 +471,10 @@ def attempt_log(spark: SparkSession, sf: str) -> DataFrame:
         F.array(F.struct(reason.alias("reason"))).alias("errors"),
         F.concat(F.lit("key=AIza-"), F.col("user_id").cast("string")).alias("debug")).alias("error"))))
     req = F.concat(F.col("user_id").cast("string"), F.lit(":"), F.date_format("ts", "yyyy-MM-dd"))
-    w = Window.partitionBy(req).orderBy("ts", "event_id")
-    return e.select("event_id", req.alias("request_id"), (F.row_number().over(w) - 1).alias("attempt"),
-                    status.alias("status"), body.alias("body"))
+    a = e.select("event_id", "ts", req.alias("request_id"), status.alias("status"), body.alias("body"))
+    hour = F.floor(F.unix_seconds(as_utc("ts")) / 3600)
+    a = dense_positions(a, ["request_id"], hour, ["ts", "event_id"], name="attempt")
+    return a.select("event_id", "request_id", F.col("attempt").cast("int").alias("attempt"), "status", "body")
 
 
 _ATTEMPT_LOG_SQL = """attempt_log AS (
