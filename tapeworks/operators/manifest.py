@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapeworks.functions import col_of
-from tapeworks.operators.ordering import dense_positions
+from tapeworks.operators.ordering import dense_positions, order_bucket
 
 # The object layout of one video's artifacts.
 LAYOUT_ROOT = "s3://video-localization/youtube"
@@ -106,8 +106,7 @@ def manifest_rules(manifests: DataFrame) -> DataFrame:
 def revisions(history: DataFrame, key: str = "video_id", order: list[str] = None) -> DataFrame:
     """revision numbers per video in update order; latest flagged."""
     order = order or ["updated_at", "job_id"]
-    day = F.floor(F.unix_seconds(F.col(order[0])) / 86400)   # order bucket: day of the first order column
-    h = dense_positions(history, [key], day, order, name="revision", start=1).withColumn(
+    h = dense_positions(history, [key], order_bucket(history, order[0]), order, name="revision", start=1).withColumn(
         "revision", F.col("revision").cast("int"))
     last = h.groupBy(key).agg(F.max("revision").alias("_last"))
     return h.join(last, key).withColumn("is_latest", F.col("revision") == F.col("_last")).drop("_last")

@@ -44,3 +44,17 @@ def dense_positions(df: DataFrame, group: list[str], bucket: Column, order: list
     ``order`` must be a total order (ties broken by a key)."""
     out = running_total(df, group, bucket, order, F.lit(1).cast("long"), name)
     return out.withColumn(name, F.col(name) + start) if start else out
+
+
+def order_bucket(df: DataFrame, col: str, descending: bool = False) -> Column:
+    """A coarse bucket monotone in ``col``: the day of a timestamp or date,
+    blocks of 1000 for numbers, one bucket otherwise (no skew protection)."""
+    t = df.schema[col].dataType.typeName()
+    c = F.col(col)
+    if t in ("timestamp", "timestamp_ntz", "date"):
+        b = F.floor(F.unix_seconds(c.cast("timestamp")) / 86400)
+    elif t in ("byte", "short", "integer", "long", "float", "double", "decimal"):
+        b = F.floor(c / 1000)
+    else:
+        b = F.lit(0)
+    return -b if descending else b

@@ -9,10 +9,11 @@ next revision per key, and the latest view is a per-key ``max_by``.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeworks.operators.discovery import dedupe_keep_last
+from tapeworks.operators.ordering import dense_positions, order_bucket
 
 
 def write_replace(df: DataFrame, path: str, partition_cols: list[str]) -> None:
@@ -30,8 +31,7 @@ def _existing(spark: SparkSession, path: str) -> DataFrame | None:
 
 def append_revision(spark: SparkSession, df: DataFrame, path: str, key: str, order: list[str]) -> None:
     """Append ``df`` with ``revision`` = previous max per key + rank."""
-    w = Window.partitionBy(key).orderBy(*order)
-    new = df.withColumn("_rank", F.row_number().over(w))
+    new = dense_positions(df, [key], order_bucket(df, order[0]), order, name="_rank", start=1)
     old = _existing(spark, path)
     if old is not None:
         prev = old.groupBy(key).agg(F.max("revision").alias("_prev"))
