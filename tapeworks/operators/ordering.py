@@ -20,21 +20,32 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def running_total(df: DataFrame, group: list[str], bucket: Column, order: list, value: Column,
-                  name: str, inclusive: bool = False) -> DataFrame:
-    """Add ``name`` = sum of ``value`` over the rows before (``inclusive``:
-    up to and including) each row within ``group`` in ``order``.
-    ``bucket`` must be monotone in ``order``: rows of a smaller bucket always
-    come first."""
-    d = df.withColumn("_bucket", bucket).withColumn("_value", value)
-    sums = d.groupBy(*group, "_bucket").agg(F.sum("_value").alias("_sum"))
+def running_totals(df: DataFrame, group: list[str], bucket: Column, order: list, values: dict,
+                   inclusive: bool = False) -> DataFrame:
+    """Add one column per ``values`` entry (name → Column): the sum of that
+    value over the rows before (``inclusive``: up to and including) each row
+    within ``group`` in ``order``, all in one pass.  ``bucket`` must be
+    monotone in ``order``: rows of a smaller bucket always come first."""
+    tmp = {name: f"_v_{i}" for i, name in enumerate(values)}
+    d = df.withColumn("_bucket", bucket)
+    for name, v in values.items():
+        d = d.withColumn(tmp[name], v)
+    sums = d.groupBy(*group, "_bucket").agg(*[F.sum(t).alias(f"{t}_s") for t in tmp.values()])
     before = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(*group, "_bucket", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
+    offsets = sums.select(*group, "_bucket", *[F.coalesce(F.sum(f"{t}_s").over(before), F.lit(0)).alias(f"{t}_o")
+                                               for t in tmp.values()])
     frame = Window.partitionBy(*group, "_bucket").orderBy(*order).rowsBetween(
         Window.unboundedPreceding, 0 if inclusive else -1)
-    return (d.join(offsets, [*group, "_bucket"])
-            .withColumn(name, F.col("_offset") + F.coalesce(F.sum("_value").over(frame), F.lit(0)))
-            .drop("_bucket", "_value", "_offset"))
+    out = d.join(offsets, [*group, "_bucket"])
+    for name, t in tmp.items():
+        out = out.withColumn(name, F.col(f"{t}_o") + F.coalesce(F.sum(t).over(frame), F.lit(0)))
+    return out.drop("_bucket", *tmp.values(), *[f"{t}_o" for t in tmp.values()])
+
+
+def running_total(df: DataFrame, group: list[str], bucket: Column, order: list, value: Column,
+                  name: str, inclusive: bool = False) -> DataFrame:
+    """``running_totals`` with one value."""
+    return running_totals(df, group, bucket, order, {name: value}, inclusive)
 
 
 def dense_positions(df: DataFrame, group: list[str], bucket: Column, order: list, name: str = "pos",

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeworks.functions.time import iso_text
-from tapeworks.operators.ordering import dense_positions, running_total
+from tapeworks.operators.ordering import dense_positions, running_total, running_totals
 from tapeworks.sources.tables import as_utc, table
 
 # ---------------------------------------------------------------- publications
@@ -343,8 +343,8 @@ _JOB_LOG_SQL = """job_log AS (
 def transcript_segments(spark: SparkSession, sf: str) -> DataFrame:
     c = table(spark, sf, "conversations").withColumn("_dur", F.length("text").cast("long") * 10)
     block = F.floor(F.col("turn") / 1000)   # buckets of 1000 turns: skew-safe numbering and offsets
-    c = dense_positions(c, ["conv_id"], block, ["turn"], name="seg_pos")
-    c = running_total(c, ["conv_id"], block, ["turn"], F.col("_dur"), name="start_ms")
+    c = running_totals(c, ["conv_id"], block, ["turn"],
+                       {"seg_pos": F.lit(1).cast("long"), "start_ms": F.col("_dur")})
     return c.select(F.col("conv_id").alias("doc_id"), "seg_pos",
                     F.concat(F.lit("seg-"), F.lpad(F.col("turn").cast("string"), 4, "0")).alias("segment_id"),
                     "start_ms", (F.col("start_ms") + F.col("_dur")).alias("end_ms"), "text",
