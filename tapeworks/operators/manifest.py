@@ -59,10 +59,11 @@ def build_manifests(stages: DataFrame, refs: DataFrame, catalog: DataFrame) -> D
         F.array_sort(F.collect_set(F.when(F.col("direction") == "input", F.col("key")))).alias("input_artifacts"),
         F.array_sort(F.collect_set(F.when(F.col("direction") == "output", F.col("key")))).alias("output_artifacts"))
     rec = latest.join(inout, ["video_id", "job_id"], "left")
+    extra = [c for c in ("parameters_sha256", "error") if c in stages.columns]
     stage_struct = F.struct("job_type", "status", "job_id", "idempotency_key",
                             F.coalesce("input_artifacts", F.array().cast("array<string>")).alias("input_artifacts"),
                             F.coalesce("output_artifacts", F.array().cast("array<string>")).alias("output_artifacts"),
-                            "started_at", "completed_at", "updated_at")
+                            *extra, "started_at", "completed_at", "updated_at")
     st = rec.groupBy("video_id").agg(
         F.map_from_entries(F.collect_list(F.struct("job_type", stage_struct))).alias("stages"),
         F.min("started_at").alias("created_at"), F.max("updated_at").alias("updated_at"))
@@ -148,3 +149,38 @@ def quality_report(checks: DataFrame, key: str = "doc_id") -> DataFrame:
         F.bool_and("passed").alias("passed"),
         F.count_if(~F.col("passed")).alias("n_failed"),
         F.array_join(F.array_sort(F.collect_list(F.concat_ws("=", "name", F.col("passed").cast("string")))), ",").alias("checks"))
+
+
+def manifest_documents(manifests: DataFrame, sources: DataFrame, content_type: str = "application/octet-stream"
+                       ) -> DataFrame:
+    """A2 for manifests: one canonical JSON document per video in the
+    contract's shape (artifacts and stage records as contract objects,
+    instants as ISO text with ``Z``, absent optionals left out).
+
+    ``sources``: (video_id, source) with ``source`` a video struct.
+    """
+    from tapeworks.functions.time import iso_text
+    iso = lambda c: F.when(c.isNotNull(), iso_text(c))
+    v = F.lit("1.0").alias("schema_version")
+    art = F.transform_values("artifacts", lambda k, a: F.struct(
+        v, a["uri"].alias("uri"), F.lit(content_type).alias("content_type"), a["size"].alias("size")))
+    stage = F.transform_values("stages", lambda k, s: F.struct(
+        v, s["job_type"].alias("job_type"), s["status"].alias("status"), s["job_id"].alias("job_id"),
+        s["idempotency_key"].alias("idempotency_key"), s["input_artifacts"].alias("input_artifacts"),
+        s["output_artifacts"].alias("output_artifacts"), s["parameters_sha256"].alias("parameters_sha256"),
+        s["error"].alias("error"), iso(s["started_at"]).alias("started_at"),
+        iso(s["completed_at"]).alias("completed_at")))
+    doc = F.struct(v, F.col("video_id"), F.lit(1).cast("long").alias("revision"), F.col("source"),
+                   art.alias("artifacts"), stage.alias("stages"),
+                   iso(F.col("created_at")).alias("created_at"), iso(F.col("updated_at")).alias("updated_at"))
+    return manifests.join(sources, "video_id", "left").select("video_id", F.to_json(doc).alias("raw"))
+
+
+def parsed_manifest_rules(parsed: DataFrame) -> DataFrame:
+    """V13–V16 on manifests read back from JSON (A1): instants parsed from
+    their text, the source identity taken from the nested source video."""
+    from tapeworks.functions.time import aware_timestamp
+    m = (parsed.withColumn("source_video_id", F.col("source.video_id"))
+         .withColumn("created_at", aware_timestamp("created_at"))
+         .withColumn("updated_at", aware_timestamp("updated_at")))
+    return manifest_rules(m)

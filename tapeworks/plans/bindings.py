@@ -580,6 +580,20 @@ _CATALOG_SQL = """artifact_catalog AS (
   FROM part WHERE p_size <= 40)"""
 
 
+# ---------------------------------------------------------------- manifest sources
+# customer → the source video of the manifest 'vid'+custkey.
+
+
+def manifest_sources(spark: SparkSession, sf: str) -> DataFrame:
+    c = table(spark, sf, "customer")
+    vid = F.concat(F.lit("vid"), F.col("c_custkey").cast("string"))
+    return c.select(vid.alias("video_id"), F.struct(
+        F.lit("1.0").alias("schema_version"), vid.alias("video_id"),
+        F.concat(F.lit("UCN"), F.col("c_nationkey").cast("string")).alias("channel_id"),
+        F.col("c_name").alias("title"), F.lit("2024-01-01T00:00:00Z").alias("published_at"),
+        F.concat(F.lit("https://www.youtube.com/watch?v="), vid).alias("source_url")).alias("source"))
+
+
 SQL = {
     "publications": _PUBLICATIONS_SQL,
     "playlist_items": _playlist_sql("playlist_items", "newest"),

@@ -11,6 +11,7 @@ from tapeworks.operators import manifest as M
 from tapeworks.operators import rules as R
 from tapeworks.plans import bindings as B
 from tapeworks.plans.catalog import register
+from tapeworks.sources.contracts import CONTRACTS, parse_contract
 from tapeworks.sources.tables import table
 
 CLEANUP_CUTOFF = "2001-01-01 00:00:00"  # ours: artifacts unused since before this may go
@@ -251,3 +252,25 @@ def rule_render_request(spark: SparkSession, sf: str) -> DataFrame:
     r = _render_requests(spark, sf)
     v = R.validate(r, [R.render_settings_rule()], R.render_request_rules())
     return v.select("o_orderkey", F.try_element_at("violations", F.lit(1))["code"].alias("violation"))
+
+
+@register("manifest_contract", B.with_sql(_MBASE, f"""WITH {_LATEST_STAGE_SQL}, {_MISSING_SQL},
+used AS (SELECT DISTINCT r.video_id, r.key FROM stage_refs r JOIN artifact_catalog c ON r.key = c.key),
+art AS (SELECT video_id, count(*) AS n_artifacts FROM used GROUP BY video_id),
+mb AS (SELECT video_id, count(*) AS n_stages, min(started_at) AS created_at, max(updated_at) AS updated_at
+       FROM ls GROUP BY video_id)
+SELECT mb.video_id, mb.n_stages, coalesce(art.n_artifacts, 0) AS n_artifacts, '' AS unknown_fields,
+  CASE WHEN mb.updated_at < mb.created_at THEN 'manifest_time'
+       WHEN EXISTS (SELECT 1 FROM miss WHERE miss.video_id = mb.video_id) THEN 'artifact_refs' END AS violation
+FROM mb LEFT JOIN art ON mb.video_id = art.video_id"""))
+def manifest_contract(spark: SparkSession, sf: str) -> DataFrame:
+    """Manifest document life cycle: built manifests written as canonical
+    JSON (A2), read back strictly (A1: fixed schema, unknown fields at every
+    level including map values), then the cross-field rules (V13–V16)."""
+    docs = M.manifest_documents(_manifests(spark, sf), B.manifest_sources(spark, sf))
+    parsed = parse_contract(docs.select("raw"), "raw", CONTRACTS["video_manifest"])
+    v = M.parsed_manifest_rules(parsed)
+    return v.select("video_id", F.size("stages").cast("long").alias("n_stages"),
+                    F.size("artifacts").cast("long").alias("n_artifacts"),
+                    F.array_join("unknown_fields", ",").alias("unknown_fields"),
+                    F.try_element_at("violations", F.lit(1))["code"].alias("violation"))

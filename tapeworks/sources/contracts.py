@@ -108,6 +108,27 @@ RENDER_REQUEST = T.StructType([
     T.StructField("subtitle_ass", ARTIFACT),
 ])
 
+PUBLISH_RESULT = T.StructType([
+    T.StructField("schema_version", T.StringType()),
+    T.StructField("aid", T.LongType()),
+    T.StructField("bvid", T.StringType()),
+    T.StructField("url", T.StringType()),
+    T.StructField("published_at", T.StringType()),
+    T.StructField("title", T.StringType()),
+])
+
+VIDEO_MANIFEST = T.StructType([
+    T.StructField("schema_version", T.StringType()),
+    T.StructField("video_id", T.StringType()),
+    T.StructField("revision", T.LongType()),
+    T.StructField("source", YOUTUBE_VIDEO),
+    T.StructField("artifacts", T.MapType(T.StringType(), ARTIFACT)),
+    T.StructField("stages", T.MapType(T.StringType(), STAGE_RECORD)),
+    T.StructField("publication", PUBLISH_RESULT),
+    T.StructField("created_at", T.StringType()),
+    T.StructField("updated_at", T.StringType()),
+])
+
 MESSAGE = T.StructType([T.StructField(n, t) for n, t in [
     ("title", T.StringType()), ("body", T.StringType()), ("subtitle", T.StringType()),
     ("markdown", T.StringType()), ("level", T.StringType()), ("url", T.StringType()),
@@ -141,6 +162,8 @@ CONTRACTS = {
                              ("job_type", "status", "job_id", "idempotency_key", "parameters_sha256"),
                              {"input_artifacts": [], "output_artifacts": []}),
     "render_request": Contract("render_request", RENDER_REQUEST, ("source_video", "output_uri")),
+    "video_manifest": Contract("video_manifest", VIDEO_MANIFEST, ("video_id", "source", "created_at", "updated_at"),
+                               {"revision": 1}),
     "message": Contract("message", MESSAGE, ("title", "body"),
                         {"level": "active", "call": False, "autoCopy": False, "isArchive": False},
                         versioned=False),
@@ -190,6 +213,12 @@ def unknown_fields(raw, schema: T.StructType, path: str = "$", label: str = "",
             parts.append(F.flatten(F.coalesce(F.transform(elems, lambda e: F.transform(
                 F.array_except(F.coalesce(F.json_object_keys(e), F.array().cast("array<string>")), known_i),
                 lambda k: F.concat(F.lit(f"{label}{f.name}[]."), k))), F.array().cast("array<array<string>>"))))
+        elif isinstance(f.dataType, T.MapType) and isinstance(f.dataType.valueType, T.StructType):
+            vals = F.map_values(F.from_json(F.get_json_object(raw, sub), "map<string,string>"))
+            known_v = F.array(*[F.lit(x.name) for x in f.dataType.valueType.fields])
+            parts.append(F.flatten(F.coalesce(F.transform(vals, lambda e: F.transform(
+                F.array_except(F.coalesce(F.json_object_keys(e), F.array().cast("array<string>")), known_v),
+                lambda k: F.concat(F.lit(f"{label}{f.name}{{}}."), k))), F.array().cast("array<array<string>>"))))
     out = parts[0]
     for p in parts[1:]:
         out = F.concat(out, p)

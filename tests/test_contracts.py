@@ -144,3 +144,24 @@ def test_read_contract_files_with_nested_unknown_fields(spark, tmp_path):
     assert got == [(None, [], True), ("j1", ["error.token"], False), ("j2", ["extra"], False)]
     err = j.filter("job_id = 'j1'").select("error.retryable", "error.details").collect()[0]
     assert err["retryable"] is None  # defaults fill top-level fields; nested ones via their own contract
+
+
+def test_manifest_unknown_fields_inside_maps_and_identity(spark):
+    from tapeworks.operators.manifest import parsed_manifest_rules
+    stage = {"job_type": "download", "status": "succeeded", "job_id": "j", "idempotency_key": "k",
+             "parameters_sha256": "a" * 64, "input_artifacts": ["source/video.mp4"], "completed_at": "2026-08-19T00:00:00Z"}
+    doc = {"video_id": "abc", "source": {"video_id": "abc", "channel_id": "c", "title": "t",
+                                         "published_at": "2026-08-19T00:00:00Z", "source_url": "https://x.test/v"},
+           "artifacts": {"source/video.mp4": {"uri": GOOD_URI, "content_type": "video/mp4", "color": "red"}},
+           "stages": {"download": {**stage, "note": 1}},
+           "created_at": "2026-08-19T00:00:00Z", "updated_at": "2026-08-19T01:00:00Z"}
+    bad_id = {**doc, "source": {**doc["source"], "video_id": "other"}, "stages": {"download": stage},
+              "artifacts": {"source/video.mp4": {"uri": GOOD_URI, "content_type": "video/mp4"}}}
+    missing = {**bad_id, "source": doc["source"], "artifacts": {}}
+    df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate([doc, bad_id, missing])], "id int, raw string")
+    p = parse_contract(df, "raw", CONTRACTS["video_manifest"])
+    out = parsed_manifest_rules(p).orderBy("id").select(
+        "unknown_fields", R.codes().alias("c"), "first_missing", "revision").collect()
+    assert out[0]["unknown_fields"] == ["artifacts{}.color", "stages{}.note"] and out[0]["revision"] == 1
+    assert out[1]["c"] == "manifest_identity"
+    assert out[2]["c"] == "artifact_refs" and out[2]["first_missing"] == "source/video.mp4"
