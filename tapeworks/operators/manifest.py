@@ -81,8 +81,10 @@ def artifact_ref_violations(manifests: DataFrame) -> DataFrame:
     """V16 in-row: per stage, references missing from the manifest's
     artifacts, sorted and joined by ``, ``."""
     st = manifests.select("video_id", "artifacts", F.explode("stages").alias("job_type", "stage"))
-    missing = F.array_sort(F.array_except(F.array_union("stage.input_artifacts", "stage.output_artifacts"),
-                                          F.map_keys("artifacts")))
+    empty = F.array().cast("array<string>")
+    refs = F.array_union(F.coalesce(F.col("stage.input_artifacts"), empty),
+                         F.coalesce(F.col("stage.output_artifacts"), empty))
+    missing = F.array_sort(F.array_except(refs, F.coalesce(F.map_keys("artifacts"), empty)))
     return st.select("video_id", "job_type", F.array_join(missing, ", ").alias("missing")).filter(
         F.col("missing") != "")
 
@@ -90,9 +92,11 @@ def artifact_ref_violations(manifests: DataFrame) -> DataFrame:
 def manifest_rules(manifests: DataFrame) -> DataFrame:
     """V13–V15 and V16 (first failure, in the contract's order)."""
     from tapeworks.operators import rules as R
+    empty = F.array().cast("array<string>")
+    refs = lambda e: F.array_union(F.coalesce(e["value"]["input_artifacts"], empty),   # absent lists default to ()
+                                   F.coalesce(e["value"]["output_artifacts"], empty))
     missing = F.filter(F.transform(F.map_entries("stages"), lambda e: F.array_join(F.array_sort(F.array_except(
-        F.array_union(e["value"]["input_artifacts"], e["value"]["output_artifacts"]), F.map_keys("artifacts"))), ", ")),
-        lambda x: x != "")
+        refs(e), F.coalesce(F.map_keys("artifacts"), empty))), ", ")), lambda x: x != "")
     model = [
         R.Rule("manifest_identity", F.col("video_id") == F.col("source_video_id"),
                "manifest video_id must match source video_id"),
