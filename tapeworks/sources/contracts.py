@@ -186,43 +186,51 @@ def unknown_fields(raw, schema: T.StructType, path: str = "$", label: str = "",
     each array element) are compared with the declared names.  Opaque JSON
     fields are not descended into.
     """
-    raw = col_of(raw)
-    known = [f.name for f in schema.fields] + list((aliases or {}).values())
-    node = raw if path == "$" else F.get_json_object(raw, path)
-    keys = F.json_object_keys(node)
-    here = F.transform(F.array_except(F.coalesce(keys, F.array().cast("array<string>")),
-                                      F.array(*[F.lit(k) for k in known])),
-                       lambda k: F.concat(F.lit(label), k))
-    parts = [here]
-    if aliases:
+    node = col_of(raw) if path == "$" else F.get_json_object(col_of(raw), path)
+    return F.array_sort(F.array_distinct(_unknown(node, schema, label, aliases or {}, opaque)))
+
+
+_NO_KEYS = "array<string>"
+
+
+def _element_check(schema: T.StructType, label: str):
+    """One-argument lambda for ``transform`` (closes over schema and label)."""
+    return lambda e: _unknown(e, schema, label, {}, ())
+
+
+def _unknown(node: Column, schema: T.StructType, label: str, aliases: dict, opaque: tuple[str, ...]) -> Column:
+    """Undeclared keys of the JSON object text ``node`` and, recursively, of
+    its struct fields, of struct elements of arrays and of struct values of
+    maps (labelled ``a.b``, ``a[].b``, ``a{}.b``), at any depth."""
+    empty = F.array().cast(_NO_KEYS)
+    keys = F.coalesce(F.json_object_keys(node), empty)
+    known = [f.name for f in schema.fields] + list(aliases.values())
+    parts = [F.transform(F.array_except(keys, F.array(*[F.lit(k) for k in known])),
+                         lambda k: F.concat(F.lit(label), k))]
+    for name, alt in aliases.items():
         # both the name and its alias present: the alias counts as unknown
-        for name, alt in aliases.items():
-            both = F.array_contains(F.coalesce(keys, F.array().cast("array<string>")), name) & \
-                F.array_contains(F.coalesce(keys, F.array().cast("array<string>")), alt)
-            parts.append(F.when(both, F.array(F.lit(label + alt))).otherwise(F.array().cast("array<string>")))
+        both = F.array_contains(keys, name) & F.array_contains(keys, alt)
+        parts.append(F.when(both, F.array(F.lit(label + alt))).otherwise(empty))
     for f in schema.fields:
         if f.name in opaque:
             continue
-        sub = f"{path}.{f.name}"
-        if isinstance(f.dataType, T.StructType):
-            parts.append(unknown_fields(raw, f.dataType, sub, f"{label}{f.name}."))
-        elif isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StructType):
-            elems = F.from_json(F.get_json_object(raw, sub), "array<string>")
-            inner = f.dataType.elementType
-            known_i = F.array(*[F.lit(x.name) for x in inner.fields])
-            parts.append(F.flatten(F.coalesce(F.transform(elems, lambda e: F.transform(
-                F.array_except(F.coalesce(F.json_object_keys(e), F.array().cast("array<string>")), known_i),
-                lambda k: F.concat(F.lit(f"{label}{f.name}[]."), k))), F.array().cast("array<array<string>>"))))
-        elif isinstance(f.dataType, T.MapType) and isinstance(f.dataType.valueType, T.StructType):
-            vals = F.map_values(F.from_json(F.get_json_object(raw, sub), "map<string,string>"))
-            known_v = F.array(*[F.lit(x.name) for x in f.dataType.valueType.fields])
-            parts.append(F.flatten(F.coalesce(F.transform(vals, lambda e: F.transform(
-                F.array_except(F.coalesce(F.json_object_keys(e), F.array().cast("array<string>")), known_v),
-                lambda k: F.concat(F.lit(f"{label}{f.name}{{}}."), k))), F.array().cast("array<array<string>>"))))
+        child = F.get_json_object(node, f"$.{f.name}")
+        t = f.dataType
+        if isinstance(t, T.StructType):
+            parts.append(_unknown(child, t, f"{label}{f.name}.", {}, ()))
+        elif isinstance(t, (T.ArrayType, T.MapType)):
+            inner = t.elementType if isinstance(t, T.ArrayType) else t.valueType
+            if not isinstance(inner, T.StructType):
+                continue
+            elems = (F.from_json(child, "array<string>") if isinstance(t, T.ArrayType)
+                     else F.map_values(F.from_json(child, "map<string,string>")))
+            mark = "[]." if isinstance(t, T.ArrayType) else "{}."
+            per = F.transform(elems, _element_check(inner, f"{label}{f.name}{mark}"))
+            parts.append(F.flatten(F.coalesce(per, F.array().cast("array<array<string>>"))))
     out = parts[0]
     for p in parts[1:]:
         out = F.concat(out, p)
-    return F.array_sort(F.array_distinct(out))
+    return out
 
 
 # ------------------------------------------------------------------ S3, S5, S7

@@ -165,3 +165,18 @@ def test_manifest_unknown_fields_inside_maps_and_identity(spark):
     assert out[0]["unknown_fields"] == ["artifacts{}.color", "stages{}.note"] and out[0]["revision"] == 1
     assert out[1]["c"] == "manifest_identity"
     assert out[2]["c"] == "artifact_refs" and out[2]["first_missing"] == "source/video.mp4"
+
+
+def test_unknown_fields_at_any_depth(spark):
+    from pyspark.sql import types as T
+    from tapeworks.sources.contracts import unknown_fields
+    word = T.StructType([T.StructField("start_ms", T.LongType()), T.StructField("text", T.StringType())])
+    seg = T.StructType([T.StructField("segment_id", T.StringType()), T.StructField("words", T.ArrayType(word))])
+    doc = T.StructType([T.StructField("segments", T.ArrayType(seg)),
+                        T.StructField("by_key", T.MapType(T.StringType(), seg))])
+    raw = json.dumps({"segments": [{"segment_id": "s1", "words": [{"start_ms": 1, "text": "a", "conf": 0.9}]},
+                                   {"segment_id": "s2", "x": 1}],
+                      "by_key": {"k": {"segment_id": "s3", "words": [{"text": "b", "y": 2}]}}, "z": True})
+    df = spark.createDataFrame([(raw,)], "raw string")
+    got = df.select(unknown_fields("raw", doc)).collect()[0][0]
+    assert got == ["by_key{}.words[].y", "segments[].words[].conf", "segments[].x", "z"]
