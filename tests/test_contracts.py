@@ -180,3 +180,19 @@ def test_unknown_fields_at_any_depth(spark):
     df = spark.createDataFrame([(raw,)], "raw string")
     got = df.select(unknown_fields("raw", doc)).collect()[0][0]
     assert got == ["by_key{}.words[].y", "segments[].words[].conf", "segments[].x", "z"]
+
+
+def test_two_timestamp_grammars(spark):
+    from tapeworks.functions.time import aware_timestamp, has_offset
+    texts = ["2026-08-19T08:00:00+08:00", "2026-08-19T08:00:00+08", "2026-08-19T00:00:00z",
+             "1787097600", "2026-08-19T00:00:00", "2026-08-19T00:00:00.5Z"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    out = df.select(has_offset("t", "contract").alias("c"), has_offset("t", "window").alias("w"),
+                    F.date_format(aware_timestamp("t", "contract"), "yyyy-MM-dd HH:mm:ss.SSS").alias("ct"),
+                    F.date_format(aware_timestamp("t", "window"), "yyyy-MM-dd HH:mm:ss.SSS").alias("wt")).collect()
+    assert [(r["c"], r["w"]) for r in out] == [(True, True), (False, True), (True, False), (True, False),
+                                                (False, False), (True, True)]
+    assert out[0]["ct"] == out[0]["wt"] == "2026-08-19 00:00:00.000"
+    assert out[1]["ct"] is None and out[1]["wt"] == "2026-08-19 00:00:00.000"
+    assert out[2]["ct"] == "2026-08-19 00:00:00.000" and out[3]["ct"] == "2026-08-19 00:00:00.000"
+    assert out[4]["ct"] is None and out[5]["wt"] == "2026-08-19 00:00:00.500"

@@ -84,3 +84,17 @@ def test_query_matches_oracle(spark, duck, queries, name):
     dcols = [d[0] for d in res.description]
     assert sorted(sdf.columns) == sorted(dcols)
     assert _canon(sdf.columns, [tuple(r) for r in sdf.collect()]) == _canon(dcols, res.fetchall())
+
+
+def test_handle_lookup_broadcasts_small_dimension(spark, queries):
+    plan = _plan(queries["resolve_channels"](spark, SF_SMALL))
+    assert "BroadcastHashJoin" in plan
+
+
+def test_streams_equal_batch(spark, queries):
+    """SURVEY §5 (4): the streaming forms give the batch results on the same files."""
+    def rows_of(name):
+        return sorted(map(tuple, queries[name](spark, SF_SMALL).collect()))
+    assert rows_of("stream_uploads") == rows_of("window_half_open")
+    latest = sorted((r["job_id"], r["status"], r["updated_at"]) for r in queries["latest_job"](spark, SF_SMALL).collect())
+    assert rows_of("stream_job_state") == latest
