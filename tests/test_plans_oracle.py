@@ -1,6 +1,8 @@
 """Plan shapes and every registered query against its DuckDB oracle."""
 
+import contextlib
 import datetime as dt
+import io
 import math
 
 import duckdb
@@ -13,8 +15,12 @@ from tapeworks.sources.tables import TABLES
 STREAMING_OR_WRITES = {"stream_uploads", "stream_job_state", "daily_uploads", "write_replace", "append_revision"}
 
 
-def _plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+def _plan(df, mode: str = "simple") -> str:
+    """The plan text ``DataFrame.explain`` prints."""
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode=mode)
+    return buf.getvalue()
 
 
 @pytest.fixture(scope="module")
@@ -32,8 +38,7 @@ def test_no_python_in_any_plan(spark, queries):
 
 def test_window_filter_reaches_scan(spark, queries):
     df = queries["window_half_open"](spark, SF_SMALL)
-    text = df._jdf.queryExecution().explainString(
-        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    text = _plan(df, "formatted")
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts," in text
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint>" in text
 
