@@ -47,6 +47,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(configured)
         return configured.rstrip("/")
     local = tempfile.mkdtemp(prefix="tapeworks-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
