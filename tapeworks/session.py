@@ -15,6 +15,31 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Settings for a large cluster (~1000 executors, ~100 TB of input).  The
+# session builder below is for local runs; on a cluster pass these with
+# ``spark-submit --conf`` (or ``builder.config``):
+#  * 512 MB input splits: ~200k scan tasks for 100 TB, each well inside an
+#    executor core's memory;
+#  * shuffles start wide (AQE coalesces small partitions at runtime to the
+#    advisory size), so no reducer receives more than a few hundred MB;
+#  * skew join splitting kicks in for partitions 5x the median and > 1 GB;
+#  * runtime broadcast only for sides measured under 64 MB.
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": str(512 * 1024 * 1024),
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "40000",
+    "spark.sql.shuffle.partitions": "40000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "tapeworks") -> SparkSession:
     builder = (
