@@ -12,6 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapeworks.functions import col_of
+from tapeworks.functions.time import aware_timestamp, iso_text
+from tapeworks.operators import rules as R
+from tapeworks.operators.discovery import dedupe_keep_first
+from tapeworks.operators.jobs import latest_stage
 from tapeworks.operators.ordering import dense_positions, order_bucket
 
 # The object layout of one video's artifacts.
@@ -53,7 +57,6 @@ def build_manifests(stages: DataFrame, refs: DataFrame, catalog: DataFrame) -> D
     record), ``artifacts`` map (key → artifact) of the referenced keys that
     exist, plus created/updated bounds.  Keys are deduplicated before
     ``map_from_entries`` (which refuses duplicate keys)."""
-    from tapeworks.operators.jobs import latest_stage
     latest = latest_stage(stages)
     inout = refs.groupBy("video_id", "job_id").agg(
         F.array_sort(F.collect_set(F.when(F.col("direction") == "input", F.col("key")))).alias("input_artifacts"),
@@ -67,7 +70,6 @@ def build_manifests(stages: DataFrame, refs: DataFrame, catalog: DataFrame) -> D
     st = rec.groupBy("video_id").agg(
         F.map_from_entries(F.collect_list(F.struct("job_type", stage_struct))).alias("stages"),
         F.min("started_at").alias("created_at"), F.max("updated_at").alias("updated_at"))
-    from tapeworks.operators.discovery import dedupe_keep_first
     known = dedupe_keep_first(catalog.select("key", "uri", "size"), ["key"], ["uri"])
     used = refs.select("video_id", "key").distinct().join(known, "key")
     art = used.groupBy("video_id").agg(
@@ -91,7 +93,6 @@ def artifact_ref_violations(manifests: DataFrame) -> DataFrame:
 
 def manifest_rules(manifests: DataFrame) -> DataFrame:
     """V13–V15 and V16 (first failure, in the contract's order)."""
-    from tapeworks.operators import rules as R
     empty = F.array().cast("array<string>")
     refs = lambda e: F.array_union(F.coalesce(e["value"]["input_artifacts"], empty),   # absent lists default to ()
                                    F.coalesce(e["value"]["output_artifacts"], empty))
@@ -163,7 +164,6 @@ def manifest_documents(manifests: DataFrame, sources: DataFrame, content_type: s
 
     ``sources``: (video_id, source) with ``source`` a video struct.
     """
-    from tapeworks.functions.time import iso_text
     iso = lambda c: F.when(c.isNotNull(), iso_text(c))
     v = F.lit("1.0").alias("schema_version")
     art = F.transform_values("artifacts", lambda k, a: F.struct(
@@ -183,7 +183,6 @@ def manifest_documents(manifests: DataFrame, sources: DataFrame, content_type: s
 def parsed_manifest_rules(parsed: DataFrame) -> DataFrame:
     """V13–V16 on manifests read back from JSON (A1): instants parsed from
     their text, the source identity taken from the nested source video."""
-    from tapeworks.functions.time import aware_timestamp
     m = (parsed.withColumn("source_video_id", F.col("source.video_id"))
          .withColumn("created_at", aware_timestamp("created_at"))
          .withColumn("updated_at", aware_timestamp("updated_at")))

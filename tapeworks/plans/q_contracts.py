@@ -6,12 +6,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeworks.functions.uri import content_type, content_type_sql, split_s3_uri
+from tapeworks.functions.uri import content_type, content_type_sql, path_segment, split_s3_uri
 from tapeworks.operators import rules as R
 from tapeworks.operators.payload import message_payload
 from tapeworks.plans import bindings as B
 from tapeworks.plans.catalog import register
-from tapeworks.sources.contracts import CONTRACTS, lax_int, parse_contract, to_contract_json
+from tapeworks.sources.contracts import CONTRACTS, apply_defaults, lax_int, parse_contract, to_contract_json
 from tapeworks.sources.tables import table
 
 _S3_RE = r"(?i)^s3://[^/?#]+/[^?#]*[^/?#][^?#]*[?]?#?$"
@@ -228,7 +228,6 @@ def schema_defaults(spark: SparkSession, sf: str) -> DataFrame:
     j = _jobs(spark, sf).filter(F.col("error").isNotNull())
     err = j.select("event_id", "error.*")
     err = err.withColumn("details", F.get_json_object(F.col("details"), "$"))
-    from tapeworks.sources.contracts import apply_defaults
     err = apply_defaults(err, CONTRACTS["job_error"].defaults)
     return err.select("event_id", F.col("code").alias("error_code"), "retryable", "details")
 
@@ -387,6 +386,5 @@ def message_fields_payload(spark: SparkSession, sf: str) -> DataFrame:
 SELECT page_id, url, url_encode(url) AS segment FROM pages""")
 def path_segment_q(spark: SparkSession, sf: str) -> DataFrame:
     """A whole value percent-encoded as one URL path segment (nothing safe)."""
-    from tapeworks.functions.uri import path_segment
     p = table(spark, sf, "pages")
     return p.select("page_id", "url", path_segment("url").alias("segment"))
