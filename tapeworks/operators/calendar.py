@@ -10,6 +10,8 @@ operator is then a broadcast hash join on the UTC date.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,6 +36,28 @@ def date_spine(bounds: DataFrame) -> DataFrame:
     return bounds.select(F.explode(F.sequence("start", "end")).alias("date"))
 
 
+def spine_between(spark, start, end) -> DataFrame:
+    """The date spine for literal bounds, refused beyond ``MAX_CALENDAR_DAYS``.
+
+    This is the size check behind every calendar broadcast: the session table
+    has at most as many rows as the spine.
+    """
+    days = (end - start).days + 1
+    if days > MAX_CALENDAR_DAYS:
+        raise ValueError(f"calendar span of {days} days exceeds {MAX_CALENDAR_DAYS}")
+    return spark.range(0, max(days, 0)).select(F.date_add(F.lit(start), F.col("id").cast("int")).alias("date"))
+
+
+def event_span(events: DataFrame, ts: str = "ts", tail_days: int = 0):
+    """(first UTC date, last UTC date + ``tail_days``) of an event table: a
+    one-row aggregate read on the driver (two dates, nothing else)."""
+    row = events.agg(F.min(F.to_date(ts)).alias("a"), F.max(F.to_date(ts)).alias("b")).first()
+    if row is None or row["a"] is None:
+        today = dt.date.today()
+        return today, today
+    return row["a"], row["b"] + dt.timedelta(days=tail_days)
+
+
 def sessions(spine: DataFrame, holidays: DataFrame, early_closes: DataFrame,
              open_time: str = OPEN_TIME, close_time: str = CLOSE_TIME, zone: str = EXCHANGE_ZONE) -> DataFrame:
     """(date, open_utc, close_utc) for every session day of the spine.
@@ -76,7 +100,7 @@ def next_sessions(spine: DataFrame, cal: DataFrame) -> DataFrame:
     A window over the whole spine: the only un-partitioned window in the
     library, on a table of at most ``MAX_CALENDAR_DAYS`` rows.
     """
-    s = spine.join(cal.select("date", F.col("date").alias("_s")), "date", "left")
+    s = spine.join(_bounded(cal.select("date", F.col("date").alias("_s"))), "date", "left")
     w = Window.orderBy("date").rowsBetween(1, Window.unboundedFollowing)
     return s.select("date", F.min("_s").over(w).alias("next_session"))
 

@@ -23,9 +23,8 @@ def _events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _spine(spark: SparkSession, sf: str) -> DataFrame:
-    b = _events(spark, sf).agg(F.min(F.to_date("ts")).alias("start"),
-                               F.date_add(F.max(F.to_date("ts")), SPINE_TAIL_DAYS).alias("end"))
-    return C.date_spine(b)
+    start, end = C.event_span(_events(spark, sf), tail_days=SPINE_TAIL_DAYS)
+    return C.spine_between(spark, start, end)
 
 
 def _calendar(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
