@@ -25,6 +25,8 @@ _ID_RE = "^[A-Za-z0-9_-]+$"
 _DUR_RE = r"^P(?:(\d+)D)?(?:T(?:(\d+)H)?(?:(\d+)M)?(?:(\d+(?:\.\d+)?)S)?)?$"
 _TS_WINDOW_RE = r"^\d{4}-\d{2}-\d{2}(?:[Tt ]\d{2}:\d{2}(?::\d{2}(?:[.,]\d{1,9})?)?)?(?:Z|[+-]\d{2}(?::?\d{2})?)$"
 _HTTP_RE = r"(?i)^https?://[^/?#\s@]*[^/?#\s:@][^/?#\s]*(?:[/?#]\S*)?$"
+_TS_CONTRACT_RE = r"^\d{4}-\d{2}-\d{2}(?:[Tt ]\d{2}:\d{2}(?::\d{2}(?:[.,]\d{1,9})?)?)?(?:[Zz]|[+-]\d{2}:?\d{2})$"
+_EPOCH_RE = r"^-?\d+(?:\.\d+)?$"
 
 
 def _dur_sql(x: str) -> str:
@@ -187,15 +189,22 @@ def duration_ms_q(spark: SparkSession, sf: str) -> DataFrame:
 @register("utc_timestamp", B.with_sql(_B_VID, f"""
 SELECT id AS video_id, publishedAt AS text,
        regexp_matches(trim(publishedAt), '{_TS_WINDOW_RE}') AS has_offset,
-       {_ts_sql("CASE WHEN regexp_matches(trim(publishedAt), '" + _TS_WINDOW_RE + "') THEN timezone('UTC', try_cast(trim(publishedAt) AS TIMESTAMPTZ)) END")} AS utc
+       {_ts_sql("CASE WHEN regexp_matches(trim(publishedAt), '" + _TS_WINDOW_RE + "') THEN timezone('UTC', try_cast(trim(publishedAt) AS TIMESTAMPTZ)) END")} AS utc,
+       regexp_matches(trim(publishedAt), '{_TS_CONTRACT_RE}') OR regexp_matches(trim(publishedAt), '{_EPOCH_RE}')
+         AS has_offset_contract,
+       {_ts_sql("CASE WHEN regexp_matches(trim(publishedAt), '" + _EPOCH_RE + "') THEN timezone('UTC', to_timestamp(CAST(trim(publishedAt) AS DOUBLE))) WHEN regexp_matches(trim(publishedAt), '" + _TS_CONTRACT_RE + "') THEN timezone('UTC', try_cast(trim(publishedAt) AS TIMESTAMPTZ)) END")} AS utc_contract
 FROM video_items"""))
 def utc_timestamp(spark: SparkSession, sf: str) -> DataFrame:
-    """P4 + V2: API timestamp text → UTC instant; naive text gives null."""
+    """P4 + V2: timestamp text → UTC instant under both grammars (API text
+    and window arguments; contract fields, which also take epoch seconds);
+    naive text gives null."""
     v = B.video_items(spark, sf)
     t = F.col("snippet.publishedAt")
     return v.select(F.col("id").alias("video_id"), t.alias("text"),
                     has_offset(t, "window").alias("has_offset"),
-                    ts_text(aware_timestamp(t, "window")).alias("utc"))
+                    ts_text(aware_timestamp(t, "window")).alias("utc"),
+                    has_offset(t, "contract").alias("has_offset_contract"),
+                    ts_text(aware_timestamp(t, "contract")).alias("utc_contract"))
 
 
 # ------------------------------------------------------------------ A3, F2, F3, F8
