@@ -9,7 +9,7 @@ spread over all tasks instead of being sorted in one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapeworks.operators.discovery import dedupe_keep_last
@@ -181,3 +181,34 @@ def srt_text(segments: DataFrame, text: str = "text", doc: str = "doc_id",
     agg = F.array_sort(F.collect_list(F.struct("seg_pos", "cue")))
     return cues.groupBy(doc, "part").agg(agg.alias("_c")).select(
         doc, "part", F.concat(F.array_join(F.transform("_c", lambda c: c["cue"]), "\n\n"), F.lit("\n\n")).alias("srt"))
+
+
+# ------------------------------------------------------------------ nested forms (one document part per row)
+
+
+def nested_words_inside(segment) -> Column:
+    """V20 on a nested segment: every word inside ``[start_ms, end_ms]``."""
+    s = segment
+    return F.forall(F.coalesce(s["words"], F.array()),
+                    lambda w: (w["start_ms"] >= s["start_ms"]) & (w["end_ms"] <= s["end_ms"]))
+
+
+def nested_words_ordered(segment) -> Column:
+    """V21 on a nested segment: word starts never go back (first vs segment start)."""
+    s = segment
+    starts = F.transform(F.coalesce(s["words"], F.array()), lambda w: w["start_ms"])
+    prev = F.concat(F.array(s["start_ms"]), F.slice(starts, 1, F.greatest(F.size(starts) - 1, F.lit(0))))
+    return F.forall(F.arrays_zip(starts.alias("a"), prev.alias("b")), lambda p: p["a"] >= p["b"])
+
+
+def nested_ids_unique(segments) -> Column:
+    """V22 on a nested timeline: no segment ID twice."""
+    ids = F.transform(segments, lambda s: s["segment_id"])
+    return F.size(F.array_distinct(ids)) == F.size(ids)
+
+
+def nested_segments_ordered(segments) -> Column:
+    """V23 on a nested timeline: segment starts never go back (first vs 0)."""
+    starts = F.transform(segments, lambda s: s["start_ms"])
+    prev = F.concat(F.array(F.lit(0).cast("long")), F.slice(starts, 1, F.greatest(F.size(starts) - 1, F.lit(0))))
+    return F.forall(F.arrays_zip(starts.alias("a"), prev.alias("b")), lambda p: p["a"] >= p["b"])

@@ -183,3 +183,31 @@ FROM transcript_segments GROUP BY doc_id, seg_pos // 10000"""))
 def srt_text(spark: SparkSession, sf: str) -> DataFrame:
     """T5: one SRT document per transcript."""
     return TL.srt_text(_segments(spark, sf))
+
+
+@register("timeline_nested_rules", B.with_sql(["transcript_words"], """
+WITH outside AS (SELECT DISTINCT w.doc_id, w.segment_id FROM transcript_words w JOIN transcript_segments s
+                   ON w.doc_id = s.doc_id AND w.segment_id = s.segment_id
+                 WHERE w.start_ms < s.start_ms OR w.end_ms > s.end_ms),
+unordered AS (SELECT DISTINCT doc_id, segment_id FROM (
+    SELECT w.*, coalesce(lag(w.start_ms) OVER (PARTITION BY w.doc_id, w.segment_id ORDER BY w.word_pos), s.start_ms) AS prev
+    FROM transcript_words w JOIN transcript_segments s ON w.doc_id = s.doc_id AND w.segment_id = s.segment_id)
+  WHERE start_ms < prev),
+seg AS (SELECT *, coalesce(lag(start_ms) OVER (PARTITION BY doc_id ORDER BY seg_pos), 0) AS prev FROM transcript_segments)
+SELECT s.doc_id, s.seg_pos // 10000 AS part, count(*) AS n_segments,
+  count(o.segment_id) AS segments_with_words_outside, count(u.segment_id) AS segments_with_unordered_words,
+  count(DISTINCT s.segment_id) = count(*) AS ids_unique, bool_and(s.start_ms >= s.prev) AS segments_ordered
+FROM seg s LEFT JOIN outside o ON s.doc_id = o.doc_id AND s.segment_id = o.segment_id
+LEFT JOIN unordered u ON s.doc_id = u.doc_id AND s.segment_id = u.segment_id
+GROUP BY s.doc_id, s.seg_pos // 10000"""))
+def timeline_nested_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """V20–V23 in nested form, evaluated on each stored document part
+    (``forall`` over the words and segments arrays, no flattening)."""
+    docs = B.transcript_docs(spark, sf)
+    segs = F.col("segments")
+    return docs.select(
+        "doc_id", "part", F.size(segs).cast("long").alias("n_segments"),
+        F.size(F.filter(segs, lambda s: ~TL.nested_words_inside(s))).cast("long").alias("segments_with_words_outside"),
+        F.size(F.filter(segs, lambda s: ~TL.nested_words_ordered(s))).cast("long").alias("segments_with_unordered_words"),
+        TL.nested_ids_unique(segs).alias("ids_unique"),
+        TL.nested_segments_ordered(segs).alias("segments_ordered"))

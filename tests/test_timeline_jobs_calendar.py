@@ -109,3 +109,16 @@ def test_gate_truth_table(spark):
                     C.close_gate("s", "o")).collect()
     assert [tuple(r) for r in got] == [(True, True, True, True, False), (False, True, False, True, True),
                                        (False, False, False, True, True)]
+
+
+def test_nested_rule_forms(spark):
+    doc = ("doc_id int, segments array<struct<segment_id:string,start_ms:long,end_ms:long,"
+           "words:array<struct<start_ms:long,end_ms:long,text:string>>>>")
+    ok = [("seg-0001", 1000, 2400, [(1000, 1500, "a"), (1600, 2300, "b")])]
+    bad = [("seg-0001", 1000, 2400, [(1600, 2300, "b"), (1000, 2500, "a")]), ("seg-0001", 900, 1000, [])]
+    df = spark.createDataFrame([(1, ok), (2, bad)], doc)
+    s = F.col("segments")
+    got = df.orderBy("doc_id").select(
+        F.size(F.filter(s, lambda x: ~TL.nested_words_inside(x))), F.size(F.filter(s, lambda x: ~TL.nested_words_ordered(x))),
+        TL.nested_ids_unique(s), TL.nested_segments_ordered(s)).collect()
+    assert [tuple(r) for r in got] == [(0, 0, True, True), (1, 1, False, False)]
