@@ -87,3 +87,16 @@ def append_revision(spark: SparkSession, sf: str) -> DataFrame:
     sinks.append_revision(spark, s, path, "job_id", ["updated_at"])
     sinks.append_revision(spark, s, path, "job_id", ["updated_at"])
     return sinks.latest_revision(spark, path, "job_id").select("job_id", "status", "revision")
+
+
+@register("stream_idempotent_requests", """
+SELECT DISTINCT o_custkey || ':' || strftime(o_orderdate, '%Y-%m-%d') AS idempotency_key FROM orders""")
+def stream_idempotent_requests(spark: SparkSession, sf: str) -> DataFrame:
+    """R4 as a stream: job requests (orders, delivered twice) pass once per
+    idempotency key."""
+    o = S.table_stream(spark, sf, "orders").unionByName(S.table_stream(spark, sf, "orders"))
+    req = o.select(F.concat_ws(":", F.col("o_custkey").cast("string"),
+                               F.date_format("o_orderdate", "yyyy-MM-dd")).alias("idempotency_key"),
+                   F.col("o_orderdate").cast("timestamp").alias("submitted_at"), "o_orderkey")
+    out = S.run_uploads(spark, S.first_per_key(req, "idempotency_key", "submitted_at"), "requests")
+    return out.select("idempotency_key")

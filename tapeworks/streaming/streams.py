@@ -1,4 +1,4 @@
-"""Structured Streaming forms of the re-polled queries (§2.11 R1, R2, R5).
+"""Structured Streaming forms of the re-polled queries (§2.11 R1, R2, R4, R5).
 
 The reference waits by re-running a bounded query on a schedule.  Here the
 same logic runs as a stream: a file source with a fixed schema, watermarks
@@ -103,3 +103,9 @@ def run_updates(spark: SparkSession, agg: DataFrame, keys: list[str], name: str
     except AnalysisException:      # no batch had rows
         return spark.createDataFrame([], agg.schema)
     return dedupe_keep_last(out, keys, ["batch_id"]).drop("batch_id")
+
+
+def first_per_key(rows: DataFrame, key: str, ts: str, delay: str = "1 day") -> DataFrame:
+    """R4 (stream): each idempotency key goes out once; repeats arriving
+    within ``delay`` of the watermark are dropped, state stays bounded."""
+    return rows.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
