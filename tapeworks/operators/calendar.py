@@ -31,6 +31,64 @@ HOLIDAYS_2024 = ("2024-01-01", "2024-01-15", "2024-02-19", "2024-03-29", "2024-0
 EARLY_CLOSES_2024 = (("2024-07-03", "13:00:00"), ("2024-11-29", "13:00:00"), ("2024-12-24", "13:00:00"))
 
 
+# Unscheduled full-day closures of the New York exchange since
+# 2001 (not derivable from a rule).
+AD_HOC_CLOSURES = ("2001-09-11", "2001-09-12", "2001-09-13", "2001-09-14", "2004-06-11", "2007-01-02",
+                   "2012-10-29", "2012-10-30", "2018-12-05", "2025-01-09")
+EARLY_CLOSE_TIME = "13:00:00"
+
+
+def _observed(m, d, dow, month: int, day: int) -> Column:
+    """A fixed-date holiday as the exchange observes it: on the day when it is
+    a weekday, the Friday before when it falls on Saturday, the Monday after
+    when it falls on Sunday (``dow``: 1 = Sunday .. 7 = Saturday)."""
+    return (((m == month) & (d == day) & dow.between(2, 6))
+            | ((m == month) & (d == day - 1) & (dow == 6))
+            | ((m == month) & (d == day + 1) & (dow == 2)))
+
+
+def _good_friday(date: Column) -> Column:
+    """Good Friday: two days before Gregorian Easter (anonymous algorithm,
+    integer arithmetic only)."""
+    y = F.year(date)
+    div = lambda a, b: F.floor(a / b)
+    a, b, c = y % 19, div(y, 100), y % 100
+    h = (19 * a + b - div(b, 4) - div(b - div(b + 8, 25) + 1, 3) + 15) % 30
+    l_ = (32 + 2 * (b % 4) + 2 * div(c, 4) - h - (c % 4)) % 7
+    mm = div(a + 11 * h + 22 * l_, 451)
+    n = h + l_ - 7 * mm + 114
+    easter = F.make_date(y, div(n, 31).cast("int"), ((n % 31) + 1).cast("int"))
+    return F.date_sub(easter, 2)
+
+
+def exchange_holidays(spine: DataFrame, extra_closures=AD_HOC_CLOSURES) -> DataFrame:
+    """Full-day holidays of the New York exchange for every date of the spine,
+    by rule (plus the fixed unscheduled closures): New Year (no Friday
+    observance), Martin Luther King Jr. Day, Presidents' Day, Good Friday,
+    Memorial Day, Juneteenth (from 2022), Independence Day, Labor Day,
+    Thanksgiving, Christmas."""
+    dt_, m, d, dow, y = F.col("date"), F.month("date"), F.dayofmonth("date"), F.dayofweek("date"), F.year("date")
+    monday, thursday = dow == 2, dow == 5
+    rule = (((m == 1) & (d == 1) & dow.between(2, 6)) | ((m == 1) & (d == 2) & monday)
+            | ((m == 1) & monday & d.between(15, 21)) | ((m == 2) & monday & d.between(15, 21))
+            | (dt_ == _good_friday(dt_)) | ((m == 5) & monday & (d >= 25))
+            | ((y >= 2022) & _observed(m, d, dow, 6, 19)) | _observed(m, d, dow, 7, 4)
+            | ((m == 9) & monday & (d <= 7)) | ((m == 11) & thursday & d.between(22, 28))
+            | _observed(m, d, dow, 12, 25))
+    extra = dt_.isin(*[dt.date.fromisoformat(x) for x in extra_closures]) if extra_closures else F.lit(False)
+    return spine.filter(rule | extra).select("date")
+
+
+def exchange_early_closes(spine: DataFrame, close_time: str = EARLY_CLOSE_TIME) -> DataFrame:
+    """Early closes (13:00 local) by rule: the day before Independence Day
+    when July 4 falls Tuesday to Friday, the day after Thanksgiving, and
+    Christmas Eve when it is Monday to Thursday."""
+    m, d, dow = F.month("date"), F.dayofmonth("date"), F.dayofweek("date")
+    rule = (((m == 7) & (d == 3) & dow.between(2, 5)) | ((m == 11) & (dow == 6) & d.between(23, 29))
+            | ((m == 12) & (d == 24) & dow.between(2, 5)))
+    return spine.filter(rule).select("date", F.lit(close_time).alias("close_time"))
+
+
 def date_spine(bounds: DataFrame) -> DataFrame:
     """One row per date between ``start`` and ``end`` of a one-row frame."""
     return bounds.select(F.explode(F.sequence("start", "end")).alias("date"))

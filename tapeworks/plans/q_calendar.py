@@ -1,7 +1,9 @@
 """Market-calendar queries over ``events`` (§2.4 P22–P25, P27; §2.5 D7–D9).
 
 The session table spans the events' UTC dates (plus 16 days so every date
-has a next session); holidays and early closes are the fixed 2024 lists.
+has a next session); holidays and early closes come from the exchange's
+rules (``calendar.exchange_holidays``).  The DuckDB oracles use the
+published 2024 lists, which the rules reproduce (tested for 2021–2024).
 """
 
 from __future__ import annotations
@@ -29,10 +31,7 @@ def _spine(spark: SparkSession, sf: str) -> DataFrame:
 
 def _calendar(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     spine = _spine(spark, sf)
-    hol = spark.createDataFrame([(d,) for d in C.HOLIDAYS_2024], "d string").select(F.to_date("d").alias("date"))
-    early = spark.createDataFrame(list(C.EARLY_CLOSES_2024), "d string, close_time string").select(
-        F.to_date("d").alias("date"), "close_time")
-    return spine, C.sessions(spine, hol, early)
+    return spine, C.sessions(spine, C.exchange_holidays(spine), C.exchange_early_closes(spine))
 
 
 _HOL = ", ".join(f"('{d}')" for d in C.HOLIDAYS_2024)

@@ -122,3 +122,22 @@ def test_nested_rule_forms(spark):
         F.size(F.filter(s, lambda x: ~TL.nested_words_inside(x))), F.size(F.filter(s, lambda x: ~TL.nested_words_ordered(x))),
         TL.nested_ids_unique(s), TL.nested_segments_ordered(s)).collect()
     assert [tuple(r) for r in got] == [(0, 0, True, True), (1, 1, False, False)]
+
+
+def test_holiday_rules_match_published_lists(spark):
+    import datetime as dt
+    spine = C.spine_between(spark, dt.date(2021, 1, 1), dt.date(2024, 12, 31))
+    got = sorted(r["date"].isoformat() for r in C.exchange_holidays(spine, extra_closures=()).collect())
+    published = {
+        2021: ["2021-01-01", "2021-01-18", "2021-02-15", "2021-04-02", "2021-05-31", "2021-07-05", "2021-09-06",
+               "2021-11-25", "2021-12-24"],
+        2022: ["2022-01-17", "2022-02-21", "2022-04-15", "2022-05-30", "2022-06-20", "2022-07-04", "2022-09-05",
+               "2022-11-24", "2022-12-26"],
+        2023: ["2023-01-02", "2023-01-16", "2023-02-20", "2023-04-07", "2023-05-29", "2023-06-19", "2023-07-04",
+               "2023-09-04", "2023-11-23", "2023-12-25"],
+        2024: list(C.HOLIDAYS_2024),
+    }
+    assert got == sorted(x for v in published.values() for x in v)
+    early = sorted((r["date"].isoformat(), r["close_time"])
+                   for r in C.exchange_early_closes(C.spine_between(spark, dt.date(2024, 1, 1), dt.date(2024, 12, 31))).collect())
+    assert early == sorted(C.EARLY_CLOSES_2024)
