@@ -12,7 +12,7 @@ from tapeworks.operators.jobs import latest_stage
 from tapeworks.operators import rules as R
 from tapeworks.plans import bindings as B
 from tapeworks.plans.catalog import register
-from tapeworks.sources.contracts import CONTRACTS, parse_contract
+from tapeworks.sources.contracts import CONTRACTS, RENDER_DEFAULTS, fill_struct_defaults, parse_contract
 from tapeworks.sources.tables import table
 
 CLEANUP_CUTOFF = "2001-01-01 00:00:00"  # ours: artifacts unused since before this may go
@@ -236,7 +236,7 @@ _RENDER_SQL = """rr AS (
 SELECT o_orderkey, NOT (burn AND codec = 'copy') AS ok FROM rr""")
 def rule_render_settings(spark: SparkSession, sf: str) -> DataFrame:
     """Burned subtitles need a re-encoding codec."""
-    r = _render_requests(spark, sf)
+    r = fill_struct_defaults(_render_requests(spark, sf), "settings", RENDER_DEFAULTS)   # S5 nested
     return r.select("o_orderkey", R.render_settings_rule().ok.alias("ok"))
 
 
@@ -249,7 +249,7 @@ SELECT o_orderkey, CASE
 FROM rr""")
 def rule_render_request(spark: SparkSession, sf: str) -> DataFrame:
     """V18 (after V17 on the nested settings): inputs the strategy needs."""
-    r = _render_requests(spark, sf)
+    r = fill_struct_defaults(_render_requests(spark, sf), "settings", RENDER_DEFAULTS)   # S5 nested
     v = R.validate(r, [R.render_settings_rule()], R.render_request_rules())
     return v.select("o_orderkey", F.try_element_at("violations", F.lit(1))["code"].alias("violation"))
 

@@ -250,6 +250,23 @@ def strip_strings(c: Column, dtype: T.DataType) -> Column:
     return c
 
 
+def fill_struct_defaults(df: DataFrame, col: str, defaults: dict) -> DataFrame:
+    """S5 inside a nested value (e.g. render settings): an absent struct
+    becomes its defaults, absent fields of a present struct get theirs;
+    declared defaults missing from the struct are added."""
+    dtype = df.schema[col].dataType
+    c = F.col(col)
+    names = [f.name for f in dtype.fields]
+    parts = []
+    for f in dtype.fields:
+        v = c.getField(f.name)
+        if f.name in defaults:
+            v = F.coalesce(v, F.lit(defaults[f.name]).cast(f.dataType))
+        parts.append(v.alias(f.name))
+    parts += [F.lit(v).alias(k) for k, v in defaults.items() if k not in names]
+    return df.withColumn(col, F.struct(*parts))
+
+
 def apply_defaults(df: DataFrame, defaults: dict, prefix: str = "") -> DataFrame:
     """Fill declared defaults where the value is absent."""
     out = df

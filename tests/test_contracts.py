@@ -196,3 +196,12 @@ def test_two_timestamp_grammars(spark):
     assert out[1]["ct"] is None and out[1]["wt"] == "2026-08-19 00:00:00.000"
     assert out[2]["ct"] == "2026-08-19 00:00:00.000" and out[3]["ct"] == "2026-08-19 00:00:00.000"
     assert out[4]["ct"] is None and out[5]["wt"] == "2026-08-19 00:00:00.500"
+
+
+def test_nested_render_defaults(spark):
+    from tapeworks.sources.contracts import RENDER_DEFAULTS, fill_struct_defaults
+    df = spark.createDataFrame([(None,), ((None, True, "libx264"),)],
+                               "settings struct<audio_strategy:string, burn_subtitles:boolean, video_codec:string>")
+    out = [r["settings"].asDict() for r in fill_struct_defaults(df, "settings", RENDER_DEFAULTS).collect()]
+    assert out[0] == RENDER_DEFAULTS
+    assert out[1]["audio_strategy"] == "subtitle_only" and out[1]["burn_subtitles"] is True and out[1]["crf"] == 22
