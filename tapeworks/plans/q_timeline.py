@@ -8,13 +8,20 @@ from pyspark.sql import functions as F
 from tapeworks.operators import timeline as TL
 from tapeworks.plans import bindings as B
 from tapeworks.plans.catalog import register
+from tapeworks.session import materialize
 
 MAX_TEMPO = 1.25  # ours: dub speed-up allowed before a clip counts as overflow
 
 
+def _docs(spark: SparkSession, sf: str) -> DataFrame:
+    """The stand-in transcript documents, written once to the shared
+    checkpoint folder: the rules read them in several branches."""
+    return materialize(B.transcript_docs(spark, sf))
+
+
 def _segments(spark: SparkSession, sf: str) -> DataFrame:
     """Flat segments read back from the nested transcript documents."""
-    return TL.flatten_segments(B.transcript_docs(spark, sf))
+    return TL.flatten_segments(_docs(spark, sf))
 
 
 def _words(spark: SparkSession, sf: str) -> DataFrame:
@@ -107,7 +114,7 @@ SELECT s.doc_id, s.segment_id, s.end_ms, d.duration_ms
 FROM transcript_segments s JOIN transcript_durations d ON s.doc_id = d.doc_id WHERE s.end_ms > d.duration_ms"""))
 def rule_segment_duration(spark: SparkSession, sf: str) -> DataFrame:
     """Transcript segments end within the media duration."""
-    docs = B.transcript_docs(spark, sf)
+    docs = _docs(spark, sf)
     v = TL.duration_violations(TL.flatten_segments(docs), docs)
     return v.select("doc_id", "segment_id", "end_ms", "duration_ms")
 
@@ -203,7 +210,7 @@ GROUP BY s.doc_id, s.seg_pos // 10000"""))
 def timeline_nested_rules(spark: SparkSession, sf: str) -> DataFrame:
     """V20–V23 in nested form, evaluated on each stored document part
     (``forall`` over the words and segments arrays, no flattening)."""
-    docs = B.transcript_docs(spark, sf)
+    docs = _docs(spark, sf)
     segs = F.col("segments")
     return docs.select(
         "doc_id", "part", F.size(segs).cast("long").alias("n_segments"),

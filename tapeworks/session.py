@@ -81,6 +81,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     return local
 
 
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint folder and continue from
+    there (a reliable ``checkpoint``, never a local one).  A frame read by
+    several branches of a plan is computed once, and a lost executor re-reads
+    files instead of recomputing the lineage."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint root for one run."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
