@@ -132,10 +132,18 @@ def cleanup_candidates(artifacts: DataFrame, refs: DataFrame, published: DataFra
     return old.join(published.select("key").distinct(), "key", "left_anti")
 
 
+def approval_flags(items: DataFrame, approvals: DataFrame, key: str) -> DataFrame:
+    """D12 in one pass: every item with ``approved`` (a granted approval exists)."""
+    granted = approvals.select(key).distinct().withColumn("approved", F.lit(True))
+    return items.join(granted, key, "left").withColumn("approved", F.coalesce("approved", F.lit(False)))
+
+
 def approval_gate(items: DataFrame, approvals: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """(items with a granted approval, blocked items)."""
-    granted = approvals.select(key).distinct()
-    return items.join(granted, key, "left_semi"), items.join(granted, key, "left_anti")
+    """(items with a granted approval, blocked items) — the semi and
+    anti sides, both read from the one flagged pass."""
+    flagged = approval_flags(items, approvals, key)
+    return (flagged.filter(F.col("approved")).drop("approved"),
+            flagged.filter(~F.col("approved")).drop("approved"))
 
 
 def layout_path(video_id, stage, lang) -> Column:

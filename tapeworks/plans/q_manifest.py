@@ -168,8 +168,7 @@ def approval_gate(spark: SparkSession, sf: str) -> DataFrame:
     """Documents go on only with a granted approval; the rest are blocked."""
     docs = table(spark, sf, "documents").select("doc_id")
     approvals = table(spark, sf, "labels").filter((F.col("quality") == 1) & (F.col("toxic") == 0))
-    passed, blocked = M.approval_gate(docs, approvals, "doc_id")
-    return passed.withColumn("approved", F.lit(True)).unionByName(blocked.withColumn("approved", F.lit(False)))
+    return M.approval_flags(docs, approvals, "doc_id")
 
 
 _LAYOUT_CASES = " ".join(
