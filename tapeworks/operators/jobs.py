@@ -133,6 +133,16 @@ def fixed_type_requests(requests: DataFrame, job_type: str) -> DataFrame:
     return requests.withColumn("job_type", F.lit(job_type))
 
 
+def stage_requests(requests: DataFrame, stages=REQUEST_STAGES) -> DataFrame:
+    """P20 for several stage operators in one pass: each request once per
+    stage, each copy carrying that stage's fixed job type (one scan, no union
+    of per-stage reads)."""
+    unknown = [s for s in stages if s not in REQUEST_STAGES]
+    if unknown:
+        raise ValueError(f"no request operator for {unknown!r}")
+    return requests.withColumn("job_type", F.explode(F.array(*[F.lit(s) for s in stages])))
+
+
 def retry_policy(errors: DataFrame, spark) -> DataFrame:
     """Error class → retry policy (a 5-row table; broadcast is bounded)."""
     policy = spark.createDataFrame(list(RETRY_POLICIES), "error_class string, policy string")

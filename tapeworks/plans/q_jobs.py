@@ -184,13 +184,9 @@ def job_requests(spark: SparkSession, sf: str) -> DataFrame:
     """P20: one validated request per order and stage operator, each with its
     fixed job type; presigned output prefixes are refused (V1)."""
     o = _order_requests(spark, sf)
-    out = None
-    for stage in J.REQUEST_STAGES:
-        r = J.fixed_type_requests(o, stage)
-        r = r.withColumn("output_prefix", F.concat(
-            "_base", F.lit("/"), F.lit(stage), F.lit("/"),
-            F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("?X-Amz-Signature=abc")).otherwise(F.lit(""))))
-        out = r if out is None else out.unionByName(r)
+    out = J.stage_requests(o, J.REQUEST_STAGES).withColumn("output_prefix", F.concat(
+        "_base", F.lit("/"), F.col("job_type"), F.lit("/"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("?X-Amz-Signature=abc")).otherwise(F.lit(""))))
     v = R.validate(out, [R.enum("job_type", R.JOB_TYPES, "job_type"), R.min_length("input_uri", 1, "input_uri"),
                          R.s3_uri("output_prefix", "output_prefix")])
     return v.select("o_orderkey", "job_type", "output_prefix",

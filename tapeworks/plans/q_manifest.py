@@ -58,10 +58,7 @@ SELECT job_id, key FROM stage_refs WHERE direction = 'input'
 UNION SELECT job_id, key FROM stage_refs WHERE direction = 'output'"""))
 def stage_refs_union(spark: SparkSession, sf: str) -> DataFrame:
     """Per stage, inputs ∪ outputs as a set of keys."""
-    r = B.stage_refs(spark, sf)
-    ins = r.filter(F.col("direction") == "input").select("job_id", "key")
-    outs = r.filter(F.col("direction") == "output").select("job_id", "key")
-    return M.refs_union(ins.unionByName(outs))
+    return M.refs_union(B.stage_refs(spark, sf))
 
 
 @register("stage_refs_except", B.with_sql(["stage_refs", "artifact_catalog"], """
