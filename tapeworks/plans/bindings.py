@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeworks.functions.time import iso_text
+from tapeworks.operators.rules import JOB_TYPES
 from tapeworks.operators.ordering import dense_positions, running_total, running_totals
 from tapeworks.sources.tables import as_utc, table
 
@@ -278,9 +279,6 @@ _ARTIFACT_DOCS_SQL = """artifact_docs AS (
 # event type → status; props.k picks alias keys, a doubled key, a missing or
 # unexpected error, an unknown status and naive timestamps.
 
-JOB_TYPE_LIST = ("download", "transcribe", "translate_subtitles", "separate_audio",
-                 "synthesize_speech", "render_video", "media_quality_check")
-
 
 def job_log(spark: SparkSession, sf: str) -> DataFrame:
     return job_log_of(table(spark, sf, "events"))
@@ -294,7 +292,7 @@ def job_log_of(e: DataFrame) -> DataFrame:
               .when((et == "click") & (k >= 97), F.lit("done"))
               .when(et == "signup", F.lit("queued")).when(et.isin("view", "click"), F.lit("running"))
               .when(et == "purchase", F.lit("succeeded")).otherwise(F.lit("failed")))
-    jtype = F.element_at(F.array(*[F.lit(x) for x in JOB_TYPE_LIST]), (F.col("user_id") % 7 + 1).cast("int"))
+    jtype = F.element_at(F.array(*[F.lit(x) for x in JOB_TYPES]), (F.col("user_id") % len(JOB_TYPES) + 1).cast("int"))
     jid = F.concat(F.lit("job-"), F.col("user_id").cast("string"))
     ts = as_utc("ts")
     upd = F.when(k.between(3, 5), F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")).otherwise(iso_text(ts))
