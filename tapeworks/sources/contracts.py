@@ -320,10 +320,17 @@ def parse_contract(df: DataFrame, raw: str, contract: Contract) -> DataFrame:
     return apply_defaults(out, contract.defaults)
 
 
-def read_contract(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
-    """A1 on files: one JSON document per line, read as text with a fixed
-    schema (no inference), raw kept in ``raw``."""
-    return parse_contract(spark.read.text(path).withColumnRenamed("value", "raw"), "raw", contract)
+def read_contract(spark: SparkSession, path: str, contract: Contract, whole_files: bool = False) -> DataFrame:
+    """A1 on files: one JSON document per line (or, with ``whole_files``,
+    one document per file, e.g. ``manifest.json`` objects), read as text and
+    parsed with the contract's fixed schema (no inference); the raw text is
+    kept in ``raw`` and, for whole files, the file path in ``path``."""
+    text = spark.read.text(path, wholetext=whole_files)
+    if whole_files:
+        text = text.select(F.col("value").alias("raw"), F.col("_metadata.file_path").alias("path"))
+    else:
+        text = text.withColumnRenamed("value", "raw")
+    return parse_contract(text, "raw", contract)
 
 
 # ------------------------------------------------------------------ A2

@@ -205,3 +205,13 @@ def test_nested_render_defaults(spark):
     out = [r["settings"].asDict() for r in fill_struct_defaults(df, "settings", RENDER_DEFAULTS).collect()]
     assert out[0] == RENDER_DEFAULTS
     assert out[1]["audio_strategy"] == "subtitle_only" and out[1]["burn_subtitles"] is True and out[1]["crf"] == 22
+
+
+def test_read_contract_whole_files(spark, tmp_path):
+    from tapeworks.sources.contracts import read_contract
+    for i, doc in enumerate([ARTIFACT, {**ARTIFACT, "extra": 1}]):
+        (tmp_path / f"a{i}.json").write_text(json.dumps(doc, indent=2))   # pretty-printed: one document per file
+    a = read_contract(spark, str(tmp_path), CONTRACTS["artifact"], whole_files=True).orderBy("path").collect()
+    assert [r["uri"] for r in a] == [GOOD_URI, GOOD_URI]
+    assert [r["unknown_fields"] for r in a] == [[], ["extra"]]
+    assert a[0]["path"].endswith("a0.json")
