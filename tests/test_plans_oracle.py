@@ -12,7 +12,8 @@ import __spark_entry__ as entry
 from conftest import SF_SMALL
 from tapeworks.sources.tables import TABLES
 
-STREAMING_OR_WRITES = {"stream_uploads", "stream_job_state", "daily_uploads", "write_replace", "append_revision"}
+STREAMING_OR_WRITES = {"stream_uploads", "stream_job_state", "daily_uploads", "write_replace", "append_revision",
+                       "stream_idempotent_requests"}
 
 
 def _plan(df, mode: str = "simple") -> str:
@@ -103,3 +104,13 @@ def test_streams_equal_batch(spark, queries):
     assert rows_of("stream_uploads") == rows_of("window_half_open")
     latest = sorted((r["job_id"], r["status"], r["updated_at"]) for r in queries["latest_job"](spark, SF_SMALL).collect())
     assert rows_of("stream_job_state") == latest
+
+
+def test_only_the_calendar_spine_has_a_global_window(spark, queries):
+    """SURVEY §4: every window is partitioned, except over the bounded date
+    spine of the calendar (next session)."""
+    allowed = {"next_session", "market_status"}
+    for name, fn in queries.items():
+        if name in STREAMING_OR_WRITES or name in allowed:
+            continue
+        assert "SinglePartition" not in _plan(fn(spark, SF_SMALL)), name
