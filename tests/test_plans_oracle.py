@@ -114,3 +114,13 @@ def test_only_the_calendar_spine_has_a_global_window(spark, queries):
         if name in STREAMING_OR_WRITES or name in allowed:
             continue
         assert "SinglePartition" not in _plan(fn(spark, SF_SMALL)), name
+
+
+def test_filters_pass_the_parse_generator(spark):
+    """evaluate_once stops re-parsing, not pushdown: a filter on a
+    pass-through column still reaches the Parquet scan."""
+    from pyspark.sql import functions as F
+    from tapeworks.plans import bindings as B
+    from tapeworks.sources.contracts import CONTRACTS, parse_contract
+    df = parse_contract(B.artifact_docs(spark, SF_SMALL), "raw", CONTRACTS["artifact"]).filter(F.col("doc_id") < 10)
+    assert "PushedFilters: [IsNotNull(doc_id), LessThan(doc_id,10)]" in _plan(df, "formatted")
