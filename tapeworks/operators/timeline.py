@@ -212,3 +212,62 @@ def nested_segments_ordered(segments) -> Column:
     starts = F.transform(segments, lambda s: s["start_ms"])
     prev = F.concat(F.array(F.lit(0).cast("long")), F.slice(starts, 1, F.greatest(F.size(starts) - 1, F.lit(0))))
     return F.forall(F.arrays_zip(starts.alias("a"), prev.alias("b")), lambda p: p["a"] >= p["b"])
+
+
+# ------------------------------------------------------------------ transcript documents (A1 + V19–V24)
+
+
+def _word_codes(s) -> Column:
+    """Per word of a segment, in order: ``word_outside`` or ``word_order``
+    (the segment validator's loop: containment first, then order)."""
+    words = F.coalesce(s["words"], F.array())
+    starts = F.transform(words, lambda w: w["start_ms"])
+
+    def code(w, i):
+        prev = F.when(i == 0, s["start_ms"]).otherwise(F.element_at(starts, i))
+        return (F.when((w["start_ms"] < s["start_ms"]) | (w["end_ms"] > s["end_ms"]), F.lit("word_outside"))
+                .when(w["start_ms"] < prev, F.lit("word_order")))
+    return F.transform(words, code)
+
+
+def segment_error(s) -> Column:
+    """First violation of one nested segment: word intervals (its fields),
+    then its own interval, then the word loop."""
+    words = F.coalesce(s["words"], F.array())
+    loop = F.try_element_at(F.filter(_word_codes(s), lambda c: c.isNotNull()), F.lit(1))
+    return (F.when(~F.forall(words, lambda w: w["end_ms"] > w["start_ms"]), F.lit("word_interval"))
+            .when(~(s["end_ms"] > s["start_ms"]), F.lit("segment_interval"))
+            .otherwise(loop))
+
+
+def transcript_checks(parsed: DataFrame) -> DataFrame:
+    """Checks of parsed transcript documents (one row per document part):
+
+    * ``field_error``: language (2+ characters), duration (> 0), provider and
+      model (non-empty), in field order;
+    * ``segment_errors`` / ``first_segment_error``: segments failing their own
+      validation, and the first one's code;
+    * ``model_error``: the document loop over segments in order — a repeated
+      segment ID, a start before the previous start (first compared with 0),
+      an end after the duration — the first raise wins.
+    """
+    segs = F.coalesce(F.col("segments"), F.array())
+    ids = F.transform(segs, lambda s: s["segment_id"])
+    starts = F.transform(segs, lambda s: s["start_ms"])
+
+    def loop(s, i):
+        prev = F.when(i == 0, F.lit(0).cast("long")).otherwise(F.element_at(starts, i))
+        return (F.when(F.array_position(ids, s["segment_id"]) < i + 1, F.lit("segment_id_unique"))
+                .when(s["start_ms"] < prev, F.lit("segment_order"))
+                .when(s["end_ms"] > F.col("duration_ms"), F.lit("segment_duration")))
+    seg_codes = F.transform(segs, segment_error)
+    failing = F.filter(seg_codes, lambda c: c.isNotNull())
+    trim_len = lambda c: F.length(F.btrim(F.col(c)))
+    field = (F.when(F.coalesce(trim_len("language"), F.lit(0)) < 2, F.lit("language"))
+             .when(~F.coalesce(F.col("duration_ms") > 0, F.lit(False)), F.lit("duration_ms"))
+             .when(F.coalesce(trim_len("provider"), F.lit(0)) < 1, F.lit("provider"))
+             .when(F.coalesce(trim_len("model"), F.lit(0)) < 1, F.lit("model")))
+    return parsed.select(
+        "*", field.alias("field_error"), F.size(failing).cast("long").alias("segment_errors"),
+        F.try_element_at(failing, F.lit(1)).alias("first_segment_error"),
+        F.try_element_at(F.filter(F.transform(segs, loop), lambda c: c.isNotNull()), F.lit(1)).alias("model_error"))

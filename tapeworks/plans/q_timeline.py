@@ -9,6 +9,7 @@ from tapeworks.operators import timeline as TL
 from tapeworks.plans import bindings as B
 from tapeworks.plans.catalog import register
 from tapeworks.session import materialize
+from tapeworks.sources.contracts import CONTRACTS, parse_contract
 
 MAX_TEMPO = 1.25  # ours: dub speed-up allowed before a clip counts as overflow
 
@@ -218,3 +219,50 @@ def timeline_nested_rules(spark: SparkSession, sf: str) -> DataFrame:
         F.size(F.filter(segs, lambda s: ~TL.nested_words_ordered(s))).cast("long").alias("segments_with_unordered_words"),
         TL.nested_ids_unique(segs).alias("ids_unique"),
         TL.nested_segments_ordered(segs).alias("segments_ordered"))
+
+
+@register("transcript_contract", B.with_sql(["transcript_words", "transcript_durations"], """
+WITH w AS (
+  SELECT w.doc_id, w.segment_id, w.word_pos, w.start_ms, w.end_ms, s.start_ms AS s_start, s.end_ms AS s_end,
+         coalesce(lag(w.start_ms) OVER (PARTITION BY w.doc_id, w.segment_id ORDER BY w.word_pos), s.start_ms) AS prev
+  FROM transcript_words w JOIN transcript_segments s ON w.doc_id = s.doc_id AND w.segment_id = s.segment_id),
+wc AS (
+  SELECT doc_id, segment_id, bool_or(NOT (end_ms > start_ms)) AS bad_word_interval,
+         arg_min(CASE WHEN start_ms < s_start OR end_ms > s_end THEN 'word_outside'
+                      WHEN start_ms < prev THEN 'word_order' END, word_pos)
+           FILTER (WHERE start_ms < s_start OR end_ms > s_end OR start_ms < prev) AS loop_code
+  FROM w GROUP BY doc_id, segment_id),
+sc AS (
+  SELECT s.doc_id, s.seg_pos,
+    CASE WHEN coalesce(wc.bad_word_interval, false) THEN 'word_interval'
+         WHEN NOT (s.end_ms > s.start_ms) THEN 'segment_interval' ELSE wc.loop_code END AS seg_code,
+    CASE WHEN count(*) OVER (PARTITION BY s.doc_id, s.segment_id ORDER BY s.seg_pos
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) > 0 THEN 'segment_id_unique'
+         WHEN s.start_ms < coalesce(lag(s.start_ms) OVER (PARTITION BY s.doc_id ORDER BY s.seg_pos), 0) THEN 'segment_order'
+         WHEN s.end_ms > d.duration_ms THEN 'segment_duration' END AS model_code
+  FROM transcript_segments s LEFT JOIN wc ON s.doc_id = wc.doc_id AND s.segment_id = wc.segment_id
+  JOIN transcript_durations d ON s.doc_id = d.doc_id)
+SELECT sc.doc_id, sc.seg_pos // 10000 AS part,
+  CASE WHEN min(d.duration_ms) > 0 THEN NULL ELSE 'duration_ms' END AS field_error,
+  count(sc.seg_code) AS segment_errors,
+  arg_min(sc.seg_code, sc.seg_pos) FILTER (WHERE sc.seg_code IS NOT NULL) AS first_segment_error,
+  arg_min(sc.model_code, sc.seg_pos) FILTER (WHERE sc.model_code IS NOT NULL) AS model_error,
+  '' AS unknown_fields
+FROM sc JOIN transcript_durations d ON sc.doc_id = d.doc_id
+GROUP BY sc.doc_id, sc.seg_pos // 10000"""))
+def transcript_contract(spark: SparkSession, sf: str) -> DataFrame:
+    """Transcript documents written as canonical JSON (A2), read back with
+    the transcript contract's fixed schema (A1, unknown fields at every
+    level), then checked in nested form: document fields, each segment's own
+    validation (V19–V21) and the document loop (V22–V24)."""
+    docs = _docs(spark, sf)
+    doc = F.struct(F.lit("1.0").alias("schema_version"),
+                   F.struct(F.concat(F.lit("s3://audio/"), F.col("doc_id").cast("string"), F.lit(".flac")).alias("uri"),
+                            F.lit("audio/flac").alias("content_type")).alias("source_audio"),
+                   "language", "duration_ms", F.lit("asr").alias("provider"), F.lit("base").alias("model"),
+                   "segments")
+    raw = docs.select("doc_id", "part", F.to_json(doc).alias("raw"))
+    parsed = parse_contract(raw, "raw", CONTRACTS["transcript"])
+    checked = TL.transcript_checks(parsed)
+    return checked.select("doc_id", "part", "field_error", "segment_errors", "first_segment_error", "model_error",
+                          F.array_join("unknown_fields", ",").alias("unknown_fields"))

@@ -129,6 +129,33 @@ VIDEO_MANIFEST = T.StructType([
     T.StructField("updated_at", T.StringType()),
 ])
 
+TRANSCRIPT_WORD = T.StructType([
+    T.StructField("start_ms", T.LongType()),
+    T.StructField("end_ms", T.LongType()),
+    T.StructField("text", T.StringType()),
+    T.StructField("probability", T.DoubleType()),
+])
+
+TRANSCRIPT_SEGMENT = T.StructType([
+    T.StructField("segment_id", T.StringType()),
+    T.StructField("start_ms", T.LongType()),
+    T.StructField("end_ms", T.LongType()),
+    T.StructField("text", T.StringType()),
+    T.StructField("words", T.ArrayType(TRANSCRIPT_WORD)),
+    T.StructField("speaker", T.StringType()),
+])
+
+TRANSCRIPT = T.StructType([
+    T.StructField("schema_version", T.StringType()),
+    T.StructField("source_audio", ARTIFACT),
+    T.StructField("language", T.StringType()),
+    T.StructField("duration_ms", T.LongType()),
+    T.StructField("provider", T.StringType()),
+    T.StructField("model", T.StringType()),
+    T.StructField("segments", T.ArrayType(TRANSCRIPT_SEGMENT)),
+    T.StructField("raw_response_artifacts", T.ArrayType(ARTIFACT)),
+])
+
 MESSAGE = T.StructType([T.StructField(n, t) for n, t in [
     ("title", T.StringType()), ("body", T.StringType()), ("subtitle", T.StringType()),
     ("markdown", T.StringType()), ("level", T.StringType()), ("url", T.StringType()),
@@ -164,6 +191,9 @@ CONTRACTS = {
     "render_request": Contract("render_request", RENDER_REQUEST, ("source_video", "output_uri")),
     "video_manifest": Contract("video_manifest", VIDEO_MANIFEST, ("video_id", "source", "created_at", "updated_at"),
                                {"revision": 1}),
+    "transcript": Contract("transcript", TRANSCRIPT,
+                           ("source_audio", "language", "duration_ms", "provider", "model", "segments"),
+                           {"raw_response_artifacts": []}),
     "message": Contract("message", MESSAGE, ("title", "body"),
                         {"level": "active", "call": False, "autoCopy": False, "isArchive": False},
                         versioned=False),

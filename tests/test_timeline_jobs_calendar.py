@@ -141,3 +141,27 @@ def test_holiday_rules_match_published_lists(spark):
     early = sorted((r["date"].isoformat(), r["close_time"])
                    for r in C.exchange_early_closes(C.spine_between(spark, dt.date(2024, 1, 1), dt.date(2024, 12, 31))).collect())
     assert early == sorted(C.EARLY_CLOSES_2024)
+
+
+def test_transcript_document_checks(spark):
+    import json
+    from tapeworks.sources.contracts import CONTRACTS, parse_contract
+    seg = lambda sid, a, b, words=(): {"segment_id": sid, "start_ms": a, "end_ms": b, "text": "t",
+                                       "words": [{"start_ms": x, "end_ms": y, "text": "w"} for x, y in words]}
+    base = {"source_audio": {"uri": "s3://a/b.flac", "content_type": "audio/flac"}, "language": "en",
+            "duration_ms": 5000, "provider": "p", "model": "m"}
+    docs = [
+        {**base, "segments": [seg("s1", 1000, 2400, [(1000, 1500), (1600, 2300)])]},          # valid
+        {**base, "segments": [seg("s1", 0, 100), seg("s1", 200, 300)]},                        # duplicate ID
+        {**base, "segments": [seg("s1", 500, 600), seg("s2", 100, 200)]},                      # order
+        {**base, "segments": [seg("s1", 0, 6000)]},                                            # beyond duration
+        {**base, "language": "e", "segments": [seg("s1", 0, 100, [(50, 40)])]},                # field + word interval
+        {**base, "segments": [seg("s1", 1000, 2400, [(1600, 2300), (1000, 1500)])]},           # word order
+    ]
+    df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(docs)], "id int, raw string")
+    out = TL.transcript_checks(parse_contract(df, "raw", CONTRACTS["transcript"])).orderBy("id").collect()
+    got = [(r["field_error"], r["first_segment_error"], r["model_error"]) for r in out]
+    assert got == [(None, None, None), (None, None, "segment_id_unique"), (None, None, "segment_order"),
+                   (None, None, "segment_duration"), ("language", "word_interval", None),
+                   (None, "word_order", None)]
+    assert [r["raw_response_artifacts"] for r in out][0] == []
