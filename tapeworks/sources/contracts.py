@@ -156,6 +156,39 @@ TRANSCRIPT = T.StructType([
     T.StructField("raw_response_artifacts", T.ArrayType(ARTIFACT)),
 ])
 
+def _struct(*fields) -> T.StructType:
+    return T.StructType([T.StructField(n, t) for n, t in fields])
+
+
+_S, _L, _B, _D = T.StringType(), T.LongType(), T.BooleanType(), T.DoubleType()
+
+YOUTUBE_CHANNEL = _struct(("schema_version", _S), ("channel_id", _S), ("title", _S), ("description", _S),
+                          ("published_at", _S), ("uploads_playlist_id", _S))
+
+TRANSLATED_SEGMENT = _struct(("segment_id", _S), ("source_start_ms", _L), ("source_end_ms", _L), ("source_text", _S),
+                             ("translated_text", _S), ("speaker", _S), ("translation_version", _L))
+TRANSLATED_TIMELINE = _struct(("schema_version", _S), ("source_transcript", ARTIFACT), ("source_language", _S),
+                              ("target_language", _S), ("provider", _S), ("model", _S),
+                              ("segments", T.ArrayType(TRANSLATED_SEGMENT)), ("subtitle_srt", ARTIFACT),
+                              ("subtitle_ass", ARTIFACT))
+
+SYNTHESIZED_SEGMENT = _struct(("segment_id", _S), ("target_start_ms", _L), ("target_end_ms", _L), ("text", _S),
+                              ("voice", _S), ("audio", ARTIFACT), ("actual_duration_ms", _L))
+SYNTHESIS_RESULT = _struct(("schema_version", _S), ("source_timeline", ARTIFACT), ("language", _S), ("provider", _S),
+                           ("model", _S), ("voice", _S), ("segments", T.ArrayType(SYNTHESIZED_SEGMENT)),
+                           ("dubbed_audio", ARTIFACT))
+SOURCE_SEPARATION = _struct(("schema_version", _S), ("source_audio", ARTIFACT), ("provider", _S), ("model", _S),
+                            ("vocals", ARTIFACT), ("accompaniment", ARTIFACT))
+RENDER_RESULT = _struct(("schema_version", _S), ("video", ARTIFACT), ("duration_ms", _L), ("width", _L),
+                        ("height", _L), ("video_codec", _S), ("audio_codec", _S), ("subtitle_burned", _B),
+                        ("backend", _S))
+QUALITY_CHECK = _struct(("name", _S), ("passed", _B), ("detail", _S))
+QUALITY_REPORT = _struct(("schema_version", _S), ("video", ARTIFACT), ("passed", _B),
+                         ("checks", T.ArrayType(QUALITY_CHECK)), ("duration_delta_ms", _L),
+                         ("integrated_loudness_lufs", _D))
+MARKET_STATUS = _struct(("is_open", _B), ("is_trading_day", _B), ("current_time", _S), ("open_time", _S),
+                        ("close_time", _S), ("next_trading_day", _S))
+
 MESSAGE = T.StructType([T.StructField(n, t) for n, t in [
     ("title", T.StringType()), ("body", T.StringType()), ("subtitle", T.StringType()),
     ("markdown", T.StringType()), ("level", T.StringType()), ("url", T.StringType()),
@@ -194,6 +227,22 @@ CONTRACTS = {
     "transcript": Contract("transcript", TRANSCRIPT,
                            ("source_audio", "language", "duration_ms", "provider", "model", "segments"),
                            {"raw_response_artifacts": []}),
+    "youtube_channel": Contract("youtube_channel", YOUTUBE_CHANNEL, ("channel_id", "title", "uploads_playlist_id")),
+    "translated_timeline": Contract("translated_timeline", TRANSLATED_TIMELINE,
+                                    ("source_transcript", "source_language", "target_language", "provider",
+                                     "model", "segments")),
+    "synthesis_result": Contract("synthesis_result", SYNTHESIS_RESULT,
+                                 ("source_timeline", "language", "provider", "model", "voice", "segments",
+                                  "dubbed_audio")),
+    "source_separation": Contract("source_separation", SOURCE_SEPARATION,
+                                  ("source_audio", "provider", "model", "vocals", "accompaniment")),
+    "render_result": Contract("render_result", RENDER_RESULT,
+                              ("video", "duration_ms", "width", "height", "video_codec", "audio_codec",
+                               "subtitle_burned"), {"backend": "local_ffmpeg"}),
+    "quality_report": Contract("quality_report", QUALITY_REPORT, ("video", "passed", "checks")),
+    "publish_result": Contract("publish_result", PUBLISH_RESULT, ("aid", "bvid", "url", "published_at", "title")),
+    "market_status": Contract("market_status", MARKET_STATUS, ("is_open", "is_trading_day", "current_time"),
+                              versioned=False),
     "message": Contract("message", MESSAGE, ("title", "body"),
                         {"level": "active", "call": False, "autoCopy": False, "isArchive": False},
                         versioned=False),

@@ -215,3 +215,27 @@ def test_read_contract_whole_files(spark, tmp_path):
     assert [r["uri"] for r in a] == [GOOD_URI, GOOD_URI]
     assert [r["unknown_fields"] for r in a] == [[], ["extra"]]
     assert a[0]["path"].endswith("a0.json")
+
+
+def test_every_contract_reads_a_minimal_document(spark):
+    """Each contract of the data model: a document with its required fields
+    parses with no unknown field, and an extra key is caught."""
+    from pyspark.sql import types as T
+    art = {"uri": GOOD_URI, "content_type": "video/mp4"}
+
+    def sample(dtype):
+        if isinstance(dtype, T.StructType):
+            if [f.name for f in dtype.fields][:3] == ["schema_version", "uri", "content_type"]:
+                return dict(art)
+            return {f.name: sample(f.dataType) for f in dtype.fields}
+        if isinstance(dtype, T.ArrayType):
+            return [sample(dtype.elementType)]
+        if isinstance(dtype, T.MapType):
+            return {"k": sample(dtype.valueType)}
+        return {"StringType": "x", "LongType": 1, "BooleanType": True, "DoubleType": 0.5}[type(dtype).__name__]
+
+    for name, contract in CONTRACTS.items():
+        doc = {k: v for k, v in sample(contract.schema).items() if k not in contract.json_fields}
+        df = spark.createDataFrame([(json.dumps(doc),), (json.dumps({**doc, "zz_extra": 1}),)], "raw string")
+        got = [r["unknown_fields"] for r in parse_contract(df, "raw", contract).collect()]
+        assert got == [[], ["zz_extra"]], name
