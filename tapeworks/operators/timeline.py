@@ -271,3 +271,39 @@ def transcript_checks(parsed: DataFrame) -> DataFrame:
         "*", field.alias("field_error"), F.size(failing).cast("long").alias("segment_errors"),
         F.try_element_at(failing, F.lit(1)).alias("first_segment_error"),
         F.try_element_at(F.filter(F.transform(segs, loop), lambda c: c.isNotNull()), F.lit(1)).alias("model_error"))
+
+
+def _first(codes) -> Column:
+    return F.try_element_at(F.filter(codes, lambda c: c.isNotNull()), F.lit(1))
+
+
+def translated_timeline_checks(parsed: DataFrame) -> DataFrame:
+    """Translated timeline documents: each segment's own checks (positive
+    source interval, version >= 1, non-empty texts), then the document loop —
+    a repeated segment ID or a source start before the previous one (first
+    compared with 0); no duration rule for translations."""
+    segs = F.coalesce(F.col("segments"), F.array())
+    ids = F.transform(segs, lambda s: s["segment_id"])
+    starts = F.transform(segs, lambda s: s["source_start_ms"])
+    seg = lambda s: (F.when(~(s["source_end_ms"] > s["source_start_ms"]), F.lit("translated_interval"))
+                     .when(F.coalesce(s["translation_version"], F.lit(1)) < 1, F.lit("translation_version"))
+                     .when(F.length(F.btrim(s["translated_text"])) < 1, F.lit("translated_text")))
+
+    def loop(s, i):
+        prev = F.when(i == 0, F.lit(0).cast("long")).otherwise(F.element_at(starts, i))
+        return (F.when(F.array_position(ids, s["segment_id"]) < i + 1, F.lit("segment_id_unique"))
+                .when(s["source_start_ms"] < prev, F.lit("segment_order")))
+    return parsed.select("*", _first(F.transform(segs, seg)).alias("first_segment_error"),
+                         _first(F.transform(segs, loop)).alias("model_error"))
+
+
+def synthesis_checks(parsed: DataFrame) -> DataFrame:
+    """Synthesis results: each segment's own checks (positive target window,
+    positive measured length), then one synthesized segment per ID (no order
+    rule for synthesis)."""
+    segs = F.coalesce(F.col("segments"), F.array())
+    ids = F.transform(segs, lambda s: s["segment_id"])
+    seg = lambda s: (F.when(~(s["target_end_ms"] > s["target_start_ms"]), F.lit("target_interval"))
+                     .when(~(s["actual_duration_ms"] > 0), F.lit("actual_duration")))
+    unique = F.when(F.size(F.array_distinct(ids)) != F.size(ids), F.lit("segment_id_unique"))
+    return parsed.select("*", _first(F.transform(segs, seg)).alias("first_segment_error"), unique.alias("model_error"))

@@ -266,3 +266,59 @@ def transcript_contract(spark: SparkSession, sf: str) -> DataFrame:
     checked = TL.transcript_checks(parsed)
     return checked.select("doc_id", "part", "field_error", "segment_errors", "first_segment_error", "model_error",
                           F.array_join("unknown_fields", ",").alias("unknown_fields"))
+
+
+@register("timeline_contracts", B.with_sql(["translations", "synthesis"], """
+WITH lt AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, segment_id ORDER BY translation_version DESC) AS rn
+                           FROM translations) WHERE rn = 1),
+tr AS (SELECT doc_id, count(*) AS n,
+         arg_min(CASE WHEN NOT (source_end_ms > source_start_ms) THEN 'translated_interval' END, segment_id)
+           FILTER (WHERE NOT (source_end_ms > source_start_ms)) AS seg_err
+       FROM lt GROUP BY doc_id),
+sy AS (SELECT doc_id, count(*) AS n, count(DISTINCT segment_id) AS n_ids,
+         arg_min(CASE WHEN NOT (target_end_ms > target_start_ms) THEN 'target_interval'
+                      WHEN NOT (actual_duration_ms > 0) THEN 'actual_duration' END, segment_id)
+           FILTER (WHERE NOT (target_end_ms > target_start_ms) OR NOT (actual_duration_ms > 0)) AS seg_err
+       FROM synthesis GROUP BY doc_id)
+SELECT tr.doc_id, tr.n AS translated_segments, tr.seg_err AS translation_segment_error,
+       CAST(NULL AS VARCHAR) AS translation_model_error, sy.n AS synthesized_segments,
+       sy.seg_err AS synthesis_segment_error,
+       CASE WHEN sy.n_ids <> sy.n THEN 'segment_id_unique' END AS synthesis_model_error, '' AS unknown_fields
+FROM tr JOIN sy ON tr.doc_id = sy.doc_id"""))
+def timeline_contracts(spark: SparkSession, sf: str) -> DataFrame:
+    """Translated timelines (latest version per segment, G6) and synthesis
+    results per conversation, written as contract documents (A2), read back
+    strictly (A1) and checked with their segment and document rules."""
+    segs = B.transcript_segments(spark, sf).select("doc_id", "segment_id", "seg_pos")
+    art = lambda prefix: F.struct(F.concat(F.lit(prefix), F.col("doc_id").cast("string")).alias("uri"),
+                                  F.lit("application/json").alias("content_type"))
+    lt = TL.latest_translation(B.translations(spark, sf)).join(segs, ["doc_id", "segment_id"])
+    tseg = F.struct("segment_id", "source_start_ms", "source_end_ms", "source_text", "translated_text", "speaker",
+                    "translation_version")
+    tdocs = lt.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("seg_pos", tseg.alias("s")))).alias("_s"))
+    tdocs = tdocs.select("doc_id", F.to_json(F.struct(
+        F.lit("1.0").alias("schema_version"), art("s3://asr/").alias("source_transcript"),
+        F.lit("en").alias("source_language"), F.lit("zh-CN").alias("target_language"), F.lit("mt").alias("provider"),
+        F.lit("base").alias("model"), F.transform("_s", lambda x: x["s"]).alias("segments"))).alias("raw"))
+    t = TL.translated_timeline_checks(parse_contract(tdocs, "raw", CONTRACTS["translated_timeline"]))
+    sy = B.synthesis(spark, sf).join(segs, ["doc_id", "segment_id"])
+    sseg = F.struct("segment_id", "target_start_ms", "target_end_ms", "text", "voice",
+                    F.struct(F.col("audio_uri").alias("uri"), F.lit("audio/wav").alias("content_type")).alias("audio"),
+                    "actual_duration_ms")
+    sdocs = sy.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("seg_pos", sseg.alias("s")))).alias("_s"))
+    sdocs = sdocs.select("doc_id", F.to_json(F.struct(
+        F.lit("1.0").alias("schema_version"), art("s3://translation/").alias("source_timeline"),
+        F.lit("zh-CN").alias("language"), F.lit("tts").alias("provider"), F.lit("base").alias("model"),
+        F.lit("voice").alias("voice"), F.transform("_s", lambda x: x["s"]).alias("segments"),
+        art("s3://tts/").alias("dubbed_audio"))).alias("raw"))
+    s = TL.synthesis_checks(parse_contract(sdocs, "raw", CONTRACTS["synthesis_result"]))
+    t = t.select("doc_id", F.size("segments").cast("long").alias("translated_segments"),
+                 F.col("first_segment_error").alias("translation_segment_error"),
+                 F.col("model_error").alias("translation_model_error"), F.col("unknown_fields").alias("_u1"))
+    s = s.select("doc_id", F.size("segments").cast("long").alias("synthesized_segments"),
+                 F.col("first_segment_error").alias("synthesis_segment_error"),
+                 F.col("model_error").alias("synthesis_model_error"), F.col("unknown_fields").alias("_u2"))
+    j = t.join(s, "doc_id")
+    return j.select("doc_id", "translated_segments", "translation_segment_error", "translation_model_error",
+                    "synthesized_segments", "synthesis_segment_error", "synthesis_model_error",
+                    F.array_join(F.array_union("_u1", "_u2"), ",").alias("unknown_fields"))

@@ -165,3 +165,30 @@ def test_transcript_document_checks(spark):
                    (None, None, "segment_duration"), ("language", "word_interval", None),
                    (None, "word_order", None)]
     assert [r["raw_response_artifacts"] for r in out][0] == []
+
+
+def test_translation_and_synthesis_document_checks(spark):
+    import json
+    from tapeworks.sources.contracts import CONTRACTS, parse_contract
+    art = {"uri": "s3://a/b", "content_type": "application/json"}
+    tseg = lambda sid, a, b, v=1: {"segment_id": sid, "source_start_ms": a, "source_end_ms": b, "source_text": "s",
+                                   "translated_text": "t", "translation_version": v}
+    tdoc = lambda segs: {"source_transcript": art, "source_language": "en", "target_language": "zh", "provider": "p",
+                         "model": "m", "segments": segs}
+    tdocs = [tdoc([tseg("seg-0001", 1000, 1400)]), tdoc([tseg("a", 500, 900), tseg("b", 100, 200)]),
+             tdoc([tseg("a", 0, 10), tseg("a", 20, 30)]), tdoc([tseg("a", 10, 5)]), tdoc([tseg("a", 0, 5, v=0)])]
+    df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(tdocs)], "id int, raw string")
+    t = TL.translated_timeline_checks(parse_contract(df, "raw", CONTRACTS["translated_timeline"])).orderBy("id")
+    assert [(r["first_segment_error"], r["model_error"]) for r in t.collect()] == [
+        (None, None), (None, "segment_order"), (None, "segment_id_unique"), ("translated_interval", None),
+        ("translation_version", None)]
+    sseg = lambda sid, a, b, d: {"segment_id": sid, "target_start_ms": a, "target_end_ms": b, "text": "t",
+                                 "voice": "v", "audio": art, "actual_duration_ms": d}
+    sdoc = lambda segs: {"source_timeline": art, "language": "zh", "provider": "p", "model": "m", "voice": "v",
+                         "segments": segs, "dubbed_audio": art}
+    sdocs = [sdoc([sseg("seg-0001", 1000, 2400, 1300)]), sdoc([sseg("a", 500, 900, 1), sseg("b", 100, 200, 1)]),
+             sdoc([sseg("a", 0, 10, 1), sseg("a", 20, 30, 1)]), sdoc([sseg("a", 0, 10, 0)])]
+    df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(sdocs)], "id int, raw string")
+    s = TL.synthesis_checks(parse_contract(df, "raw", CONTRACTS["synthesis_result"])).orderBy("id")
+    assert [(r["first_segment_error"], r["model_error"]) for r in s.collect()] == [
+        (None, None), (None, None), (None, "segment_id_unique"), ("actual_duration", None)]
