@@ -56,10 +56,12 @@ def has_offset(text, grammar: str = "contract") -> Column:
 def aware_timestamp(text, grammar: str = "contract") -> Column:
     """Text → UTC instant; null when naive or unparsable."""
     t = strip_ws(col_of(text))
+    # Spark reads Z, +HH, +HHMM and +HH:MM itself; the rewrite (small z or t,
+    # other spellings) only runs when that fails: coalesce is lazy
     iso = F.regexp_replace(F.regexp_replace(t, r"[Zz]\z", "+00:00"), r"([+-]\d{2})\z", "$1:00")
     iso = F.regexp_replace(iso, r"([+-]\d{2})(\d{2})\z", "$1:$2")
     iso = F.regexp_replace(iso, r"^(\d{4}-\d{2}-\d{2})[t ]", "$1T")
-    parsed = F.try_to_timestamp(iso)
+    parsed = F.coalesce(F.try_to_timestamp(t), F.try_to_timestamp(iso))
     if grammar == "contract":
         epoch = F.when(t.rlike(_EPOCH), F.timestamp_micros((t.try_cast("decimal(20,6)") * 1000000).cast("long")))
         parsed = F.coalesce(epoch, parsed)
