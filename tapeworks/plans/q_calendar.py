@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeworks.functions.time import iso_text, ts_text
 from tapeworks.operators import calendar as C
 from tapeworks.plans.catalog import register
 from tapeworks.sources.tables import as_utc, table
