@@ -117,3 +117,20 @@ def video_uri(c) -> Column:
 def watch_url(video_id) -> Column:
     """P8."""
     return F.concat(F.lit("https://www.youtube.com/watch?v="), col_of(video_id))
+
+
+def normalize_http_url(c) -> Column:
+    """An http(s) URL as the contracts serialize it: scheme and host in lower
+    case, the scheme's default port dropped, an empty path written as ``/``
+    (``https://Example.COM:443?q`` → ``https://example.com/?q``).  Text that
+    is not an http(s) URL is returned stripped, unchanged otherwise."""
+    s = strip_ws(col_of(c))
+    pat = r"^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)(.*)\z"
+    scheme = F.lower(F.regexp_extract(s, pat, 1))
+    host = F.lower(F.regexp_extract(s, pat, 2))
+    host = (F.when((scheme == "http") & host.endswith(":80"), F.regexp_replace(host, r":80\z", ""))
+            .when((scheme == "https") & host.endswith(":443"), F.regexp_replace(host, r":443\z", ""))
+            .otherwise(host))
+    rest = F.regexp_extract(s, pat, 3)
+    rest = F.when(rest.startswith("/"), rest).otherwise(F.concat(F.lit("/"), rest))
+    return F.when(is_http_url(s), F.concat(scheme, F.lit("://"), host, rest)).otherwise(s)

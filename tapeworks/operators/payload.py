@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapeworks.functions.text import strip_ws
+from tapeworks.functions.uri import normalize_http_url
 
 # Message field order and flag names of the push payload.
 MESSAGE_FIELDS = ("title", "body", "subtitle", "markdown", "level", "url", "group",
@@ -28,8 +29,12 @@ def message_payload(messages: DataFrame) -> DataFrame:
         if name == "level":
             v = F.coalesce(F.col("level"), F.lit(DEFAULT_LEVEL)) if "level" in cols else F.lit(DEFAULT_LEVEL)
         elif name in cols:
-            # the contract strips text fields; the level literal is not stripped
-            v = strip_ws(name) if dict(messages.dtypes)[name] == "string" else F.col(name)
+            # the contract strips text fields (the level literal is not
+            # stripped) and writes URL fields in normal form
+            if name in ("url", "icon"):
+                v = normalize_http_url(name)
+            else:
+                v = strip_ws(name) if dict(messages.dtypes)[name] == "string" else F.col(name)
         else:
             continue
         parts.append(v.alias(name))

@@ -239,3 +239,13 @@ def test_every_contract_reads_a_minimal_document(spark):
         df = spark.createDataFrame([(json.dumps(doc),), (json.dumps({**doc, "zz_extra": 1}),)], "raw string")
         got = [r["unknown_fields"] for r in parse_contract(df, "raw", contract).collect()]
         assert got == [[], ["zz_extra"]], name
+
+
+def test_http_url_normal_form(spark):
+    from tapeworks.functions.uri import normalize_http_url
+    urls = ["https://Example.COM", "HTTP://a.test:80/x?y", "https://a.test:443?q=1", "https://a.test:8443/p",
+            " https://a.test/p ", "not a url"]
+    df = spark.createDataFrame([(u,) for u in urls], "u string")
+    assert [r[0] for r in df.select(normalize_http_url("u")).collect()] == [
+        "https://example.com/", "http://a.test/x?y", "https://a.test/?q=1", "https://a.test:8443/p",
+        "https://a.test/p", "not a url"]
