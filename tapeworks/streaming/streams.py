@@ -57,16 +57,17 @@ def run_uploads(spark: SparkSession, stream: DataFrame, name: str = "uploads") -
 
 
 def run_latest_state(spark: SparkSession, rows: DataFrame, key: str, order: list[str],
-                     name: str = "latest") -> DataFrame:
+                     name: str = "latest", base: str | None = None) -> DataFrame:
     """R2: latest row per key across micro-batches.
 
     Each batch is reduced to one row per key (``max_by``, partial aggregation)
     and written under its batch ID (overwrite: a retried batch rewrites the
     same folder).  The latest table is the per-key ``max_by`` over all batch
     folders, so the state lives only in storage: a restarted driver resumes
-    from the checkpoint and loses nothing.
+    from the checkpoint and loses nothing.  ``base``: the folder of a
+    previous run to resume (default: a fresh folder under the shared root).
     """
-    base = scratch_path(spark, name)
+    base = base or scratch_path(spark, name)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         dedupe_keep_last(batch, [key], order).write.mode("overwrite").parquet(f"{base}/b{batch_id:08d}")
