@@ -249,3 +249,20 @@ def test_http_url_normal_form(spark):
     assert [r[0] for r in df.select(normalize_http_url("u")).collect()] == [
         "https://example.com/", "http://a.test/x?y", "https://a.test/?q=1", "https://a.test:8443/p",
         "https://a.test/p", "not a url"]
+
+
+def test_content_types_and_uri_split(spark):
+    from tapeworks.functions.uri import content_type, split_s3_uri
+    cases = [("image.jpg", "image/jpeg"), ("photo.png", "image/png"), ("document.pdf", "application/pdf"),
+             ("spreadsheet.xlsx", "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet"),
+             ("data.csv", "text/csv"), ("config.json", "application/json"),
+             ("file.unknown", "application/octet-stream"), ("VIDEO.MP4", "video/mp4"),
+             ("a.tar.gz", "application/x-tar"), ("a.tgz", "application/x-tar"), ("a.gz", "application/octet-stream"),
+             (".bashrc", "application/octet-stream"), ("https://x.test/p/final.mp4?sig=1#t", "video/mp4"),
+             ("https://x.test/en/825/", "application/octet-stream")]
+    df = spark.createDataFrame(cases, "path string, expected string")
+    assert [(r[0], r[1]) for r in df.select("expected", content_type("path")).collect()] == \
+        [(e, e) for _, e in cases]
+    u = spark.createDataFrame([(GOOD_URI,), ("s3://bucket",)], "u string").select(split_s3_uri("u").alias("s")).collect()
+    assert (u[0]["s"]["bucket"], u[0]["s"]["key"]) == ("video-localization", "youtube/abc/source/video.mp4")
+    assert u[1]["s"] is None
