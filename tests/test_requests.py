@@ -17,3 +17,24 @@ def test_idempotency_keys(spark):
     df = spark.createDataFrame([("localize", "run-1", "download", 3)], "d string, r string, t string, m int")
     assert df.select(J.default_idempotency_key("d", "r", "t", "m")).collect()[0][0] == "localize:run-1:download:3"
     assert df.select(J.stage_idempotency_key(F.lit("youtube"), "r", F.lit("v1"))).collect()[0][0] == "youtube:run-1:v1"
+
+
+def test_poll_and_error_classes(spark):
+    df = spark.createDataFrame([(200,), (404,), (429,), (500,), (451,), (401,)], "s int")
+    got = [(r[0], r[1], r[2]) for r in df.select("s", J.poll_class("s"), J.http_error_class("s")).collect()]
+    assert got == [(200, "parse", None), (404, "fail", "input"), (429, "fail", "transient"),
+                   (500, "retry", "transient"), (451, "fail", "policy"), (401, "fail", "authentication")]
+    pol = {r["error_class"]: r["policy"] for r in J.retry_policy(
+        df.select(J.http_error_class("s").alias("error_class")).dropna(), spark).collect()}
+    assert pol == {"input": "not_retryable", "transient": "retry_with_backoff", "policy": "block_downstream",
+                   "authentication": "stop_and_notify"}
+
+
+def test_job_timeouts(spark):
+    jobs = spark.createDataFrame([("j1", "queued", "2024-01-30 20:00:00", 1), ("j1", "running", "2024-01-30 23:00:00", 2),
+                                  ("j2", "queued", "2024-01-30 23:30:00", 3), ("j3", "queued", "2024-01-30 10:00:00", 4),
+                                  ("j3", "succeeded", "2024-01-30 11:00:00", 5)],
+                                 "job_id string, status string, t string, event_id int").withColumn(
+        "updated_ts", F.to_timestamp("t"))
+    out = [(r["job_id"], r["status"], r["age_s"]) for r in J.job_timeouts(jobs, "2024-01-31 00:00:00").collect()]
+    assert out == [("j1", "running", 14400)]
