@@ -38,3 +38,11 @@ def test_job_timeouts(spark):
         "updated_ts", F.to_timestamp("t"))
     out = [(r["job_id"], r["status"], r["age_s"]) for r in J.job_timeouts(jobs, "2024-01-31 00:00:00").collect()]
     assert out == [("j1", "running", 14400)]
+
+
+def test_stage_requests_one_pass(spark):
+    df = spark.createDataFrame([("s3://b/in",)], "input_uri string")
+    assert sorted(r["job_type"] for r in J.stage_requests(df, ("download", "transcribe")).collect()) == [
+        "download", "transcribe"]
+    with pytest.raises(ValueError):
+        J.stage_requests(df, ("download", "media_quality_check"))
