@@ -192,3 +192,14 @@ def test_translation_and_synthesis_document_checks(spark):
     s = TL.synthesis_checks(parse_contract(df, "raw", CONTRACTS["synthesis_result"])).orderBy("id")
     assert [(r["first_segment_error"], r["model_error"]) for r in s.collect()] == [
         (None, None), (None, None), (None, "segment_id_unique"), ("actual_duration", None)]
+
+
+def test_ticks_and_session_filter(spark):
+    import datetime as dt
+    spine = C.spine_between(spark, dt.date(2024, 1, 5), dt.date(2024, 1, 8))     # Fri .. Mon
+    ticks = C.trading_ticks(spine).collect()
+    assert len(ticks) == 14 and {t["tick"].strftime("%H:%M") for t in ticks} == {f"{h}:30" for h in range(14, 21)}
+    cal = C.sessions(spine, C.exchange_holidays(spine), C.exchange_early_closes(spine))
+    ev = spark.createDataFrame([(1, "2024-01-05 23:59:00"), (2, "2024-01-06 12:00:00"), (3, "2024-01-08 00:00:01")],
+                               "id int, t string").withColumn("ts", F.to_timestamp("t"))
+    assert rows(C.session_filter(ev, cal), "id") == [(1,), (3,)]
