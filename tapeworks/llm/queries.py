@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tapeworks.llm import line_dedup as ld
 from tapeworks.llm import quality_rules as qr
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -22,11 +23,17 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qr.quality_rules(_table(spark, sf_dir, "documents"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line dedup over all documents: lines with a word, lines deleted, and
+    the text that is left."""
+    return ld.line_dedup(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, QueryFn]:
     return {f.__name__: f for f in (
-        op7_quality_rules,
+        op7_quality_rules, op9_line_dedup,
     )}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_line_dedup": ld.ORACLE_SQL}
