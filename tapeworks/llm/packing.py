@@ -26,7 +26,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,42 +38,61 @@ from tapeworks.llm.text import utf8_column
 SEQUENCE = 4096
 END_ID = 1
 PIECES_PER_GROUP = 20_000
-REMEMBERED_WORDS = 300_000
+REMEMBERED_WORDS = 600_000
 
 
 class WordEncoder:
-    """Token ids of a text by way of its words."""
+    """Token ids of a text, as little-endian unsigned 32-bit integers, by way
+    of its words.  Unknown words are encoded many at a time, with a separator
+    between them that is a word of one token; words that contain it are encoded
+    alone."""
+
+    SEPARATOR = "0"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, list[int]] = {}
+        self.known: dict[bytes, bytes] = {}
+        (self.mark,) = self.ids([self.SEPARATOR])[0]
+
+    def ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, words: set[bytes]) -> None:
         if len(self.known) > REMEMBERED_WORDS:
             self.known.clear()
+        own = self.SEPARATOR.encode()
         new = list(words.difference(self.known))
-        for k in range(0, len(new), 20_000):
-            part = new[k:k + 20_000]
-            found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-            self.known.update(zip(part, (e.ids for e in found)))
-
-    def __call__(self, text: bytes | None) -> np.ndarray:
+        alone = [w for w in new if own in w]
+        joined = [w for w in new if own not in w]
+        for w, ids in zip(alone, self.ids([w.decode("utf-8", "replace") for w in alone])):
+            self.known[w] = np.array(ids, "<u4").tobytes()
+        between = f" {self.SEPARATOR} "
+        for k in range(0, len(joined), 1000):
+            part = joined[k:k + 1000]
+            ids = np.array(self.ids([between.join(w.decode("utf-8", "replace") for w in part)])[0], "<u4")
+            ends = np.append(np.flatnonzero(ids == self.mark), len(ids))
+            raw, start = ids.tobytes(), 0
+            if len(ends) != len(part):
+                raise ValueError("a word's ids contain the separator's")
+            for w, end in zip(part, ends.tolist()):
+                self.known[w] = raw[4 * start:4 * end]
+                start = end + 1
+
+    def __call__(self, text: bytes | None) -> bytes:
         words = (text or b"").split()
-        known = self.known
         try:
-            ids = list(chain.from_iterable(map(known.__getitem__, words)))
+            return b"".join(map(self.known.__getitem__, words))
         except KeyError:
             self.learn(set(words))
-            ids = list(chain.from_iterable(map(self.known.__getitem__, words)))
-        return np.array(ids, "<u4")
+            return b"".join(map(self.known.__getitem__, words))
 
 
 def pieces(docs: DataFrame, vocabulary: str, length: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32: one row per piece."""
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(vocabulary)
+        encoder, end = WordEncoder(vocabulary), np.uint32(end_id).astype("<u4").tobytes()
         for batch in batches:
             source, found = [], []
             texts = utf8_column(batch, "text")
@@ -82,11 +100,11 @@ def pieces(docs: DataFrame, vocabulary: str, length: int = SEQUENCE, end_id: int
                 part = texts[low:low + 500]
                 encoder.learn(set().union(*((x or b"").split() for x in part)))
                 for row, text in enumerate(part, low):
-                    ids = np.append(encoder(text), np.uint32(end_id)).astype("<u4")
-                    for k, start in enumerate(range(0, len(ids), length)):
-                        own = ids[start:start + length]
+                    ids = encoder(text) + end
+                    for k, start in enumerate(range(0, len(ids) // 4, length)):
+                        own = ids[4 * start:4 * (start + length)]
                         source.append(row)
-                        found.append((k, start, len(own), zlib.crc32(own.tobytes())))
+                        found.append((k, start, len(own) // 4, zlib.crc32(own)))
             k, start, size, crc = zip(*found) if found else ([], [], [], [])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(pa.array(source, pa.int64())), pa.array(k, pa.int32()),
@@ -99,23 +117,24 @@ def pieces(docs: DataFrame, vocabulary: str, length: int = SEQUENCE, end_id: int
 
 
 def pack_lengths(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sequence number and offset of each piece, in the order given."""
-    count = np.zeros(capacity + 1, np.int64)  # open sequences per gap; gap 0 is full and never counted
+    """Sequence number and offset of each piece, in the order given.
+
+    With N(g) open sequences of gap g, a piece of s put into gap g changes the
+    sum of squares by 2 (N(g - s) - N(g) + 1), into a gap of its own size by
+    1 - 2 N(s), into a new sequence by 2 N(capacity - s) + 1.
+    """
+    count = np.zeros(capacity + 1, np.int64)  # gap 0 (full) is never counted
     open_at: list[list[int]] = [[] for _ in range(capacity + 1)]
     sequence, offset = np.empty(len(sizes), np.int64), np.empty(len(sizes), np.int64)
-    made = 0
+    made, never = 0, np.iinfo(np.int64).max
     for k, s in enumerate(sizes.tolist()):
-        after = count[: capacity - s + 1]  # counts at the gaps that would be left
-        # Change of the sum of squares / 2 for gaps s..capacity; an exact fit only takes one away.
-        change = after - count[s:] + 1
-        change[0] -= after[0] + 1
-        change = np.where(count[s:] > 0, change, np.iinfo(np.int64).max)
-        if s:
-            new = int(after[-1]) + 1 if s < capacity else 0  # a new sequence, seen the same way
-            change[0] = min(change[0], np.iinfo(np.int64).max)
+        here, left = count[s:], count[: capacity + 1 - s]
+        change = np.where(here > 0, 2 * (left - here + 1), never)
+        if here[0] > 0:
+            change[0] = 1 - 2 * here[0]
         best = int(change.argmin())
-        # An open sequence of gap g: (N(g)-1)^2 + (N(g-s)+1)^2 - ... = 2 (N(g-s) - N(g) + 1); a new one: 2 N(c-s) + 1.
-        if count[s + best] > 0 and 2 * int(change[best]) <= 2 * new - 1:
+        new = 2 * int(left[-1]) + 1 if s < capacity else 0
+        if change[best] <= new:
             gap = s + best
             at = open_at[gap].pop()
             count[gap] -= 1

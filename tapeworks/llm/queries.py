@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tapeworks.llm import line_dedup as ld
+from tapeworks.llm import mixing, packing
 from tapeworks.llm import quality_rules as qr
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +24,19 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qr.quality_rules(_table(spark, sf_dir, "documents"))
 
 
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mixing all documents to the target weights of their sources: words of
+    each document, its source's words and target, and the words the mix takes."""
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sum-of-squares packing of all documents into sequences of 4096 tokens."""
+    import public_tokenizers
+
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line dedup over all documents: lines with a word, lines deleted, and
     the text that is left."""
@@ -31,7 +45,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, QueryFn]:
     return {f.__name__: f for f in (
-        op7_quality_rules, op9_line_dedup,
+        op3_source_mixing, op7_quality_rules, op8_best_fit_packing, op9_line_dedup,
     )}
 
 
