@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tapeworks.llm import jaccard
 from tapeworks.llm import line_dedup as ld
 from tapeworks.llm import mixing, packing
 from tapeworks.llm import quality_rules as qr
@@ -18,6 +19,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N-gram Jaccard join of all documents: class, number of links, group."""
+    return jaccard.jaccard_join(_table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality rules over all documents: base measures, Jensen-Shannon
     distances to the language references, verdict."""
@@ -45,7 +51,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, QueryFn]:
     return {f.__name__: f for f in (
-        op3_source_mixing, op7_quality_rules, op8_best_fit_packing, op9_line_dedup,
+        op3_source_mixing, op4_jaccard_join, op7_quality_rules, op8_best_fit_packing, op9_line_dedup,
     )}
 
 
