@@ -11,6 +11,7 @@ from tapeworks.llm import jaccard
 from tapeworks.llm import line_dedup as ld
 from tapeworks.llm import mixing, packing
 from tapeworks.llm import quality_rules as qr
+from tapeworks.llm import substrings
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +25,12 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_join(_table(spark, sf_dir, "documents"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Substring dedup of all documents: words, words removed, and the SHA-256
+    of the words that are left."""
+    return substrings.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality rules over all documents: base measures, Jensen-Shannon
     distances to the language references, verdict."""
@@ -51,7 +58,8 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, QueryFn]:
     return {f.__name__: f for f in (
-        op3_source_mixing, op4_jaccard_join, op7_quality_rules, op8_best_fit_packing, op9_line_dedup,
+        op3_source_mixing, op4_jaccard_join, op6_substring_dedup, op7_quality_rules, op8_best_fit_packing,
+        op9_line_dedup,
     )}
 
 
