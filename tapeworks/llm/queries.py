@@ -11,7 +11,7 @@ from tapeworks.llm import jaccard
 from tapeworks.llm import line_dedup as ld
 from tapeworks.llm import mixing, packing
 from tapeworks.llm import quality_rules as qr
-from tapeworks.llm import substrings
+from tapeworks.llm import substrings, suffix_lm
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -56,10 +56,15 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ld.line_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by a probabilistic suffix tree, and by unigrams."""
+    return suffix_lm.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, QueryFn]:
     return {f.__name__: f for f in (
         op3_source_mixing, op4_jaccard_join, op6_substring_dedup, op7_quality_rules, op8_best_fit_packing,
-        op9_line_dedup,
+        op9_line_dedup, op10_suffix_tree_scores,
     )}
 
 
