@@ -37,10 +37,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapeworks.llm.shared import connected_components, spread, stored
+from tapeworks.llm.shared import block_pairs, connected_components, forest, runs, spread, stored
 from tapeworks.llm.text import WordHasher, gram_hashes, mix, utf8_column
 
 GRAM = 5
@@ -118,41 +118,6 @@ def row_keys(docs: DataFrame) -> list:
             F.xxhash64(F.coalesce(docs["text"], F.lit(""))).alias("t")]
 
 
-def forest(linked: np.ndarray) -> list[tuple[int, int]]:
-    """Edges of a spanning forest of a symmetric boolean matrix."""
-    new, edges = np.ones(len(linked), bool), []
-    for root in range(len(linked)):
-        if not new[root]:
-            continue
-        new[root] = False
-        todo = [root]
-        while todo:
-            u = todo.pop()
-            found = np.flatnonzero(linked[u] & new)
-            new[found] = False
-            edges += [(u, v) for v in found.tolist()]
-            todo += found.tolist()
-    return edges
-
-
-def block_pairs(count: str, block: str, per_block: int) -> Column:
-    """The (i, j) block pairs a row belongs to, when its group of ``count`` rows
-    is dealt out by ``block``, a hash of the row."""
-    blocks = F.ceil(F.col(count) / per_block).cast("int")
-    own = F.pmod(F.col(block), blocks).cast("int")
-    return F.transform(F.sequence(F.lit(0), blocks - 1),
-                       lambda j: F.struct(F.least(own, j).alias("i"), F.greatest(own, j).alias("j"), own.alias("own")))
-
-
-def runs(*columns: np.ndarray) -> np.ndarray:
-    """Bounds of the runs of equal rows in sorted columns."""
-    turn = np.zeros(len(columns[0]) + 1, bool)
-    turn[[0, -1]] = True
-    for c in columns:
-        turn[1:-1] |= c[1:] != c[:-1]
-    return np.flatnonzero(turn)
-
-
 def _bucket_edges(floor: float):
     """Task function: forests of the sketch links in each bucket of a table."""
     least = math.ceil(SKETCH * (floor + (1 - floor) / 256))

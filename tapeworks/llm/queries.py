@@ -11,7 +11,7 @@ from tapeworks.llm import jaccard
 from tapeworks.llm import line_dedup as ld
 from tapeworks.llm import mixing, packing
 from tapeworks.llm import quality_rules as qr
-from tapeworks.llm import substrings, suffix_lm
+from tapeworks.llm import substrings, suffix_lm, vectors
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,11 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_join(_table(spark, sf_dir, "documents"))
 
 
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embedding near-dedup of all vectors: links and component of each."""
+    return vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Substring dedup of all documents: words, words removed, and the SHA-256
     of the words that are left."""
@@ -63,8 +68,8 @@ def op10_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, QueryFn]:
     return {f.__name__: f for f in (
-        op3_source_mixing, op4_jaccard_join, op6_substring_dedup, op7_quality_rules, op8_best_fit_packing,
-        op9_line_dedup, op10_suffix_tree_scores,
+        op3_source_mixing, op4_jaccard_join, op5_embedding_near_dedup, op6_substring_dedup, op7_quality_rules,
+        op8_best_fit_packing, op9_line_dedup, op10_suffix_tree_scores,
     )}
 
 
