@@ -40,7 +40,7 @@ from tapeworks.llm.text import WORD_PATTERN
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
 BLOCK_WORDS = 16
-DOCS_PER_SHARD = 50_000
+DOCS_PER_SHARD = 4_000
 SEED = "mix-1"
 
 

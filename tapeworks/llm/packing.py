@@ -13,9 +13,8 @@
    with the smallest N(g - s) - N(g) (a full sequence has no count).
 
 The first pass reads each text once; after that only rows of a few numbers
-move.  Words are encoded once per task and remembered (the vocabulary splits at
-white space, so the ids of a text are those of its words; a test compares them
-with the tokenizer's ids of whole texts).
+move.  Words are encoded once per task and remembered (``WordEncoder``; a test
+compares it with the tokenizer's ids of whole texts).
 
 Nulls and edge cases: a null or empty text is one piece with the end id only.
 A null doc_id is kept.  Repeated rows are packed each by itself.  An empty
@@ -26,6 +25,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,78 +33,135 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapeworks.llm.shared import spread, stored
-from tapeworks.llm.text import utf8_column
+from tapeworks.llm.text import WordHasher, utf8_column
 
 SEQUENCE = 4096
 END_ID = 1
 PIECES_PER_GROUP = 20_000
-REMEMBERED_WORDS = 600_000
+REMEMBERED_PARTS = 1_500_000
+CHUNK = 8_000_000
 
 
 class WordEncoder:
-    """Token ids of a text, as little-endian unsigned 32-bit integers, by way
-    of its words.  Unknown words are encoded many at a time, with a separator
-    between them that is a word of one token; words that contain it are encoded
-    alone."""
+    """Token ids of texts by way of their parts, each encoded once.
+
+    The vocabulary ignores case, drops white space and keeps letters and
+    punctuation apart, so a text is cut at white space and between an ASCII
+    letter and a stop, and its parts are encoded independently.  Parts are found
+    and numbered by 64-bit hashes, many texts at once.  A new part of ASCII
+    letters goes to the tokenizer's model as it is; all others go through the
+    whole tokenizer, many at a time with a separator between them that is a word
+    of one token.
+    """
 
     SEPARATOR = "0"
+    SPACES = b" \t\n\x0b\x0c\r"
+    STOPS = b".,;:!?"
+    SPECIAL = b"<|"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.hasher = WordHasher()
+        kind = np.zeros(256, np.int8)
+        kind[list(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")] = 3
+        kind[list(self.STOPS)], kind[list(self.SPACES)] = 1, 2
+        self.kind = kind
         (self.mark,) = self.ids([self.SEPARATOR])[0]
+        self.forget()
+
+    def forget(self) -> None:
+        self.known = np.empty(0, np.uint64)  # hashes of the parts, ascending
+        self.first, self.size = np.empty(0, np.int64), np.empty(0, np.int64)  # their places in tokens
+        self.tokens = np.empty(0, np.uint32)
 
     def ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, words: set[bytes]) -> None:
-        if len(self.known) > REMEMBERED_WORDS:
-            self.known.clear()
-        own = self.SEPARATOR.encode()
-        new = list(words.difference(self.known))
-        alone = [w for w in new if own in w]
-        joined = [w for w in new if own not in w]
-        for w, ids in zip(alone, self.ids([w.decode("utf-8", "replace") for w in alone])):
-            self.known[w] = np.array(ids, "<u4").tobytes()
+    def parts_ids(self, parts: list[bytes]) -> list[list[int]]:
+        """Ids of each part."""
+        own, model, out = self.SEPARATOR.encode(), self.tokenizer.model, [None] * len(parts)
+        joined = []
+        for k, x in enumerate(parts):
+            if x.isalpha() and x.islower():  # of bytes: ASCII letters only
+                out[k] = [t.id for t in model.tokenize(x.decode())]
+            elif own in x:
+                out[k] = self.ids([x.decode("utf-8", "replace")])[0]
+            else:
+                joined.append(k)
         between = f" {self.SEPARATOR} "
-        for k in range(0, len(joined), 1000):
-            part = joined[k:k + 1000]
-            ids = np.array(self.ids([between.join(w.decode("utf-8", "replace") for w in part)])[0], "<u4")
-            ends = np.append(np.flatnonzero(ids == self.mark), len(ids))
-            raw, start = ids.tobytes(), 0
-            if len(ends) != len(part):
-                raise ValueError("a word's ids contain the separator's")
-            for w, end in zip(part, ends.tolist()):
-                self.known[w] = raw[4 * start:4 * end]
+        for low in range(0, len(joined), 1000):
+            some = joined[low:low + 1000]
+            ids = self.ids([between.join(parts[k].decode("utf-8", "replace") for k in some)])[0]
+            ends = [*np.flatnonzero(np.array(ids) == self.mark).tolist(), len(ids)]
+            if len(ends) != len(some):
+                raise ValueError("a part's ids contain the separator's")
+            start = 0
+            for k, end in zip(some, ends):
+                out[k] = ids[start:end]
                 start = end + 1
-
-    def __call__(self, text: bytes | None) -> bytes:
-        words = (text or b"").split()
-        try:
-            return b"".join(map(self.known.__getitem__, words))
-        except KeyError:
-            self.learn(set(words))
-            return b"".join(map(self.known.__getitem__, words))
+        return out
+
+    def encode(self, texts: list[bytes | None]) -> list[np.ndarray]:
+        """Ids of each text."""
+        texts = [x if self.SPECIAL in x else x.lower() for x in (x or b"" for x in texts)]
+        whole = b" ".join(texts)
+        if not whole:
+            return [np.empty(0, np.uint32)] * len(texts)
+        kind = self.kind[np.frombuffer(whole, np.uint8)]
+        before = np.concatenate([[2], kind[:-1]])
+        inside = kind != 2
+        starts = np.flatnonzero(inside & ((before == 2) | (before == 3) & (kind == 1)))
+        # A part ends where the next starts or a space follows.
+        space = np.flatnonzero(np.concatenate([~inside & (before != 2), [kind[-1] != 2]]))
+        ends = np.empty(len(starts), np.int64)
+        if len(starts):
+            ends[:-1] = starts[1:]
+            ends[-1] = len(whole)
+            ends = np.minimum(ends, space[np.searchsorted(space, starts, "right")])
+        part, index, of = np.unique(self.hasher.pieces(whole, starts, ends), return_index=True, return_inverse=True)
+        if len(self.known) > REMEMBERED_PARTS:
+            self.forget()
+        at = np.searchsorted(self.known, part)
+        new = np.flatnonzero(np.append(self.known, 0)[at] != part if len(self.known) else np.ones(len(part), bool))
+        if len(new):
+            found = self.parts_ids([whole[a:b] for a, b in zip(starts[index[new]].tolist(), ends[index[new]].tolist())])
+            size = np.fromiter(map(len, found), np.int64, len(found))
+            first = len(self.tokens) + np.cumsum(size) - size
+            self.tokens = np.concatenate([self.tokens, np.fromiter(chain.from_iterable(found), np.uint32, int(size.sum()))])
+            place = np.searchsorted(self.known, part[new])
+            self.known, self.first, self.size = (np.insert(old, place, add) for old, add in (
+                (self.known, part[new]), (self.first, first), (self.size, size)))
+            at = np.searchsorted(self.known, part)
+        first, size = self.first[at][of], self.size[at][of]
+        total = np.cumsum(size)
+        ids = self.tokens[np.repeat(first - (total - size), size) + np.arange(total[-1] if len(total) else 0)]
+        text_ends = np.cumsum([len(x) + 1 for x in texts])
+        cuts = np.concatenate([[0], total])[np.searchsorted(starts, text_ends)]
+        return np.split(ids, cuts[:-1])
 
 
 def pieces(docs: DataFrame, vocabulary: str, length: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32: one row per piece."""
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = WordEncoder(vocabulary), np.uint32(end_id).astype("<u4").tobytes()
+        encoder = WordEncoder(vocabulary)
         for batch in batches:
             source, found = [], []
             texts = utf8_column(batch, "text")
-            for low in range(0, len(texts), 500):
-                part = texts[low:low + 500]
-                encoder.learn(set().union(*((x or b"").split() for x in part)))
-                for row, text in enumerate(part, low):
-                    ids = encoder(text) + end
-                    for k, start in enumerate(range(0, len(ids) // 4, length)):
-                        own = ids[4 * start:4 * (start + length)]
+            low = 0
+            while low < len(texts):
+                high, size = low, 0
+                while high < len(texts) and (high == low or size < CHUNK):
+                    size += len(texts[high] or b"")
+                    high += 1
+                for row, ids in enumerate(encoder.encode(texts[low:high]), low):
+                    ids = np.append(ids, np.uint32(end_id)).astype("<u4")
+                    for k, start in enumerate(range(0, len(ids), length)):
+                        own = ids[start:start + length]
                         source.append(row)
-                        found.append((k, start, len(own) // 4, zlib.crc32(own)))
+                        found.append((k, start, len(own), zlib.crc32(own.tobytes())))
+                low = high
             k, start, size, crc = zip(*found) if found else ([], [], [], [])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(pa.array(source, pa.int64())), pa.array(k, pa.int32()),

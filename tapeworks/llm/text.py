@@ -59,18 +59,21 @@ class WordHasher:
         turn = np.diff(inside)
         return np.flatnonzero(turn == 1), np.flatnonzero(turn == -1)
 
-    def __call__(self, text: bytes | None) -> np.ndarray:
-        if not text:
-            return np.empty(0, np.uint64)
+    def pieces(self, text: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hashes of the parts of a text between these offsets."""
         size = len(text)
         if size > len(self.up):
             self.up = _powers(_BASE, size + size // 2)
             self.down = _powers(pow(_BASE, -1, 2**64), size + size // 2)
-        starts, ends = self.bounds(text)
         total = np.zeros(size + 1, np.uint64)
         np.cumsum(_BYTE[np.frombuffer(text, np.uint8)] * self.up[:size], out=total[1:])
         return mix((total[ends] - total[starts]) * self.down[starts] + (ends - starts).astype(np.uint64))
 
+    def __call__(self, text: bytes | None) -> np.ndarray:
+        if not text:
+            return np.empty(0, np.uint64)
+        return self.pieces(text, *self.bounds(text))
+
 
 def mix(h: np.ndarray) -> np.ndarray:
     """Finalise 64-bit values so that all their bits depend on all bits given."""
