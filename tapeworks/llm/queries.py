@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapeworks.llm import jaccard
+from tapeworks.llm import importance, jaccard, licenses
 from tapeworks.llm import line_dedup as ld
 from tapeworks.llm import mixing, packing
 from tapeworks.llm import quality_rules as qr
@@ -42,6 +42,17 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qr.quality_rules(_table(spark, sf_dir, "documents"))
 
 
+def op1_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance resampling of all documents towards the labelled good ones:
+    log weight, Gumbel key, kept."""
+    return importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License scan of all documents: templates found, coverage and spans."""
+    return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mixing all documents to the target weights of their sources: words of
     each document, its source's words and target, and the words the mix takes."""
@@ -68,8 +79,9 @@ def op10_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, QueryFn]:
     return {f.__name__: f for f in (
-        op3_source_mixing, op4_jaccard_join, op5_embedding_near_dedup, op6_substring_dedup, op7_quality_rules,
-        op8_best_fit_packing, op9_line_dedup, op10_suffix_tree_scores,
+        op1_importance_resampling, op2_license_scan, op3_source_mixing, op4_jaccard_join,
+        op5_embedding_near_dedup, op6_substring_dedup, op7_quality_rules, op8_best_fit_packing,
+        op9_line_dedup, op10_suffix_tree_scores,
     )}
 
 
