@@ -261,7 +261,8 @@ def remove_repeats(docs: DataFrame, group: int = GROUP) -> DataFrame:
 
     points = survey.select("t", F.explode(F.arrays_zip("at", "g")).alias("p")).select("t", "p.at", "p.g")
     place = F.xxhash64("t", "at")
-    shared = (points.groupBy("g").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select("g"))
+    # Stored, so that the join shuffles both sides and a hot gram's can be split.
+    shared = stored(points.groupBy("g").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select("g"), "shared")
     marked = points.join(shared, "g").groupBy("t").agg(F.collect_set("at").alias("at"))
     needed = stored(first.select("rep.d", "rep.t").join(marked, "t").select("d", "t", "at"), "marked")
     sizes = needed.agg(F.count("*").alias("n"), F.sum(F.size("at")).alias("points")).first()
@@ -271,7 +272,7 @@ def remove_repeats(docs: DataFrame, group: int = GROUP) -> DataFrame:
     affected = near.join(needed.hint("shuffle_hash"), ["d", "t"])
     affected = stored(affected.dropDuplicates(["d", "t"]) if _repeats(whole) else affected, "affected")
     tasks = spread(most, group)
-    bits = min(22, max(8, math.ceil(math.log2(tasks)) + 6))
+    bits = min(22, max(8, math.ceil(math.log2(tasks)) + 3))  # buckets of about an eighth of a group
     names = [f"s{k}" for k in range(WINDOW // SYMBOL)]
     suffixes = affected.mapInArrow(
         _dealt(prefix_histograms(affected, bits), tasks, group),
