@@ -62,36 +62,45 @@ def _extension(name: Column) -> Column:
 
 
 def content_type(c) -> Column:
-    """A4: MIME type from a file path or URL path, by extension."""
+    """A4: MIME type from a file path or URL path, by extension.
+
+    A short form stands for two extensions (``.tgz`` is ``.tar.gz``): the last
+    is an encoding, so the type is that of the first, as for an extension
+    before any other encoding.
+    """
     s = col_of(c)
     path = F.when(s.rlike(r"^[A-Za-z][A-Za-z0-9+.-]+:"),
                   F.regexp_extract(s, r"^[A-Za-z][A-Za-z0-9+.-]+:(?://[^/?#]*)?([^?#]*)", 1)).otherwise(s)
     ext = _extension(path)
-    for alias, full in SUFFIX_ALIASES.items():
-        path = F.when(ext == alias, F.concat(F.regexp_replace(path, r"\.[^.]*\z", ""), F.lit(full))).otherwise(path)
-    ext = _extension(path)
-    stem = F.regexp_replace(path, r"\.[^./]*\z", "")
-    ext = F.when(ext.isin(*ENCODINGS), _extension(stem)).otherwise(ext)
+    inner = F.create_map(*[F.lit(x) for alias, full in SUFFIX_ALIASES.items() for x in (alias, _first_suffix(full))])
+    ext = (F.when(ext.isin(*ENCODINGS), _extension(F.regexp_replace(path, r"\.[^./]*\z", "")))
+           .otherwise(F.coalesce(F.try_element_at(inner, ext), ext)))
     lookup = F.create_map(*[x for kv in CONTENT_TYPES.items() for x in map(F.lit, kv)])
     return F.coalesce(F.try_element_at(lookup, ext), F.lit(DEFAULT_CONTENT_TYPE))
 
 
-def content_type_sql(expr: str) -> str:
-    """DuckDB twin of ``content_type`` for oracle queries."""
-    path = (f"(CASE WHEN regexp_matches({expr}, '^[A-Za-z][A-Za-z0-9+.-]+:') "
-            f"THEN regexp_extract({expr}, '^[A-Za-z][A-Za-z0-9+.-]+:(?://[^/?#]*)?([^?#]*)', 1) ELSE {expr} END)")
+def _first_suffix(full: str) -> str:
+    return "." + full.split(".")[1]
+
 
+def content_type_sql(key: str, expr: str, source: str) -> str:
+    """DuckDB twin of ``content_type``: (``key``, ``expr``, content_type) of every
+    row of ``source``; each step is a column of its own."""
     def ext(p):
         return f"lower(regexp_extract(regexp_replace(regexp_extract({p}, '([^/]*)$', 1), '^\\.+', ''), '(\\.[^.]*)$', 1))"
 
-    for alias, full in SUFFIX_ALIASES.items():
-        path = f"(CASE WHEN {ext(path)} = '{alias}' THEN regexp_replace({path}, '\\.[^.]*$', '') || '{full}' ELSE {path} END)"
-    e = ext(path)
-    stem = f"regexp_replace({path}, '\\.[^./]*$', '')"
+    values = lambda rows: ", ".join(f"('{a}', '{b}')" for a, b in rows)
     enc = ", ".join(f"'{x}'" for x in ENCODINGS)
-    final = f"(CASE WHEN {e} IN ({enc}) THEN {ext(stem)} ELSE {e} END)"
-    cases = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in CONTENT_TYPES.items())
-    return f"(CASE {final} {cases} ELSE '{DEFAULT_CONTENT_TYPE}' END)"
+    return f"""
+WITH short(a, b) AS (VALUES {values((a, _first_suffix(f)) for a, f in SUFFIX_ALIASES.items())}),
+types(ext, type) AS (VALUES {values(CONTENT_TYPES.items())}),
+paths AS (SELECT {key}, {expr}, CASE WHEN regexp_matches({expr}, '^[A-Za-z][A-Za-z0-9+.-]+:')
+            THEN regexp_extract({expr}, '^[A-Za-z][A-Za-z0-9+.-]+:(?://[^/?#]*)?([^?#]*)', 1) ELSE {expr} END AS path
+          FROM {source}),
+last AS (SELECT *, {ext('path')} AS e FROM paths),
+inner_ AS (SELECT l.*, CASE WHEN e IN ({enc}) THEN {ext("regexp_replace(path, '\\.[^./]*$', '')")} ELSE coalesce(b, e) END AS x
+           FROM last l LEFT JOIN short ON e = a)
+SELECT {key}, {expr}, coalesce(type, '{DEFAULT_CONTENT_TYPE}') AS content_type FROM inner_ LEFT JOIN types ON x = ext"""
 
 
 def path_segment(c) -> Column:

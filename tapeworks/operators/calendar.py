@@ -1,18 +1,17 @@
 """Trading-calendar gating (§2.4 P22–P25, P27; §2.5 D7–D9).
 
-The calendar is a session table built from a date spine: weekdays minus a
+The calendar is a session table over the dates that matter: weekdays minus a
 holiday list, regular hours in the exchange's zone converted to UTC per day
 (so daylight saving comes out of the table), early closes overriding the
-close.  Its size is bounded by the days in the span (a few hundred rows per
-year), which is the proof that broadcasting it is safe; every event-side
-operator is then a broadcast hash join on the UTC date.
+close.  Holidays and early closes are inputs.  All plans are lazy: the dates
+are an aggregate of the events, events meet the calendar in an equi-join on
+the UTC date, and the optimizer broadcasts the calendar when it has measured
+it to be small.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapeworks.functions import col_of
@@ -22,7 +21,7 @@ from tapeworks.functions.time import iso_text
 EXCHANGE_ZONE = "America/New_York"
 OPEN_TIME = "09:30:00"
 CLOSE_TIME = "16:00:00"
-MAX_CALENDAR_DAYS = 366 * 30   # spine bound: what we allow to broadcast
+LOOKAHEAD_DAYS = 16   # how far the next session is looked for
 
 # 2024 full-day holidays and early closes (13:00) of the New
 # York exchange, as the exchange publishes them.
@@ -31,100 +30,26 @@ HOLIDAYS_2024 = ("2024-01-01", "2024-01-15", "2024-02-19", "2024-03-29", "2024-0
 EARLY_CLOSES_2024 = (("2024-07-03", "13:00:00"), ("2024-11-29", "13:00:00"), ("2024-12-24", "13:00:00"))
 
 
-# Unscheduled full-day closures of the New York exchange since
-# 2001 (not derivable from a rule).
-AD_HOC_CLOSURES = ("2001-09-11", "2001-09-12", "2001-09-13", "2001-09-14", "2004-06-11", "2007-01-02",
-                   "2012-10-29", "2012-10-30", "2018-12-05", "2025-01-09")
-EARLY_CLOSE_TIME = "13:00:00"
-
-
-def _observed(m, d, dow, month: int, day: int) -> Column:
-    """A fixed-date holiday as the exchange observes it: on the day when it is
-    a weekday, the Friday before when it falls on Saturday, the Monday after
-    when it falls on Sunday (``dow``: 1 = Sunday .. 7 = Saturday)."""
-    return (((m == month) & (d == day) & dow.between(2, 6))
-            | ((m == month) & (d == day - 1) & (dow == 6))
-            | ((m == month) & (d == day + 1) & (dow == 2)))
-
-
-def _good_friday(date: Column) -> Column:
-    """Good Friday: two days before Gregorian Easter (anonymous algorithm,
-    integer arithmetic only)."""
-    y = F.year(date)
-    div = lambda a, b: F.floor(a / b)
-    a, b, c = y % 19, div(y, 100), y % 100
-    h = (19 * a + b - div(b, 4) - div(b - div(b + 8, 25) + 1, 3) + 15) % 30
-    l_ = (32 + 2 * (b % 4) + 2 * div(c, 4) - h - (c % 4)) % 7
-    mm = div(a + 11 * h + 22 * l_, 451)
-    n = h + l_ - 7 * mm + 114
-    easter = F.make_date(y, div(n, 31).cast("int"), ((n % 31) + 1).cast("int"))
-    return F.date_sub(easter, 2)
-
-
-def exchange_holidays(spine: DataFrame, extra_closures=AD_HOC_CLOSURES) -> DataFrame:
-    """Full-day holidays of the New York exchange for every date of the spine,
-    by rule (plus the fixed unscheduled closures): New Year (no Friday
-    observance), Martin Luther King Jr. Day, Presidents' Day, Good Friday,
-    Memorial Day, Juneteenth (from 2022), Independence Day, Labor Day,
-    Thanksgiving, Christmas."""
-    dt_, m, d, dow, y = F.col("date"), F.month("date"), F.dayofmonth("date"), F.dayofweek("date"), F.year("date")
-    monday, thursday = dow == 2, dow == 5
-    rule = (((m == 1) & (d == 1) & dow.between(2, 6)) | ((m == 1) & (d == 2) & monday)
-            | ((m == 1) & monday & d.between(15, 21)) | ((m == 2) & monday & d.between(15, 21))
-            | (dt_ == _good_friday(dt_)) | ((m == 5) & monday & (d >= 25))
-            | ((y >= 2022) & _observed(m, d, dow, 6, 19)) | _observed(m, d, dow, 7, 4)
-            | ((m == 9) & monday & (d <= 7)) | ((m == 11) & thursday & d.between(22, 28))
-            | _observed(m, d, dow, 12, 25))
-    extra = dt_.isin(*[dt.date.fromisoformat(x) for x in extra_closures]) if extra_closures else F.lit(False)
-    return spine.filter(rule | extra).select("date")
-
-
-def exchange_early_closes(spine: DataFrame, close_time: str = EARLY_CLOSE_TIME) -> DataFrame:
-    """Early closes (13:00 local) by rule: the day before Independence Day
-    when July 4 falls Tuesday to Friday, the day after Thanksgiving, and
-    Christmas Eve when it is Monday to Thursday."""
-    m, d, dow = F.month("date"), F.dayofmonth("date"), F.dayofweek("date")
-    rule = (((m == 7) & (d == 3) & dow.between(2, 5)) | ((m == 11) & (dow == 6) & d.between(23, 29))
-            | ((m == 12) & (d == 24) & dow.between(2, 5)))
-    return spine.filter(rule).select("date", F.lit(close_time).alias("close_time"))
-
-
-def date_spine(bounds: DataFrame) -> DataFrame:
-    """One row per date between ``start`` and ``end`` of a one-row frame."""
-    return bounds.select(F.explode(F.sequence("start", "end")).alias("date"))
-
-
-def spine_between(spark, start, end) -> DataFrame:
-    """The date spine for literal bounds, refused beyond ``MAX_CALENDAR_DAYS``.
-
-    This is the size check behind every calendar broadcast: the session table
-    has at most as many rows as the spine.
-    """
-    days = (end - start).days + 1
-    if days > MAX_CALENDAR_DAYS:
-        raise ValueError(f"calendar span of {days} days exceeds {MAX_CALENDAR_DAYS}")
-    return spark.range(0, max(days, 0)).select(F.date_add(F.lit(start), F.col("id").cast("int")).alias("date"))
+def date_spine(events: DataFrame, ts: str = "ts", tail_days: int = 0) -> DataFrame:
+    """Every date from the first to the last UTC date of the events, and
+    ``tail_days`` more."""
+    bounds = events.agg(F.min(F.to_date(ts)).alias("a"), F.date_add(F.max(F.to_date(ts)), tail_days).alias("b"))
+    return bounds.where("a is not null").select(F.explode(F.sequence("a", "b")).alias("date"))
 
 
-def event_span(events: DataFrame, ts: str = "ts", tail_days: int = 0):
-    """(first UTC date, last UTC date + ``tail_days``) of an event table: a
-    one-row aggregate read on the driver (two dates, nothing else)."""
-    row = events.agg(F.min(F.to_date(ts)).alias("a"), F.max(F.to_date(ts)).alias("b")).first()
-    if row is None or row["a"] is None:
-        today = dt.date.today()
-        return today, today
-    return row["a"], row["b"] + dt.timedelta(days=tail_days)
+def event_dates(events: DataFrame, ts: str = "ts") -> DataFrame:
+    """The UTC dates that have an event."""
+    return events.select(F.to_date(ts).alias("date")).where("date is not null").distinct()
 
 
 def sessions(spine: DataFrame, holidays: DataFrame, early_closes: DataFrame,
              open_time: str = OPEN_TIME, close_time: str = CLOSE_TIME, zone: str = EXCHANGE_ZONE) -> DataFrame:
     """(date, open_utc, close_utc) for every session day of the spine.
 
-    ``holidays``: (date); ``early_closes``: (date, close_time).  Both are
-    small fixed inputs, broadcast.
+    ``holidays``: (date); ``early_closes``: (date, close_time).
     """
-    days = spine.filter(~F.dayofweek("date").isin(1, 7)).join(F.broadcast(holidays), "date", "left_anti")
-    days = days.join(F.broadcast(early_closes.withColumnRenamed("close_time", "_early")), "date", "left")
+    days = spine.filter(~F.dayofweek("date").isin(1, 7)).join(holidays.select("date").distinct(), "date", "left_anti")
+    days = days.join(early_closes.groupBy("date").agg(F.min("close_time").alias("_early")), "date", "left")
     local = lambda t: F.to_timestamp(F.concat(F.date_format("date", "yyyy-MM-dd"), F.lit(" "), t))
     return days.select(
         "date",
@@ -132,13 +57,9 @@ def sessions(spine: DataFrame, holidays: DataFrame, early_closes: DataFrame,
         F.to_utc_timestamp(local(F.coalesce(F.col("_early"), F.lit(close_time))), zone).alias("close_utc"))
 
 
-def _bounded(cal: DataFrame) -> DataFrame:
-    return F.broadcast(cal)
-
-
 def session_filter(events: DataFrame, cal: DataFrame, ts: str = "ts") -> DataFrame:
     """Events on session days (label = the UTC date of the instant)."""
-    return events.withColumn("date", F.to_date(ts)).join(_bounded(cal.select("date")), "date", "left_semi")
+    return events.withColumn("date", F.to_date(ts)).join(cal.select("date"), "date", "left_semi")
 
 
 def open_minute(events: DataFrame, cal: DataFrame, ts: str = "ts", close_inclusive: bool = False) -> DataFrame:
@@ -146,33 +67,34 @@ def open_minute(events: DataFrame, cal: DataFrame, ts: str = "ts", close_inclusi
     ``open <= ts < close`` (``close_inclusive`` flips the right end)."""
     e = events.withColumn("_d", F.to_date(ts))
     c = cal.select(F.col("date").alias("_d"), "open_utc", "close_utc")
-    j = e.join(_bounded(c), "_d", "left")
+    j = e.join(c, "_d", "left")
     right = (F.col(ts) <= F.col("close_utc")) if close_inclusive else (F.col(ts) < F.col("close_utc"))
     return j.withColumn("is_session", F.col("open_utc").isNotNull()).withColumn(
         "is_open", F.coalesce((F.col(ts) >= F.col("open_utc")) & right, F.lit(False))).drop("_d")
 
 
-def next_sessions(spine: DataFrame, cal: DataFrame) -> DataFrame:
-    """D9 helper: for every spine date, the first session strictly after it.
-
-    A window over the whole spine: the only un-partitioned window in the
-    library, on a table of at most ``MAX_CALENDAR_DAYS`` rows.
-    """
-    s = spine.join(_bounded(cal.select("date", F.col("date").alias("_s"))), "date", "left")
-    w = Window.orderBy("date").rowsBetween(1, Window.unboundedFollowing)
-    return s.select("date", F.min("_s").over(w).alias("next_session"))
+def next_sessions(dates: DataFrame, holidays: DataFrame, early_closes: DataFrame,
+                  days: int = LOOKAHEAD_DAYS) -> DataFrame:
+    """D9 helper: for every date, the first session strictly after it, looked
+    for over the next ``days`` days (null when the exchange stays closed that
+    long).  Each date is expanded and aggregated by itself: no window over all."""
+    ahead = dates.select("date", F.explode(F.sequence(F.date_add("date", 1), F.date_add("date", days))).alias("_s"))
+    open_days = sessions(ahead.select(F.col("_s").alias("date")).distinct(), holidays, early_closes)
+    found = ahead.join(open_days.select(F.col("date").alias("_s"), F.lit(True).alias("_open")), "_s", "left")
+    return found.groupBy("date").agg(F.min(F.when(F.col("_open"), F.col("_s"))).alias("next_session"))
 
 
-def next_session(events: DataFrame, spine: DataFrame, cal: DataFrame, ts: str = "ts") -> DataFrame:
-    """As-of forward join: the next session after each event's UTC date."""
-    ns = next_sessions(spine, cal).withColumnRenamed("date", "_d")
-    return events.withColumn("_d", F.to_date(ts)).join(_bounded(ns), "_d", "left").drop("_d")
+def next_session(events: DataFrame, following: DataFrame, ts: str = "ts") -> DataFrame:
+    """As-of forward join: the next session after each event's UTC date
+    (``following``: the ``next_sessions`` of the events' dates)."""
+    ns = following.withColumnRenamed("date", "_d")
+    return events.withColumn("_d", F.to_date(ts)).join(ns, "_d", "left").drop("_d")
 
 
-def market_status(events: DataFrame, spine: DataFrame, cal: DataFrame, ts: str = "ts") -> DataFrame:
+def market_status(events: DataFrame, cal: DataFrame, following: DataFrame, ts: str = "ts") -> DataFrame:
     """The status row a check at each event's instant would report."""
     o = open_minute(events, cal, ts)
-    o = next_session(o, spine, cal, ts)
+    o = next_session(o, following, ts)
     iso = lambda c: iso_text(c, zulu=False)
     return o.select(
         "*",

@@ -16,20 +16,16 @@ from tapeworks.operators.discovery import dedupe_keep_last
 from tapeworks.operators.ordering import dense_positions
 
 MS_PER_HOUR = 3600000
-PART_SEGMENTS = 10000   # ours: segments per nested part (one part = one task's array)
 
 
 # ------------------------------------------------------------------ T1
 
 
-def flatten_segments(docs: DataFrame, doc: str = "doc_id", part_size: int = PART_SEGMENTS) -> DataFrame:
+def flatten_segments(docs: DataFrame, doc: str = "doc_id") -> DataFrame:
     """Nested documents (``segments`` array) → one row per segment with
-    its position ``seg_pos``.  Documents stored in parts (a ``part`` column,
-    ``part_size`` segments each, as ``nest_segments`` writes them) get
-    positions continued across parts."""
-    base = (F.col("part") * part_size) if "part" in docs.columns else F.lit(0)
-    x = docs.select(doc, base.alias("_base"), F.posexplode("segments").alias("_i", "s"))
-    return x.select(doc, (F.col("_base") + F.col("_i")).cast("long").alias("seg_pos"), "s.*")
+    its position ``seg_pos``."""
+    x = docs.select(doc, F.posexplode("segments").alias("seg_pos", "s"))
+    return x.select(doc, F.col("seg_pos").cast("long").alias("seg_pos"), "s.*")
 
 
 def flatten_words(segments: DataFrame, doc: str = "doc_id") -> DataFrame:
@@ -38,19 +34,14 @@ def flatten_words(segments: DataFrame, doc: str = "doc_id") -> DataFrame:
     return x.select(doc, "segment_id", "word_pos", "w.*")
 
 
-def nest_segments(segments: DataFrame, doc: str = "doc_id", fields: list[str] | None = None,
-                  part_size: int = PART_SEGMENTS) -> DataFrame:
-    """T1 inverse: flat segments → ``segments`` arrays in position order.
-
-    A document is cut into parts of at most ``part_size`` segments
-    (``part`` = seg_pos div part_size), so no task ever collects more than
-    one part, however long one document is; the parts in ``part`` order are
-    the whole document."""
+def nest_segments(segments: DataFrame, doc: str = "doc_id", fields: list[str] | None = None) -> DataFrame:
+    """T1 inverse: flat segments → one row per document with its ``segments``
+    array in position order.  A nested document is one value by contract; the
+    rules never nest, they read the flat form."""
     fields = fields or [c for c in segments.columns if c not in (doc, "seg_pos")]
     arr = F.array_sort(F.collect_list(F.struct("seg_pos", *fields)))
-    part = F.floor(F.col("seg_pos") / part_size).alias("part")
-    return segments.groupBy(doc, part).agg(arr.alias("_s")).select(
-        doc, "part", F.transform("_s", lambda s: s.dropFields("seg_pos")).alias("segments"))
+    return segments.groupBy(doc).agg(arr.alias("_s")).select(
+        doc, F.transform("_s", lambda s: s.dropFields("seg_pos")).alias("segments"))
 
 
 # ------------------------------------------------------------------ V19–V24
@@ -96,9 +87,10 @@ def segment_order_violations(segments: DataFrame, start: str = "start_ms", doc:
 
 
 def duration_violations(segments: DataFrame, docs: DataFrame, doc: str = "doc_id") -> DataFrame:
-    """A segment ending after its transcript's duration."""
-    j = segments.join(docs.select(doc, "duration_ms"), doc)
-    return j.filter(F.col("end_ms") > F.col("duration_ms"))
+    """A segment ending after its transcript's duration (one per document,
+    however many rows ``docs`` has for it)."""
+    durations = docs.groupBy(doc).agg(F.max("duration_ms").alias("duration_ms"))
+    return segments.join(durations, doc).filter(F.col("end_ms") > F.col("duration_ms"))
 
 
 # ------------------------------------------------------------------ G6, D6, T2, T3
@@ -168,22 +160,17 @@ def _srt_time(ms) -> F.Column:
                            (ms % 1000).cast("long"))
 
 
-def srt_text(segments: DataFrame, text: str = "text", doc: str = "doc_id",
-             part_size: int = PART_SEGMENTS) -> DataFrame:
-    """T5: SRT text per timeline (cues numbered from 1 in position order).
-
-    Like ``nest_segments`` the text comes in parts of ``part_size`` cues;
-    concatenating the parts in ``part`` order gives the whole file."""
-    cue = F.concat_ws("\n", (F.col("seg_pos") + 1).cast("string"),
-                      F.concat(_srt_time(F.col("start_ms")), F.lit(" --> "), _srt_time(F.col("end_ms"))),
-                      F.col(text))
-    cues = segments.select(doc, "seg_pos", F.floor(F.col("seg_pos") / part_size).alias("part"), cue.alias("cue"))
-    agg = F.array_sort(F.collect_list(F.struct("seg_pos", "cue")))
-    return cues.groupBy(doc, "part").agg(agg.alias("_c")).select(
-        doc, "part", F.concat(F.array_join(F.transform("_c", lambda c: c["cue"]), "\n\n"), F.lit("\n\n")).alias("srt"))
+def srt_cues(segments: DataFrame, text: str = "text", doc: str = "doc_id") -> DataFrame:
+    """T5: the SRT file of a timeline as ordered cue rows: ``cue`` (numbered
+    from 1 in position order) and its text, a blank line included.  The cues in
+    order are the file, so nothing is collected however long a timeline is."""
+    cue = F.concat(F.concat_ws("\n", (F.col("seg_pos") + 1).cast("string"),
+                               F.concat(_srt_time(F.col("start_ms")), F.lit(" --> "), _srt_time(F.col("end_ms"))),
+                               F.col(text)), F.lit("\n\n"))
+    return segments.select(doc, (F.col("seg_pos") + 1).alias("cue"), cue.alias("srt"))
 
 
-# ------------------------------------------------------------------ nested forms (one document part per row)
+# ------------------------------------------------------------------ nested forms (one document per row)
 
 
 def nested_words_inside(segment) -> Column:
@@ -219,15 +206,15 @@ def nested_segments_ordered(segments) -> Column:
 
 def _word_codes(s) -> Column:
     """Per word of a segment, in order: ``word_outside`` or ``word_order``
-    (the segment validator's loop: containment first, then order)."""
+    (containment first, then order).  Words are zipped with the starts before
+    them, so the loop is linear."""
     words = F.coalesce(s["words"], F.array())
     starts = F.transform(words, lambda w: w["start_ms"])
-
-    def code(w, i):
-        prev = F.when(i == 0, s["start_ms"]).otherwise(F.element_at(starts, i))
-        return (F.when((w["start_ms"] < s["start_ms"]) | (w["end_ms"] > s["end_ms"]), F.lit("word_outside"))
-                .when(w["start_ms"] < prev, F.lit("word_order")))
-    return F.transform(words, code)
+    before = F.concat(F.array(s["start_ms"]), F.slice(starts, 1, F.greatest(F.size(starts) - 1, F.lit(0))))
+    pairs = F.arrays_zip(words.alias("w"), before.alias("prev"))
+    return F.transform(pairs, lambda p: F.when(
+        (p["w"]["start_ms"] < s["start_ms"]) | (p["w"]["end_ms"] > s["end_ms"]), F.lit("word_outside"))
+        .when(p["w"]["start_ms"] < p["prev"], F.lit("word_order")))
 
 
 def segment_error(s) -> Column:
@@ -240,70 +227,79 @@ def segment_error(s) -> Column:
             .otherwise(loop))
 
 
-def transcript_checks(parsed: DataFrame) -> DataFrame:
-    """Checks of parsed transcript documents (one row per document part):
+def _loop_errors(docs: DataFrame, key: str, start: str | None, duration: str | None = None) -> DataFrame:
+    """The document loop over segments in order, on exploded segments: (key,
+    ``model_error``) of the first segment that repeats an earlier ID, starts
+    before the previous one (first compared with 0) or ends after the duration.
+
+    Repeats come from the smallest position per ID, previous starts from an
+    equi-join on the position, so one long document is many rows of any task."""
+    cols = [key] + ([F.col(duration).alias("_duration")] if duration else [])
+    seg = docs.select(*cols, F.posexplode(F.coalesce("segments", F.array())).alias("seg_pos", "s"))
+    firsts = seg.groupBy(key, F.col("s.segment_id").alias("_id")).agg(F.min("seg_pos").alias("_first"))
+    seg = seg.withColumn("_id", F.col("s.segment_id")).join(firsts, [key, "_id"])
+    code = F.when(F.col("_first") < F.col("seg_pos"), F.lit("segment_id_unique"))
+    if start:
+        seg = with_previous(seg.withColumn("_start", F.col(f"s.{start}")), [key], "seg_pos", ["_start"])
+        code = code.when(F.col("_start") < F.coalesce(F.col("prev__start"), F.lit(0)), F.lit("segment_order"))
+    if duration:
+        code = code.when(F.col("s.end_ms") > F.col("_duration"), F.lit("segment_duration"))
+    return (seg.select(key, "seg_pos", code.alias("_code")).filter("_code is not null")
+            .groupBy(key).agg(F.min_by("_code", "seg_pos").alias("model_error")))
+
+
+def transcript_checks(parsed: DataFrame, key: str) -> DataFrame:
+    """Checks of parsed transcript documents (one row per document, unique by
+    ``key``):
 
     * ``field_error``: language (2+ characters), duration (> 0), provider and
       model (non-empty), in field order;
     * ``segment_errors`` / ``first_segment_error``: segments failing their own
       validation, and the first one's code;
-    * ``model_error``: the document loop over segments in order — a repeated
-      segment ID, a start before the previous start (first compared with 0),
-      an end after the duration — the first raise wins.
+    * ``model_error``: the document loop (``_loop_errors``), only when fields
+      and segments are valid: an outer model isn't built from invalid parts.
     """
     segs = F.coalesce(F.col("segments"), F.array())
-    ids = F.transform(segs, lambda s: s["segment_id"])
-    starts = F.transform(segs, lambda s: s["start_ms"])
-
-    def loop(s, i):
-        prev = F.when(i == 0, F.lit(0).cast("long")).otherwise(F.element_at(starts, i))
-        return (F.when(F.array_position(ids, s["segment_id"]) < i + 1, F.lit("segment_id_unique"))
-                .when(s["start_ms"] < prev, F.lit("segment_order"))
-                .when(s["end_ms"] > F.col("duration_ms"), F.lit("segment_duration")))
-    seg_codes = F.transform(segs, segment_error)
-    failing = F.filter(seg_codes, lambda c: c.isNotNull())
+    failing = F.filter(F.transform(segs, segment_error), lambda c: c.isNotNull())
     trim_len = lambda c: F.length(F.btrim(F.col(c)))
     field = (F.when(F.coalesce(trim_len("language"), F.lit(0)) < 2, F.lit("language"))
              .when(~F.coalesce(F.col("duration_ms") > 0, F.lit(False)), F.lit("duration_ms"))
              .when(F.coalesce(trim_len("provider"), F.lit(0)) < 1, F.lit("provider"))
              .when(F.coalesce(trim_len("model"), F.lit(0)) < 1, F.lit("model")))
-    return parsed.select(
-        "*", field.alias("field_error"), F.size(failing).cast("long").alias("segment_errors"),
-        F.try_element_at(failing, F.lit(1)).alias("first_segment_error"),
-        F.try_element_at(F.filter(F.transform(segs, loop), lambda c: c.isNotNull()), F.lit(1)).alias("model_error"))
+    checked = parsed.select("*", field.alias("field_error"), F.size(failing).cast("long").alias("segment_errors"),
+                            F.try_element_at(failing, F.lit(1)).alias("first_segment_error"))
+    return _with_model_error(checked, _loop_errors(parsed, key, "start_ms", "duration_ms"), key,
+                             F.col("field_error").isNull() & F.col("first_segment_error").isNull())
+
+
+def _with_model_error(checked: DataFrame, errors: DataFrame, key: str, inner_ok: Column) -> DataFrame:
+    return checked.join(errors, key, "left").withColumn("model_error", F.when(inner_ok, F.col("model_error")))
 
 
 def _first(codes) -> Column:
     return F.try_element_at(F.filter(codes, lambda c: c.isNotNull()), F.lit(1))
 
 
-def translated_timeline_checks(parsed: DataFrame) -> DataFrame:
+def translated_timeline_checks(parsed: DataFrame, key: str) -> DataFrame:
     """Translated timeline documents: each segment's own checks (positive
     source interval, version >= 1, non-empty texts), then the document loop —
     a repeated segment ID or a source start before the previous one (first
     compared with 0); no duration rule for translations."""
     segs = F.coalesce(F.col("segments"), F.array())
-    ids = F.transform(segs, lambda s: s["segment_id"])
-    starts = F.transform(segs, lambda s: s["source_start_ms"])
     seg = lambda s: (F.when(~(s["source_end_ms"] > s["source_start_ms"]), F.lit("translated_interval"))
                      .when(F.coalesce(s["translation_version"], F.lit(1)) < 1, F.lit("translation_version"))
                      .when(F.length(F.btrim(s["translated_text"])) < 1, F.lit("translated_text")))
-
-    def loop(s, i):
-        prev = F.when(i == 0, F.lit(0).cast("long")).otherwise(F.element_at(starts, i))
-        return (F.when(F.array_position(ids, s["segment_id"]) < i + 1, F.lit("segment_id_unique"))
-                .when(s["source_start_ms"] < prev, F.lit("segment_order")))
-    return parsed.select("*", _first(F.transform(segs, seg)).alias("first_segment_error"),
-                         _first(F.transform(segs, loop)).alias("model_error"))
+    checked = parsed.select("*", _first(F.transform(segs, seg)).alias("first_segment_error"))
+    return _with_model_error(checked, _loop_errors(parsed, key, "source_start_ms"), key,
+                             F.col("first_segment_error").isNull())
 
 
-def synthesis_checks(parsed: DataFrame) -> DataFrame:
+def synthesis_checks(parsed: DataFrame, key: str) -> DataFrame:
     """Synthesis results: each segment's own checks (positive target window,
     positive measured length), then one synthesized segment per ID (no order
     rule for synthesis)."""
     segs = F.coalesce(F.col("segments"), F.array())
-    ids = F.transform(segs, lambda s: s["segment_id"])
     seg = lambda s: (F.when(~(s["target_end_ms"] > s["target_start_ms"]), F.lit("target_interval"))
                      .when(~(s["actual_duration_ms"] > 0), F.lit("actual_duration")))
-    unique = F.when(F.size(F.array_distinct(ids)) != F.size(ids), F.lit("segment_id_unique"))
-    return parsed.select("*", _first(F.transform(segs, seg)).alias("first_segment_error"), unique.alias("model_error"))
+    checked = parsed.select("*", _first(F.transform(segs, seg)).alias("first_segment_error"))
+    return _with_model_error(checked, _loop_errors(parsed, key, None), key, F.col("first_segment_error").isNull())

@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeworks.functions.time import iso_text
-from tapeworks.operators.rules import JOB_TYPES
 from tapeworks.operators.ordering import dense_positions, running_total, running_totals
+from tapeworks.operators.rules import JOB_TYPES
+from tapeworks.operators.timeline import nest_segments
 from tapeworks.sources.tables import as_utc, table
 
 # ---------------------------------------------------------------- publications
@@ -336,7 +337,7 @@ _JOB_LOG_SQL = """job_log AS (
 # (10 ms per character offset, 12 ms per character length, so long words can
 # run past their segment), media duration rounded down to whole seconds.
 # Translations: version 1 for every turn, version 2 for assistant turns.
-# Synthesis: non-system turns, made from version 1, 9 ms per character + 150.
+# Synthesis: every turn, made from version 1, 9 ms per character + 150.
 
 def transcript_segments(spark: SparkSession, sf: str) -> DataFrame:
     c = table(spark, sf, "conversations").withColumn("_dur", F.length("text").cast("long") * 10)
@@ -360,27 +361,53 @@ _SEGMENTS_SQL = """transcript_segments AS (
   FROM conversations)"""
 
 
-def transcript_docs(spark: SparkSession, sf: str, part_size: int = 10000) -> DataFrame:
-    """Nested transcript documents, in parts of at most ``part_size``
-    segments (``part``), each part carrying its document's duration."""
-    seg = transcript_segments(spark, sf)
-    w = seg.select("doc_id", "segment_id", "start_ms", F.posexplode(F.split("text", " ")).alias("word_pos", "w"))
+def transcript_words(spark: SparkSession, sf: str) -> DataFrame:
+    """Flat words of the segments: doc_id, segment_id, word_pos, start_ms, end_ms, text."""
+    w = transcript_segments(spark, sf).select(
+        "doc_id", "segment_id", "start_ms", F.posexplode(F.split("text", " ")).alias("word_pos", "w"))
     w = running_total(w, ["doc_id", "segment_id"], F.floor(F.col("word_pos") / 1000), ["word_pos"],
                       F.length("w") + 1, name="offset")
-    w = w.select("doc_id", "segment_id", "word_pos", (F.col("start_ms") + 10 * F.col("offset")).alias("ws"), "w")
-    words = w.groupBy("doc_id", "segment_id").agg(F.array_sort(F.collect_list(F.struct(
-        "word_pos", F.col("ws").alias("start_ms"), (F.col("ws") + 12 * F.length("w")).alias("end_ms"),
-        F.col("w").alias("text"), F.lit(None).cast("double").alias("probability")))).alias("_w"))
+    start = F.col("start_ms") + 10 * F.col("offset")
+    return w.select("doc_id", "segment_id", "word_pos", start.alias("start_ms"),
+                    (start + 12 * F.length("w")).alias("end_ms"), F.col("w").alias("text"))
+
+
+def faulty_segments(spark: SparkSession, sf: str) -> DataFrame:
+    """The segments with faults: two segments of every fifth document share an
+    ID, and the third of every third document starts at 0 again."""
+    dup = (F.col("doc_id") % 5 == 0) & F.col("seg_pos").isin(1, 2)
+    back = (F.col("doc_id") % 3 == 1) & (F.col("seg_pos") == 2)
+    return transcript_segments(spark, sf).withColumn(
+        "segment_id", F.when(dup, F.lit("seg-dup")).otherwise(F.col("segment_id"))).withColumn(
+        "start_ms", F.when(back, F.lit(0)).otherwise(F.col("start_ms")).cast("long"))
+
+
+def faulty_words(spark: SparkSession, sf: str) -> DataFrame:
+    """The words with faults: the second word of a segment has no length in
+    every fourth document, the third starts with its segment in the next."""
+    seg = transcript_segments(spark, sf).select("doc_id", "segment_id", F.col("start_ms").alias("_seg"))
+    w = transcript_words(spark, sf).join(seg, ["doc_id", "segment_id"])
+    flat = (F.col("doc_id") % 4 == 0) & (F.col("word_pos") == 1)
+    back = (F.col("doc_id") % 4 == 1) & (F.col("word_pos") == 2)
+    return w.withColumn("end_ms", F.when(flat, F.col("start_ms")).otherwise(F.col("end_ms"))).withColumn(
+        "start_ms", F.when(back, F.col("_seg")).otherwise(F.col("start_ms"))).drop("_seg")
+
+
+def transcript_docs(spark: SparkSession, sf: str) -> DataFrame:
+    """Nested transcript documents: a document is one row, as its contract says."""
+    seg = transcript_segments(spark, sf)
+    words = transcript_words(spark, sf).groupBy("doc_id", "segment_id").agg(F.array_sort(F.collect_list(F.struct(
+        "word_pos", "start_ms", "end_ms", "text", F.lit(None).cast("double").alias("probability")))).alias("_w"))
     seg = seg.join(words, ["doc_id", "segment_id"], "left").withColumn(
         "words", F.transform("_w", lambda x: x.dropFields("word_pos"))).drop("_w")
-    durations = seg.groupBy("doc_id").agg(
+    docs = nest_segments(seg, fields=["segment_id", "start_ms", "end_ms", "text", "words", "speaker"])
+    return docs.join(transcript_durations(spark, sf), "doc_id").select(
+        "doc_id", "duration_ms", F.lit("en").alias("language"), "segments")
+
+
+def transcript_durations(spark: SparkSession, sf: str) -> DataFrame:
+    return transcript_segments(spark, sf).groupBy("doc_id").agg(
         (F.floor(F.sum(F.col("end_ms") - F.col("start_ms")) / 1000) * 1000).cast("long").alias("duration_ms"))
-    parts = seg.groupBy("doc_id", F.floor(F.col("seg_pos") / part_size).alias("part")).agg(
-        F.array_sort(F.collect_list(F.struct("seg_pos", "segment_id", "start_ms", "end_ms", "text", "words",
-                                             "speaker"))).alias("_s"))
-    return parts.join(durations, "doc_id").select(
-        "doc_id", "part", "duration_ms", F.lit("en").alias("language"),
-        F.transform("_s", lambda s: s.dropFields("seg_pos")).alias("segments"))
 
 
 _DOCS_SQL = """transcript_durations AS (
@@ -397,6 +424,18 @@ _WORDS_SQL = """transcript_words AS (
         FROM transcript_segments))"""
 
 
+_FAULTY_SEGMENTS_SQL = """faulty_segments AS (
+  SELECT doc_id, seg_pos, CASE WHEN doc_id % 5 = 0 AND seg_pos IN (1, 2) THEN 'seg-dup' ELSE segment_id END AS segment_id,
+    CASE WHEN doc_id % 3 = 1 AND seg_pos = 2 THEN 0 ELSE start_ms END AS start_ms, end_ms, text, speaker
+  FROM transcript_segments)"""
+
+_FAULTY_WORDS_SQL = """faulty_words AS (
+  SELECT w.doc_id, w.segment_id, w.word_pos,
+    CASE WHEN w.doc_id % 4 = 1 AND w.word_pos = 2 THEN s.start_ms ELSE w.start_ms END AS start_ms,
+    CASE WHEN w.doc_id % 4 = 0 AND w.word_pos = 1 THEN w.start_ms ELSE w.end_ms END AS end_ms, w.text
+  FROM transcript_words w JOIN transcript_segments s ON w.doc_id = s.doc_id AND w.segment_id = s.segment_id)"""
+
+
 def translations(spark: SparkSession, sf: str) -> DataFrame:
     seg = transcript_segments(spark, sf)
     base = seg.select("doc_id", "segment_id", F.col("start_ms").alias("source_start_ms"),
@@ -417,7 +456,7 @@ _TRANSLATIONS_SQL = """translations AS (
 
 
 def synthesis(spark: SparkSession, sf: str) -> DataFrame:
-    t = translations(spark, sf).filter((F.col("translation_version") == 1) & (F.col("speaker") != "system"))
+    t = translations(spark, sf).filter(F.col("translation_version") == 1)
     return t.select("doc_id", "segment_id", F.col("source_start_ms").alias("target_start_ms"),
                     F.col("source_end_ms").alias("target_end_ms"), F.col("translated_text").alias("text"),
                     F.concat(F.lit("voice-"), "speaker").alias("voice"),
@@ -431,7 +470,7 @@ _SYNTHESIS_SQL = """synthesis AS (
     translated_text AS text, 'voice-' || speaker AS voice,
     's3://tts/' || doc_id || '/' || segment_id || '.wav' AS audio_uri,
     CAST(length(translated_text) * 9 + 150 AS BIGINT) AS actual_duration_ms
-  FROM translations WHERE translation_version = 1 AND speaker <> 'system')"""
+  FROM translations WHERE translation_version = 1)"""
 
 CHUNK_MS = 30000
 OVERLAP_MS = 2000
@@ -605,6 +644,8 @@ SQL = {
     "transcript_segments": _SEGMENTS_SQL,
     "transcript_durations": _DOCS_SQL,
     "transcript_words": _WORDS_SQL,
+    "faulty_segments": _FAULTY_SEGMENTS_SQL,
+    "faulty_words": _FAULTY_WORDS_SQL,
     "translations": _TRANSLATIONS_SQL,
     "synthesis": _SYNTHESIS_SQL,
     "attempt_log": _ATTEMPT_LOG_SQL,
@@ -614,7 +655,8 @@ SQL = {
 }
 
 # Bindings whose SQL reads another binding.
-_NEEDS = {"playlist_items": ["publications"], "playlist_shuffled": ["publications"],
+_NEEDS = {"faulty_segments": ["transcript_segments"], "faulty_words": ["transcript_segments", "transcript_words"],
+          "playlist_items": ["publications"], "playlist_shuffled": ["publications"],
           "transcript_durations": ["transcript_segments"], "transcript_words": ["transcript_segments"],
           "translations": ["transcript_segments"], "synthesis": ["translations"]}
 

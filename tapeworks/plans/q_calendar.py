@@ -1,9 +1,7 @@
 """Market-calendar queries over ``events`` (§2.4 P22–P25, P27; §2.5 D7–D9).
 
-The session table spans the events' UTC dates (plus 16 days so every date
-has a next session); holidays and early closes come from the exchange's
-rules (``calendar.exchange_holidays``).  The DuckDB oracles use the
-published 2024 lists, which the rules reproduce (tested for 2021–2024).
+Holidays and early closes are the published 2024 lists, given to the
+operators as tables.
 """
 
 from __future__ import annotations
@@ -23,14 +21,24 @@ def _events(spark: SparkSession, sf: str) -> DataFrame:
     return e.select("event_id", as_utc("ts").alias("ts"))
 
 
+def _lists(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
+    """(holidays, early closes) as tables."""
+    holidays = spark.createDataFrame([(d,) for d in C.HOLIDAYS_2024], "d string")
+    early = spark.createDataFrame(list(C.EARLY_CLOSES_2024), "d string, close_time string")
+    return (holidays.select(F.to_date("d").alias("date")), early.select(F.to_date("d").alias("date"), "close_time"))
+
+
 def _spine(spark: SparkSession, sf: str) -> DataFrame:
-    start, end = C.event_span(_events(spark, sf), tail_days=SPINE_TAIL_DAYS)
-    return C.spine_between(spark, start, end)
+    return C.date_spine(_events(spark, sf), tail_days=SPINE_TAIL_DAYS)
 
 
-def _calendar(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    spine = _spine(spark, sf)
-    return spine, C.sessions(spine, C.exchange_holidays(spine), C.exchange_early_closes(spine))
+def _calendar(spark: SparkSession, sf: str) -> DataFrame:
+    """The sessions among the events' own dates."""
+    return C.sessions(C.event_dates(_events(spark, sf)), *_lists(spark))
+
+
+def _following(spark: SparkSession, sf: str) -> DataFrame:
+    return C.next_sessions(C.event_dates(_events(spark, sf)), *_lists(spark))
 
 
 _HOL = ", ".join(f"('{d}')" for d in C.HOLIDAYS_2024)
@@ -69,7 +77,7 @@ SELECT strftime(date, '%Y-%m-%d') AS date, strftime(open_utc, '%Y-%m-%d %H:%M:%S
        strftime(close_utc, '%Y-%m-%d %H:%M:%S') AS close_utc FROM cal"""))
 def sessions(spark: SparkSession, sf: str) -> DataFrame:
     """Session days with UTC open and close over the events' date span."""
-    _, cal = _calendar(spark, sf)
+    cal = C.sessions(_spine(spark, sf), *_lists(spark))
     return cal.select(F.date_format("date", "yyyy-MM-dd").alias("date"),
                       F.date_format("open_utc", "yyyy-MM-dd HH:mm:ss").alias("open_utc"),
                       F.date_format("close_utc", "yyyy-MM-dd HH:mm:ss").alias("close_utc"))
@@ -79,7 +87,7 @@ def sessions(spark: SparkSession, sf: str) -> DataFrame:
 SELECT event_id, strftime(CAST(ts AS DATE), '%Y-%m-%d') AS date FROM events WHERE CAST(ts AS DATE) IN (SELECT date FROM cal)"""))
 def session_filter(spark: SparkSession, sf: str) -> DataFrame:
     """Events that fall on a session day (UTC date)."""
-    _, cal = _calendar(spark, sf)
+    cal = _calendar(spark, sf)
     s = C.session_filter(_events(spark, sf), cal)
     return s.select("event_id", F.date_format("date", "yyyy-MM-dd").alias("date"))
 
@@ -87,15 +95,14 @@ def session_filter(spark: SparkSession, sf: str) -> DataFrame:
 @register("open_minute_join", _sql("SELECT event_id, is_session, is_open FROM ev"))
 def open_minute_join(spark: SparkSession, sf: str) -> DataFrame:
     """Is the market open at each event's instant (open inclusive, close exclusive)."""
-    _, cal = _calendar(spark, sf)
+    cal = _calendar(spark, sf)
     return C.open_minute(_events(spark, sf), cal).select("event_id", "is_session", "is_open")
 
 
 @register("next_session", _sql("SELECT event_id, strftime(next_session, '%Y-%m-%d') AS next_session FROM ev"))
 def next_session(spark: SparkSession, sf: str) -> DataFrame:
     """The first session strictly after each event's UTC date."""
-    spine, cal = _calendar(spark, sf)
-    n = C.next_session(_events(spark, sf), spine, cal)
+    n = C.next_session(_events(spark, sf), _following(spark, sf))
     return n.select("event_id", F.date_format("next_session", "yyyy-MM-dd").alias("next_session"))
 
 
@@ -107,8 +114,7 @@ SELECT event_id, is_open, is_session AS is_trading_day, {_iso('ts')} AS current_
 FROM ev"""))
 def market_status(spark: SparkSession, sf: str) -> DataFrame:
     """The market-status row as of each event's instant."""
-    spine, cal = _calendar(spark, sf)
-    m = C.market_status(_events(spark, sf), spine, cal)
+    m = C.market_status(_events(spark, sf), _calendar(spark, sf), _following(spark, sf))
     return m.select("event_id", "is_open", F.col("is_session").alias("is_trading_day"), "current_time",
                     "open_time", "close_time", "next_trading_day")
 
@@ -121,7 +127,7 @@ SELECT event_id,
 FROM ev"""))
 def market_open_gate(spark: SparkSession, sf: str) -> DataFrame:
     """The wait-for-open decision for all four flag settings."""
-    _, cal = _calendar(spark, sf)
+    cal = _calendar(spark, sf)
     o = C.open_minute(_events(spark, sf), cal)
     g = lambda td, ct: C.open_gate("is_session", "is_open", td, ct)
     return o.select("event_id", g(True, True).alias("gate_day_and_time"), g(True, False).alias("gate_day_only"),
@@ -131,7 +137,7 @@ def market_open_gate(spark: SparkSession, sf: str) -> DataFrame:
 @register("market_close_gate", _sql("SELECT event_id, NOT (is_session AND is_open) AS closed FROM ev"))
 def market_close_gate(spark: SparkSession, sf: str) -> DataFrame:
     """The wait-for-close decision: closed unless a session is open."""
-    _, cal = _calendar(spark, sf)
+    cal = _calendar(spark, sf)
     o = C.open_minute(_events(spark, sf), cal)
     return o.select("event_id", C.close_gate("is_session", "is_open").alias("closed"))
 
@@ -144,7 +150,8 @@ FROM (SELECT date, unnest(generate_series(CAST(date AS TIMESTAMP) + INTERVAL '14
       FROM spine WHERE isodow(date) <= 5) t LEFT JOIN cal c ON t.date = c.date"""))
 def trading_ticks(spark: SparkSession, sf: str) -> DataFrame:
     """P25: weekday hourly ticks 14:30–20:30 UTC, each tagged open or closed."""
-    spine, cal = _calendar(spark, sf)
+    spine = _spine(spark, sf)
+    cal = C.sessions(spine, *_lists(spark))
     ticks = C.trading_ticks(spine)
     o = C.open_minute(ticks.drop("date"), cal, ts="tick")
     return o.select(F.date_format("tick", "yyyy-MM-dd HH:mm:ss").alias("tick"), "is_open")

@@ -283,11 +283,17 @@ def rule_http_url(spark: SparkSession, sf: str) -> DataFrame:
     return p.select("page_id", "url", F.coalesce(R.http_url("url", optional=False).ok, F.lit(False)).alias("ok"))
 
 
-@register("artifact_content_type", f"""
-SELECT page_id, url, {content_type_sql('url')} AS content_type FROM pages""")
+_PATH_ENDINGS = ("", "/cut.mp4", "/Take.FLAC", "/all.tgz", "/all.tar.gz", "/icon.SVGZ", "/notes.txt.bz2", "/.hidden",
+                 "/dir.d/name", "/a.b.json?x=1.png", "/odd.xyz")
+_PATHS_SQL = ("(SELECT page_id, url || unnest([" + ", ".join(f"'{x}'" for x in _PATH_ENDINGS) + "]) AS url FROM pages)")
+
+
+@register("artifact_content_type", content_type_sql("page_id", "url", _PATHS_SQL))
 def artifact_content_type(spark: SparkSession, sf: str) -> DataFrame:
-    """A4: MIME type of each page URL's path, by extension."""
+    """A4: MIME type of each page URL, and of paths under it, by extension."""
     p = table(spark, sf, "pages")
+    endings = F.explode(F.array(*map(F.lit, _PATH_ENDINGS)))
+    p = p.select("page_id", "url", endings.alias("_ending")).select("page_id", F.concat("url", "_ending").alias("url"))
     return p.select("page_id", "url", content_type("url").alias("content_type"))
 
 

@@ -20,6 +20,7 @@ from tapeworks.plans.q_jobs import _VALID_JOBS
 from tapeworks.session import scratch_path
 from tapeworks.sources import sinks
 from tapeworks.sources.contracts import CONTRACTS, parse_contract
+from tapeworks.sources.tables import table
 from tapeworks.streaming import streams as S
 
 
@@ -27,15 +28,26 @@ def _ts_sql(x: str) -> str:
     return f"strftime({x}, '%Y-%m-%d %H:%M:%S.%f')"
 
 
+def _delivered(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table as a stream of small out-of-order deliveries: four files that each
+    hold rows of all times, then a third of the rows once more in another, one
+    file per micro-batch."""
+    rows = table(spark, sf, name)
+    key = rows.columns[0]
+    path = scratch_path(spark, f"in-{name}")
+    rows.repartition(4, key).write.parquet(f"{path}/first")
+    rows.filter(F.col(key) % 3 == 0).coalesce(1).write.parquet(f"{path}/again")
+    return S.files_stream(spark, path, rows.schema, max_files=1)
+
+
 @register("stream_uploads", f"""
 SELECT 'v' || event_id AS video_id, 'UC' || user_id AS channel_id, {_ts_sql('ts')} AS published_at
 FROM events WHERE ts >= TIMESTAMP '{AFTER_SQL}' AND ts < TIMESTAMP '{BEFORE_SQL}'""")
 def stream_uploads(spark: SparkSession, sf: str) -> DataFrame:
-    """Uploads in the window from a stream that delivers every event
-    twice (two sources); each video comes out once."""
-    ev = S.table_stream(spark, sf, "events").unionByName(S.table_stream(spark, sf, "events"))
-    pubs = B.publications_of(ev).select("video_id", "channel_id", "published_at")
-    out = S.run_uploads(spark, S.uploads(pubs, AFTER, BEFORE), "uploads")
+    """Uploads in the window from out-of-order deliveries with repeats in
+    other batches; each video comes out once."""
+    pubs = B.publications_of(_delivered(spark, sf, "events")).select("video_id", "channel_id", "published_at")
+    out = S.uploads(spark, pubs, AFTER, BEFORE)
     return out.select("video_id", "channel_id", ts_text("published_at").alias("published_at"))
 
 
@@ -44,35 +56,37 @@ def stream_uploads(spark: SparkSession, sf: str) -> DataFrame:
 SELECT job_id, status, {_ts_sql('updated_ts')} AS updated_at FROM lj"""))
 def stream_job_state(spark: SparkSession, sf: str) -> DataFrame:
     """R2: latest job state folded across micro-batches of the status log."""
-    raw = B.job_log_of(S.table_stream(spark, sf, "events"))
+    raw = B.job_log_of(_delivered(spark, sf, "events"))
     valid = J.job_from_log(parse_contract(raw, "raw", CONTRACTS["localization_job"]))
     rows = valid.select("job_id", "status", "updated_ts", "event_id")
-    latest = S.run_latest_state(spark, rows, "job_id", ["updated_ts", "event_id"], "job_state")
+    latest = S.latest_state(spark, rows, "job_id", ["updated_ts", "event_id"], compact_every=2)
     return latest.select("job_id", "status", ts_text("updated_ts").alias("updated_at"))
 
 
 @register("daily_uploads", """
-SELECT 'UC' || user_id AS channel_id, strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, count(*) AS uploads
+SELECT 'UC' || user_id AS channel_id, strftime(date_trunc('day', ts), '%Y-%m-%d') AS day,
+       count(*) + count(*) FILTER (WHERE event_id % 3 = 0) AS uploads
 FROM events GROUP BY 1, 2""")
 def daily_uploads(spark: SparkSession, sf: str) -> DataFrame:
-    """Uploads per channel per UTC day, as a watermarked tumbling-window
-    stream in update mode."""
-    pubs = B.publications_of(S.table_stream(spark, sf, "events"))
-    counts = S.run_updates(spark, S.daily_counts(pubs), ["channel_id", "day"], "daily")
-    return counts.select("channel_id", F.date_format("day.start", "yyyy-MM-dd").alias("day"), "uploads")
+    """Deliveries per channel per UTC day in tumbling windows, late and
+    repeated deliveries counted."""
+    counts = S.daily_counts(spark, B.publications_of(_delivered(spark, sf, "events")))
+    return counts.select("channel_id", F.date_format("day", "yyyy-MM-dd").alias("day"), "uploads")
 
 
 @register("write_replace", B.with_sql(["stage_records"], f"""
-SELECT video_id, job_type, job_id, status, {_ts_sql('updated_at')} AS updated_at FROM (
+SELECT video_id, job_type, job_id, CASE WHEN job_type = 'download' THEN 'rechecked' ELSE status END AS status,
+       {_ts_sql('updated_at')} AS updated_at FROM (
   SELECT *, row_number() OVER (PARTITION BY video_id, job_type ORDER BY updated_at DESC, job_id DESC) AS rn
   FROM stage_records) WHERE rn = 1"""))
 def write_replace(spark: SparkSession, sf: str) -> DataFrame:
     """The latest-stage table written by job type, then one job type
-    rewritten: only that partition is replaced; read back whole."""
+    rewritten with changed rows: only that partition is replaced; read back whole."""
     ls = J.latest_stage(B.stage_records(spark, sf)).select("video_id", "job_type", "job_id", "status", "updated_at")
     path = scratch_path(spark, "latest_stage")
     sinks.write_replace(ls, path, ["job_type"])
-    sinks.write_replace(ls.filter(F.col("job_type") == "download"), path, ["job_type"])
+    changed = ls.filter(F.col("job_type") == "download").withColumn("status", F.lit("rechecked"))
+    sinks.write_replace(changed, path, ["job_type"])
     back = spark.read.parquet(path)
     return back.select("video_id", "job_type", "job_id", "status", ts_text("updated_at").alias("updated_at"))
 
@@ -90,13 +104,14 @@ def append_revision(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("stream_idempotent_requests", """
-SELECT DISTINCT o_custkey || ':' || strftime(o_orderdate, '%Y-%m-%d') AS idempotency_key FROM orders""")
+SELECT o_custkey || ':' || strftime(o_orderdate, '%Y-%m-%d') AS idempotency_key, min(o_orderkey) AS request
+FROM orders GROUP BY 1""")
 def stream_idempotent_requests(spark: SparkSession, sf: str) -> DataFrame:
-    """R4 as a stream: job requests (orders, delivered twice) pass once per
-    idempotency key."""
-    o = S.table_stream(spark, sf, "orders").unionByName(S.table_stream(spark, sf, "orders"))
+    """R4 as a stream: job requests (orders, some delivered twice) pass once per
+    idempotency key, as the first request."""
+    o = _delivered(spark, sf, "orders")
     req = o.select(F.concat_ws(":", F.col("o_custkey").cast("string"),
                                F.date_format("o_orderdate", "yyyy-MM-dd")).alias("idempotency_key"),
                    F.col("o_orderdate").cast("timestamp").alias("submitted_at"), "o_orderkey")
-    out = S.run_uploads(spark, S.first_per_key(req, "idempotency_key", "submitted_at"), "requests")
-    return out.select("idempotency_key")
+    out = S.first_per_key(spark, req, "idempotency_key", ["submitted_at", "o_orderkey"])
+    return out.select("idempotency_key", F.col("o_orderkey").alias("request"))

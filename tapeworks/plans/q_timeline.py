@@ -8,58 +8,40 @@ from pyspark.sql import functions as F
 from tapeworks.operators import timeline as TL
 from tapeworks.plans import bindings as B
 from tapeworks.plans.catalog import register
-from tapeworks.session import materialize
 from tapeworks.sources.contracts import CONTRACTS, parse_contract
 
 MAX_TEMPO = 1.25  # ours: dub speed-up allowed before a clip counts as overflow
 
 
-def _docs(spark: SparkSession, sf: str) -> DataFrame:
-    """The stand-in transcript documents, written once to the shared
-    checkpoint folder: the rules read them in several branches."""
-    return materialize(B.transcript_docs(spark, sf))
-
-
-def _segments(spark: SparkSession, sf: str) -> DataFrame:
-    """Flat segments read back from the nested transcript documents."""
-    return TL.flatten_segments(_docs(spark, sf))
-
-
-def _words(spark: SparkSession, sf: str) -> DataFrame:
-    return TL.flatten_words(_segments(spark, sf))
-
-
 @register("timeline_flatten", B.with_sql(["transcript_segments"], """
 SELECT doc_id, seg_pos, segment_id, start_ms, end_ms, speaker, CAST(len(string_split(text, ' ')) AS INTEGER) AS n_words
 FROM transcript_segments"""))
 def timeline_flatten(spark: SparkSession, sf: str) -> DataFrame:
     """Nested transcript documents → flat segment rows."""
-    s = _segments(spark, sf)
+    s = TL.flatten_segments(B.transcript_docs(spark, sf))
     return s.select("doc_id", "seg_pos", "segment_id", "start_ms", "end_ms", "speaker",
                     F.size("words").alias("n_words"))
 
 
 @register("timeline_nest", B.with_sql(["transcript_segments"], """
-SELECT doc_id, seg_pos // 10000 AS part, count(*) AS n_segments,
-       string_agg(segment_id, ',' ORDER BY seg_pos) AS segment_ids,
+SELECT doc_id, count(*) AS n_segments, string_agg(segment_id, ',' ORDER BY seg_pos) AS segment_ids,
        min(start_ms) AS first_start_ms, max(end_ms) AS last_end_ms
-FROM transcript_segments GROUP BY doc_id, seg_pos // 10000"""))
+FROM transcript_segments GROUP BY doc_id"""))
 def timeline_nest(spark: SparkSession, sf: str) -> DataFrame:
-    """T1 inverse: flat segment rows → ordered segments arrays per document
-    (in parts of at most 10,000 segments)."""
+    """T1 inverse: flat segment rows → one ordered segments array per document."""
     nested = TL.nest_segments(B.transcript_segments(spark, sf), fields=["segment_id", "start_ms", "end_ms"])
-    return nested.select("doc_id", "part", F.size("segments").cast("long").alias("n_segments"),
+    return nested.select("doc_id", F.size("segments").cast("long").alias("n_segments"),
                          F.array_join(F.transform("segments", lambda s: s["segment_id"]), ",").alias("segment_ids"),
                          F.try_element_at("segments", F.lit(1))["start_ms"].alias("first_start_ms"),
                          F.element_at("segments", -1)["end_ms"].alias("last_end_ms"))
 
 
-@register("rule_interval", B.with_sql(["transcript_words"], """
+@register("rule_interval", B.with_sql(["faulty_words"], """
 SELECT doc_id, segment_id, CAST(word_pos AS INTEGER) AS word_pos, start_ms, end_ms
-FROM transcript_words WHERE NOT (end_ms > start_ms)"""))
+FROM faulty_words WHERE NOT (end_ms > start_ms)"""))
 def rule_interval(spark: SparkSession, sf: str) -> DataFrame:
     """Words (and by the same rule segments) need end > start."""
-    w = TL.interval_violations(_words(spark, sf), "start_ms", "end_ms")
+    w = TL.interval_violations(B.faulty_words(spark, sf), "start_ms", "end_ms")
     return w.select("doc_id", "segment_id", "word_pos", "start_ms", "end_ms")
 
 
@@ -69,28 +51,26 @@ FROM transcript_words w JOIN transcript_segments s ON w.doc_id = s.doc_id AND w.
 WHERE w.start_ms < s.start_ms OR w.end_ms > s.end_ms"""))
 def rule_word_containment(spark: SparkSession, sf: str) -> DataFrame:
     """Words must stay inside their segment."""
-    s = _segments(spark, sf)
-    v = TL.containment_violations(TL.flatten_words(s), s)
+    v = TL.containment_violations(B.transcript_words(spark, sf), B.transcript_segments(spark, sf))
     return v.select("doc_id", "segment_id", "word_pos", "start_ms", "end_ms")
 
 
-@register("rule_word_order", B.with_sql(["transcript_words"], """
+@register("rule_word_order", B.with_sql(["faulty_words"], """
 SELECT doc_id, segment_id, CAST(word_pos AS INTEGER) AS word_pos, start_ms FROM (
   SELECT w.*, coalesce(lag(w.start_ms) OVER (PARTITION BY w.doc_id, w.segment_id ORDER BY w.word_pos), s.start_ms) AS prev
-  FROM transcript_words w JOIN transcript_segments s ON w.doc_id = s.doc_id AND w.segment_id = s.segment_id)
+  FROM faulty_words w JOIN transcript_segments s ON w.doc_id = s.doc_id AND w.segment_id = s.segment_id)
 WHERE start_ms < prev"""))
 def rule_word_order(spark: SparkSession, sf: str) -> DataFrame:
     """Words ordered by start (ties and overlaps allowed)."""
-    s = _segments(spark, sf)
-    v = TL.word_order_violations(TL.flatten_words(s), s)
+    v = TL.word_order_violations(B.faulty_words(spark, sf), B.transcript_segments(spark, sf))
     return v.select("doc_id", "segment_id", "word_pos", "start_ms")
 
 
-@register("rule_segment_unique", B.with_sql(["transcript_segments"], """
-SELECT doc_id, segment_id, count(*) AS n FROM transcript_segments GROUP BY doc_id, segment_id HAVING count(*) > 1"""))
+@register("rule_segment_unique", B.with_sql(["faulty_segments"], """
+SELECT doc_id, segment_id, count(*) AS n FROM faulty_segments GROUP BY doc_id, segment_id HAVING count(*) > 1"""))
 def rule_segment_unique(spark: SparkSession, sf: str) -> DataFrame:
     """Segment IDs unique within a transcript."""
-    return TL.duplicate_keys(_segments(spark, sf), ["doc_id", "segment_id"])
+    return TL.duplicate_keys(B.faulty_segments(spark, sf), ["doc_id", "segment_id"])
 
 
 @register("duplicate_segments", B.with_sql(["translations"], """
@@ -101,13 +81,13 @@ def duplicate_segments(spark: SparkSession, sf: str) -> DataFrame:
     return TL.duplicate_keys(B.translations(spark, sf), ["doc_id", "segment_id"])
 
 
-@register("rule_segment_order", B.with_sql(["transcript_segments"], """
+@register("rule_segment_order", B.with_sql(["faulty_segments"], """
 SELECT doc_id, seg_pos, start_ms FROM (
-  SELECT *, coalesce(lag(start_ms) OVER (PARTITION BY doc_id ORDER BY seg_pos), 0) AS prev FROM transcript_segments)
+  SELECT *, coalesce(lag(start_ms) OVER (PARTITION BY doc_id ORDER BY seg_pos), 0) AS prev FROM faulty_segments)
 WHERE start_ms < prev"""))
 def rule_segment_order(spark: SparkSession, sf: str) -> DataFrame:
     """Segments ordered by start (first compared with 0)."""
-    return TL.segment_order_violations(_segments(spark, sf)).select("doc_id", "seg_pos", "start_ms")
+    return TL.segment_order_violations(B.faulty_segments(spark, sf)).select("doc_id", "seg_pos", "start_ms")
 
 
 @register("rule_segment_duration", B.with_sql(["transcript_durations"], """
@@ -115,8 +95,7 @@ SELECT s.doc_id, s.segment_id, s.end_ms, d.duration_ms
 FROM transcript_segments s JOIN transcript_durations d ON s.doc_id = d.doc_id WHERE s.end_ms > d.duration_ms"""))
 def rule_segment_duration(spark: SparkSession, sf: str) -> DataFrame:
     """Transcript segments end within the media duration."""
-    docs = _docs(spark, sf)
-    v = TL.duration_violations(TL.flatten_segments(docs), docs)
+    v = TL.duration_violations(B.transcript_segments(spark, sf), B.transcript_durations(spark, sf))
     return v.select("doc_id", "segment_id", "end_ms", "duration_ms")
 
 
@@ -141,7 +120,7 @@ FROM k LEFT JOIN t USING (doc_id, segment_id) LEFT JOIN r USING (doc_id, segment
 def segment_alignment(spark: SparkSession, sf: str) -> DataFrame:
     """Transcript, latest translation and synthesis aligned on segment ID."""
     lt = TL.latest_translation(B.translations(spark, sf))
-    return TL.align_segments(_segments(spark, sf), lt, B.synthesis(spark, sf))
+    return TL.align_segments(B.transcript_segments(spark, sf), lt, B.synthesis(spark, sf))
 
 
 @register("dub_fit", B.with_sql(["synthesis"], f"""
@@ -184,13 +163,11 @@ def _srt_sql_time(x: str) -> str:
 
 
 @register("srt_text", B.with_sql(["transcript_segments"], f"""
-SELECT doc_id, string_agg((seg_pos + 1) || chr(10) || {_srt_sql_time('start_ms')} || ' --> ' ||
-                          {_srt_sql_time('end_ms')} || chr(10) || text, chr(10) || chr(10) ORDER BY seg_pos) || chr(10) || chr(10) AS srt,
-  seg_pos // 10000 AS part
-FROM transcript_segments GROUP BY doc_id, seg_pos // 10000"""))
+SELECT doc_id, seg_pos + 1 AS cue, (seg_pos + 1) || chr(10) || {_srt_sql_time('start_ms')} || ' --> ' ||
+       {_srt_sql_time('end_ms')} || chr(10) || text || chr(10) || chr(10) AS srt FROM transcript_segments"""))
 def srt_text(spark: SparkSession, sf: str) -> DataFrame:
-    """T5: one SRT document per transcript."""
-    return TL.srt_text(_segments(spark, sf))
+    """T5: the SRT document of each transcript, as its ordered cues."""
+    return TL.srt_cues(B.transcript_segments(spark, sf))
 
 
 @register("timeline_nested_rules", B.with_sql(["transcript_words"], """
@@ -202,19 +179,19 @@ unordered AS (SELECT DISTINCT doc_id, segment_id FROM (
     FROM transcript_words w JOIN transcript_segments s ON w.doc_id = s.doc_id AND w.segment_id = s.segment_id)
   WHERE start_ms < prev),
 seg AS (SELECT *, coalesce(lag(start_ms) OVER (PARTITION BY doc_id ORDER BY seg_pos), 0) AS prev FROM transcript_segments)
-SELECT s.doc_id, s.seg_pos // 10000 AS part, count(*) AS n_segments,
+SELECT s.doc_id, count(*) AS n_segments,
   count(o.segment_id) AS segments_with_words_outside, count(u.segment_id) AS segments_with_unordered_words,
   count(DISTINCT s.segment_id) = count(*) AS ids_unique, bool_and(s.start_ms >= s.prev) AS segments_ordered
 FROM seg s LEFT JOIN outside o ON s.doc_id = o.doc_id AND s.segment_id = o.segment_id
 LEFT JOIN unordered u ON s.doc_id = u.doc_id AND s.segment_id = u.segment_id
-GROUP BY s.doc_id, s.seg_pos // 10000"""))
+GROUP BY s.doc_id"""))
 def timeline_nested_rules(spark: SparkSession, sf: str) -> DataFrame:
-    """V20–V23 in nested form, evaluated on each stored document part
-    (``forall`` over the words and segments arrays, no flattening)."""
-    docs = _docs(spark, sf)
+    """V20–V23 in nested form, evaluated on each nested document (``forall``
+    over the words and segments arrays, no flattening)."""
+    docs = B.transcript_docs(spark, sf)
     segs = F.col("segments")
     return docs.select(
-        "doc_id", "part", F.size(segs).cast("long").alias("n_segments"),
+        "doc_id", F.size(segs).cast("long").alias("n_segments"),
         F.size(F.filter(segs, lambda s: ~TL.nested_words_inside(s))).cast("long").alias("segments_with_words_outside"),
         F.size(F.filter(segs, lambda s: ~TL.nested_words_ordered(s))).cast("long").alias("segments_with_unordered_words"),
         TL.nested_ids_unique(segs).alias("ids_unique"),
@@ -242,29 +219,30 @@ sc AS (
          WHEN s.end_ms > d.duration_ms THEN 'segment_duration' END AS model_code
   FROM transcript_segments s LEFT JOIN wc ON s.doc_id = wc.doc_id AND s.segment_id = wc.segment_id
   JOIN transcript_durations d ON s.doc_id = d.doc_id)
-SELECT sc.doc_id, sc.seg_pos // 10000 AS part,
+SELECT sc.doc_id,
   CASE WHEN min(d.duration_ms) > 0 THEN NULL ELSE 'duration_ms' END AS field_error,
   count(sc.seg_code) AS segment_errors,
   arg_min(sc.seg_code, sc.seg_pos) FILTER (WHERE sc.seg_code IS NOT NULL) AS first_segment_error,
-  arg_min(sc.model_code, sc.seg_pos) FILTER (WHERE sc.model_code IS NOT NULL) AS model_error,
+  CASE WHEN min(d.duration_ms) > 0 AND count(sc.seg_code) = 0
+       THEN arg_min(sc.model_code, sc.seg_pos) FILTER (WHERE sc.model_code IS NOT NULL) END AS model_error,
   '' AS unknown_fields
 FROM sc JOIN transcript_durations d ON sc.doc_id = d.doc_id
-GROUP BY sc.doc_id, sc.seg_pos // 10000"""))
+GROUP BY sc.doc_id"""))
 def transcript_contract(spark: SparkSession, sf: str) -> DataFrame:
     """Transcript documents written as canonical JSON (A2), read back with
     the transcript contract's fixed schema (A1, unknown fields at every
     level), then checked in nested form: document fields, each segment's own
     validation (V19–V21) and the document loop (V22–V24)."""
-    docs = _docs(spark, sf)
+    docs = B.transcript_docs(spark, sf)
     doc = F.struct(F.lit("1.0").alias("schema_version"),
                    F.struct(F.concat(F.lit("s3://audio/"), F.col("doc_id").cast("string"), F.lit(".flac")).alias("uri"),
                             F.lit("audio/flac").alias("content_type")).alias("source_audio"),
                    "language", "duration_ms", F.lit("asr").alias("provider"), F.lit("base").alias("model"),
                    "segments")
-    raw = docs.select("doc_id", "part", F.to_json(doc).alias("raw"))
+    raw = docs.select("doc_id", F.to_json(doc).alias("raw"))
     parsed = parse_contract(raw, "raw", CONTRACTS["transcript"])
-    checked = TL.transcript_checks(parsed)
-    return checked.select("doc_id", "part", "field_error", "segment_errors", "first_segment_error", "model_error",
+    checked = TL.transcript_checks(parsed, "doc_id")
+    return checked.select("doc_id", "field_error", "segment_errors", "first_segment_error", "model_error",
                           F.array_join("unknown_fields", ",").alias("unknown_fields"))
 
 
@@ -280,11 +258,11 @@ sy AS (SELECT doc_id, count(*) AS n, count(DISTINCT segment_id) AS n_ids,
                       WHEN NOT (actual_duration_ms > 0) THEN 'actual_duration' END, segment_id)
            FILTER (WHERE NOT (target_end_ms > target_start_ms) OR NOT (actual_duration_ms > 0)) AS seg_err
        FROM synthesis GROUP BY doc_id)
-SELECT tr.doc_id, tr.n AS translated_segments, tr.seg_err AS translation_segment_error,
+SELECT coalesce(tr.doc_id, sy.doc_id) AS doc_id, tr.n AS translated_segments, tr.seg_err AS translation_segment_error,
        CAST(NULL AS VARCHAR) AS translation_model_error, sy.n AS synthesized_segments,
        sy.seg_err AS synthesis_segment_error,
        CASE WHEN sy.n_ids <> sy.n THEN 'segment_id_unique' END AS synthesis_model_error, '' AS unknown_fields
-FROM tr JOIN sy ON tr.doc_id = sy.doc_id"""))
+FROM tr FULL OUTER JOIN sy ON tr.doc_id = sy.doc_id"""))
 def timeline_contracts(spark: SparkSession, sf: str) -> DataFrame:
     """Translated timelines (latest version per segment, G6) and synthesis
     results per conversation, written as contract documents (A2), read back
@@ -300,7 +278,7 @@ def timeline_contracts(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("1.0").alias("schema_version"), art("s3://asr/").alias("source_transcript"),
         F.lit("en").alias("source_language"), F.lit("zh-CN").alias("target_language"), F.lit("mt").alias("provider"),
         F.lit("base").alias("model"), F.transform("_s", lambda x: x["s"]).alias("segments"))).alias("raw"))
-    t = TL.translated_timeline_checks(parse_contract(tdocs, "raw", CONTRACTS["translated_timeline"]))
+    t = TL.translated_timeline_checks(parse_contract(tdocs, "raw", CONTRACTS["translated_timeline"]), "doc_id")
     sy = B.synthesis(spark, sf).join(segs, ["doc_id", "segment_id"])
     sseg = F.struct("segment_id", "target_start_ms", "target_end_ms", "text", "voice",
                     F.struct(F.col("audio_uri").alias("uri"), F.lit("audio/wav").alias("content_type")).alias("audio"),
@@ -311,14 +289,15 @@ def timeline_contracts(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("zh-CN").alias("language"), F.lit("tts").alias("provider"), F.lit("base").alias("model"),
         F.lit("voice").alias("voice"), F.transform("_s", lambda x: x["s"]).alias("segments"),
         art("s3://tts/").alias("dubbed_audio"))).alias("raw"))
-    s = TL.synthesis_checks(parse_contract(sdocs, "raw", CONTRACTS["synthesis_result"]))
+    s = TL.synthesis_checks(parse_contract(sdocs, "raw", CONTRACTS["synthesis_result"]), "doc_id")
     t = t.select("doc_id", F.size("segments").cast("long").alias("translated_segments"),
                  F.col("first_segment_error").alias("translation_segment_error"),
                  F.col("model_error").alias("translation_model_error"), F.col("unknown_fields").alias("_u1"))
     s = s.select("doc_id", F.size("segments").cast("long").alias("synthesized_segments"),
                  F.col("first_segment_error").alias("synthesis_segment_error"),
                  F.col("model_error").alias("synthesis_model_error"), F.col("unknown_fields").alias("_u2"))
-    j = t.join(s, "doc_id")
+    none = F.array().cast("array<string>")
+    j = t.join(s, "doc_id", "full_outer")
     return j.select("doc_id", "translated_segments", "translation_segment_error", "translation_model_error",
                     "synthesized_segments", "synthesis_segment_error", "synthesis_model_error",
-                    F.array_join(F.array_union("_u1", "_u2"), ",").alias("unknown_fields"))
+                    F.array_join(F.array_union(F.coalesce("_u1", none), F.coalesce("_u2", none)), ",").alias("unknown_fields"))

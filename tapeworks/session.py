@@ -65,29 +65,19 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and written intermediate tables.
+    """Shared folder for checkpoints and written intermediate tables:
+    ``spark.checkpoint.dir`` as the cluster names it.
 
-    On a cluster this is ``spark.checkpoint.dir`` as the cluster names it.
-    Only when the session has none (local tests) do we make one under /tmp.
+    A cluster that names none is refused.  Only a local session (tests, bench)
+    gets a folder of its own.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(configured)
-        return configured.rstrip("/")
-    local = tempfile.mkdtemp(prefix="tapeworks-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
-
-
-def materialize(df):
-    """Write ``df`` once to the shared checkpoint folder and continue from
-    there (a reliable ``checkpoint``, never a local one).  A frame read by
-    several branches of a plan is computed once, and a lost executor re-reads
-    files instead of recomputing the lineage."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    if not configured:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="tapeworks-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", configured)
+    return configured.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

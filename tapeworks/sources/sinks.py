@@ -8,7 +8,6 @@ next revision per key, and the latest view is a per-key ``max_by``.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,19 +21,17 @@ def write_replace(df: DataFrame, path: str, partition_cols: list[str]) -> None:
      .partitionBy(*partition_cols).parquet(path))
 
 
-def _existing(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in whatever store it names; other errors are raised."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 def append_revision(spark: SparkSession, df: DataFrame, path: str, key: str, order: list[str]) -> None:
     """Append ``df`` with ``revision`` = previous max per key + rank."""
     new = dense_positions(df, [key], order_bucket(df, order[0]), order, name="_rank", start=1)
-    old = _existing(spark, path)
-    if old is not None:
-        prev = old.groupBy(key).agg(F.max("revision").alias("_prev"))
+    if folder_exists(spark, path):
+        prev = spark.read.parquet(path).groupBy(key).agg(F.max("revision").alias("_prev"))
         new = new.join(prev, key, "left")
     else:
         new = new.withColumn("_prev", F.lit(0))

@@ -55,10 +55,8 @@ def test_chunk_merge_restores_timeline(spark):
 
 def test_srt(spark):
     segs = spark.createDataFrame([(1, 0, "s1", 1000, 2400, "Hi"), (1, 1, "s2", 3723500, 3724000, "Bye")], SEG)
-    assert TL.srt_text(segs).collect()[0]["srt"] == (
+    assert "".join(r["srt"] for r in TL.srt_cues(segs).orderBy("cue").collect()) == (
         "1\n00:00:01,000 --> 00:00:02,400\nHi\n\n2\n01:02:03,500 --> 01:02:04,000\nBye\n\n")
-    parts = TL.srt_text(segs, part_size=1).orderBy("part").collect()
-    assert "".join(r["srt"] for r in parts) == TL.srt_text(segs).collect()[0]["srt"]
 
 
 def test_http_outcomes_and_backoff(spark):
@@ -80,16 +78,16 @@ def test_latest_job_gate_and_idempotency(spark):
 
 
 def _cal(spark, start, end):
-    spine = C.date_spine(spark.createDataFrame([(start, end)], "s string, e string").select(
-        F.to_date("s").alias("start"), F.to_date("e").alias("end")))
+    days = spark.createDataFrame([(start,), (end,)], "t string").select(F.to_timestamp("t").alias("ts"))
+    spine = C.date_spine(days)
     hol = spark.createDataFrame([(d,) for d in C.HOLIDAYS_2024], "d string").select(F.to_date("d").alias("date"))
     early = spark.createDataFrame(list(C.EARLY_CLOSES_2024), "d string, close_time string").select(
         F.to_date("d").alias("date"), "close_time")
-    return spine, C.sessions(spine, hol, early)
+    return spine, C.sessions(spine, hol, early), (hol, early)
 
 
 def test_sessions_dst_holidays_and_next(spark):
-    spine, cal = _cal(spark, "2024-01-01", "2024-07-10")
+    spine, cal, lists = _cal(spark, "2024-01-01", "2024-07-10")
     s = {r["date"].isoformat(): r for r in cal.collect()}
     assert "2024-01-01" not in s and "2024-01-15" not in s and "2024-01-06" not in s
     assert s["2024-01-02"]["open_utc"].strftime("%H:%M") == "14:30"
@@ -97,7 +95,7 @@ def test_sessions_dst_holidays_and_next(spark):
     assert s["2024-07-03"]["close_utc"].strftime("%H:%M") == "17:00"
     ev = spark.createDataFrame([(1, "2024-01-05 15:00:00"), (2, "2024-01-06 15:00:00"), (3, "2024-01-02 21:00:00"),
                                 (4, "2024-01-02 14:30:00")], "id int, t string").withColumn("ts", F.to_timestamp("t"))
-    o = {r["id"]: r for r in C.next_session(C.open_minute(ev, cal), spine, cal).collect()}
+    o = {r["id"]: r for r in C.next_session(C.open_minute(ev, cal), C.next_sessions(C.event_dates(ev), *lists)).collect()}
     assert o[1]["is_open"] and not o[2]["is_open"] and not o[3]["is_open"] and o[4]["is_open"]
     assert o[1]["next_session"].isoformat() == "2024-01-08" and o[2]["next_session"].isoformat() == "2024-01-08"
 
@@ -124,23 +122,30 @@ def test_nested_rule_forms(spark):
     assert [tuple(r) for r in got] == [(0, 0, True, True), (1, 1, False, False)]
 
 
-def test_holiday_rules_match_published_lists(spark):
-    import datetime as dt
-    spine = C.spine_between(spark, dt.date(2021, 1, 1), dt.date(2024, 12, 31))
-    got = sorted(r["date"].isoformat() for r in C.exchange_holidays(spine, extra_closures=()).collect())
-    published = {
-        2021: ["2021-01-01", "2021-01-18", "2021-02-15", "2021-04-02", "2021-05-31", "2021-07-05", "2021-09-06",
-               "2021-11-25", "2021-12-24"],
-        2022: ["2022-01-17", "2022-02-21", "2022-04-15", "2022-05-30", "2022-06-20", "2022-07-04", "2022-09-05",
-               "2022-11-24", "2022-12-26"],
-        2023: ["2023-01-02", "2023-01-16", "2023-02-20", "2023-04-07", "2023-05-29", "2023-06-19", "2023-07-04",
-               "2023-09-04", "2023-11-23", "2023-12-25"],
-        2024: list(C.HOLIDAYS_2024),
-    }
-    assert got == sorted(x for v in published.values() for x in v)
-    early = sorted((r["date"].isoformat(), r["close_time"])
-                   for r in C.exchange_early_closes(C.spine_between(spark, dt.date(2024, 1, 1), dt.date(2024, 12, 31))).collect())
-    assert early == sorted(C.EARLY_CLOSES_2024)
+def test_an_event_of_1970_is_only_another_date(spark):
+    _, _, lists = _cal(spark, "2024-01-01", "2024-01-02")
+    ev = spark.createDataFrame([(1, "1970-01-02 15:00:00"), (2, "2024-12-24 15:00:00"), (3, None)], "id int, t string").withColumn(
+        "ts", F.to_timestamp("t"))
+    cal = C.sessions(C.event_dates(ev), *lists)
+    got = {r["id"]: r for r in C.next_session(C.open_minute(ev, cal), C.next_sessions(C.event_dates(ev), *lists)).collect()}
+    assert got[1]["is_session"] and got[1]["next_session"].isoformat() == "1970-01-05"
+    assert got[2]["is_open"] and got[2]["next_session"].isoformat() == "2024-12-26"
+    assert not got[3]["is_session"] and got[3]["next_session"] is None
+
+
+def test_rules_find_faults_far_apart_in_a_long_document(spark):
+    n = 25_000
+    segs = spark.range(n).select(
+        F.lit(1).alias("doc_id"), F.col("id").alias("seg_pos"),
+        F.when(F.col("id") == 24_000, "s5").otherwise(F.concat(F.lit("s"), "id")).alias("segment_id"),
+        F.when(F.col("id") == 20_000, 3).otherwise(F.col("id") * 10).cast("long").alias("start_ms"),
+        (F.col("id") * 10 + 9).alias("end_ms"), F.lit("t").alias("text"))
+    assert rows(TL.duplicate_keys(segs, ["doc_id", "segment_id"]), "segment_id", "n") == [("s5", 2)]
+    assert rows(TL.segment_order_violations(segs), "seg_pos") == [(20_000,)]
+    docs = spark.createDataFrame([(1, 1000), (1, 1000)], "doc_id int, duration_ms long")
+    assert TL.duration_violations(segs, docs).count() == n - 100
+    nested = TL.nest_segments(segs)
+    assert nested.count() == 1 and TL.flatten_segments(nested).count() == n
 
 
 def test_transcript_document_checks(spark):
@@ -159,7 +164,7 @@ def test_transcript_document_checks(spark):
         {**base, "segments": [seg("s1", 1000, 2400, [(1600, 2300), (1000, 1500)])]},           # word order
     ]
     df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(docs)], "id int, raw string")
-    out = TL.transcript_checks(parse_contract(df, "raw", CONTRACTS["transcript"])).orderBy("id").collect()
+    out = TL.transcript_checks(parse_contract(df, "raw", CONTRACTS["transcript"]), "id").orderBy("id").collect()
     got = [(r["field_error"], r["first_segment_error"], r["model_error"]) for r in out]
     assert got == [(None, None, None), (None, None, "segment_id_unique"), (None, None, "segment_order"),
                    (None, None, "segment_duration"), ("language", "word_interval", None),
@@ -178,7 +183,7 @@ def test_translation_and_synthesis_document_checks(spark):
     tdocs = [tdoc([tseg("seg-0001", 1000, 1400)]), tdoc([tseg("a", 500, 900), tseg("b", 100, 200)]),
              tdoc([tseg("a", 0, 10), tseg("a", 20, 30)]), tdoc([tseg("a", 10, 5)]), tdoc([tseg("a", 0, 5, v=0)])]
     df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(tdocs)], "id int, raw string")
-    t = TL.translated_timeline_checks(parse_contract(df, "raw", CONTRACTS["translated_timeline"])).orderBy("id")
+    t = TL.translated_timeline_checks(parse_contract(df, "raw", CONTRACTS["translated_timeline"]), "id").orderBy("id")
     assert [(r["first_segment_error"], r["model_error"]) for r in t.collect()] == [
         (None, None), (None, "segment_order"), (None, "segment_id_unique"), ("translated_interval", None),
         ("translation_version", None)]
@@ -189,17 +194,15 @@ def test_translation_and_synthesis_document_checks(spark):
     sdocs = [sdoc([sseg("seg-0001", 1000, 2400, 1300)]), sdoc([sseg("a", 500, 900, 1), sseg("b", 100, 200, 1)]),
              sdoc([sseg("a", 0, 10, 1), sseg("a", 20, 30, 1)]), sdoc([sseg("a", 0, 10, 0)])]
     df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(sdocs)], "id int, raw string")
-    s = TL.synthesis_checks(parse_contract(df, "raw", CONTRACTS["synthesis_result"])).orderBy("id")
+    s = TL.synthesis_checks(parse_contract(df, "raw", CONTRACTS["synthesis_result"]), "id").orderBy("id")
     assert [(r["first_segment_error"], r["model_error"]) for r in s.collect()] == [
         (None, None), (None, None), (None, "segment_id_unique"), ("actual_duration", None)]
 
 
 def test_ticks_and_session_filter(spark):
-    import datetime as dt
-    spine = C.spine_between(spark, dt.date(2024, 1, 5), dt.date(2024, 1, 8))     # Fri .. Mon
+    spine, cal, _ = _cal(spark, "2024-01-05", "2024-01-08")     # Fri .. Mon
     ticks = C.trading_ticks(spine).collect()
     assert len(ticks) == 14 and {t["tick"].strftime("%H:%M") for t in ticks} == {f"{h}:30" for h in range(14, 21)}
-    cal = C.sessions(spine, C.exchange_holidays(spine), C.exchange_early_closes(spine))
     ev = spark.createDataFrame([(1, "2024-01-05 23:59:00"), (2, "2024-01-06 12:00:00"), (3, "2024-01-08 00:00:01")],
                                "id int, t string").withColumn("ts", F.to_timestamp("t"))
     assert rows(C.session_filter(ev, cal), "id") == [(1,), (3,)]
