@@ -170,7 +170,9 @@ def model(*fields: Item, rule: Callable[[Column], Column] | None = None, version
         fields = (defaulted("schema_version", member([SCHEMA_VERSION])), *fields)
 
     def check(v):
-        known = F.array(*[F.lit(n) for f in fields for n in (f.name, f.alias) if n])
+        # An alias is known only where the name itself isn't used.
+        known = F.array(*[F.lit(f.name) for f in fields],
+                        *[F.when(get(v, f.name).isNull(), F.lit(f.alias)) for f in fields if f.alias])
         keys = F.map_keys(F.try_variant_get(v, "$", "map<string,variant>"))
         unknown = F.transform(F.array_sort(F.array_except(keys, known)), lambda k: F.concat(k, F.lit(":unknown")))
         found = F.concat(*[_field(v, f) for f in fields], unknown)
@@ -258,7 +260,7 @@ def _list(v: Column, name: str) -> Column:
 
 def _in_order(starts: Column, first: Column) -> Column:
     """Whether starts never go back; the first is compared with ``first``."""
-    before = F.concat(F.array(first), F.slice(starts, 1, F.greatest(F.size(starts) - 1, F.lit(0))))
+    before = F.slice(F.concat(F.array(first), starts), 1, F.size(starts))
     return F.forall(F.arrays_zip(starts.alias("a"), before.alias("b")), lambda p: p["a"] >= p["b"])
 
 
@@ -370,7 +372,7 @@ DOCUMENTS: dict[str, Check] = {
 
 def document_codes(raw, name: str) -> Column:
     """Codes of all that is wrong with the JSON text ``raw`` as this contract."""
-    v = F.try_parse_json(col_of(raw))
+    v = F.try_parse_json(F.coalesce(col_of(raw), F.lit("")))
     # The document is parsed once: it is bound as the element of a one-row array.
     checked = F.transform(F.array(v), lambda d: F.when(d.isNull(), F.array(F.lit("json"))).otherwise(DOCUMENTS[name](d)))
     return F.element_at(checked, 1)

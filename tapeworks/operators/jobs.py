@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from tapeworks.functions import col_of
 from tapeworks.functions.time import aware_timestamp
+from tapeworks.operators.contract_check import document_codes
 from tapeworks.operators.discovery import dedupe_keep_first, dedupe_keep_last
-from tapeworks.operators import rules as R
 from tapeworks.operators.rules import TERMINAL_STATUSES
 
 DEFAULT_RETRIES = 2          # fixed: reference default (0..5)
@@ -75,14 +75,11 @@ def http_outcome(attempts: DataFrame, retries: int = DEFAULT_RETRIES,
                       (F.lit(delay_s) * (F.pow(F.lit(2.0), sleeps) - 1)).alias("backoff_s"))
 
 
-def job_from_log(parsed: DataFrame) -> DataFrame:
-    """Valid status rows only: known status and type, aware time, consistent error."""
-    rules = [R.enum("status", R.JOB_STATUSES, "status"), R.enum("job_type", R.JOB_TYPES, "job_type"),
-             R.min_length("job_id", 1, "job_id"), R.aware_ts("updated_at", optional=False),
-             R.Rule("extra_forbidden", F.size("unknown_fields") == 0, "extra inputs are not permitted")]
-    v = R.validate(parsed, rules, [R.job_state()])
-    valid, _ = R.split(v)
-    return valid.withColumn("updated_ts", aware_timestamp("updated_at"))
+def job_from_log(parsed: DataFrame, raw: str = "raw") -> DataFrame:
+    """Status rows that are valid job documents (``contract_check``), with
+    their update time; rows without one can't be ordered and are refused too."""
+    valid = parsed.filter(F.size(document_codes(raw, "localization_job")) == 0)
+    return valid.withColumn("updated_ts", aware_timestamp("updated_at")).filter("updated_ts is not null")
 
 
 def latest_job(jobs: DataFrame) -> DataFrame:
@@ -121,16 +118,31 @@ def default_idempotency_key(dag_id, run_id, task_id, map_index) -> Column:
     return F.concat_ws(":", col_of(dag_id), col_of(run_id), col_of(task_id), col_of(map_index).cast("string"))
 
 
-def stage_idempotency_key(*parts) -> Column:
-    """Stage key from content hashes and versions (``:``-joined)."""
-    return F.concat_ws(":", *[col_of(p) for p in parts])
-
-
-def fixed_type_requests(requests: DataFrame, job_type: str) -> DataFrame:
-    """P20: requests of one stage operator carry its fixed job type."""
-    if job_type not in REQUEST_STAGES:
-        raise ValueError(f"no request operator for {job_type!r}")
-    return requests.withColumn("job_type", F.lit(job_type))
+# What each stage's idempotency key is made of, in order; a part
+# in quotes stands for itself.
+STAGE_KEYS = {
+    "download": ("'youtube'", "video_id", "format_profile_version"),
+    "transcribe": ("audio_sha256", "provider", "model", "config_version"),
+    "translate_subtitles": ("transcript_sha256", "target_language", "prompt_version"),
+    "synthesize_speech": ("translated_segment_sha256", "voice_profile_version"),
+    "render_video": ("source_sha256", "timeline_sha256", "audio_sha256", "profile_version"),
+    "publish": ("'bilibili'", "source_video_id", "render_sha256", "account_id"),
+}
+
+
+def stage_idempotency_key(stage, parts: dict) -> Column:
+    """The idempotency key of a stage's work, in that stage's own shape;
+    null for a stage without one, and when a part is missing.  ``parts``: the
+    column of each named part."""
+    out = F.lit(None).cast("string")
+    for name, shape in STAGE_KEYS.items():
+        if all(p[0] == "'" or p in parts for p in shape):
+            cols = [F.lit(p.strip("'")) if p[0] == "'" else col_of(parts[p]).cast("string") for p in shape]
+            joined = cols[0]
+            for c in cols[1:]:
+                joined = F.concat(joined, F.lit(":"), c)   # null when a part is null
+            out = F.when(col_of(stage) == name, joined).otherwise(out)
+    return out
 
 
 def stage_requests(requests: DataFrame, stages=REQUEST_STAGES) -> DataFrame:

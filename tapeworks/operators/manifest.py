@@ -18,17 +18,28 @@ from tapeworks.operators.discovery import dedupe_keep_first
 from tapeworks.operators.jobs import latest_stage
 from tapeworks.operators.ordering import dense_positions, order_bucket
 
-# The object layout of one video's artifacts.
-LAYOUT_ROOT = "s3://video-localization/youtube"
-STAGE_PATHS = (
-    ("manifest", "manifest.json"),
-    ("download", "source/video.mp4"),
-    ("separate_audio", "audio/vocals.wav"),
-    ("transcribe", "asr/transcript.json"),
-    ("translate_subtitles", "translation/timeline.{lang}.json"),
-    ("synthesize_speech", "tts/dubbed.{lang}.wav"),
-    ("render_video", "render/final.{lang}.mp4"),
-    ("publish", "publish/bilibili.json"),
+LAYOUT_ROOT = "s3://media/videos"   # ours; a parameter of ``layout_path``
+
+# The object layout of one video: stage, artifact, path below the
+# video's prefix ({lang}: target language, {source}: source language).
+LAYOUT = (
+    ("manifest", "manifest", "manifest.json"),
+    ("download", "video", "source/video.mp4"),
+    ("download", "metadata", "source/metadata.json"),
+    ("download", "original_subtitle", "source/original.{source}.vtt"),
+    ("separate_audio", "speech", "audio/speech.flac"),
+    ("separate_audio", "vocals", "audio/vocals.wav"),
+    ("separate_audio", "accompaniment", "audio/accompaniment.wav"),
+    ("transcribe", "chunks", "asr/chunks/"),
+    ("transcribe", "raw", "asr/raw/"),
+    ("transcribe", "transcript", "asr/transcript.json"),
+    ("translate_subtitles", "timeline", "translation/timeline.{lang}.json"),
+    ("translate_subtitles", "subtitle_srt", "translation/subtitle.{lang}.srt"),
+    ("translate_subtitles", "subtitle_ass", "translation/subtitle.{lang}.ass"),
+    ("synthesize_speech", "segments", "tts/segments/"),
+    ("synthesize_speech", "dubbed", "tts/dubbed.{lang}.wav"),
+    ("render_video", "final", "render/final.{lang}.mp4"),
+    ("publish", "publication", "publish/bilibili.json"),
 )
 
 
@@ -100,11 +111,11 @@ def manifest_rules(manifests: DataFrame) -> DataFrame:
         refs(e), F.coalesce(F.map_keys("artifacts"), empty))), ", ")), lambda x: x != "")
     model = [
         R.Rule("manifest_identity", F.col("video_id") == F.col("source_video_id"),
-               "manifest video_id must match source video_id"),
-        R.Rule("manifest_time", F.col("updated_at") >= F.col("created_at"), "updated_at must not precede created_at"),
+               "the source is another video"),
+        R.Rule("manifest_time", F.col("updated_at") >= F.col("created_at"), "updated before it was created"),
         R.Rule("stage_key", F.forall(F.map_entries("stages"), lambda e: e["key"] == e["value"]["job_type"]),
-               "stage dictionary key must match stage job_type"),
-        R.Rule("artifact_refs", F.size(missing) == 0, "stage references missing artifacts"),
+               "a stage stands under another name"),
+        R.Rule("artifact_refs", F.size(missing) == 0, "references to unknown artifacts"),
     ]
     return R.validate(manifests, [], model).withColumn("first_missing", F.try_element_at(missing, F.lit(1)))
 
@@ -138,22 +149,15 @@ def approval_flags(items: DataFrame, approvals: DataFrame, key: str) -> DataFram
     return items.join(granted, key, "left").withColumn("approved", F.coalesce("approved", F.lit(False)))
 
 
-def approval_gate(items: DataFrame, approvals: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """(items with a granted approval, blocked items) — the semi and
-    anti sides, both read from the one flagged pass."""
-    flagged = approval_flags(items, approvals, key)
-    return (flagged.filter(F.col("approved")).drop("approved"),
-            flagged.filter(~F.col("approved")).drop("approved"))
-
-
-def layout_path(video_id, stage, lang) -> Column:
-    """Object path of a stage's main artifact for one video."""
-    out = None
-    for st, path in STAGE_PATHS:
-        parts = path.split("{lang}")
-        p = F.lit(parts[0]) if len(parts) == 1 else F.concat(F.lit(parts[0]), col_of(lang), F.lit(parts[1]))
-        out = F.when(col_of(stage) == st, p) if out is None else out.when(col_of(stage) == st, p)
-    return F.when(out.isNotNull(), F.concat_ws("/", F.lit(LAYOUT_ROOT), col_of(video_id), out))
+def layout_paths(rows: DataFrame, video_id: str, stage: str, lang: str, source: str = "en",
+                 root: str = LAYOUT_ROOT) -> DataFrame:
+    """Every object of a row's stage: the columns of ``rows`` with
+    ``artifact`` and ``path``; a stage that stores nothing gives no row."""
+    fill = lambda path: path.replace("{lang}", lang).replace("{source}", source)
+    table = F.array(*[F.struct(F.lit(s).alias("s"), F.lit(a).alias("a"), F.lit(fill(p)).alias("p")) for s, a, p in LAYOUT])
+    own = rows.select("*", F.explode(F.filter(table, lambda x: x["s"] == F.col(stage))).alias("_o"))
+    path = F.concat_ws("/", F.lit(root), F.col(video_id), F.col("_o.p"))
+    return own.select("*", F.col("_o.a").alias("artifact"), path.alias("path")).drop("_o")
 
 
 def quality_report(checks: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -12,7 +12,6 @@ from tapeworks.functions.uri import normalize_http_url
 MESSAGE_FIELDS = ("title", "body", "subtitle", "markdown", "level", "url", "group",
                   "icon", "sound", "badge", "copy")
 MESSAGE_FLAGS = ("call", "autoCopy", "isArchive")
-MESSAGE_LEVELS = ("critical", "active", "timeSensitive", "passive")
 DEFAULT_LEVEL = "active"
 ERROR_DETAIL_LIMIT = 300
 

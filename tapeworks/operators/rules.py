@@ -86,14 +86,14 @@ def s3_uri(c, code: str = "s3_uri", optional: bool = False) -> Rule:
     x = col_of(c)
     ok = is_s3_uri(strip_ws(x))
     return Rule(code, (x.isNull() | ok) if optional else ok,
-                "must be an absolute s3:// URI containing a bucket and object key, without query or fragment")
+                "not an object URI (s3://bucket/key)")
 
 
 def aware_ts(text, code: str = "aware_ts", optional: bool = True, grammar: str = "contract") -> Rule:
     """V2: timestamp text must carry an offset."""
     x = col_of(text)
     ok = has_offset(x, grammar)
-    return Rule(code, (x.isNull() | ok) if optional else ok, "timestamp must include a timezone")
+    return Rule(code, (x.isNull() | ok) if optional else ok, "no UTC offset")
 
 
 def bounds(c, code: str, lo=None, hi=None, strict_lo: bool = False, optional: bool = True) -> Rule:
@@ -119,13 +119,6 @@ def artifact_key(c, code: str = "artifact_key") -> Rule:
     return Rule(code, strip_ws(col_of(c)).rlike(ARTIFACT_KEY_PATTERN), "invalid artifact key")
 
 
-def artifact_keys(arr, code: str = "artifact_key") -> Rule:
-    """V5 on every key of an array (or of ``map_keys``)."""
-    a = col_of(arr)
-    ok = F.coalesce(F.forall(a, lambda k: strip_ws(k).rlike(ARTIFACT_KEY_PATTERN)), F.lit(True))
-    return Rule(code, ok, "invalid artifact key")
-
-
 def enum(c, values, code: str, optional: bool = False) -> Rule:
     """V6: membership, no stripping (``" download"`` is refused)."""
     x = col_of(c)
@@ -149,12 +142,12 @@ def http_url(c, code: str = "http_url", optional: bool = True) -> Rule:
 def resource_id(c, code: str = "resource_id") -> Rule:
     """V9."""
     return Rule(code, strip_ws(col_of(c)).rlike(RESOURCE_ID_PATTERN),
-                "must contain only letters, numbers, underscores, or hyphens")
+                "not an ID")
 
 
 def handle(c, code: str = "handle") -> Rule:
     """V10."""
-    return Rule(code, handle_name(col_of(c)).isNotNull(), "handle must be a handle name, not a URL")
+    return Rule(code, handle_name(col_of(c)).isNotNull(), "not a handle")
 
 
 def required(c, code: str) -> Rule:
@@ -184,18 +177,11 @@ def artifact_rules(prefix: str = "", code_prefix: str = "") -> list[Rule]:
     ]
 
 
-def optional_artifact_rules(name: str) -> list[Rule]:
-    """Rules of a nested optional artifact: only when it is present."""
-    rules = artifact_rules(name, f"{name}.")
-    present = F.col(name).isNotNull()
-    return [Rule(r.code, ~present | r.ok, r.message) for r in rules]
-
-
 def job_state(status="status", error="error") -> Rule:
     """Failed ⇒ error; succeeded ⇒ no error."""
     s, e = col_of(status), col_of(error)
     return Rule("job_state", ~(((s == "failed") & e.isNull()) | ((s == "succeeded") & e.isNotNull())),
-                "failed job must contain an error; succeeded job must not contain an error")
+                "error doesn't fit the status")
 
 
 def stage_record_rules(status="status", error="error", started="started_ts", completed="completed_ts") -> list[Rule]:
@@ -203,10 +189,10 @@ def stage_record_rules(status="status", error="error", started="started_ts", com
     s, e, a, b = col_of(status), col_of(error), col_of(started), col_of(completed)
     return [
         Rule("stage_terminal_completed", ~(s.isin(*TERMINAL_STATUSES) & b.isNull()),
-             "terminal stage must contain completed_at"),
-        Rule("stage_failed_error", ~((s == "failed") & e.isNull()), "failed stage must contain an error"),
-        Rule("stage_succeeded_error", ~((s == "succeeded") & e.isNotNull()), "succeeded stage must not contain an error"),
-        Rule("stage_time_order", a.isNull() | b.isNull() | (b >= a), "completed_at must not precede started_at"),
+             "ended without an end time"),
+        Rule("stage_failed_error", ~((s == "failed") & e.isNull()), "failed without an error"),
+        Rule("stage_succeeded_error", ~((s == "succeeded") & e.isNotNull()), "succeeded with an error"),
+        Rule("stage_time_order", a.isNull() | b.isNull() | (b >= a), "ends before it starts"),
     ]
 
 
@@ -215,7 +201,7 @@ def render_settings_rule(settings="settings") -> Rule:
     st = col_of(settings)
     return Rule("render_settings", ~(F.coalesce(st.burn_subtitles, F.lit(False)) &
                                       (F.coalesce(st.video_codec, F.lit("copy")) == "copy")),
-                "burned subtitles require video re-encoding")
+                "burning subtitles needs an encoder")
 
 
 def render_request_rules(settings="settings") -> list[Rule]:
@@ -224,11 +210,11 @@ def render_request_rules(settings="settings") -> list[Rule]:
     strategy = F.coalesce(st.audio_strategy, F.lit("subtitle_only"))
     return [
         Rule("render_needs_ass", ~(F.coalesce(st.burn_subtitles, F.lit(False)) & F.col("subtitle_ass").isNull()),
-             "subtitle_ass is required when burn_subtitles is enabled"),
+             "nothing to burn in"),
         Rule("render_needs_dub", ~(strategy.isin(*DUBBED_STRATEGIES) & F.col("dubbed_audio").isNull()),
-             "dubbed_audio is required for the selected audio strategy"),
+             "the audio strategy needs a dub"),
         Rule("render_needs_accompaniment", ~((strategy == "voice_replace") & F.col("accompaniment_audio").isNull()),
-             "voice_replace requires accompaniment_audio"),
+             "replacing the voice needs an accompaniment"),
     ]
 
 

@@ -184,7 +184,7 @@ def nested_words_ordered(segment) -> Column:
     """V21 on a nested segment: word starts never go back (first vs segment start)."""
     s = segment
     starts = F.transform(F.coalesce(s["words"], F.array()), lambda w: w["start_ms"])
-    prev = F.concat(F.array(s["start_ms"]), F.slice(starts, 1, F.greatest(F.size(starts) - 1, F.lit(0))))
+    prev = F.slice(F.concat(F.array(s["start_ms"]), starts), 1, F.size(starts))
     return F.forall(F.arrays_zip(starts.alias("a"), prev.alias("b")), lambda p: p["a"] >= p["b"])
 
 
@@ -197,7 +197,7 @@ def nested_ids_unique(segments) -> Column:
 def nested_segments_ordered(segments) -> Column:
     """V23 on a nested timeline: segment starts never go back (first vs 0)."""
     starts = F.transform(segments, lambda s: s["start_ms"])
-    prev = F.concat(F.array(F.lit(0).cast("long")), F.slice(starts, 1, F.greatest(F.size(starts) - 1, F.lit(0))))
+    prev = F.slice(F.concat(F.array(F.lit(0).cast("long")), starts), 1, F.size(starts))
     return F.forall(F.arrays_zip(starts.alias("a"), prev.alias("b")), lambda p: p["a"] >= p["b"])
 
 
@@ -210,7 +210,7 @@ def _word_codes(s) -> Column:
     them, so the loop is linear."""
     words = F.coalesce(s["words"], F.array())
     starts = F.transform(words, lambda w: w["start_ms"])
-    before = F.concat(F.array(s["start_ms"]), F.slice(starts, 1, F.greatest(F.size(starts) - 1, F.lit(0))))
+    before = F.slice(F.concat(F.array(s["start_ms"]), starts), 1, F.size(starts))
     pairs = F.arrays_zip(words.alias("w"), before.alias("prev"))
     return F.transform(pairs, lambda p: F.when(
         (p["w"]["start_ms"] < s["start_ms"]) | (p["w"]["end_ms"] > s["end_ms"]), F.lit("word_outside"))

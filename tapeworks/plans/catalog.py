@@ -29,6 +29,7 @@ def _load_all() -> None:
     from tapeworks.plans import (  # noqa: F401
         q_contracts,
         q_discovery,
+        q_documents,
         q_jobs,
         q_calendar,
         q_manifest,

@@ -10,6 +10,7 @@ from tapeworks.functions.time import ts_text
 from tapeworks.functions.uri import watch_url
 from tapeworks.operators import jobs as J
 from tapeworks.operators import rules as R
+from tapeworks.operators.manifest import LAYOUT_ROOT
 from tapeworks.operators.payload import error_detail
 from tapeworks.plans import bindings as B
 from tapeworks.plans.catalog import register
@@ -214,31 +215,44 @@ def idempotency_key(spark: SparkSession, sf: str) -> DataFrame:
     return li.select("l_orderkey", "l_linenumber", key.alias("idempotency_key"))
 
 
-@register("stage_idempotency_key", B.with_sql(["stage_records", "stage_refs"], """
-SELECT s.job_id, s.video_id || ':' || s.job_type || ':' || sha256(coalesce(i.keys, '')) || ':' || s.parameters_sha256 || ':v1'
-  AS stage_key
-FROM stage_records s LEFT JOIN (SELECT job_id, string_agg(key, ',' ORDER BY key) AS keys FROM
-  (SELECT DISTINCT job_id, key FROM stage_refs WHERE direction = 'input') GROUP BY job_id) i ON s.job_id = i.job_id"""))
+# Stand-in parts of the stage keys: hashes of the video's artifacts by kind, and
+# versions; a quality check stands for the upload.
+_KEY_HASHES = ("audio_sha256", "transcript_sha256", "translated_segment_sha256", "source_sha256", "timeline_sha256",
+               "render_sha256")
+_KEY_VERSIONS = {"format_profile_version": "f1", "provider": "asr", "model": "base", "config_version": "c1",
+                 "target_language": "de", "prompt_version": "p1", "voice_profile_version": "w1", "profile_version": "r1",
+                 "account_id": "a1"}
+
+
+@register("stage_idempotency_key", B.with_sql(["stage_records"], """
+SELECT job_id, CASE job_type
+  WHEN 'download' THEN 'youtube:' || video_id || ':f1'
+  WHEN 'transcribe' THEN sha256(video_id || '/audio_sha256') || ':asr:base:c1'
+  WHEN 'translate_subtitles' THEN sha256(video_id || '/transcript_sha256') || ':de:p1'
+  WHEN 'synthesize_speech' THEN sha256(video_id || '/translated_segment_sha256') || ':w1'
+  WHEN 'render_video' THEN sha256(video_id || '/source_sha256') || ':' || sha256(video_id || '/timeline_sha256') || ':' ||
+                           sha256(video_id || '/audio_sha256') || ':r1'
+  WHEN 'media_quality_check' THEN 'bilibili:' || video_id || ':' || sha256(video_id || '/render_sha256') || ':a1'
+END AS stage_key FROM stage_records"""))
 def stage_idempotency_key(spark: SparkSession, sf: str) -> DataFrame:
-    """Per-stage key from the input-set hash, parameter hash and version."""
-    refs = B.stage_refs(spark, sf).filter(F.col("direction") == "input").groupBy("job_id").agg(
-        F.array_join(F.array_sort(F.collect_set("key")), ",").alias("keys"))
-    s = B.stage_records(spark, sf).join(refs, "job_id", "left")
-    key = J.stage_idempotency_key("video_id", "job_type", F.sha2(F.coalesce("keys", F.lit("")), 256),
-                                  "parameters_sha256", F.lit("v1"))
-    return s.select("job_id", key.alias("stage_key"))
+    """Each stage's idempotency key, in that stage's own shape."""
+    s = B.stage_records(spark, sf)
+    parts = {name: F.sha2(F.concat("video_id", F.lit(f"/{name}")), 256) for name in _KEY_HASHES}
+    parts |= {name: F.lit(v) for name, v in _KEY_VERSIONS.items()} | {"video_id": "video_id", "source_video_id": "video_id"}
+    stage = F.when(F.col("job_type") == "media_quality_check", F.lit("publish")).otherwise(F.col("job_type"))
+    return s.select("job_id", J.stage_idempotency_key(stage, parts).alias("stage_key"))
 
 
 @register("download_requests", B.with_sql(["publications"], """
 SELECT video_id, 'download' AS job_type, 'https://www.youtube.com/watch?v=' || video_id AS input_uri,
-  's3://video-localization/youtube/' || video_id || '/source/' AS output_prefix,
+  's3://media/videos/' || video_id || '/source/' AS output_prefix,
   'youtube:' || video_id || ':v1' AS idempotency_key
 FROM publications"""))
 def download_requests(spark: SparkSession, sf: str) -> DataFrame:
     """One download request per video (input, prefix, idempotency key)."""
     p = B.publications(spark, sf)
     return p.select("video_id", F.lit("download").alias("job_type"), watch_url("video_id").alias("input_uri"),
-                    F.concat(F.lit("s3://video-localization/youtube/"), "video_id", F.lit("/source/")).alias("output_prefix"),
+                    F.concat(F.lit(f"{LAYOUT_ROOT}/"), "video_id", F.lit("/source/")).alias("output_prefix"),
                     F.concat(F.lit("youtube:"), "video_id", F.lit(":v1")).alias("idempotency_key"))
 
 

@@ -168,18 +168,16 @@ def approval_gate(spark: SparkSession, sf: str) -> DataFrame:
     return M.approval_flags(docs, approvals, "doc_id")
 
 
-_LAYOUT_CASES = " ".join(
-    f"WHEN '{st}' THEN '{p.replace('{lang}', TARGET_LANG)}'" for st, p in M.STAGE_PATHS)
+_LAYOUT_SQL = ", ".join(f"('{s}', '{a}', '{p.replace('{lang}', TARGET_LANG).replace('{source}', 'en')}')" for s, a, p in M.LAYOUT)
 
 
 @register("artifact_layout", B.with_sql(["stage_records"], f"""WITH {_LATEST_STAGE_SQL}
-SELECT video_id, job_type, '{M.LAYOUT_ROOT}/' || video_id || '/' || CASE job_type {_LAYOUT_CASES} END AS path
-FROM ls WHERE job_type IN ({", ".join(f"'{st}'" for st, _ in M.STAGE_PATHS)})"""))
+SELECT video_id, job_type, artifact, '{M.LAYOUT_ROOT}/' || video_id || '/' || path AS path
+FROM ls JOIN (VALUES {_LAYOUT_SQL}) l(stage, artifact, path) ON job_type = stage"""))
 def artifact_layout(spark: SparkSession, sf: str) -> DataFrame:
-    """Where each stage's main artifact of a video is stored."""
-    ls = latest_stage(B.stage_records(spark, sf))
-    p = ls.select("video_id", "job_type", M.layout_path("video_id", "job_type", F.lit(TARGET_LANG)).alias("path"))
-    return p.filter(F.col("path").isNotNull())
+    """Where every artifact of each stage of a video is stored."""
+    ls = latest_stage(B.stage_records(spark, sf)).select("video_id", "job_type")
+    return M.layout_paths(ls, "video_id", "job_type", TARGET_LANG)
 
 
 @register("quality_report", """

@@ -7,12 +7,14 @@ from tapeworks.operators import manifest as M
 
 
 def test_layout_paths(spark):
-    df = spark.createDataFrame([("abc", "download"), ("abc", "render_video"), ("abc", "media_quality_check")],
+    df = spark.createDataFrame([("q9", "synthesize_speech"), ("q9", "media_quality_check"), ("w1", "manifest")],
                                "video_id string, stage string")
-    got = rows(df.select("stage", M.layout_path("video_id", "stage", F.lit("zh-CN")).alias("p")))
-    assert got == [("download", "s3://video-localization/youtube/abc/source/video.mp4"),
-                   ("media_quality_check", None),
-                   ("render_video", "s3://video-localization/youtube/abc/render/final.zh-CN.mp4")]
+    got = rows(M.layout_paths(df, "video_id", "stage", "fr", root="s3://shelf"), "stage", "artifact", "path")
+    assert got == [("manifest", "manifest", "s3://shelf/w1/manifest.json"),
+                   ("synthesize_speech", "dubbed", "s3://shelf/q9/tts/dubbed.fr.wav"),
+                   ("synthesize_speech", "segments", "s3://shelf/q9/tts/segments/")]
+    every = M.layout_paths(spark.createDataFrame([("v", s) for s in {x[0] for x in M.LAYOUT}], "v string, s string"), "v", "s", "fr")
+    assert every.count() == len(M.LAYOUT) and every.filter("path like '%{%'").count() == 0
 
 
 def test_quality_report_folds_checks(spark):

@@ -6,17 +6,29 @@ from pyspark.sql import functions as F
 from tapeworks.operators import jobs as J
 
 
-def test_fixed_job_types(spark):
+def test_stage_requests_carry_their_type(spark):
     df = spark.createDataFrame([("s3://b/in", "s3://b/out/")], "input_uri string, output_prefix string")
-    assert J.fixed_type_requests(df, "transcribe").collect()[0]["job_type"] == "transcribe"
+    assert [r["job_type"] for r in J.stage_requests(df, ("transcribe", "download")).collect()] == ["transcribe", "download"]
     with pytest.raises(ValueError):
-        J.fixed_type_requests(df, "media_quality_check")   # the quality check has no request operator
+        J.stage_requests(df, ("media_quality_check",))   # the quality check has no request operator
 
 
 def test_idempotency_keys(spark):
     df = spark.createDataFrame([("localize", "run-1", "download", 3)], "d string, r string, t string, m int")
     assert df.select(J.default_idempotency_key("d", "r", "t", "m")).collect()[0][0] == "localize:run-1:download:3"
-    assert df.select(J.stage_idempotency_key(F.lit("youtube"), "r", F.lit("v1"))).collect()[0][0] == "youtube:run-1:v1"
+
+
+def test_stage_keys_have_six_shapes(spark):
+    names = sorted({p for shape in J.STAGE_KEYS.values() for p in shape if p[0] != "'"})
+    df = spark.createDataFrame([(s,) for s in [*J.STAGE_KEYS, "separate_audio"]], "stage string")
+    parts = {n: F.lit(f"<{n}>") for n in names}
+    got = {r[0]: r[1] for r in df.select("stage", J.stage_idempotency_key("stage", parts)).collect()}
+    assert got["download"] == "youtube:<video_id>:<format_profile_version>"
+    assert got["publish"] == "bilibili:<source_video_id>:<render_sha256>:<account_id>"
+    assert got["render_video"] == "<source_sha256>:<timeline_sha256>:<audio_sha256>:<profile_version>"
+    assert got["separate_audio"] is None and len({v for v in got.values() if v}) == 6
+    missing = {**parts, "video_id": F.lit(None).cast("string")}
+    assert df.filter("stage = 'download'").select(J.stage_idempotency_key("stage", missing)).collect()[0][0] is None
 
 
 def test_poll_and_error_classes(spark):
