@@ -59,7 +59,8 @@ def dense_positions(df: DataFrame, group: list[str], bucket: Column, order: list
 
 def order_bucket(df: DataFrame, col: str, descending: bool = False) -> Column:
     """A coarse bucket monotone in ``col``: the day of a timestamp or date,
-    blocks of 1000 for numbers, one bucket otherwise (no skew protection)."""
+    blocks of 1000 for numbers.  Other types have no such bucket and are
+    refused: numbering them would sort a whole group in one task."""
     t = df.schema[col].dataType.typeName()
     c = F.col(col)
     if t in ("timestamp", "timestamp_ntz", "date"):
@@ -67,5 +68,5 @@ def order_bucket(df: DataFrame, col: str, descending: bool = False) -> Column:
     elif t in ("byte", "short", "integer", "long", "float", "double", "decimal"):
         b = F.floor(c / 1000)
     else:
-        b = F.lit(0)
+        raise TypeError(f"no order bucket for {col}, a {t}; order by a number, date or timestamp first")
     return -b if descending else b

@@ -15,6 +15,7 @@ from tapeworks.functions.time import iso_text
 from tapeworks.operators.ordering import dense_positions, running_total, running_totals
 from tapeworks.operators.rules import JOB_TYPES
 from tapeworks.operators.timeline import nest_segments
+from tapeworks.session import scratch_path
 from tapeworks.sources.tables import as_utc, table
 
 # ---------------------------------------------------------------- publications
@@ -48,12 +49,14 @@ _PUBLICATIONS_SQL = """publications AS (
 # Uploads playlist pages.  "newest": newest first, 50 a page (the API's order).
 # "shuffled": value desc then event_id, 10 a page (an order where the lower
 # time bound is crossed early, so early stop differs from a plain filter).
-# The next-page token is the first publication day of the next page.
+# The next-page token names the next page; "shuffled" hands out the first
+# publication day of the next page instead, so tokens repeat.
 
 _ORDERS = {
     "newest": ([("published_at", "desc"), ("event_id", "desc")], 50, "published_at DESC, event_id DESC"),
     "shuffled": ([("value", "desc"), ("event_id", "asc")], 10, "value DESC, event_id ASC"),
 }
+_TOKENS_SQL = {"newest": "'T' || page", "shuffled": "'T' || strftime(arg_min(published_at, pos), '%Y%m%d')"}
 # order buckets (monotone in the order) for skew-safe numbering
 _BUCKETS = {
     "newest": lambda: -F.floor(F.unix_seconds(F.col("published_at")) / 3600),
@@ -68,14 +71,21 @@ def playlist_items(spark: SparkSession, sf: str, order: str = "newest") -> DataF
     p = p.select("playlist_id", "video_id", "published_at",
                  F.floor(F.col("rn") / size).alias("page"),
                  (F.col("rn") % size).alias("pos"))
-    firsts = (p.groupBy("playlist_id", "page")
-              .agg(F.min_by("published_at", "pos").alias("first_at"))
-              .select("playlist_id", (F.col("page") - 1).alias("page"),
-                      F.concat(F.lit("T"), F.date_format("first_at", "yyyyMMdd")).alias("next_token")))
+    token = F.concat(F.lit("T"), F.date_format("first_at", "yyyyMMdd") if order == "shuffled" else F.col("page").cast("string"))
+    firsts = (p.groupBy("playlist_id", "page").agg(F.min_by("published_at", "pos").alias("first_at"))
+              .select("playlist_id", (F.col("page") - 1).alias("page"), token.alias("next_token")))
     return p.join(firsts, ["playlist_id", "page"], "left").select(
         "playlist_id", "page", "pos", "video_id", "next_token")
 
 
+def stored_items(spark: SparkSession, sf: str, order: str = "newest") -> DataFrame:
+    """The playlist items as a table of this run: the API hands pages out, it
+    doesn't number them, so the numbering is no part of a query's plan."""
+    path = scratch_path(spark, f"items-{order}")
+    playlist_items(spark, sf, order).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def _playlist_sql(name: str, order: str) -> str:
     _, size, order_sql = _ORDERS[order]
     return f"""{name}_rn AS (
@@ -86,7 +96,7 @@ def _playlist_sql(name: str, order: str) -> str:
   SELECT playlist_id, video_id, channel_id, published_at,
          CAST(floor(rn / {size}) AS BIGINT) AS page, rn % {size} AS pos FROM {name}_rn),
 {name}_first AS (
-  SELECT playlist_id, page - 1 AS page, 'T' || strftime(arg_min(published_at, pos), '%Y%m%d') AS next_token
+  SELECT playlist_id, page - 1 AS page, {_TOKENS_SQL[order]} AS next_token
   FROM {name}_p GROUP BY playlist_id, page),
 {name} AS (
   SELECT p.playlist_id, p.page, p.pos, p.video_id, f.next_token
@@ -211,25 +221,31 @@ _CHANNEL_REFS_SQL = """channel_refs AS (
 
 
 # ---------------------------------------------------------------- lookup requests
-# lineitem → one lookup request per order: IDs are ``v`` + 7 × part key (some
-# name no video), the first line padded with blanks, returned lines of
-# line 7 malformed (the whole request is then refused).
+# lineitem → lookup requests: IDs are ``v`` + 7 × part key (some name no video),
+# the first line padded with blanks.  The lines of two suppliers in ten are one
+# request each (hundreds of IDs), those of a third make one request per line
+# number (dozens); all others are one request per order, in which a returned
+# line 7 is malformed (the whole request is then refused).
 
 
 def video_requests(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem")
+    kind, line = F.col("l_suppkey") % 10, F.col("l_linenumber")
     vid = F.concat(F.lit("v"), (F.col("l_partkey") * 7).cast("string"))
-    vid = (F.when(F.col("l_linenumber") == 1, F.concat(F.lit(" "), vid, F.lit(" ")))
-           .when((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 7), F.concat(vid, F.lit("/x")))
+    vid = (F.when(line == 1, F.concat(F.lit(" "), vid, F.lit(" ")))
+           .when((kind > 2) & (F.col("l_returnflag") == "R") & (line == 7), F.concat(vid, F.lit("/x")))
            .otherwise(vid))
-    return li.select(F.col("l_orderkey").alias("request_id"), F.col("l_linenumber").cast("long").alias("pos"),
+    request = (F.when(kind < 2, -F.col("l_suppkey")).when(kind == 2, -(F.col("l_suppkey") * 10 + line + 10**9))
+               .otherwise(F.col("l_orderkey")))
+    return li.select(request.cast("long").alias("request_id"), (F.col("l_orderkey") * 10 + line).cast("long").alias("pos"),
                      vid.alias("video_id"))
 
 
 _VIDEO_REQUESTS_SQL = """video_requests AS (
-  SELECT l_orderkey AS request_id, CAST(l_linenumber AS BIGINT) AS pos,
+  SELECT CAST(CASE WHEN l_suppkey % 10 < 2 THEN -l_suppkey WHEN l_suppkey % 10 = 2 THEN -(l_suppkey * 10 + l_linenumber + 1000000000)
+              ELSE l_orderkey END AS BIGINT) AS request_id, CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS pos,
     CASE WHEN l_linenumber = 1 THEN ' v' || (l_partkey * 7) || ' '
-         WHEN l_returnflag = 'R' AND l_linenumber = 7 THEN 'v' || (l_partkey * 7) || '/x'
+         WHEN l_suppkey % 10 > 2 AND l_returnflag = 'R' AND l_linenumber = 7 THEN 'v' || (l_partkey * 7) || '/x'
          ELSE 'v' || (l_partkey * 7) END AS video_id
   FROM lineitem)"""
 
@@ -589,7 +605,8 @@ def stage_refs(spark: SparkSession, sf: str) -> DataFrame:
                     F.concat(F.lit("job-"), F.col("l_orderkey").cast("string")).alias("job_id"),
                     _job_type_of(F.col("o_orderpriority")).alias("job_type"),
                     F.when(F.col("l_returnflag") == "N", F.lit("output")).otherwise(F.lit("input")).alias("direction"),
-                    F.concat(F.lit("part/"), F.col("l_partkey").cast("string")).alias("key"),
+                    F.concat(F.when(F.col("l_linenumber") == 7, F.lit("gone/")).otherwise(F.lit("part/")),
+                             F.col("l_partkey").cast("string")).alias("key"),
                     as_utc("l_shipdate").alias("ref_at"))
 
 
@@ -599,12 +616,12 @@ _STAGE_REFS_SQL = """stage_refs AS (
       WHEN '3-MEDIUM' THEN 'translate_subtitles' WHEN '4-NOT SPECIFIED' THEN 'synthesize_speech'
       WHEN '5-LOW' THEN 'render_video' END AS job_type,
     CASE WHEN l_returnflag = 'N' THEN 'output' ELSE 'input' END AS direction,
-    'part/' || l_partkey AS key, l_shipdate AS ref_at
+    CASE WHEN l_linenumber = 7 THEN 'gone/' ELSE 'part/' END || l_partkey AS key, l_shipdate AS ref_at
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 
 def artifact_catalog(spark: SparkSession, sf: str) -> DataFrame:
-    p = table(spark, sf, "part").filter(F.col("p_size") <= 40)
+    p = table(spark, sf, "part")
     return p.select(F.concat(F.lit("part/"), F.col("p_partkey").cast("string")).alias("key"),
                     F.concat(F.lit("s3://parts/"), F.lower(F.regexp_replace("p_brand", "#", "")), F.lit("/"),
                              F.col("p_partkey").cast("string")).alias("uri"),
@@ -614,7 +631,7 @@ def artifact_catalog(spark: SparkSession, sf: str) -> DataFrame:
 _CATALOG_SQL = """artifact_catalog AS (
   SELECT 'part/' || p_partkey AS key, 's3://parts/' || lower(replace(p_brand, '#', '')) || '/' || p_partkey AS uri,
          CAST(p_size AS BIGINT) * 1000 AS size
-  FROM part WHERE p_size <= 40)"""
+  FROM part)"""
 
 
 # ---------------------------------------------------------------- manifest sources

@@ -15,11 +15,12 @@ from tapeworks.plans import bindings as B
 from tapeworks.plans.catalog import register
 
 # Query parameters (ours; the reference takes them per call).
-AFTER = "2024-01-10T00:00:00Z"
-AFTER_SQL = "2024-01-10 00:00:00"
-BEFORE = "2024-01-20T00:00:00Z"
-BEFORE_SQL = "2024-01-20 00:00:00"
-K = 20
+AFTER = "2024-01-03T00:00:00Z"
+AFTER_SQL = "2024-01-03 00:00:00"
+BEFORE = "2024-01-29T00:00:00Z"
+BEFORE_SQL = "2024-01-29 00:00:00"
+K = 100
+EARLY, EARLY_SQL = "2024-01-10T00:00:00Z", "2024-01-10 00:00:00"   # lower bound of the early-stop query
 
 _ID_RE = "^[A-Za-z0-9_-]+$"
 _DUR_RE = r"^P(?:(\d+)D)?(?:T(?:(\d+)H)?(?:(\d+)M)?(?:(\d+(?:\.\d+)?)S)?)?$"
@@ -81,7 +82,7 @@ good_videos AS (
     FROM parsed_videos WHERE error IS NULL) WHERE rn = 1)"""
 
 
-def _found_sql(items: str, after: str | None, before: str | None, k: int) -> str:
+def _found_sql(items: str, after: str | None, before: str | None, k: int, tokens: bool = True) -> str:
     stop = (f"""stopcut AS (SELECT playlist_id, min(CASE WHEN published_at < TIMESTAMP '{after}' THEN page END) AS cut
              FROM rows GROUP BY playlist_id),""" if after else
             "stopcut AS (SELECT playlist_id, CAST(NULL AS BIGINT) AS cut FROM rows GROUP BY playlist_id),")
@@ -108,7 +109,7 @@ tokcut AS (
 kept AS (
   SELECT r.* FROM rows r LEFT JOIN tokcut t ON r.playlist_id = t.playlist_id
   LEFT JOIN stopcut s ON r.playlist_id = s.playlist_id
-  WHERE (t.cut IS NULL OR r.page <= t.cut) AND (s.cut IS NULL OR r.page <= s.cut) AND {wsql}),
+  WHERE ({'t.cut IS NULL' if tokens else 'true'} OR r.page <= t.cut) AND (s.cut IS NULL OR r.page <= s.cut) AND {wsql}),
 found AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY playlist_id ORDER BY page, pos) AS rank FROM kept)
   WHERE rank <= {k})"""
@@ -120,7 +121,7 @@ def _videos(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _found(spark: SparkSession, sf: str, order: str = "newest", after=AFTER, before=BEFORE, k=K) -> DataFrame:
-    return D.discover(B.playlist_items(spark, sf, order), _videos(spark, sf), after, before, k)
+    return D.discover(B.stored_items(spark, sf, order), _videos(spark, sf), after, before, k)
 
 
 _ITEMS = "playlist_items"
@@ -134,7 +135,7 @@ _B_VID = ["video_items"]
 SELECT 'youtube://channel/' || channel_id || '/uploads' AS uri, channel_id,
        count(*) AS video_count,
        array_to_string(list(video_id ORDER BY page, pos)[1:50], ',') AS video_ids,
-       '2024-01-10T00:00:00+00:00' AS published_after, '2024-01-20T00:00:00+00:00' AS published_before
+       '2024-01-03T00:00:00+00:00' AS published_after, '2024-01-29T00:00:00+00:00' AS published_before
 FROM found GROUP BY channel_id"""))
 def channel_events(spark: SparkSession, sf: str) -> DataFrame:
     """G1 over the whole discovery chain: pages → dedupe → lookup → cuts →
@@ -223,24 +224,26 @@ def pages_explode(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("page_dedupe", B.with_sql([_SHUF], """
 SELECT playlist_id, video_id, page, pos FROM (
-  SELECT *, row_number() OVER (PARTITION BY playlist_id, video_id ORDER BY page, pos) AS rn
-  FROM playlist_shuffled WHERE video_id IS NOT NULL AND video_id <> '') WHERE rn = 1"""))
+  SELECT playlist_id, page, pos, 'v' || (CAST(substr(video_id, 2) AS BIGINT) % 40) AS video_id,
+         row_number() OVER (PARTITION BY playlist_id, CAST(substr(video_id, 2) AS BIGINT) % 40 ORDER BY page, pos) AS rn
+  FROM playlist_shuffled) WHERE rn = 1"""))
 def page_dedupe(spark: SparkSession, sf: str) -> DataFrame:
-    """candidate IDs across all pages of a playlist, first sighting kept."""
-    return D.page_dedupe(B.playlist_items(spark, sf, "shuffled")).select("playlist_id", "video_id", "page", "pos")
+    """candidate IDs across all pages of a playlist, first sighting kept
+    (pages here name forty IDs again and again)."""
+    again = F.concat(F.lit("v"), (F.substring("video_id", 2, 20).cast("long") % 40).cast("string"))
+    items = B.playlist_items(spark, sf, "shuffled").withColumn("video_id", again)
+    return D.page_dedupe(items).select("playlist_id", "video_id", "page", "pos")
 
 
-@register("early_stop", B.with_sql([_SHUF] + _B_VID, f"""WITH {_found_sql(_SHUF, AFTER_SQL, BEFORE_SQL, 200)}
+@register("early_stop", B.with_sql([_SHUF] + _B_VID, f"""WITH {_found_sql(_SHUF, EARLY_SQL, BEFORE_SQL, 200, tokens=False)}
 SELECT playlist_id, page, pos, video_id FROM kept"""))
 def early_stop(spark: SparkSession, sf: str) -> DataFrame:
     """F3 on a playlist whose order crosses the lower bound early: rows on
     pages after the first page with an older video are never read."""
-    items = B.playlist_items(spark, sf, "shuffled")
-    cand = D.page_dedupe(items).drop("next_token")
+    cand = D.page_dedupe(B.stored_items(spark, sf, "shuffled")).drop("next_token")
     rows = cand.join(_videos(spark, sf), "video_id")
-    pages = items.select("playlist_id", "page", "next_token").distinct()
-    kept = D.apply_cuts(rows, D.token_cycle_cut(pages), D.early_stop_cut(rows, AFTER))
-    return D.window_half_open(kept, "published_at", AFTER, BEFORE).select("playlist_id", "page", "pos", "video_id")
+    kept = D.apply_cuts(rows, D.early_stop_cut(rows, EARLY))
+    return D.window_half_open(kept, "published_at", EARLY, BEFORE).select("playlist_id", "page", "pos", "video_id")
 
 
 @register("token_cycle_cut", B.with_sql([_SHUF], """
@@ -293,7 +296,9 @@ def dedupe_keep_first(spark: SparkSession, sf: str) -> DataFrame:
 @register("batch_ids", B.with_sql(["video_requests"], """
 SELECT request_id, pos, video_id, CAST(floor((row_number() OVER (PARTITION BY request_id ORDER BY pos) - 1) / 50) AS BIGINT) AS batch
 FROM (SELECT request_id, video_id, min(pos) AS pos FROM (SELECT request_id, pos, trim(video_id) AS video_id FROM video_requests)
-      WHERE regexp_matches(video_id, '^[A-Za-z0-9_-]+$') GROUP BY request_id, video_id)"""))
+      WHERE regexp_matches(video_id, '^[A-Za-z0-9_-]+$') GROUP BY request_id, video_id)
+WHERE request_id IN (SELECT request_id FROM video_requests WHERE regexp_matches(trim(video_id), '^[A-Za-z0-9_-]+$')
+                     GROUP BY request_id HAVING count(DISTINCT trim(video_id)) <= 200)"""))
 def batch_ids(spark: SparkSession, sf: str) -> DataFrame:
     """unique requested IDs numbered into lookup batches of 50 per request."""
     req = D.normalize_requests(B.video_requests(spark, sf)).filter(F.col("error").isNull()).drop("error")
