@@ -294,7 +294,7 @@ def dedupe_keep_first(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("batch_ids", B.with_sql(["video_requests"], """
-SELECT request_id, pos, video_id, CAST(floor((row_number() OVER (PARTITION BY request_id ORDER BY pos) - 1) / 50) AS BIGINT) AS batch
+SELECT request_id, pos, video_id, CAST(floor((row_number() OVER (PARTITION BY request_id ORDER BY pos, video_id) - 1) / 50) AS BIGINT) AS batch
 FROM (SELECT request_id, video_id, min(pos) AS pos FROM (SELECT request_id, pos, trim(video_id) AS video_id FROM video_requests)
       WHERE regexp_matches(video_id, '^[A-Za-z0-9_-]+$') GROUP BY request_id, video_id)
 WHERE request_id IN (SELECT request_id FROM video_requests WHERE regexp_matches(trim(video_id), '^[A-Za-z0-9_-]+$')
