@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tapeworks.llm import importance, jaccard, licenses
 from tapeworks.llm import line_dedup as ld
-from tapeworks.llm import mixing, packing
+from tapeworks.llm import mixing, oracles, packing
 from tapeworks.llm import quality_rules as qr
 from tapeworks.llm import substrings, suffix_lm, vectors
 
@@ -86,4 +86,4 @@ def queries() -> dict[str, QueryFn]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_line_dedup": ld.ORACLE_SQL}
+    return dict(oracles.ORACLE_SQL)
