@@ -147,7 +147,8 @@ def _bucket_edges(floor: float):
 def candidate_groups(classes: DataFrame, floor: float = SKETCH_FLOOR) -> DataFrame:
     """(node, component) of all classes that may be similar to another."""
     keyed = classes.select("cls", F.explode("bands").alias("h"))
-    shared = keyed.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
+    # Stored, so that the join shuffles both sides and a hot bucket's can be split.
+    shared = stored(keyed.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "shared-bands")
     members = stored(keyed.join(shared, "h").join(classes.select("cls", "sketch"), "cls")
                      .withColumn("x", F.xxhash64("cls"))
                      .select("h", "cls", "sketch", F.explode(block_pairs("n", "x", BUCKET_ROWS)).alias("p"))

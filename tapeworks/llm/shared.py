@@ -75,12 +75,13 @@ def runs(*columns: np.ndarray) -> np.ndarray:
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Smallest node reachable from each node: (node, component).
 
-    ``edges``: columns ``a``, ``b`` (long, not null).  Alternating large-star
+    ``edges``: columns ``a``, ``b`` of one orderable type, not null.  Alternating large-star
     and small-star steps: every step points nodes at the smallest neighbour
     they know.  A step is a partially aggregated ``min`` and a join; no list of
-    neighbours is ever gathered, so a hub with a third of all edges is one
-    aggregated row and a skewed join side that AQE splits.  Every round's edges
-    are written to the shared folder.  Raises if ``max_rounds`` don't converge
+    neighbours is ever gathered.  The first minima are written before their
+    join, so that both of its sides are shuffled for it and AQE can split the
+    side of a hub with a third of all edges.  Every round's edges are written to
+    the shared folder.  Raises if ``max_rounds`` don't converge
     (rounds grow with the logarithm of the longest path).
     """
     e = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"))
@@ -89,7 +90,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     for _ in range(max_rounds):
         both = e.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionAll(
             e.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        low = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "minima")
         large = (both.join(low, "u").where("v > u").where("v <> m")
                  .select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct())
         down = large.groupBy("hi").agg(F.min("lo").alias("m"))
