@@ -38,8 +38,8 @@ from tapeworks.llm.text import WordHasher, utf8_column
 SEQUENCE = 4096
 END_ID = 1
 PIECES_PER_GROUP = 20_000
-REMEMBERED_PARTS = 1_500_000
-CHUNK = 8_000_000
+REMEMBERED_PARTS = 600_000
+CHUNK = 2_000_000
 
 
 class WordEncoder:
