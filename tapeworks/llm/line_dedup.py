@@ -68,16 +68,18 @@ def deleted_lines(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     selected = F.array_distinct(F.transform(
         starts, lambda i: F.struct((i + F.array_position(F.slice("h", i + 1, min_run), lowest(i))).alias("at"),
                                    lowest(i).alias("f"))))
-    shared = (seq.select(F.explode(selected).alias("s")).groupBy(F.col("s.f").alias("f"))
-              .agg(F.count("*").alias("n")).where("n > 1").select("f"))
+    # Stored, as the earliest places below, so that the joins shuffle both sides
+    # and what a third of all documents share can be split.
+    shared = stored(seq.select(F.explode(selected).alias("s")).groupBy(F.col("s.f").alias("f"))
+                    .agg(F.count("*").alias("n")).where("n > 1").select("f"), "shared-lines")
     window = F.transform(starts, lambda i: F.struct(
         i.alias("i"), lowest(i).alias("f"), F.slice("pos", i + 1, min_run).alias("at"),
         F.xxhash64(F.slice("h", i + 1, min_run)).alias("a"),
         F.xxhash64(F.slice("g", i + 1, min_run)).alias("b")))
     candidates = stored(seq.select("_d", "_t", F.explode(window).alias("s")).select("_d", "_t", "s.*")
                         .join(shared, "f").drop("f"), "line-windows")
-    first = candidates.groupBy("a", "b").agg(F.min(F.struct("_d", "_t", "i")).alias("first"),
-                                             F.count("*").alias("n")).where("n > 1")
+    first = stored(candidates.groupBy("a", "b").agg(F.min(F.struct("_d", "_t", "i")).alias("first"),
+                                                    F.count("*").alias("n")).where("n > 1"), "first-lines")
     later = candidates.join(first, ["a", "b"]).where(F.struct("_d", "_t", "i") > F.col("first"))
     return later.groupBy("_d", "_t").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("deleted"))
 
