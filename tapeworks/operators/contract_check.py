@@ -46,6 +46,11 @@ def kind_of(x: Column) -> Column:
     return F.schema_of_variant(x)
 
 
+def bind(x: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(x)`` with ``x`` evaluated once, however often it is used."""
+    return F.element_at(F.transform(F.array(x), then), 1)
+
+
 def is_null(x: Column) -> Column:
     return F.coalesce(F.is_variant_null(x), F.lit(False))
 
@@ -160,8 +165,7 @@ def _field(v: Column, f: Item) -> Column:
         x = F.coalesce(x, get(v, f.alias))
     missing = F.array(F.lit("missing")) if f.required else no_codes()
     null = no_codes() if f.nullable else F.array(F.lit("null"))
-    codes = F.when(x.isNull(), missing).when(is_null(x), null).otherwise(f.check(x))
-    return _under(f.name, codes)
+    return _under(f.name, bind(x, lambda x: F.when(x.isNull(), missing).when(is_null(x), null).otherwise(f.check(x))))
 
 
 def model(*fields: Item, rule: Callable[[Column], Column] | None = None, versioned: bool = True) -> Check:
@@ -176,7 +180,7 @@ def model(*fields: Item, rule: Callable[[Column], Column] | None = None, version
         keys = F.map_keys(F.try_variant_get(v, "$", "map<string,variant>"))
         unknown = F.transform(F.array_sort(F.array_except(keys, known)), lambda k: F.concat(k, F.lit(":unknown")))
         found = F.concat(*[_field(v, f) for f in fields], unknown)
-        whole = found if rule is None else F.when(F.size(found) > 0, found).otherwise(rule(v))
+        whole = found if rule is None else bind(found, lambda c: F.when(F.size(c) > 0, c).otherwise(rule(v)))
         return F.when(~kind_of(v).startswith("OBJECT"), F.array(F.lit("object_type"))).otherwise(whole)
     return check
 
