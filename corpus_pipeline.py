@@ -7,8 +7,8 @@ its predecessor kept.
 
 1. quality rules: documents that fail the base rules or diverge from their
    language go;
-2. line dedup: later repeats of runs of lines are deleted, and documents of
-   which no line is left go;
+2. line dedup: later repeats of runs of three lines, or of 20 words in fewer,
+   are deleted, and documents of which no line is left go;
 3. n-gram Jaccard join: one document of each group of near copies stays;
 4. mixing sources to target weights: documents stay, repeat, are cut or go, so
    that each source has its target's words;

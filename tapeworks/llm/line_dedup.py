@@ -1,7 +1,9 @@
 """Line dedup: delete runs of lines that repeat an earlier run, by winnowing.
 
 Lines are what ``\\n`` separates; a line without a word is blank, is never
-deleted and does not interrupt a run.  A run counts from ``MIN_RUN`` lines.
+deleted and does not interrupt a run.  A run counts from ``MIN_RUN`` lines; with
+``min_words`` (the pipeline) also from one line, if its lines have that many
+words in total.
 Line i of a document is deleted when it lies in a run whose lines also stand,
 in the same order, at an earlier place: in a document with a smaller doc_id, or
 further up in the same document.  Runs are judged on the input, not on what is
@@ -9,7 +11,9 @@ left, so the result does not depend on any order of work.
 
 1. *Fingerprints.*  In every window of ``MIN_RUN`` line hashes the smallest one
    is selected.  Equal runs select equal fingerprints, so a run of ``MIN_RUN``
-   lines that occurs twice is guaranteed to share one.
+   lines that occurs twice is guaranteed to share one.  With ``min_words`` the
+   windows of fewer lines that have enough words select theirs as well; longer
+   runs are made of windows of ``MIN_RUN``.
 2. *Join.*  Fingerprints that were selected once in the whole corpus are
    dropped; the windows around all others are candidates.
 3. *Extension.*  Around a shared fingerprint the match is followed both ways:
@@ -36,8 +40,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapeworks.llm.shared import stored
+from tapeworks.llm.text import WORD_PATTERN
 
 MIN_RUN = 3
+MIN_WORDS = 20
 BLANKS = " \t\n\x0b\x0c\r"
 LAST = 9223372036854775807
 
@@ -49,34 +55,43 @@ def _keys(docs: DataFrame) -> list[Column]:
 
 
 def line_sequences(docs: DataFrame) -> DataFrame:
-    """(_d, _t, pos, h, g): per document the places and the two hashes of its
-    lines with a word."""
+    """(_d, _t, pos, h, g, n): per document the places, the two hashes and the
+    words of its lines with a word."""
     lines = F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("pos"), x.alias("x")))
     words = F.filter(lines, lambda s: F.length(F.trim(s["x"], F.lit(BLANKS))) > 0)
     return (docs.where("text is not null").select(*_keys(docs), words.alias("w"))
             .select("_d", "_t", F.col("w.pos").alias("pos"),
                     F.transform("w.x", lambda x: F.xxhash64(x)).alias("h"),
-                    F.transform("w.x", lambda x: F.xxhash64(F.lit("line"), x)).alias("g")))
+                    F.transform("w.x", lambda x: F.xxhash64(F.lit("line"), x)).alias("g"),
+                    F.transform("w.x", lambda x: F.regexp_count(x, F.lit(WORD_PATTERN))).alias("n")))
 
 
-def deleted_lines(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
+def deleted_lines(docs: DataFrame, min_run: int = MIN_RUN, min_words: int | None = None) -> DataFrame:
     """(_d, _t, deleted): the places of the lines to delete, for documents that
     have any."""
-    seq = stored(line_sequences(docs).where(F.size("h") >= min_run).distinct(), "lines")
-    starts = F.sequence(F.lit(0), F.size("h") - min_run)
-    lowest = lambda i: F.array_min(F.slice("h", i + 1, min_run))
-    selected = F.array_distinct(F.transform(
-        starts, lambda i: F.struct((i + F.array_position(F.slice("h", i + 1, min_run), lowest(i))).alias("at"),
-                                   lowest(i).alias("f"))))
+    seq = line_sequences(docs)
+    seq = (seq.where(F.size("h") >= min_run).drop("n") if min_words is None else seq.where(F.size("h") > 0)).distinct()
+    seq = stored(seq, "lines")
+
+    def windows(size: int) -> Column:
+        starts = F.when(F.size("h") >= size, F.sequence(F.lit(0), F.size("h") - size)).otherwise(F.array().cast("array<int>"))
+        if size < min_run:
+            words = lambda i: F.aggregate(F.slice("n", i + 1, size), F.lit(0), lambda x, y: x + y)
+            starts = F.filter(starts, lambda i: words(i) >= min_words)
+        lowest = lambda i: F.array_min(F.slice("h", i + 1, size))
+        return F.transform(starts, lambda i: F.struct(
+            i.alias("i"), lowest(i).alias("f"), (i + F.array_position(F.slice("h", i + 1, size), lowest(i))).alias("p"),
+            F.slice("pos", i + 1, size).alias("at"),
+            F.xxhash64(F.slice("h", i + 1, size)).alias("a"),
+            F.xxhash64(F.slice("g", i + 1, size)).alias("b")))
+
+    window = F.concat(*[windows(k) for k in range(min_run if min_words is None else 1, min_run + 1)])
+    selected = F.array_distinct(F.transform(window, lambda s: F.struct(s["p"].alias("at"), s["f"].alias("f"))))
     # Stored, as the earliest places below, so that the joins shuffle both sides
     # and what a third of all documents share can be split.
     shared = stored(seq.select(F.explode(selected).alias("s")).groupBy(F.col("s.f").alias("f"))
                     .agg(F.count("*").alias("n")).where("n > 1").select("f"), "shared-lines")
-    window = F.transform(starts, lambda i: F.struct(
-        i.alias("i"), lowest(i).alias("f"), F.slice("pos", i + 1, min_run).alias("at"),
-        F.xxhash64(F.slice("h", i + 1, min_run)).alias("a"),
-        F.xxhash64(F.slice("g", i + 1, min_run)).alias("b")))
-    candidates = stored(seq.select("_d", "_t", F.explode(window).alias("s")).select("_d", "_t", "s.*")
+    candidates = stored(seq.select("_d", "_t", F.explode(window).alias("s")).select("_d", "_t", "s.*").drop("p")
                         .join(shared, "f").drop("f"), "line-windows")
     first = stored(candidates.groupBy("a", "b").agg(F.min(F.struct("_d", "_t", "i")).alias("first"),
                                                     F.count("*").alias("n")).where("n > 1"), "first-lines")
@@ -84,11 +99,11 @@ def deleted_lines(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     return later.groupBy("_d", "_t").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("deleted"))
 
 
-def dedup_lines(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_run: int = MIN_RUN, min_words: int | None = None) -> DataFrame:
     """``docs`` (all columns, ``text`` without the deleted lines) as struct
     ``row``, plus ``n_lines`` (with a word) and ``n_deleted``.  The texts move
     once, to meet their own deletions."""
-    deleted = deleted_lines(docs, min_run).hint("shuffle_hash")
+    deleted = deleted_lines(docs, min_run, min_words).hint("shuffle_hash")
     row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
     both = docs.select(*_keys(docs), row).join(deleted, ["_d", "_t"], "left")
     lines = F.split("row.text", "\n")
@@ -108,10 +123,11 @@ def line_dedup(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     return dedup_lines(docs, min_run).select("row.doc_id", "n_lines", "n_deleted", "row.text")
 
 
-def drop_repeated_lines(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
-    """``docs`` with the deletions made; ``n_chars`` follows the text.
-    Documents of which no line with a word is left go; all others stay."""
-    out = dedup_lines(docs, min_run).where("n_deleted = 0 or n_deleted < n_lines")
+def drop_repeated_lines(docs: DataFrame, min_run: int = MIN_RUN, min_words: int | None = MIN_WORDS) -> DataFrame:
+    """``docs`` with the deletions made, of repeated runs of fewer than
+    ``min_run`` lines too if they have ``min_words`` words; ``n_chars`` follows
+    the text.  Documents of which no line with a word is left go; all others stay."""
+    out = dedup_lines(docs, min_run, min_words).where("n_deleted = 0 or n_deleted < n_lines")
     row = F.col("row")
     if "n_chars" in docs.columns:
         row = row.withField("n_chars", F.when(F.col("n_deleted") > 0, F.length("row.text").cast("long"))

@@ -95,6 +95,43 @@ def test_line_dedup(spark, tables):
     assert all(r.n_chars == len(r.text) for r in line_dedup.drop_repeated_lines(plain).collect())
 
 
+def brute_short_runs(rows, run=3, least=20):
+    """(doc_id, text left) by comparing all runs of three lines, and of one or
+    two lines with 20 words, with all earlier ones."""
+    order = sorted({(line_dedup.LAST if r[0] is None else r[0], r[1]) for r in rows if r[1] is not None}, key=lambda x: x[0])
+    seen, out = set(), {}
+    for d, text in order:
+        lines = text.split("\n")
+        at = [k for k, x in enumerate(lines) if x.encode().split()]
+        gone = set()
+        for size in range(1, run + 1):
+            for k in range(len(at) - size + 1):
+                key = tuple(lines[j] for j in at[k:k + size])
+                if size == run or sum(len(x.encode().split()) for x in key) >= least:
+                    if key in seen:
+                        gone.update(at[k:k + size])
+                    seen.add(key)
+        if not gone or len(gone) < len(at):
+            out[(d, text)] = "\n".join(x for k, x in enumerate(lines) if k not in gone)
+    return out
+
+
+def test_pipeline_deletes_short_runs_with_many_words(spark, tables):
+    line = lambda n, tag: " ".join(f"{tag}{k}" for k in range(n))
+    short = [(1, f"{line(25, 'a')}\nown one", "en", "s", 1), (2, f"own two\n{line(25, 'a')}", "en", "s", 1),  # one line
+             (3, f"{line(12, 'b')}\n\n{line(9, 'c')}\nown three", "en", "s", 1), (4, f"{line(12, 'b')}\n{line(9, 'c')}", "en", "s", 1),
+             (5, f"{line(12, 'b')}\nown five", "en", "s", 1), (6, f"{line(25, 'a')}", "en", "s", 1),  # 12 words stay; nothing is left
+             (7, f"{line(19, 'd')}\n{line(19, 'd')}", "en", "s", 1), (8, f"{line(20, 'e')}\n{line(20, 'e')}", "en", "s", 1)]
+    df = spark.createDataFrame(short, tables[0].schema)
+    got = {r.doc_id: r.text for r in line_dedup.drop_repeated_lines(df).collect()}
+    assert got == {1: short[0][1], 2: "own two", 3: short[2][1], 5: short[4][1], 7: short[6][1], 8: line(20, "e")}
+    for df, rows in ((df, short), (tables[0], corpus()), (tables[1], odd_rows())):
+        expected = brute_short_runs(rows)
+        want = Counter((r[0], None if r[1] is None else expected[key]) for r in rows
+                       if (key := (line_dedup.LAST if r[0] is None else r[0], r[1])) in expected or r[1] is None)
+        assert Counter((r.doc_id, r.text) for r in line_dedup.drop_repeated_lines(df).collect()) == want
+
+
 def test_line_dedup_uses_no_python(spark, tables):
     plan = line_dedup.line_dedup(tables[0])._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
