@@ -12,18 +12,20 @@ and word counts of all documents with ten words or more, per language.
 
 Nulls and edge cases: a null or empty text has no words, fails the base rules
 (fewer than 10 words) and is not kept.  A null language is a language of its
-own.  A language with less than ``MIN_SHARE`` of the documents gets no
-reference (so there are at most 1 / MIN_SHARE of them); its documents are
-measured against the nearest reference.  Without any reference (no
-document of ten words) the base rules alone decide.  Repeated
-rows are judged alike, one result row each.  Extra columns are ignored.
+own.  A language with fewer than ``MIN_TOKENS`` words in such documents gets no
+reference, whatever its share; for its documents the base rules alone decide.
+References are joined to the documents by language, so their number may grow
+with the corpus.  Repeated rows are judged alike, one result row each.  Extra
+columns are ignored.
 """
 
 from __future__ import annotations
 
+import json
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +40,10 @@ from tapeworks.llm.text import covered, utf8_column, windows_repeated
 CLASSES = ("lower", "upper", "other letter", "mark", "digit", "punctuation", "symbol", "space or control")
 SYMBOLS = (b"#", b"*", b"$", b"%", b"&", b"|", b"<", b">")
 SPACES = (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")
-MIN_SHARE = 0.01
+# The sampling error of that many words adds about COMMON_WORDS / (8 n ln 2) = 0.006 to a divergence.
+MIN_TOKENS = 2_000
 COMMON_WORDS = 64
+UNPACKED = 1_000  # references that a task keeps ready
 # Distances above these reject; below the minimum lengths a test says nothing.
 MAX_CLASS_DISTANCE = 0.25
 MAX_WORD_DISTANCE = 0.48
@@ -88,13 +92,31 @@ def js_distance(p: np.ndarray, q: np.ndarray) -> float:
     return float(np.sqrt(max(d / 2, 0.0)))
 
 
-def references(docs: DataFrame) -> dict[str | None, tuple[np.ndarray, dict[bytes, int], np.ndarray]]:
-    """Language -> (class counts, cell of each common word, word counts with
-    the cell of all other words last).
+Reference = tuple[np.ndarray, dict[bytes, int], np.ndarray]
+
+
+def unpack(ref: str) -> Reference:
+    """(class counts, cell of each common word, word counts with the cell of
+    all other words last) of a packed reference."""
+    given = json.loads(ref)
+    listed = [(bytes.fromhex(x["word"]), x["n"]) for x in given["common"]]
+    counts = np.array([n for _, n in listed] + [given["tokens"] - sum(n for _, n in listed)])
+    return np.array(given["classes"]), {w: k for k, (w, _) in enumerate(listed)}, counts
+
+
+def pack(ref: Reference) -> str:
+    classes, cells, counts = ref
+    return json.dumps({"classes": classes.tolist(), "tokens": int(counts.sum()),
+                       "common": [{"word": w.hex(), "n": int(counts[k])} for w, k in cells.items()]})
+
+
+def reference_table(docs: DataFrame) -> DataFrame:
+    """(lang, ref): the packed reference of every language with ``MIN_TOKENS``
+    words, stored.
 
     Counts cover all documents with ten words or more.  Tasks add up their
     own words first, so a frequent word is one row per task before the shuffle.
-    The driver gets at most 1 / MIN_SHARE languages of ``COMMON_WORDS`` rows.
+    Nothing comes to the driver.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = class_table()
@@ -129,68 +151,72 @@ def references(docs: DataFrame) -> dict[str | None, tuple[np.ndarray, dict[bytes
     rows = (docs.select("text", "lang").mapInArrow(count, "lang string, word binary, cell int, n long")
             .groupBy("lang", "word", "cell").agg(F.sum("n").alias("n")))
     rows = stored(rows, "language-counts")
-    sums = rows.where("cell is not null")
-    doc_count = sums.where(F.col("cell") == len(CLASSES) + 1)
-    total = doc_count.agg(F.sum("n")).first()[0] or 0
-    known = doc_count.where(F.col("n") >= MIN_SHARE * total).select(F.col("lang").alias("known"))
+    cell = lambda k: F.coalesce(F.sum(F.when(F.col("cell") == k, F.col("n"))), F.lit(0))
+    sums = (rows.where("cell is not null").groupBy("lang")
+            .agg(F.array(*map(cell, range(len(CLASSES)))).alias("classes"), cell(len(CLASSES)).alias("tokens"))
+            .where(F.col("tokens") >= MIN_TOKENS))
     top = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    cells = sums.join(known, F.col("lang").eqNullSafe(F.col("known")), "left_semi").collect()
     common = (rows.where("word is not null").withColumn("k", F.row_number().over(top)).where(F.col("k") <= COMMON_WORDS)
-              .join(known, F.col("lang").eqNullSafe(F.col("known")), "left_semi").collect())
-    out = {}
-    for lang in {r.lang for r in cells}:
-        v = np.zeros(len(CLASSES) + 2, np.int64)
-        for r in cells:
-            if r.lang == lang:
-                v[r.cell] = r.n
-        listed = sorted((r.k, bytes(r.word), r.n) for r in common if r.lang == lang)
-        counts = np.array([n for *_, n in listed] + [v[-2] - sum(n for *_, n in listed)])
-        out[lang] = (v[: len(CLASSES)], {w: k for k, (_, w, _) in enumerate(listed)}, counts)
-    return out
-
-
-def judge(docs: DataFrame, refs: dict, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+              .groupBy(F.col("lang").alias("_lang"))
+              .agg(F.array_sort(F.collect_list(F.struct("k", F.lower(F.hex("word")).alias("word"), "n"))).alias("common")))
+    ref = F.to_json(F.struct("classes", "tokens", "common")).alias("ref")
+    return stored(sums.join(common, F.col("lang").eqNullSafe(F.col("_lang"))).select("lang", ref), "references")
+
+
+def references(docs: DataFrame) -> dict[str | None, Reference]:
+    """The references as a dictionary on the driver, for tests and small corpora."""
+    return {r.lang: unpack(r.ref) for r in reference_table(docs).collect()}
+
+
+def judge(docs: DataFrame, refs: DataFrame | dict, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """One row per document: ``row`` (a struct of the ``carry`` columns), the
-    base measures, both distances (null below the minimum lengths or without
-    references) and the verdict ``kept``."""
+    base measures, both distances (null below the minimum lengths or without a
+    reference of the language) and the verdict ``kept``.  ``refs``: the rows of
+    ``reference_table``, broadcast only while the table is small, or a
+    dictionary."""
+    if isinstance(refs, dict):
+        refs = docs.sparkSession.createDataFrame([(k, pack(v)) for k, v in refs.items()], "lang string, ref string")
     names = [c.split()[0] for c in RESULT.split(", ")]
     kinds = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.float64(), pa.bool_()]
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = class_table()
+        unpacked = lru_cache(UNPACKED)(unpack)
 
-        def distances(text: bytes, words: list[bytes], lang) -> tuple[float | None, float | None]:
-            use = [refs[lang]] if lang in refs else list(refs.values())
+        def distances(text: bytes, words: list[bytes], ref: str | None) -> tuple[float | None, float | None]:
             by_class = by_word = None
-            if use and len(text) >= MIN_CHARS:
-                counts = class_counts(text, table)
-                if counts.sum() >= MIN_CHARS:
-                    by_class = min(js_distance(counts, r[0]) for r in use)
-            if use and len(words) >= MIN_WORDS:
+            if ref is None:
+                return by_class, by_word
+            classes, cell, counts = unpacked(ref)
+            if len(text) >= MIN_CHARS:
+                own = class_counts(text, table)
+                if own.sum() >= MIN_CHARS:
+                    by_class = js_distance(own, classes)
+            if len(words) >= MIN_WORDS:
                 seen = Counter(words)
-                for _, cell, counts in use:
-                    own = np.zeros(len(counts))
-                    for w, k in cell.items():
-                        own[k] = seen.get(w, 0)
-                    own[-1] = len(words) - own.sum()
-                    d = js_distance(own, counts)
-                    by_word = d if by_word is None else min(by_word, d)
+                own = np.zeros(len(counts))
+                for w, k in cell.items():
+                    own[k] = seen.get(w, 0)
+                own[-1] = len(words) - own.sum()
+                by_word = js_distance(own, counts)
             return by_class, by_word
 
         for batch in batches:
             found = []
-            for text, lang in zip(utf8_column(batch, "text"), batch.column("lang").to_pylist()):
+            for text, ref in zip(utf8_column(batch, "text"), batch.column("ref").to_pylist()):
                 text = text or b""
                 words = text.split()
                 base = base_measures(text, words)
-                by_class, by_word = distances(text, words, lang)
+                by_class, by_word = distances(text, words, ref)
                 kept = not base[-1] and (by_class or 0) <= MAX_CLASS_DISTANCE and (by_word or 0) <= MAX_WORD_DISTANCE
                 found.append((*base, by_class, by_word, kept))
             cols = list(zip(*found)) if found else [[]] * len(names)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), *(pa.array(v, k) for v, k in zip(cols, kinds))], ["row", *names])
 
-    given = docs.select(F.struct(*carry).alias("row"), "text", "lang")
+    given = docs.select(F.struct(*carry).alias("row"), "text", F.col("lang").cast("string").alias("lang"))
+    refs = refs.select(F.col("lang").alias("_lang"), "ref")
+    given = given.join(refs, F.col("lang").eqNullSafe(F.col("_lang")), "left").select("row", "text", "ref")
     out = T.StructType([given.schema["row"], *T._parse_datatype_string(RESULT).fields])
     return given.mapInArrow(apply, out)
 
@@ -198,10 +224,10 @@ def judge(docs: DataFrame, refs: dict, carry: tuple[str, ...] = ("doc_id",)) ->
 def quality_rules(docs: DataFrame) -> DataFrame:
     """Learn the references from ``docs`` and judge every document of it:
     doc_id, the base measures, the distances and the verdict."""
-    return judge(docs, references(docs)).select("row.doc_id", *[c.split()[0] for c in RESULT.split(", ")])
+    return judge(docs, reference_table(docs)).select("row.doc_id", *[c.split()[0] for c in RESULT.split(", ")])
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose document passes, with all their columns, in one
     pass over the texts (the verdict is made beside the row, not joined)."""
-    return judge(docs, references(docs), tuple(docs.columns)).where("kept").select("row.*")
+    return judge(docs, reference_table(docs), tuple(docs.columns)).where("kept").select("row.*")

@@ -3,6 +3,7 @@ brute force, and on odd rows."""
 
 import hashlib
 import math
+import random
 from collections import Counter, defaultdict
 
 import pytest
@@ -63,6 +64,26 @@ def test_quality_distances_follow_the_definition(spark):
     assert by_id[3].class_distance < 0.2
 
 
+def test_quality_references_do_not_depend_on_shares(spark):
+    def text(letters, i, n=80):
+        rng = random.Random(i)
+        return " ".join(rng.choice(letters) * rng.randint(1, 3) for _ in range(n))
+
+    hot = [(i, text("abcdefghij", i), "en") for i in range(4_000)]
+    rare = [(10_000 + i, text("אבגדהוזחטי", i), "he") for i in range(30)] + [(20_000 + i, text("абвгдежзик", i), None) for i in range(30)]
+    tiny = [(30_000, text("漢字文章言語学校", 1), "zh"), (30_001, text("漢字文章言語学校", 1)[:20], "zh")]
+    odd = [(40_000, "@@ || ## 12 34 !! " * 40, "he")]
+    df = spark.createDataFrame(hot + rare + tiny + odd, "doc_id long, text string, lang string")
+    assert set(quality_rules.references(df)) == {"en", "he", None}
+    got = {r.doc_id: r for r in quality_rules.quality_rules(df).collect()}
+    assert len(got) == df.count()
+    assert all(got[i].kept and got[i].word_distance < 0.48 for i, *_ in rare)  # of less than 1% of the documents
+    zh = got[30_000]
+    assert zh.kept and zh.class_distance is None and zh.word_distance is None
+    assert not got[40_000].kept and not got[30_001].kept
+    assert quality_rules.keep_good(df).where("lang = 'he' or lang is null").count() == 60
+
+
 def brute_lines(rows, run=3):
     """doc_id, lines, deleted, text by comparing all runs with all earlier ones."""
     order = sorted({(line_dedup.LAST if r[0] is None else r[0], r[1]) for r in rows if r[1] is not None},
