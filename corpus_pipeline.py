@@ -10,8 +10,8 @@ its predecessor kept.
 2. line dedup: later repeats of runs of three lines, or of 20 words in fewer,
    are deleted, and documents of which no line is left go;
 3. n-gram Jaccard join: one document of each group of near copies stays;
-4. mixing sources to target weights: documents stay, repeat, are cut or go, so
-   that each source has its target's words;
+4. mixing sources to target weights: documents stay, repeat or go, whole, so
+   that each source has its target's words to half a document per shard;
 5. best-fit packing: the mix as pieces in sequences of 4096 tokens.
 """
 
@@ -36,7 +36,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.write_mix(docs)
+    return mixing.write_mix(docs, whole_texts=True)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -140,11 +140,13 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, docs_per_shard: int = D
             .select("doc_id", "size", "source", "source_size", "target", taken.cast("long").alias("taken")))
 
 
-def write_mix(docs: DataFrame, **options) -> DataFrame:
+def write_mix(docs: DataFrame, whole_texts: bool = False, **options) -> DataFrame:
     """The mix itself, with the columns of ``docs``: a document once for each
     full round, and once more cut to its first words where the last round ends
     in it.  Documents that the mix doesn't reach go.  A cut text is its words
-    joined by one space, and ``n_chars`` follows it."""
+    joined by one space, and ``n_chars`` follows it.  With ``whole_texts`` the
+    last round ends at the nearest end of a document instead, so no text is
+    cut and a shard has up to half a document more or less than its quota."""
     names = docs.columns
     plan = mix(docs, **options)
     same = Window.partitionBy("_id", "_source", "_size")
@@ -160,6 +162,8 @@ def write_mix(docs: DataFrame, **options) -> DataFrame:
     both = full.join(plan.where("taken > 0"), on).select("row", full["_size"].alias("size"), "taken")
     whole = F.floor(F.col("taken") / F.col("size")).cast("int")
     part = (F.col("taken") % F.col("size")).cast("int")
+    if whole_texts:
+        whole, part = whole + F.when(2 * part >= F.col("size"), 1).otherwise(0), F.lit(0)
     copies = F.concat(F.array_repeat(F.lit(0), whole), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<int>")))
     cut = F.array_join(F.slice(F.regexp_extract_all("row.text", F.lit(WORD_PATTERN), F.lit(0)), 1, F.col("words")), " ")
     out = both.select("row", F.explode(copies).alias("words"))

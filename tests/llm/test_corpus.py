@@ -110,6 +110,18 @@ def test_written_mix_has_the_planned_words(spark, tables):
     assert mixing.write_mix(tables[2]).count() == 0
 
 
+def test_pipeline_mix_keeps_texts_whole(spark, tables):
+    docs, texts = tables[0], {r[0]: r[1] for r in corpus()}
+    cut = [r for r in mixing.write_mix(docs).collect() if r.text != texts[r.doc_id]]
+    assert cut
+    written = Counter()
+    for r in corpus_pipeline.mixture(spark, docs, "").collect():
+        assert r.text == texts[r.doc_id] and r.n_chars == len(r.text)
+        written[r.doc_id] += 1
+    for r in mixing.mix(docs).collect():
+        assert written[r.doc_id] == (2 * r.taken + r.size) // (2 * r.size) <= mixing.MAX_REPEATS
+
+
 # --- packing ------------------------------------------------------------------
 
 def token_ids(texts):
