@@ -11,8 +11,10 @@
    place in template) are one candidate place.
 4. *Alignment.*  Template and text are aligned locally within a band around the
    diagonal (match 2, mismatch -1, gap -1).  Coverage is the share of the
-   template's words matched; places with at least ``MIN_COVERAGE`` are reported
-   with their spans.
+   template's words matched; places with at least ``MIN_COVERAGE`` are found.
+5. *Choice.*  Words in square brackets in a template tell it from others (name,
+   version): a place counts only if each such group stands in it word for word.
+   Of templates on one span the one with the most matched words is reported.
 
 The templates are a parameter (name -> text); their index goes to the tasks, so
 its size is that of the templates.  One pass over the texts, nothing is
@@ -20,13 +22,14 @@ shuffled.
 
 Nulls and edge cases: a null or empty text has no matches, so no row.  A notice
 that stands several times is reported each time.  A template found inside a
-longer one is reported beside it.  Templates shorter than a fingerprint run are
+longer one is not reported beside it.  Templates shorter than a fingerprint run are
 refused.  Repeated rows are scanned each by itself; a null doc_id is kept.  Extra
 columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -41,6 +44,8 @@ WINNOW = 2
 MIN_COVERAGE = 0.7
 BAND_SHARE = 8  # the band is one word to either side for each so many template words, two at least
 
+KEYS = re.compile(r"\[([^]]*)\]")
+
 # Notices as their licenses ask for them, and common short forms.
 TEMPLATES = {
     "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
@@ -49,37 +54,75 @@ TEMPLATES = {
         Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
         The above copyright notice and this permission notice shall be included in all copies or substantial portions of
         the Software.""",
-    "MIT (notice)": "Released under the MIT License.",
+    "MIT (notice)": "Released under the [MIT License].",
     "ISC": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is
         hereby granted, provided that the above copyright notice and this permission notice appear in all copies.""",
+    "BSD-2-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted
+        provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright
+        notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce
+        the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or
+        other materials provided with the distribution.""",
     "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted
         provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright
         notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce
         the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or
         other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its
-        contributors may be used to endorse or promote products derived from this software without specific prior
+        contributors may be used to [endorse or promote products] derived from this software without specific prior
         written permission.""",
     "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in
         compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0
         Unless required by applicable law or agreed to in writing, software distributed under the License is distributed
         on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.""",
-    "Apache-2.0 (notice)": "Licensed under the Apache License, Version 2.0.",
-    "GPL-3.0": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU
-        General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your
-        option) any later version.""",
-    "GPL-3.0 (notice)": "This work is licensed under the GNU General Public License, version 3.",
-    "GPL-2.0": """This program is free software; you can redistribute it and/or modify it under the terms of the GNU
-        General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your
-        option) any later version.""",
+    "Apache-2.0 (notice)": "Licensed under the [Apache License, Version 2.0].",
     "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the
         MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
-    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
-    "CC-BY-NC-4.0 (notice)": "Licensed under CC BY-NC 4.0.",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
+    "BSL-1.0": """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the
+        software and accompanying documentation covered by this license (the "Software") to use, reproduce, display,
+        distribute, execute, and transmit the Software""",
+    "Zlib": """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be
+        held liable for any damages arising from the use of this software. Permission is granted to anyone to use this
+        software for any purpose, including commercial applications, and to alter it and redistribute it freely""",
+    "CC0-1.0": """To the extent possible under law, the author has waived all copyright and related or neighboring rights
+        to this work.""",
+    "CC0-1.0 (notice)": "Licensed under [CC0 1.0] Universal.",
 }
 
 
+def _gnu(name: str, kind: str, version: str, thing: str = "program") -> dict[str, str]:
+    title = f"GNU {kind}General Public License"
+    return {
+        name: f"""This {thing} is free software: you can redistribute it and/or modify it under the terms of the [{title}]
+            as published by the Free Software Foundation, either [version {version}] of the License, or (at your option)
+            any later version.""",
+        f"{name} (notice)": f"This work is licensed under the [{title}, version {version}].",
+        f"{name} (notice, v)": f"Licensed under the [{title} v{version}].",
+    }
+
+
+for _name, _kind, _version, _thing in (
+        ("GPL-2.0", "", "2", "program"), ("GPL-3.0", "", "3", "program"), ("LGPL-2.1", "Lesser ", "2.1", "library"),
+        ("LGPL-3.0", "Lesser ", "3", "library"), ("AGPL-3.0", "Affero ", "3", "program")):
+    TEMPLATES |= _gnu(_name, _kind, _version, _thing)
+for _name, _title in (
+        ("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-NC", "Attribution-NonCommercial"),
+        ("BY-ND", "Attribution-NoDerivatives"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+        ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives")):
+    for _version, _where in (("4.0", "International"), ("3.0", "Unported"), ("2.0", "Generic")):
+        TEMPLATES |= {
+            f"CC-{_name}-{_version}":
+                f"This work is licensed under a [Creative Commons {_title} {_version}] {_where} License.",
+            f"CC-{_name}-{_version} (notice)": f"Licensed under [CC {_name} {_version}]."}
+TEMPLATES |= {f"{_name} (notice)": f"Licensed under the [{_title}]." for _name, _title in (
+    ("BSD-2-Clause", "BSD 2-Clause License"), ("BSD-3-Clause", "BSD 3-Clause License"), ("ISC", "ISC License"),
+    ("MPL-2.0", "Mozilla Public License, version 2.0"), ("EPL-2.0", "Eclipse Public License, version 2.0"),
+    ("BSL-1.0", "Boost Software License, version 1.0"), ("Zlib", "zlib License"), ("EUPL-1.2", "EUPL, version 1.2"))}
+TEMPLATES |= {f"{_name} (SPDX)": f"SPDX-License-[Identifier: {_name}]" for _name in (
+    "MIT", "MIT-0", "ISC", "BSD-2-Clause", "BSD-3-Clause", "0BSD", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0",
+    "AGPL-3.0", "MPL-2.0", "EPL-2.0", "BSL-1.0", "Zlib", "Unlicense", "EUPL-1.2", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0",
+    "CC-BY-NC-4.0")}
+
+
 class Scanner:
     """The inverted index of some templates, and the scan of a text with it."""
 
@@ -92,6 +135,7 @@ class Scanner:
         self.in_word = kind
         self.names = list(templates)
         self.words = [self.parts(x.encode())[0] for x in templates.values()]
+        self.keys = [[self.parts(k.encode())[0] for k in KEYS.findall(x)] for x in templates.values()]
         postings = defaultdict(list)
         for t, words in enumerate(self.words):
             if len(words) < gram + winnow - 1:
@@ -129,6 +173,15 @@ class Scanner:
         at = np.flatnonzero(chosen)
         return at, g[at]
 
+    def has_keys(self, t: int, words: np.ndarray) -> bool:
+        """Whether each group of words that tells template ``t`` from others
+        stands among ``words``."""
+        for key in self.keys[t]:
+            at = np.flatnonzero(words[: max(0, len(words) - len(key) + 1)] == key[0])
+            if not any(np.array_equal(words[k:k + len(key)], key) for k in at.tolist()):
+                return False
+        return True
+
     def align(self, t: int, words: np.ndarray, diagonal: int, band: int) -> tuple[int, int, int]:
         """Best local alignment of template ``t`` within ``band`` of a diagonal:
         words matched, and the span of words (start, end) in the text."""
@@ -178,17 +231,18 @@ class Scanner:
                 if first is not None and d - first <= band:
                     continue  # within the band of the place before
                 first = d
+                if not self.has_keys(t, words[max(0, d - 2 * band):max(0, d + size + 4 * band)]):
+                    continue
                 matched, a, b = self.align(t, words, d, 2 * band)
-                if matched >= least * size:
+                if matched >= least * size and self.has_keys(t, words[a:b]):
                     out.add((a, t, b, matched))
-        kept: dict[int, tuple] = {}
-        rows = []
-        for a, t, b, matched in sorted(out):
-            if t in kept and a < kept[t][1]:  # the same place, seen from two diagonals
-                continue
-            kept[t] = a, b
-            rows.append((self.names[t], matched, len(self.words[t]), a, b, int(starts[a]), int(ends[b - 1])))
-        return rows
+        chosen: list[tuple] = []
+        for a, t, b, matched in sorted(out, key=lambda x: (-x[3], -x[3] / len(self.words[x[1]]), x)):
+            # One span, seen from two diagonals or by two templates: the best is there already.
+            if not any(min(b, y) - max(a, x) > (0 if t == u else min(b - a, y - x) / 2) for x, u, y, _ in chosen):
+                chosen.append((a, t, b, matched))
+        return [(self.names[t], matched, len(self.words[t]), a, b, int(starts[a]), int(ends[b - 1]))
+                for a, t, b, matched in sorted(chosen)]
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, least: float = MIN_COVERAGE) -> DataFrame:

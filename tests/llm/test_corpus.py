@@ -308,6 +308,24 @@ def test_every_template_is_found_in_a_text(spark):
         licenses.Scanner({"short": "two words"})
 
 
+def test_one_license_for_each_notice():
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    names = lambda text: [x[0] for x in scanner.scan(text.encode())]
+    gnu = ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+           "License as published by the Free Software Foundation; either version {} of the License, or (at your option) any later version.")
+    bsd = " ".join(licenses.TEMPLATES["BSD-3-Clause"].split())
+    assert names(bsd) == ["BSD-3-Clause"] and names(bsd[:bsd.index("3. Neither")]) == ["BSD-2-Clause"]
+    assert names(gnu.format(2)) == ["GPL-2.0"] and names(gnu.format(3)) == ["GPL-3.0"]
+    assert names(gnu.format(3).replace("General", "Affero General")) == ["AGPL-3.0"]
+    assert names("Licensed under CC BY-SA 4.0.") == ["CC-BY-SA-4.0 (notice)"]
+    assert names("Licensed under CC BY-NC 4.0.") == ["CC-BY-NC-4.0 (notice)"]
+    assert names("This work is licensed under the GNU General Public License, version 2.") == ["GPL-2.0 (notice)"]
+    assert names("Licensed under the GNU Lesser General Public License, version 2.1.") == ["LGPL-2.1 (notice)"]
+    assert names("Distributed under the BSD 2-Clause License.") == ["BSD-2-Clause (notice)"]
+    assert names("Licensed under CC BY 4.0. Licensed under CC BY 3.0.") == ["CC-BY-4.0 (notice)", "CC-BY-3.0 (notice)"]
+    assert names("// SPDX-License-Identifier: AGPL-3.0-or-later") == ["AGPL-3.0 (SPDX)"]
+
+
 # --- vectors ----------------------------------------------------------------------
 
 def test_vectors(spark, monkeypatch):
