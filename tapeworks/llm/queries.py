@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapeworks.llm import importance, jaccard, licenses
+from tapeworks.llm import conversations, importance, jaccard, licenses
 from tapeworks.llm import line_dedup as ld
 from tapeworks.llm import mixing, oracles, packing
 from tapeworks.llm import quality_rules as qr
@@ -77,11 +77,17 @@ def op10_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_lm.score_documents(_table(spark, sf_dir, "documents"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Structure repair of all conversations after seeded damage: faults, cost,
+    audit and the hash of the repaired text of each."""
+    return conversations.repaired_conversations(_table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, QueryFn]:
     return {f.__name__: f for f in (
         op1_importance_resampling, op2_license_scan, op3_source_mixing, op4_jaccard_join,
         op5_embedding_near_dedup, op6_substring_dedup, op7_quality_rules, op8_best_fit_packing,
-        op9_line_dedup, op10_suffix_tree_scores,
+        op9_line_dedup, op10_suffix_tree_scores, op13_conversation_repair,
     )}
 
 
