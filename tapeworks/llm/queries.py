@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tapeworks.llm import conversations, importance, jaccard, licenses
 from tapeworks.llm import line_dedup as ld
-from tapeworks.llm import mixing, oracles, packing
+from tapeworks.llm import mixing, oracles, packing, periodic
 from tapeworks.llm import quality_rules as qr
 from tapeworks.llm import substrings, suffix_lm, vectors
 
@@ -77,6 +77,12 @@ def op10_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_lm.score_documents(_table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in all documents, with seeded repetitions: their
+    number, the run of greatest exponent, hashes of all runs and of what is left."""
+    return periodic.runs_digest(periodic.find_runs(periodic.with_repeats(_table(spark, sf_dir, "documents"))))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Structure repair of all conversations after seeded damage: faults, cost,
     audit and the hash of the repaired text of each."""
@@ -87,7 +93,8 @@ def queries() -> dict[str, QueryFn]:
     return {f.__name__: f for f in (
         op1_importance_resampling, op2_license_scan, op3_source_mixing, op4_jaccard_join,
         op5_embedding_near_dedup, op6_substring_dedup, op7_quality_rules, op8_best_fit_packing,
-        op9_line_dedup, op10_suffix_tree_scores, op13_conversation_repair,
+        op9_line_dedup, op10_suffix_tree_scores, op11_periodic_runs,
+        op13_conversation_repair,
     )}
 
 
