@@ -23,6 +23,8 @@ table gives no rows.  Extra columns are ignored.
 
 from __future__ import annotations
 
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -38,7 +40,8 @@ from tapeworks.llm.text import WordHasher, utf8_column
 SEQUENCE = 4096
 END_ID = 1
 PIECES_PER_GROUP = 20_000
-REMEMBERED_PARTS = 600_000
+REMEMBERED_PARTS = 1_500_000
+SLOT_BITS = 22
 CHUNK = 2_000_000
 
 
@@ -72,9 +75,35 @@ class WordEncoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known = np.empty(0, np.uint64)  # hashes of the parts, ascending
-        self.first, self.size = np.empty(0, np.int64), np.empty(0, np.int64)  # their places in tokens
+        self.known = np.zeros(1, np.uint64)  # hashes of the parts; number 0 stands for none
+        self.first, self.size = np.zeros(1, np.int32), np.zeros(1, np.int32)  # their places in tokens
         self.tokens = np.empty(0, np.uint32)
+        self.deal(SLOT_BITS)
+
+    def deal(self, bits: int) -> None:
+        """A table of part numbers by hash, 2**bits slots, open addressing."""
+        self.bits, self.slots = bits, np.zeros(1 << bits, np.int32)
+        self.enter(np.arange(1, len(self.known)))
+
+    def enter(self, numbers: np.ndarray) -> None:
+        """Give each of these parts a free slot."""
+        slot = (self.known[numbers] >> np.uint64(64 - self.bits)).astype(np.int64)
+        while len(numbers):
+            free = self.slots[slot] == 0
+            self.slots[slot[free]] = numbers[free]
+            rest = self.slots[slot] != numbers
+            numbers, slot = numbers[rest], (slot[rest] + 1) & (len(self.slots) - 1)
+
+    def numbers(self, part: np.ndarray) -> np.ndarray:
+        """The number of each part hash, 0 where it is not known."""
+        slot = (part >> np.uint64(64 - self.bits)).astype(np.int64)
+        found = self.slots[slot]
+        other = np.flatnonzero((found > 0) & (self.known[found] != part))
+        while len(other):
+            slot[other] = (slot[other] + 1) & (len(self.slots) - 1)
+            found[other] = self.slots[slot[other]]
+            other = other[(found[other] > 0) & (self.known[found[other]] != part[other])]
+        return found
 
     def ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -120,32 +149,47 @@ class WordEncoder:
             ends[:-1] = starts[1:]
             ends[-1] = len(whole)
             ends = np.minimum(ends, space[np.searchsorted(space, starts, "right")])
-        part, index, of = np.unique(self.hasher.pieces(whole, starts, ends), return_index=True, return_inverse=True)
+        part = self.hasher.pieces(whole, starts, ends)
         if len(self.known) > REMEMBERED_PARTS:
             self.forget()
-        at = np.searchsorted(self.known, part)
-        new = np.flatnonzero(np.append(self.known, 0)[at] != part if len(self.known) else np.ones(len(part), bool))
-        if len(new):
-            found = self.parts_ids([whole[a:b] for a, b in zip(starts[index[new]].tolist(), ends[index[new]].tolist())])
-            size = np.fromiter(map(len, found), np.int64, len(found))
-            first = len(self.tokens) + np.cumsum(size) - size
+        at = self.numbers(part)
+        missing = np.flatnonzero(at == 0)
+        if len(missing):
+            fresh, index = np.unique(part[missing], return_index=True)
+            index = missing[index]
+            found = self.parts_ids([whole[a:b] for a, b in zip(starts[index].tolist(), ends[index].tolist())])
+            size = np.fromiter(map(len, found), np.int32, len(found))
+            first = (len(self.tokens) + np.cumsum(size) - size).astype(np.int32)
             self.tokens = np.concatenate([self.tokens, np.fromiter(chain.from_iterable(found), np.uint32, int(size.sum()))])
-            place = np.searchsorted(self.known, part[new])
-            self.known, self.first, self.size = (np.insert(old, place, add) for old, add in (
-                (self.known, part[new]), (self.first, first), (self.size, size)))
-            at = np.searchsorted(self.known, part)
-        first, size = self.first[at][of], self.size[at][of]
-        total = np.cumsum(size)
+            low = len(self.known)
+            self.known, self.first, self.size = (np.concatenate(x) for x in (
+                (self.known, fresh), (self.first, first), (self.size, size)))
+            if 2 * len(self.known) > len(self.slots):
+                self.deal(int(2 * len(self.known)).bit_length())
+            else:
+                self.enter(np.arange(low, len(self.known)))
+            at[missing] = self.numbers(part[missing])
+        first, size = self.first[at], self.size[at]
+        total = np.cumsum(size, dtype=np.int64)
         ids = self.tokens[np.repeat(first - (total - size), size) + np.arange(total[-1] if len(total) else 0)]
         text_ends = np.cumsum([len(x) + 1 for x in texts])
         cuts = np.concatenate([[0], total])[np.searchsorted(starts, text_ends)]
         return np.split(ids, cuts[:-1])
 
 
+def kept_encoder(vocabulary: str) -> WordEncoder:
+    """The encoder of this Python worker.  It lives as long as the worker, so that
+    parts are encoded once per worker and not once per task."""
+    kept = sys.modules.setdefault("_tapeworks_encoders", types.ModuleType("_tapeworks_encoders")).__dict__
+    if vocabulary not in kept:
+        kept[vocabulary] = WordEncoder(vocabulary)
+    return kept[vocabulary]
+
+
 def pieces(docs: DataFrame, vocabulary: str, length: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32: one row per piece."""
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(vocabulary)
+        encoder = kept_encoder(vocabulary)
         for batch in batches:
             source, found = [], []
             texts = utf8_column(batch, "text")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tapeworks.llm import conversations, importance, jaccard, licenses
 from tapeworks.llm import line_dedup as ld
-from tapeworks.llm import mixing, oracles, packing, periodic
+from tapeworks.llm import mixing, oracles, order_packing, packing, periodic
 from tapeworks.llm import quality_rules as qr
 from tapeworks.llm import substrings, suffix_lm, vectors
 
@@ -83,6 +83,13 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.runs_digest(periodic.find_runs(periodic.with_repeats(_table(spark, sf_dir, "documents"))))
 
 
+def op12_order_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order-preserving packing of all documents into sequences of 4096 tokens."""
+    import public_tokenizers
+
+    return order_packing.pack_in_order(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Structure repair of all conversations after seeded damage: faults, cost,
     audit and the hash of the repaired text of each."""
@@ -94,7 +101,7 @@ def queries() -> dict[str, QueryFn]:
         op1_importance_resampling, op2_license_scan, op3_source_mixing, op4_jaccard_join,
         op5_embedding_near_dedup, op6_substring_dedup, op7_quality_rules, op8_best_fit_packing,
         op9_line_dedup, op10_suffix_tree_scores, op11_periodic_runs,
-        op13_conversation_repair,
+        op12_order_packing, op13_conversation_repair,
     )}
 
 
