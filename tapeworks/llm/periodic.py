@@ -233,17 +233,19 @@ def with_repeats(docs: DataFrame) -> DataFrame:
     of a document of n words with h % 10 = 0 each word i >= a = g % n becomes word
     a + (i - a) % p, p = 1 + (n - a) / (3 + g % 8).  A null doc_id is left alone."""
     h = F.crc32(F.col("doc_id").cast("string"))
-    words = F.filter(F.split("text", rf"[\x20\x09-\x0D]+"), lambda w: w != "")
-    g, n = F.floor(h / 10), F.size(words)
-    a = g % n
-    p = 1 + F.floor((n - a) / (3 + g % 8))
+    g = F.floor(h / 10)
 
     def repeated(w: Column) -> Column:
-        place = F.transform(w, lambda _, i: F.when(i >= a, a + (i - a) % p).otherwise(i).cast("int"))
-        return F.array_join(F.transform(place, lambda i: F.get(w, i)), " ")
-
-    # Only these documents are split: no filter or split is evaluated for the others.
-    text = F.when((h % 10 == 0) & F.col("text").rlike(WORD_PATTERN), repeated(words)).otherwise(F.col("text"))
+        n = F.size(w)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        tail = F.flatten(F.array_repeat(F.slice(w, a.cast("int") + 1, p.cast("int")), F.ceil((n - a) / p).cast("int")))
+        return F.array_join(F.concat(F.slice(w, 1, a.cast("int")), F.slice(tail, 1, (n - a).cast("int"))), " ")
+
+    # Bound by a lambda, so that a text is split once; texts of other documents are not split.
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    once = F.get(F.transform(F.array(words), repeated), 0)
+    text = F.when((h % 10 == 0) & F.col("text").rlike(WORD_PATTERN), once).otherwise(F.col("text"))
     return docs.select("doc_id", text.alias("text"))
 
 
