@@ -1,9 +1,15 @@
 """Strict validation of whole contract documents.
 
-``document_codes(raw, name)`` takes JSON text and returns the codes of all that
-is wrong with it as that contract, as ``path:code``; none means valid.  The text
-is parsed once, to VARIANT, so a value keeps its JSON type: a number given for a
-text is seen, and ``5``, ``"5"`` and ``5.0`` all read as the integer 5.
+The codes of all that is wrong with a document as a contract are ``path:code``;
+none means valid.  The text is parsed once, to VARIANT, so a value keeps its JSON
+type: a number given for a text is seen, and ``5``, ``"5"`` and ``5.0`` all read as
+the integer 5.  ``parsed_documents`` splits the parsed document into its fields,
+from which ``field_codes`` and the reader's typed values are both taken;
+``document_codes`` is the same check as one expression.
+
+Paths are known when the check is built, so a code is a literal.  Of a repeated
+JSON key the parser refuses the text (code ``json``): two values leave open which
+one a writer meant.
 
 A model is checked from the inside out: every field (missing, null, wrong type,
 bounds, patterns, nested models, lists and maps), then undeclared fields, and
@@ -17,17 +23,17 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapeworks.functions import col_of
+from tapeworks.functions import col_of, evaluate_once
 from tapeworks.functions.text import ARTIFACT_KEY_PATTERN, SHA256_PATTERN, strip_ws
 from tapeworks.functions.time import aware_timestamp, has_offset
 from tapeworks.functions.uri import is_http_url, is_s3_uri
-from tapeworks.operators.rules import DUBBED_STRATEGIES, JOB_STATUSES, JOB_TYPES, TERMINAL_STATUSES
+from tapeworks.operators.rules import DUBBED_STRATEGIES, JOB_STATUSES, JOB_TYPES, MESSAGE_LEVELS, TERMINAL_STATUSES
 from tapeworks.sources.contracts import SCHEMA_VERSION, lax_int
 
-Check = Callable[[Column], Column]
+Check = Callable[[Column, str], Column]
 
 
 def no_codes() -> Column:
@@ -55,11 +61,19 @@ def is_null(x: Column) -> Column:
     return F.coalesce(F.is_variant_null(x), F.lit(False))
 
 
-def one_of(*cases: tuple[Column, str]) -> Column:
+def inside(at: str, name: str) -> str:
+    return f"{at}.{name}" if at else name
+
+
+def code(at: str, what: str) -> Column:
+    return F.array(F.lit(f"{at}:{what}" if at else what))
+
+
+def one_of(at: str, *cases: tuple[Column, str]) -> Column:
     """The code of the first case that holds, as an array of at most one."""
     out = None
-    for bad, code in cases:
-        found = F.array(F.lit(code))
+    for bad, what in cases:
+        found = code(at, what)
         bad = F.coalesce(bad, F.lit(True))
         out = F.when(bad, found) if out is None else out.when(bad, found)
     return out.otherwise(no_codes())
@@ -69,19 +83,19 @@ def one_of(*cases: tuple[Column, str]) -> Column:
 
 
 def text(least: int = 0, pattern: str | None = None) -> Check:
-    def check(x):
+    def check(x, at):
         s = strip_ws(text_of(x))
         cases = [(kind_of(x) != "STRING", "string_type"), (F.length(s) < least, "too_short")]
-        return one_of(*cases, *([(~s.rlike(pattern), "pattern")] if pattern else []))
+        return one_of(at, *cases, *([(~s.rlike(pattern), "pattern")] if pattern else []))
     return check
 
 
 def member(values) -> Check:
-    return lambda x: one_of((kind_of(x) != "STRING", "string_type"), (~text_of(x).isin(*values), "enum"))
+    return lambda x, at: one_of(at, (kind_of(x) != "STRING", "string_type"), (~text_of(x).isin(*values), "enum"))
 
 
 def integer(lo: int | None = None, hi: int | None = None, above: int | None = None) -> Check:
-    def check(x):
+    def check(x, at):
         n = lax_int(text_of(x))
         cases = [(kind_of(x).rlike("^(OBJECT|ARRAY)") | n.isNull(), "int_type")]
         if lo is not None:
@@ -90,40 +104,40 @@ def integer(lo: int | None = None, hi: int | None = None, above: int | None = No
             cases.append((n <= above, "too_small"))
         if hi is not None:
             cases.append((n > hi, "too_large"))
-        return one_of(*cases)
+        return one_of(at, *cases)
     return check
 
 
 def number(lo: float | None = None, hi: float | None = None) -> Check:
-    def check(x):
+    def check(x, at):
         n = text_of(x).try_cast("double")
         cases = [(kind_of(x).rlike("^(OBJECT|ARRAY)") | n.isNull(), "float_type")]
         cases += [(n < lo, "too_small")] if lo is not None else []
-        return one_of(*cases, *([(n > hi, "too_large")] if hi is not None else []))
+        return one_of(at, *cases, *([(n > hi, "too_large")] if hi is not None else []))
     return check
 
 
-def flag(x: Column) -> Column:
+def flag(x: Column, at: str) -> Column:
     said = F.lower(text_of(x)).isin("true", "false", "1", "0", "yes", "no", "on", "off", "y", "n", "t", "f")
-    return one_of(((kind_of(x) != "BOOLEAN") & ~(kind_of(x).isin("STRING", "BIGINT") & said), "bool_type"))
+    return one_of(at, ((kind_of(x) != "BOOLEAN") & ~(kind_of(x).isin("STRING", "BIGINT") & said), "bool_type"))
 
 
-def instant(x: Column) -> Column:
+def instant(x: Column, at: str) -> Column:
     s = strip_ws(text_of(x))
     number_kind = kind_of(x).rlike("^(BIGINT|DOUBLE|DECIMAL)")  # seconds since the epoch are aware
-    return one_of((~(number_kind | ((kind_of(x) == "STRING") & has_offset(s, "contract"))), "aware_timestamp"))
+    return one_of(at, (~(number_kind | ((kind_of(x) == "STRING") & has_offset(s, "contract"))), "aware_timestamp"))
 
 
-def http(x: Column) -> Column:
-    return one_of((kind_of(x) != "STRING", "string_type"), (~is_http_url(text_of(x)), "http_url"))
+def http(x: Column, at: str) -> Column:
+    return one_of(at, (kind_of(x) != "STRING", "string_type"), (~is_http_url(text_of(x)), "http_url"))
 
 
-def s3(x: Column) -> Column:
-    return one_of((kind_of(x) != "STRING", "string_type"), (~is_s3_uri(strip_ws(text_of(x))), "s3_uri"))
+def s3(x: Column, at: str) -> Column:
+    return one_of(at, (kind_of(x) != "STRING", "string_type"), (~is_s3_uri(strip_ws(text_of(x))), "s3_uri"))
 
 
-def json_object(x: Column) -> Column:
-    return one_of((~kind_of(x).startswith("OBJECT"), "object_type"))
+def json_object(x: Column, at: str) -> Column:
+    return one_of(at, (~kind_of(x).startswith("OBJECT"), "object_type"))
 
 
 # ------------------------------------------------------------------ composition
@@ -153,53 +167,71 @@ def defaulted(name: str, check: Check) -> Item:
     return Item(name, check)
 
 
-def _under(label: Column | str, codes: Column) -> Column:
-    """Codes of a part, with the part's name before them."""
-    head = F.lit(label) if isinstance(label, str) else label
-    return F.transform(codes, lambda c: F.concat(head, F.when(c.rlike("^[a-z_0-9]+$"), F.lit(":")).otherwise(F.lit(".")), c))
+def _field(x: Column, f: Item, at: str) -> Column:
+    """Codes of one field's value ``x``."""
+    path = inside(at, f.name)
+    missing = code(path, "missing") if f.required else no_codes()
+    null = no_codes() if f.nullable else code(path, "null")
+    return F.when(x.isNull(), missing).when(is_null(x), null).otherwise(f.check(x, path))
 
 
-def _field(v: Column, f: Item) -> Column:
+def _field_of(f: Item, at: str) -> Callable[[Column], Column]:
+    return lambda x: _field(x, f, at)
+
+
+def _value(v: Column, f: Item) -> Column:
     x = get(v, f.name)
-    if f.alias:
-        x = F.coalesce(x, get(v, f.alias))
-    missing = F.array(F.lit("missing")) if f.required else no_codes()
-    null = no_codes() if f.nullable else F.array(F.lit("null"))
-    return _under(f.name, bind(x, lambda x: F.when(x.isNull(), missing).when(is_null(x), null).otherwise(f.check(x))))
-
-
-def model(*fields: Item, rule: Callable[[Column], Column] | None = None, versioned: bool = True) -> Check:
-    """A check of an object with these fields and no others."""
-    if versioned:
-        fields = (defaulted("schema_version", member([SCHEMA_VERSION])), *fields)
-
-    def check(v):
-        # An alias is known only where the name itself isn't used.
-        known = F.array(*[F.lit(f.name) for f in fields],
-                        *[F.when(get(v, f.name).isNull(), F.lit(f.alias)) for f in fields if f.alias])
-        keys = F.map_keys(F.try_variant_get(v, "$", "map<string,variant>"))
-        unknown = F.transform(F.array_sort(F.array_except(keys, known)), lambda k: F.concat(k, F.lit(":unknown")))
-        found = F.concat(*[_field(v, f) for f in fields], unknown)
-        whole = found if rule is None else bind(found, lambda c: F.when(F.size(c) > 0, c).otherwise(rule(v)))
-        return F.when(~kind_of(v).startswith("OBJECT"), F.array(F.lit("object_type"))).otherwise(whole)
-    return check
+    return F.coalesce(x, get(v, f.alias)) if f.alias else x
+
+
+def _unknown(v: Column, fields: tuple[Item, ...], at: str) -> Column:
+    # An alias is known only where the name itself isn't used.
+    known = F.array(*[F.lit(f.name) for f in fields],
+                    *[F.when(get(v, f.name).isNull(), F.lit(f.alias)) for f in fields if f.alias])
+    keys = F.array_except(F.map_keys(F.try_variant_get(v, "$", "map<string,variant>")), known)
+    named = F.transform(F.array_sort(keys), lambda k: F.concat(F.lit(inside(at, "")), k, F.lit(":unknown")))
+    return F.when(F.size(keys) > 0, named).otherwise(no_codes())
+
+
+class Model:
+    """A check of an object with these fields and no others, then of the rule across them."""
+
+    def __init__(self, *fields: Item, rule: Callable[[Column, str], Column] | None = None, versioned: bool = True):
+        own = (defaulted("schema_version", member([SCHEMA_VERSION])),) if versioned else ()
+        self.fields, self.rule = (*own, *fields), rule
+
+    def found(self, v: Column, values: dict[str, Column], at: str) -> Column:
+        """Codes of the fields, whose values are given, and of undeclared ones."""
+        return F.concat(*[_field(values[f.name], f, at) for f in self.fields], _unknown(v, self.fields, at))
+
+    def settled(self, v: Column, found: Column, at: str) -> Column:
+        """All codes: ``found``, or the rule's where nothing was found."""
+        whole = found if self.rule is None else F.when(F.size(found) > 0, found).otherwise(self.rule(v, at))
+        return F.when(~kind_of(v).startswith("OBJECT"), code(at, "object_type")).otherwise(whole)
+
+    def __call__(self, v: Column, at: str) -> Column:
+        parts = [bind(_value(v, f), _field_of(f, at)) for f in self.fields]
+        return bind(F.concat(*parts, _unknown(v, self.fields, at)), lambda found: self.settled(v, found, at))
+
+
+model = Model
 
 
 def listing(part: Check) -> Check:
-    def check(x):
-        parts = F.try_variant_get(x, "$", "array<variant>")
-        found = F.flatten(F.transform(parts, lambda e: _under("[]", F.when(e.isNull() | is_null(e), F.array(F.lit("null"))).otherwise(part(e)))))
-        return F.when(kind_of(x).startswith("ARRAY"), found).otherwise(F.array(F.lit("list_type")))
+    def check(x, at):
+        parts, own = F.try_variant_get(x, "$", "array<variant>"), inside(at, "[]")
+        found = F.flatten(F.transform(parts, lambda e: F.when(e.isNull() | is_null(e), code(own, "null")).otherwise(part(e, own))))
+        return F.when(kind_of(x).startswith("ARRAY"), found).otherwise(code(at, "list_type"))
     return check
 
 
 def mapping(key: Callable[[Column], Column], part: Check) -> Check:
     """A check of an object used as a map: its keys, then its values."""
-    def check(x):
+    def check(x, at):
         entries = F.map_entries(F.try_variant_get(x, "$", "map<string,variant>"))
-        keys = F.flatten(F.transform(entries, lambda e: F.when(key(e["key"]), no_codes()).otherwise(F.array(F.lit("key")))))
-        values = F.flatten(F.transform(entries, lambda e: _under("{}", part(e["value"]))))
-        return F.when(kind_of(x).startswith("OBJECT"), F.concat(F.array_distinct(keys), values)).otherwise(F.array(F.lit("object_type")))
+        keys = F.flatten(F.transform(entries, lambda e: F.when(key(e["key"]), no_codes()).otherwise(code(at, "key"))))
+        values = F.flatten(F.transform(entries, lambda e: part(e["value"], inside(at, "{}"))))
+        return F.when(kind_of(x).startswith("OBJECT"), F.concat(F.array_distinct(keys), values)).otherwise(code(at, "object_type"))
     return check
 
 
@@ -227,33 +259,33 @@ def _truth(v: Column, name: str) -> Column:
     return F.coalesce(F.lower(get(v, name, "string")).isin("true", "1", "yes", "on", "y", "t"), F.lit(False))
 
 
-def _positive_interval(start: str, end: str) -> Callable[[Column], Column]:
-    return lambda v: one_of((_long(v, end) <= _long(v, start), "interval"))
+def _positive_interval(start: str, end: str) -> Callable[[Column, str], Column]:
+    return lambda v, at: one_of(at, (_long(v, end) <= _long(v, start), "interval"))
 
 
-def _job_rule(v: Column) -> Column:
+def _job_rule(v: Column, at: str) -> Column:
     status = _string(v, "status")
-    return one_of(((status == "failed") & _absent(v, "error"), "failed_without_error"),
+    return one_of(at, ((status == "failed") & _absent(v, "error"), "failed_without_error"),
                   ((status == "succeeded") & ~_absent(v, "error"), "succeeded_with_error"))
 
 
-def _stage_rule(v: Column) -> Column:
+def _stage_rule(v: Column, at: str) -> Column:
     status = _string(v, "status")
     order = F.coalesce(_time(v, "completed_at") < _time(v, "started_at"), F.lit(False))
-    return one_of((status.isin(*TERMINAL_STATUSES) & _absent(v, "completed_at"), "terminal_without_completion"),
+    return one_of(at, (status.isin(*TERMINAL_STATUSES) & _absent(v, "completed_at"), "terminal_without_completion"),
                   ((status == "failed") & _absent(v, "error"), "failed_without_error"),
                   ((status == "succeeded") & ~_absent(v, "error"), "succeeded_with_error"),
                   (order, "completed_before_started"))
 
 
-def _settings_rule(v: Column) -> Column:
-    return one_of((_truth(v, "burn_subtitles") & (F.coalesce(_string(v, "video_codec"), F.lit("copy")) == "copy"), "burn_needs_encoding"))
+def _settings_rule(v: Column, at: str) -> Column:
+    return one_of(at, (_truth(v, "burn_subtitles") & (F.coalesce(_string(v, "video_codec"), F.lit("copy")) == "copy"), "burn_needs_encoding"))
 
 
-def _render_rule(v: Column) -> Column:
+def _render_rule(v: Column, at: str) -> Column:
     s = get(v, "settings")
     strategy = F.coalesce(_string(s, "audio_strategy"), F.lit("subtitle_only"))
-    return one_of((_truth(s, "burn_subtitles") & _absent(v, "subtitle_ass"), "burn_needs_subtitles"),
+    return one_of(at, (_truth(s, "burn_subtitles") & _absent(v, "subtitle_ass"), "burn_needs_subtitles"),
                   (strategy.isin(*DUBBED_STRATEGIES) & _absent(v, "dubbed_audio"), "strategy_needs_dub"),
                   ((strategy == "voice_replace") & _absent(v, "accompaniment_audio"), "replace_needs_accompaniment"))
 
@@ -268,15 +300,15 @@ def _in_order(starts: Column, first: Column) -> Column:
     return F.forall(F.arrays_zip(starts.alias("a"), before.alias("b")), lambda p: p["a"] >= p["b"])
 
 
-def _segment_rule(v: Column) -> Column:
+def _segment_rule(v: Column, at: str) -> Column:
     start, end, words = _long(v, "start_ms"), _long(v, "end_ms"), _list(v, "words")
     inside = F.forall(words, lambda w: (_long(w, "start_ms") >= start) & (_long(w, "end_ms") <= end))
-    return one_of((end <= start, "interval"), (~inside, "word_outside"),
+    return one_of(at, (end <= start, "interval"), (~inside, "word_outside"),
                   (~_in_order(F.transform(words, lambda w: _long(w, "start_ms")), start), "word_order"))
 
 
-def _timeline_rule(start: str | None, duration: str | None = None) -> Callable[[Column], Column]:
-    def rule(v):
+def _timeline_rule(start: str | None, duration: str | None = None) -> Callable[[Column, str], Column]:
+    def rule(v, at):
         segments = _list(v, "segments")
         ids = F.transform(segments, lambda s: _string(s, "segment_id"))
         cases = [(F.size(F.array_distinct(ids)) != F.size(ids), "segment_id_repeated")]
@@ -284,11 +316,11 @@ def _timeline_rule(start: str | None, duration: str | None = None) -> Callable[[
             cases.append((~_in_order(F.transform(segments, lambda s: _long(s, start)), F.lit(0).cast("long")), "segment_order"))
         if duration:
             cases.append((~F.forall(segments, lambda s: _long(s, "end_ms") <= _long(v, duration)), "segment_beyond_duration"))
-        return one_of(*cases)
+        return one_of(at, *cases)
     return rule
 
 
-def _manifest_rule(v: Column) -> Column:
+def _manifest_rule(v: Column, at: str) -> Column:
     empty = F.array().cast("array<string>")
     of = lambda s, name: F.coalesce(get(s, name, "array<string>"), empty)
     stages = F.map_entries(F.coalesce(get(v, "stages", "map<string,variant>"), F.create_map().cast("map<string,variant>")))
@@ -296,7 +328,7 @@ def _manifest_rule(v: Column) -> Column:
     keyed = F.forall(stages, lambda e: e["key"] == get(e["value"], "job_type", "string"))
     whole = F.forall(stages, lambda e: F.size(F.array_except(
         F.array_union(of(e["value"], "input_artifacts"), of(e["value"], "output_artifacts")), known)) == 0)
-    return one_of((_string(v, "video_id") != _string(get(v, "source"), "video_id"), "identity"),
+    return one_of(at, (_string(v, "video_id") != _string(get(v, "source"), "video_id"), "identity"),
                   (_time(v, "updated_at") < _time(v, "created_at"), "updated_before_created"),
                   (~keyed, "stage_key"), (~whole, "missing_artifacts"))
 
@@ -335,7 +367,7 @@ SPOKEN = model(must("segment_id", name1), must("target_start_ms", integer(0)), m
                rule=_positive_interval("target_start_ms", "target_end_ms"), versioned=False)
 QUALITY = model(must("name", name1), must("passed", flag), may("detail", text()), versioned=False)
 
-DOCUMENTS: dict[str, Check] = {
+DOCUMENTS: dict[str, Model] = {
     "artifact": ARTIFACT,
     "youtube_video": VIDEO,
     "youtube_channel": model(must("channel_id", name1), must("title", name1), may("description", text()),
@@ -374,9 +406,54 @@ DOCUMENTS: dict[str, Check] = {
 }
 
 
+# Contracts that only occur inside others or in messages.
+PARTS: dict[str, Model] = {
+    "job_error": JOB_ERROR,
+    "message": model(must("title", name1), must("body", name1), may("subtitle", text()), may("markdown", text()),
+                     defaulted("level", member(MESSAGE_LEVELS)), may("url", http),
+                     may("group", text()), may("icon", http), may("sound", text()), may("badge", integer(0)),
+                     defaulted("call", flag), may("copy", text()), defaulted("autoCopy", flag), defaulted("isArchive", flag),
+                     versioned=False),
+    "market_status": model(must("is_open", flag), must("is_trading_day", flag), must("current_time", text()),
+                           may("open_time", text()), may("close_time", text()), may("next_trading_day", text()), versioned=False),
+}
+
+
+def contract_model(name: str) -> Model:
+    return DOCUMENTS[name] if name in DOCUMENTS else PARTS[name]
+
+
+def _parsed(raw) -> Column:
+    return F.try_parse_json(F.coalesce(col_of(raw), F.lit("")))
+
+
 def document_codes(raw, name: str) -> Column:
     """Codes of all that is wrong with the JSON text ``raw`` as this contract."""
-    v = F.try_parse_json(F.coalesce(col_of(raw), F.lit("")))
-    # The document is parsed once: it is bound as the element of a one-row array.
-    checked = F.transform(F.array(v), lambda d: F.when(d.isNull(), F.array(F.lit("json"))).otherwise(DOCUMENTS[name](d)))
-    return F.element_at(checked, 1)
+    return bind(_parsed(raw), lambda d: F.when(d.isNull(), code("", "json")).otherwise(contract_model(name)(d, "")))
+
+
+def parsed_documents(df: DataFrame, raw: str, name: str) -> DataFrame:
+    """``df`` with the parsed document ``_v`` and the value ``_x_<field>`` of each
+    of its fields, aliases folded: one parse, each value taken out once."""
+    parsed = evaluate_once(df, df.columns, [_parsed(raw).alias("_v")])
+    fields = contract_model(name).fields
+    return evaluate_once(parsed, parsed.columns, [_value(F.col("_v"), f).alias(f"_x_{f.name}") for f in fields])
+
+
+def field_codes(name: str) -> Column:
+    """Codes of a document in ``parsed_documents``' columns, before the rule across fields."""
+    m = contract_model(name)
+    return m.found(F.col("_v"), {f.name: F.col(f"_x_{f.name}") for f in m.fields}, "")
+
+
+def settled_codes(name: str, found: str) -> Column:
+    """All codes of a document, given those of its fields."""
+    v = F.col("_v")
+    return F.when(v.isNull(), code("", "json")).otherwise(contract_model(name).settled(v, F.col(found), ""))
+
+
+def with_codes(df: DataFrame, raw: str, name: str) -> DataFrame:
+    """``df`` with ``codes`` of the JSON text ``raw`` as this contract."""
+    p = parsed_documents(df, raw, name)
+    p = p.select(*df.columns, "_v", field_codes(name).alias("_found"))
+    return p.select(*df.columns, settled_codes(name, "_found").alias("codes"))

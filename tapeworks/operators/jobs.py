@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from tapeworks.functions import col_of
 from tapeworks.functions.time import aware_timestamp
-from tapeworks.operators.contract_check import document_codes
 from tapeworks.operators.discovery import dedupe_keep_first, dedupe_keep_last
 from tapeworks.operators.rules import TERMINAL_STATUSES
 
@@ -75,10 +74,10 @@ def http_outcome(attempts: DataFrame, retries: int = DEFAULT_RETRIES,
                       (F.lit(delay_s) * (F.pow(F.lit(2.0), sleeps) - 1)).alias("backoff_s"))
 
 
-def job_from_log(parsed: DataFrame, raw: str = "raw") -> DataFrame:
-    """Status rows that are valid job documents (``contract_check``), with
-    their update time; rows without one can't be ordered and are refused too."""
-    valid = parsed.filter(F.size(document_codes(raw, "localization_job")) == 0)
+def job_from_log(parsed: DataFrame) -> DataFrame:
+    """Status rows that are valid job documents (no ``codes`` from the reader),
+    with their update time; rows without one can't be ordered and are refused too."""
+    valid = parsed.filter(F.size("codes") == 0)
     return valid.withColumn("updated_ts", aware_timestamp("updated_at")).filter("updated_ts is not null")
 
 

@@ -73,6 +73,13 @@ def split(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
     return valid, bad
 
 
+def split_by_codes(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """V26 on documents as the strict reader gives them: (valid rows, quarantined
+    rows with ``error_code``, the first of their ``codes``)."""
+    bad = df.filter(F.size("codes") > 0).withColumn("error_code", F.get("codes", 0))
+    return df.filter(F.size("codes") == 0), bad
+
+
 def codes(c: str = "violations") -> Column:
     """Violation codes joined by ``,`` (empty when valid)."""
     return F.array_join(F.transform(F.col(c), lambda v: v["code"]), ",")

@@ -291,6 +291,25 @@ _ARTIFACT_DOCS_SQL = """artifact_docs AS (
     CASE WHEN n_chars > 15000 THEN ',"secret":"x"' ELSE '' END || '}' AS raw
   FROM documents)"""
 
+# artifact documents whose values have other JSON types than their fields, by doc_id % 16.
+_TYPED = {1: ("size", '"{n}"'), 2: ("size", "{n}.0"), 3: ("size", "true"), 4: ("size", "{n}.5"), 5: ("size", '"abc"'),
+          6: ("schema_version", '" 1.0 "'), 7: ("schema_version", "1.0"), 8: ("schema_version", "null"), 9: ("etag", "5")}
+
+
+def typed_docs(spark: SparkSession, sf: str) -> DataFrame:
+    docs = artifact_docs(spark, sf).join(table(spark, sf, "documents").select("doc_id", F.col("n_chars").cast("string").alias("n")), "doc_id")
+    raw, way = F.col("raw"), F.col("doc_id") % 16
+    out = F.when(way == 10, F.lit("not json"))
+    for k, (name, value) in _TYPED.items():
+        out = out.when(way == k, F.regexp_replace(raw, F.lit(f'"{name}":("[^"]*"|[0-9]+)'),
+                                                  F.concat(F.lit(f'"{name}":'), F.replace(F.lit(value), F.lit("{n}"), F.col("n")))))
+    return docs.select("doc_id", out.otherwise(raw).alias("raw"))
+
+
+_TYPED_DOCS_SQL = "typed_docs AS (\n  SELECT doc_id, CASE doc_id % 16 WHEN 10 THEN 'not json'\n" + "".join(
+    f"""    WHEN {k} THEN regexp_replace(raw, '"{name}":("[^"]*"|[0-9]+)', '"{name}":' || replace('{value}', '{{n}}', n_chars::VARCHAR))\n"""
+    for k, (name, value) in _TYPED.items()) + "    ELSE raw END AS raw FROM artifact_docs JOIN documents USING (doc_id))"
+
 # ---------------------------------------------------------------- job status log
 # events → job status payloads as a gateway returns them.  user = job;
 # event type → status; props.k picks alias keys, a doubled key, a missing or
@@ -657,6 +676,7 @@ SQL = {
     "channel_refs": _CHANNEL_REFS_SQL,
     "video_requests": _VIDEO_REQUESTS_SQL,
     "artifact_docs": _ARTIFACT_DOCS_SQL,
+    "typed_docs": _TYPED_DOCS_SQL,
     "job_log": _JOB_LOG_SQL,
     "transcript_segments": _SEGMENTS_SQL,
     "transcript_durations": _DOCS_SQL,
@@ -672,7 +692,7 @@ SQL = {
 }
 
 # Bindings whose SQL reads another binding.
-_NEEDS = {"faulty_segments": ["transcript_segments"], "faulty_words": ["transcript_segments", "transcript_words"],
+_NEEDS = {"typed_docs": ["artifact_docs"], "faulty_segments": ["transcript_segments"], "faulty_words": ["transcript_segments", "transcript_words"],
           "playlist_items": ["publications"], "playlist_shuffled": ["publications"],
           "transcript_durations": ["transcript_segments"], "transcript_words": ["transcript_segments"],
           "translations": ["transcript_segments"], "synthesis": ["translations"]}

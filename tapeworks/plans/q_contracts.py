@@ -11,7 +11,7 @@ from tapeworks.operators import rules as R
 from tapeworks.operators.payload import message_payload
 from tapeworks.plans import bindings as B
 from tapeworks.plans.catalog import register
-from tapeworks.sources.contracts import CONTRACTS, apply_defaults, lax_int, parse_contract, to_contract_json
+from tapeworks.sources.contracts import CONTRACTS, lax_int, parse_contract, to_contract_json
 from tapeworks.sources.tables import table
 
 _S3_RE = r"(?i)^s3://[^/?#]+/[^?#]*[^/?#][^?#]*[?]?#?$"
@@ -20,7 +20,7 @@ _ART_KNOWN = "'schema_version', 'uri', 'content_type', 'size', 'etag', 'version_
 
 
 def _artifacts(spark: SparkSession, sf: str) -> DataFrame:
-    return parse_contract(B.artifact_docs(spark, sf), "raw", CONTRACTS["artifact"])
+    return parse_contract(B.artifact_docs(spark, sf), "raw", CONTRACTS["artifact"], checked=False)
 
 
 _ART_SQL = f"""art AS (
@@ -40,20 +40,58 @@ def _art_sql(body: str) -> str:
     return B.with_sql(["artifact_docs"], f"WITH {_ART_SQL}\n{body}")
 
 
-@register("contract_read", _art_sql("""
-SELECT doc_id, schema_version, version_ok, uri, content_type, size, sha256, unknown_fields FROM art"""))
+_TYPED_SQL = f"""typed AS (
+  SELECT doc_id, raw, json_valid(raw) AS readable, CASE WHEN json_valid(raw) THEN raw ELSE '{{}}' END AS j FROM typed_docs),
+parts AS (
+  SELECT *, json_type(j, '$.schema_version') AS version_type, json_extract_string(j, '$.schema_version') AS version_text,
+    json_type(j, '$.size') AS size_type, json_extract_string(j, '$.size') AS size_text, json_type(j, '$.etag') AS etag_type,
+    trim(json_extract_string(j, '$.uri')) AS uri, trim(json_extract_string(j, '$.content_type')) AS content_type,
+    trim(json_extract_string(j, '$.sha256')) AS sha256,
+    list_sort(list_filter(json_keys(j), lambda k: k NOT IN ({_ART_KNOWN}))) AS others FROM typed),
+vals AS (
+  SELECT *, CASE WHEN NOT readable THEN NULL WHEN version_type IS NULL THEN '1.0' WHEN version_type = 'VARCHAR' THEN version_text END AS schema_version,
+    CASE WHEN size_type IN ('BIGINT', 'UBIGINT') THEN CAST(size_text AS BIGINT)
+         WHEN size_type = 'DOUBLE' AND floor(CAST(size_text AS DOUBLE)) = CAST(size_text AS DOUBLE) THEN CAST(CAST(size_text AS DOUBLE) AS BIGINT)
+         WHEN size_type = 'BOOLEAN' THEN CASE WHEN size_text = 'true' THEN 1 ELSE 0 END
+         WHEN size_type = 'VARCHAR' AND regexp_matches(size_text, '^[+-]?\\d+$') THEN TRY_CAST(size_text AS BIGINT) END AS size,
+    CASE WHEN etag_type = 'VARCHAR' THEN trim(json_extract_string(j, '$.etag')) END AS etag FROM parts),
+coded AS (
+  SELECT *, CASE WHEN NOT readable THEN ['json'] ELSE list_filter([
+    CASE WHEN version_type = 'NULL' THEN 'schema_version:null' WHEN version_type <> 'VARCHAR' THEN 'schema_version:string_type'
+         WHEN version_text <> '1.0' THEN 'schema_version:enum' END,
+    CASE WHEN NOT regexp_matches(uri, '{_S3_RE}') THEN 'uri:s3_uri' END,
+    CASE WHEN length(content_type) < 1 THEN 'content_type:too_short' END,
+    CASE WHEN size IS NULL THEN 'size:int_type' WHEN size < 0 THEN 'size:too_small' END,
+    CASE WHEN etag_type <> 'VARCHAR' THEN 'etag:string_type' WHEN length(etag) < 1 THEN 'etag:too_short' END,
+    CASE WHEN NOT regexp_matches(sha256, '{_SHA_RE}') THEN 'sha256:pattern' END,
+    CASE WHEN len(others) > 0 THEN array_to_string(list_transform(others, lambda k: k || ':unknown'), ',') END], lambda c: c IS NOT NULL) END AS codes
+  FROM vals)"""
+
+
+def _typed_sql(body: str) -> str:
+    return B.with_sql(["typed_docs"], f"WITH {_TYPED_SQL}\n{body}")
+
+
+def _typed(spark: SparkSession, sf: str) -> DataFrame:
+    return parse_contract(B.typed_docs(spark, sf), "raw", CONTRACTS["artifact"])
+
+
+@register("contract_read", _typed_sql("""
+SELECT doc_id, schema_version, coalesce(schema_version = '1.0', false) AS version_ok, uri, content_type, size, etag, sha256,
+       coalesce(array_to_string(others, ','), '') AS unknown_fields, array_to_string(codes, ',') AS codes FROM coded"""))
 def contract_read(spark: SparkSession, sf: str) -> DataFrame:
-    """A1: strict read of artifact JSON documents (fixed schema, raw kept)."""
-    a = _artifacts(spark, sf)
-    return a.select("doc_id", "schema_version", "version_ok", "uri", "content_type", "size", "sha256",
-                    F.array_join("unknown_fields", ",").alias("unknown_fields"))
+    """A1: strict read of artifact JSON documents: typed values, and the codes of
+    all that is wrong with each."""
+    a = _typed(spark, sf)
+    return a.select("doc_id", "schema_version", "version_ok", "uri", "content_type", "size", "etag", "sha256",
+                    F.array_join("unknown_fields", ",").alias("unknown_fields"), F.array_join("codes", ",").alias("codes"))
 
 
 @register("schema_unknown_fields", _art_sql("""
 SELECT doc_id, unknown_fields FROM art WHERE unknown_fields <> ''"""))
 def schema_unknown_fields(spark: SparkSession, sf: str) -> DataFrame:
     """Documents carrying undeclared fields, with the field names."""
-    a = _artifacts(spark, sf).filter(F.size("unknown_fields") > 0)
+    a = parse_contract(B.artifact_docs(spark, sf), "raw", CONTRACTS["artifact"]).filter(F.size("unknown_fields") > 0)
     return a.select("doc_id", F.array_join("unknown_fields", ",").alias("unknown_fields"))
 
 
@@ -150,19 +188,11 @@ SELECT doc_id,
 FROM art"""
 
 
-def _artifact_validated(spark: SparkSession, sf: str) -> DataFrame:
-    a = _artifacts(spark, sf)
-    rules = ([R.Rule("schema_version", F.col("version_ok"), "unsupported schema version")]
-             + R.artifact_rules()
-             + [R.Rule("extra_forbidden", F.size("unknown_fields") == 0, "extra inputs are not permitted")])
-    return R.validate(a, rules)
-
-
-@register("validate_split", _art_sql(f"""
-SELECT doc_id, error_code IS NULL AS valid, error_code FROM ({_ART_RULES_SQL})"""))
+@register("validate_split", _typed_sql("""
+SELECT doc_id, len(codes) = 0 AS valid, codes[1] AS error_code FROM coded"""))
 def validate_split(spark: SparkSession, sf: str) -> DataFrame:
     """Every document is either valid or quarantined with its first error."""
-    valid, bad = R.split(_artifact_validated(spark, sf))
+    valid, bad = R.split_by_codes(_typed(spark, sf))
     return (valid.select("doc_id", F.lit(True).alias("valid"), F.lit(None).cast("string").alias("error_code"))
             .unionByName(bad.select("doc_id", F.lit(False).alias("valid"), "error_code")))
 
@@ -173,7 +203,7 @@ SELECT doc_id, json_object('schema_version', schema_version, 'uri', uri, 'conten
 FROM ({_ART_RULES_SQL}) JOIN art USING (doc_id) WHERE error_code IS NULL"""))
 def contract_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """A2: valid documents written back as canonical JSON (nulls kept)."""
-    valid, _ = R.split(_artifact_validated(spark, sf))
+    valid, _ = R.split_by_codes(parse_contract(B.artifact_docs(spark, sf), "raw", CONTRACTS["artifact"]))
     cols = ["schema_version", "uri", "content_type", "size", "etag", "version_id", "sha256"]
     return valid.select("doc_id", to_contract_json(valid, cols).alias("json"))
 
@@ -196,8 +226,8 @@ def _job_sql(body: str) -> str:
     return B.with_sql(["job_log"], f"WITH {_JOB_SQL}\n{body}")
 
 
-def _jobs(spark: SparkSession, sf: str) -> DataFrame:
-    return parse_contract(B.job_log(spark, sf), "raw", CONTRACTS["localization_job"])
+def _jobs(spark: SparkSession, sf: str, checked: bool = False) -> DataFrame:
+    return parse_contract(B.job_log(spark, sf), "raw", CONTRACTS["localization_job"], checked)
 
 
 @register("job_alias_normalize", _job_sql("""
@@ -205,7 +235,7 @@ SELECT event_id, job_id, job_type, CASE WHEN doubled THEN 'id' ELSE '' END AS un
 def job_alias_normalize(spark: SparkSession, sf: str) -> DataFrame:
     """``id``/``type`` fold into ``job_id``/``job_type``; both names at
     once leaves the alias as an unknown field."""
-    j = _jobs(spark, sf)
+    j = _jobs(spark, sf, checked=True)
     return j.select("event_id", "job_id", "job_type", F.array_join("unknown_fields", ",").alias("unknown_fields"))
 
 
@@ -227,8 +257,6 @@ def schema_defaults(spark: SparkSession, sf: str) -> DataFrame:
     """Nested error defaults (retryable false, details {}) filled."""
     j = _jobs(spark, sf).filter(F.col("error").isNotNull())
     err = j.select("event_id", "error.*")
-    err = err.withColumn("details", F.get_json_object(F.col("details"), "$"))
-    err = apply_defaults(err, CONTRACTS["job_error"].defaults)
     return err.select("event_id", F.col("code").alias("error_code"), "retryable", "details")
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeworks.operators.contract_check import document_codes
+from tapeworks.operators.contract_check import with_codes
 from tapeworks.plans.catalog import register
 from tapeworks.sources.tables import table
 
@@ -122,7 +122,7 @@ def _sql(name: str) -> str:
 
 def _query(name: str):
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        return documents(spark, sf, name).select("p_partkey", F.array_join(document_codes("raw", name), ",").alias("codes"))
+        return with_codes(documents(spark, sf, name), "raw", name).select("p_partkey", F.array_join("codes", ",").alias("codes"))
     run.__name__ = f"contract_{name}"
     run.__doc__ = f"A1/S1–S7: {name} documents validated whole; the codes of all that is wrong with each."
     return run

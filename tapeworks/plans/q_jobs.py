@@ -98,7 +98,7 @@ def _jsql(body: str, extra: tuple[str, ...] = ()) -> str:
 
 
 def _latest(spark: SparkSession, sf: str) -> DataFrame:
-    return J.latest_job(J.job_from_log(_jobs(spark, sf)))
+    return J.latest_job(J.job_from_log(_jobs(spark, sf, checked=True)))
 
 
 @register("latest_job", _jsql(f"""
@@ -136,7 +136,7 @@ SELECT job_id, status, age_s FROM (
 WHERE status NOT IN ('succeeded', 'failed', 'cancelled') AND age_s > 7200"""))
 def job_timeouts(spark: SparkSession, sf: str) -> DataFrame:
     """Jobs not terminal 7200 s after they were first seen."""
-    t = J.job_timeouts(J.job_from_log(_jobs(spark, sf)), NOW)
+    t = J.job_timeouts(J.job_from_log(_jobs(spark, sf, checked=True)), NOW)
     return t.select("job_id", "status", "age_s")
 
 
@@ -147,7 +147,7 @@ SELECT j.event_id, a.status AS http_status,
 FROM jv j JOIN attempt_log a ON j.event_id = a.event_id""", ("attempt_log",)))
 def poll_outcome(spark: SparkSession, sf: str) -> DataFrame:
     """Each poll: 4xx fails, >=500 retries, else the job state decides."""
-    polls = J.job_from_log(_jobs(spark, sf)).join(B.attempt_log(spark, sf).select("event_id", F.col("status").alias("http_status")),
+    polls = J.job_from_log(_jobs(spark, sf, checked=True)).join(B.attempt_log(spark, sf).select("event_id", F.col("status").alias("http_status")),
                                                   "event_id")
     cls = J.poll_class("http_status")
     out = F.when(cls != "parse", cls).when(J.terminal("status"), F.lit("done")).otherwise(F.lit("wait"))

@@ -1,10 +1,12 @@
 """Contract schemas (§1.3) and strict JSON reading/writing.
 
 A contract is a ``StructType`` plus the names of its required fields and
-its defaults.  Reading is ``from_json`` with that schema (PERMISSIVE, the
-raw text kept) followed by the strictness the JSON reader lacks: unknown
-fields at every nesting level (S1), the version literal (S2), stripping (S3),
-aliases (S4), defaults (S5), required fields (S6) and lax integers (S7).
+its defaults.  Reading parses the text once, to VARIANT, and takes two things
+from it: the typed values, directed by the ``StructType`` (strings stripped, S3;
+aliases folded, S4; defaults filled at every level, S5; lax integers, S7), and
+the codes of all that is wrong (``operators.contract_check``: unknown fields, S1;
+the version literal, S2; required fields, S6; every rule).  A value that its
+field refuses is null, and a code says why.
 """
 
 from __future__ import annotations
@@ -254,6 +256,23 @@ RENDER_DEFAULTS = {"audio_strategy": "subtitle_only", "burn_subtitles": False, "
                    "pixel_format": "yuv420p", "faststart": True}
 
 
+# Defaults of the parts of documents.
+PART_DEFAULTS = [
+    (JOB_ERROR, {"retryable": False, "details": "{}"}),
+    (RENDER_SETTINGS, RENDER_DEFAULTS),
+    (STAGE_RECORD, {"input_artifacts": [], "output_artifacts": []}),
+    (TRANSCRIPT_SEGMENT, {"words": []}),
+    (TRANSLATED_SEGMENT, {"translation_version": 1}),
+]
+# Fields that are compared as they stand, JSON objects kept as text, and instants
+# (text, or a number of seconds).
+EXACT_FIELDS = ("schema_version", "job_type", "status", "audio_strategy", "video_codec", "level")
+OBJECT_FIELDS = ("details", "output", "parameters")
+INSTANT_SUFFIX = "_at"
+TRUE_TEXTS = ("true", "1", "yes", "on", "y", "t")    # fixed: texts read as flags
+FALSE_TEXTS = ("false", "0", "no", "off", "n", "f")
+
+
 # ------------------------------------------------------------------ S1
 
 
@@ -372,31 +391,77 @@ def lax_int(token) -> Column:
 # ------------------------------------------------------------------ A1
 
 
-def parse_contract(df: DataFrame, raw: str, contract: Contract) -> DataFrame:
-    """A1 on a column of JSON text: parsed contract columns, the raw text,
-    ``unknown_fields`` (S1), ``version_ok`` (S2), ``malformed``; strings are
-    stripped (S3), aliases folded (S4) and defaults filled (S5).
+def _default(value, dtype: T.DataType) -> Column:
+    if isinstance(value, list):
+        return F.array().cast(dtype)
+    return F.lit(value).cast(dtype)
+
+
+def decode(x: Column, dtype: T.DataType, name: str = "") -> Column:
+    """The value of the VARIANT ``x`` as the type of a contract's field ``name``;
+    null where the field would refuse it."""
+    kind = F.schema_of_variant(x)
+    said = F.try_variant_get(x, "$", "string")
+    if isinstance(dtype, T.StringType):
+        if name in OBJECT_FIELDS:
+            return F.when(kind.startswith("OBJECT"), F.to_json(x))
+        if name in EXACT_FIELDS:
+            return F.when(kind == "STRING", said)
+        if name.endswith(INSTANT_SUFFIX):
+            return F.when(kind.rlike("^(STRING|BIGINT|DOUBLE|DECIMAL)"), strip_ws(said))
+        return F.when(kind == "STRING", strip_ws(said))
+    if isinstance(dtype, T.LongType):
+        return F.when(~kind.rlike("^(OBJECT|ARRAY)"), lax_int(said))
+    if isinstance(dtype, T.DoubleType):
+        return F.when(~kind.rlike("^(OBJECT|ARRAY|BOOLEAN)"), said.try_cast("double"))
+    if isinstance(dtype, T.BooleanType):
+        low = F.lower(said)
+        return F.when(kind.rlike("^(BOOLEAN|STRING|BIGINT)"), F.when(low.isin(*TRUE_TEXTS), True).when(low.isin(*FALSE_TEXTS), False))
+    if isinstance(dtype, T.ArrayType):
+        parts = F.try_variant_get(x, "$", "array<variant>")
+        return F.when(kind.startswith("ARRAY"), F.transform(parts, lambda e: decode(e, dtype.elementType)))
+    if isinstance(dtype, T.MapType):
+        parts = F.try_variant_get(x, "$", "map<string,variant>")
+        return F.when(kind.startswith("OBJECT"), F.transform_values(parts, lambda k, e: decode(e, dtype.valueType)))
+    defaults = next((d for part, d in PART_DEFAULTS if part == dtype), {})
+    fields = F.struct(*[with_default(decode(F.try_variant_get(x, f"$.{f.name}", "variant"), f.dataType, f.name),
+                                     F.try_variant_get(x, f"$.{f.name}", "variant"), f, defaults).alias(f.name) for f in dtype.fields])
+    return F.when(kind.startswith("OBJECT"), fields)
+
+
+def with_default(value: Column, x: Column, f: T.StructField, defaults: dict) -> Column:
+    """A field's value, or its default where the document doesn't have the field."""
+    if f.name == "schema_version":
+        return F.when(x.isNull(), SCHEMA_VERSION).otherwise(value)
+    if f.name in defaults:
+        return F.when(x.isNull(), _default(defaults[f.name], f.dataType)).otherwise(value)
+    return value
+
+
+def parse_contract(df: DataFrame, raw: str, contract: Contract, checked: bool = True) -> DataFrame:
+    """A1 on a column of JSON text: typed contract columns, the raw text,
+    ``version_ok`` (S2) and ``malformed`` (not one JSON value); ``checked``: also
+    ``codes`` of all that is wrong (none: valid) and ``unknown_fields`` (S1).
     """
-    schema = contract.schema
-    r = F.col(raw)
-    parsed = F.from_json(r, schema, {"mode": "PERMISSIVE"})
-    out = df.withColumn("_c", parsed)
-    cols = []
-    for f in schema.fields:
-        c = F.col("_c").getField(f.name)
-        if f.name in contract.aliases:
-            c = F.coalesce(c, F.get_json_object(r, f"$.{contract.aliases[f.name]}"))
-        if f.name in contract.json_fields:
-            c = F.get_json_object(r, f"$.{f.name}")
-        cols.append(strip_strings(c, f.dataType).alias(f.name))
-    out = evaluate_once(out, list(df.columns), [
-        *cols,
-        unknown_fields(r, schema, aliases=contract.aliases, opaque=contract.json_fields).alias("unknown_fields"),
-        F.get_json_object(r, "$").isNull().alias("malformed")])
+    from tapeworks.operators import contract_check as check  # it reads this module's constants
+
+    parsed = check.parsed_documents(df, raw, contract.name)
+    x = lambda name: F.col(f"_x_{name}")
+    read = F.col("_v").isNotNull()
+    values = [F.when(read, with_default(decode(x(f.name), f.dataType, f.name), x(f.name), f, contract.defaults)).alias(f.name)
+              for f in contract.schema.fields]
+    held = evaluate_once(parsed, parsed.columns, values)
+    out = [*df.columns, *[f.name for f in contract.schema.fields], F.col("_v").isNull().alias("malformed")]
     if contract.versioned:
-        out = out.withColumn("version_ok", F.coalesce(F.col("schema_version"), F.lit(SCHEMA_VERSION)) == SCHEMA_VERSION)
-        out = out.withColumn("schema_version", F.coalesce(F.col("schema_version"), F.lit(SCHEMA_VERSION)))
-    return apply_defaults(out, contract.defaults)
+        out.append((read & F.coalesce(F.col("schema_version") == SCHEMA_VERSION, F.lit(False))).alias("version_ok"))
+    if not checked:
+        return held.select(*out)
+    # A filter on the codes must not be pushed below, where it would repeat them.
+    held = evaluate_once(held.withColumn("_found", check.field_codes(contract.name)), held.columns,
+                         [check.settled_codes(contract.name, "_found").alias("codes")])
+    paths = F.transform(F.filter("codes", lambda c: c.endswith(":unknown")),
+                        lambda c: F.replace(F.replace(F.regexp_replace(c, ":unknown$", ""), F.lit(".[]"), F.lit("[]")), F.lit(".{}"), F.lit("{}")))
+    return held.select(*out, F.array_sort(F.array_distinct(paths)).alias("unknown_fields"), "codes")
 
 
 def read_contract(spark: SparkSession, path: str, contract: Contract, whole_files: bool = False) -> DataFrame:

@@ -146,7 +146,7 @@ def test_read_contract_files_with_nested_unknown_fields(spark, tmp_path):
     got = [(r["job_id"], r["unknown_fields"], r["malformed"]) for r in j.collect()]
     assert got == [(None, [], True), ("j1", ["error.token"], False), ("j2", ["extra"], False)]
     err = j.filter("job_id = 'j1'").select("error.retryable", "error.details").collect()[0]
-    assert err["retryable"] is None  # defaults fill top-level fields; nested ones via their own contract
+    assert err["retryable"] is False and err["details"] == "{}"  # defaults of nested parts too
 
 
 def test_manifest_unknown_fields_inside_maps_and_identity(spark):
@@ -269,3 +269,39 @@ def test_content_types_and_uri_split(spark):
     u = spark.createDataFrame([(GOOD_URI,), ("s3://bucket",)], "u string").select(split_s3_uri("u").alias("s")).collect()
     assert (u[0]["s"]["bucket"], u[0]["s"]["key"]) == ("shelf-7", "films/q9/cut.mkv")
     assert u[1]["s"] is None
+
+
+def test_reader_gives_values_and_codes_from_one_parse(spark):
+    ok = {"uri": GOOD_URI, "content_type": "v/x"}
+    cases = [({**ok, "size": "5"}, 5, ""), ({**ok, "size": 5.0}, 5, ""), ({**ok, "size": True}, 1, ""), ({**ok, "size": 5.5}, None, "size:int_type"),
+             ({**ok, "size": "abc"}, None, "size:int_type"), ({**ok, "size": 1e30}, None, "size:int_type"),
+             ({**ok, "schema_version": " 1.0 "}, None, "schema_version:enum"), ({**ok, "schema_version": 1.0}, None, "schema_version:string_type"),
+             ({**ok, "schema_version": None}, None, "schema_version:null"), ({**ok, "etag": 5, "size": -1}, -1, "size:too_small,etag:string_type"),
+             ("not json", None, "json"), ({"content_type": "v/x", "b": 1, "a": 2}, None, "uri:missing,a:unknown,b:unknown")]
+    df = spark.createDataFrame([(i, d if isinstance(d, str) else json.dumps(d)) for i, (d, *_) in enumerate(cases)], "id int, raw string")
+    a = parse_contract(df, "raw", CONTRACTS["artifact"])
+    got = a.orderBy("id").select("size", F.array_join("codes", ",").alias("c"), "version_ok", "malformed").collect()
+    assert [(r["size"], r["c"]) for r in got] == [(v, c) for _, v, c in cases]
+    assert [r["version_ok"] for r in got] == [i not in (6, 7, 8, 10) for i in range(len(cases))] and got[10]["malformed"]
+    valid, bad = R.split_by_codes(a)
+    assert sorted(r["id"] for r in valid.collect()) == [0, 1, 2] and bad.count() == len(cases) - 3
+    assert a._jdf.queryExecution().executedPlan().toString().count("try_parse_json") <= 1
+
+
+def test_reader_fills_nested_defaults_and_refuses_nested_types(spark):
+    art = {"uri": GOOD_URI, "content_type": "v/x"}
+    docs = [{"source_video": art, "output_uri": GOOD_URI, "settings": {"crf": "18", "burn_subtitles": "no", "preset": " slow "}},
+            {"source_video": {**art, "size": 2.5}, "output_uri": GOOD_URI, "settings": {"crf": [1]}}]
+    df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(docs)], "id int, raw string")
+    one, two = parse_contract(df, "raw", CONTRACTS["render_request"]).orderBy("id").collect()
+    assert one["settings"].asDict() == {"audio_strategy": "subtitle_only", "burn_subtitles": False, "video_codec": "copy", "preset": "slow", "crf": 18,
+                                        "audio_codec": "aac", "audio_bitrate": "192k", "pixel_format": "yuv420p", "faststart": True}
+    assert one["codes"] == [] and one["source_video"]["schema_version"] == "1.0"
+    assert two["codes"] == ["source_video.size:int_type", "settings.crf:int_type"] and two["settings"]["crf"] is None
+
+
+def test_parts_and_messages_are_read_too(spark):
+    df = spark.createDataFrame([('{"title": " t ", "body": "b", "badge": "2"}',), ('{"title": "t", "body": "b", "level": "urgent"}',)], "raw string")
+    a, b = parse_contract(df, "raw", CONTRACTS["message"]).collect()
+    assert (a["title"], a["badge"], a["level"], a["call"], a["codes"]) == ("t", 2, "active", False, [])
+    assert b["codes"] == ["level:enum"]
