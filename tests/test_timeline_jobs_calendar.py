@@ -206,3 +206,34 @@ def test_ticks_and_session_filter(spark):
     ev = spark.createDataFrame([(1, "2024-01-05 23:59:00"), (2, "2024-01-06 12:00:00"), (3, "2024-01-08 00:00:01")],
                                "id int, t string").withColumn("ts", F.to_timestamp("t"))
     assert rows(C.session_filter(ev, cal), "id") == [(1,), (3,)]
+
+
+def test_next_session_behind_a_long_closure(spark):
+    """The exchange is closed for 40 days."""
+    import datetime as dt
+    closed = [dt.date(2024, 3, 4) + dt.timedelta(days=k) for k in range(40)]   # Mon 4 March .. Fri 12 April
+    hol = spark.createDataFrame([(d,) for d in closed], "date date")
+    early = spark.createDataFrame([], "date date, close_time string")
+    days = spark.createDataFrame([(dt.date(2024, 3, 1),), (dt.date(2024, 3, 20),), (dt.date(2024, 4, 12),), (dt.date(2024, 4, 15),),
+                                  (dt.date(2024, 3, 1),), (dt.date(2023, 12, 30),)], "date date")
+    got = {str(r["date"]): str(r["next_session"]) for r in C.next_sessions(days, hol, early).collect()}
+    assert got == {"2024-03-01": "2024-04-15", "2024-03-20": "2024-04-15", "2024-04-12": "2024-04-15", "2024-04-15": "2024-04-16",
+                   "2023-12-30": "2024-01-01"}
+
+
+def test_dates_outside_the_lists_are_errors(spark):
+    hol = spark.createDataFrame([(d,) for d in C.HOLIDAYS_2024 + C.HOLIDAYS_2025], "d string").select(F.to_date("d").alias("date"))
+    early = spark.createDataFrame(list(C.EARLY_CLOSES_2025), "d string, close_time string").select(F.to_date("d").alias("date"), "close_time")
+    ev = spark.createDataFrame([(1, "2025-12-25 15:00:00"), (2, "2025-12-24 19:00:00"), (3, "2026-01-05 15:00:00"), (4, "2025-12-31 16:00:00")],
+                               "id int, t string").withColumn("ts", F.to_timestamp("t"))
+    cal = C.sessions(C.event_dates(ev), hol, early, coverage=C.COVERAGE)
+    following = C.next_sessions(C.event_dates(ev), hol, early, coverage=C.COVERAGE)
+    got = {r["id"]: r for r in C.market_status(ev, cal, following, coverage=C.COVERAGE).collect()}
+    assert [got[i]["is_session"] for i in (1, 2, 3, 4)] == [False, True, None, True]     # Christmas is closed
+    assert [got[i]["is_open"] for i in (1, 2, 3, 4)] == [False, False, None, True]       # early close at 18:00 UTC
+    assert [got[i]["calendar_error"] for i in (1, 2, 3, 4)] == [None, None, C.UNCOVERED, None]
+    assert got[1]["next_trading_day"] == "2025-12-26" and got[4]["next_session"] is None and got[3]["next_trading_day"] is None
+    assert rows(C.session_filter(ev, cal), "id") == [(2,), (4,)] and rows(C.uncovered(ev, C.COVERAGE), "id") == [(3,)]
+    gates = {r["id"]: r for r in C.open_minute(ev, cal, coverage=C.COVERAGE).select(
+        "id", C.open_gate("is_session", "is_open").alias("o"), C.close_gate("is_session", "is_open").alias("c")).collect()}
+    assert [(gates[i]["o"], gates[i]["c"]) for i in (1, 3, 4)] == [(False, True), (None, None), (True, False)]
