@@ -7,7 +7,8 @@ close.  Holidays and early closes are inputs, with the range of dates that
 they cover: outside of it nothing is known, so a date there is no session and no
 closed day but an error (``calendar_error``).  All plans are lazy: events meet
 the calendar in an equi-join on the UTC date, and the optimizer broadcasts the
-calendar when it has measured it to be small.
+calendar when it has measured it to be small.  Tables of several markets carry
+a ``market`` column; lists and events then meet on market and date.
 """
 
 from __future__ import annotations
@@ -55,9 +56,14 @@ def date_spine(events: DataFrame, ts: str = "ts", tail_days: int = 0) -> DataFra
     return bounds.where("a is not null").select(F.explode(F.sequence("a", "b")).alias("date"))
 
 
+def keys(*tables: DataFrame) -> list[str]:
+    """The market, where all these tables have one."""
+    return ["market"] if all("market" in t.columns for t in tables) else []
+
+
 def event_dates(events: DataFrame, ts: str = "ts") -> DataFrame:
-    """The UTC dates that have an event."""
-    return events.select(F.to_date(ts).alias("date")).where("date is not null").distinct()
+    """The UTC dates (by market) that have an event."""
+    return events.select(*keys(events), F.to_date(ts).alias("date")).where("date is not null").distinct()
 
 
 def sessions(spine: DataFrame, holidays: DataFrame, early_closes: DataFrame,
@@ -68,18 +74,21 @@ def sessions(spine: DataFrame, holidays: DataFrame, early_closes: DataFrame,
 
     ``holidays``: (date); ``early_closes``: (date, close_time).
     """
-    days = spine.filter(~F.dayofweek("date").isin(1, 7) & covered("date", coverage)).join(holidays.select("date").distinct(), "date", "left_anti")
-    days = days.join(early_closes.groupBy("date").agg(F.min("close_time").alias("_early")), "date", "left")
+    days = spine.filter(~F.dayofweek("date").isin(1, 7) & covered("date", coverage))
+    own = keys(days, holidays, early_closes)
+    days = days.join(holidays.select(*own, "date"), [*own, "date"], "left_anti")
+    days = days.join(early_closes.groupBy(*own, "date").agg(F.min("close_time").alias("_early")), [*own, "date"], "left")
     local = lambda t: F.to_timestamp(F.concat(F.date_format("date", "yyyy-MM-dd"), F.lit(" "), t))
     return days.select(
-        "date",
+        *keys(days), "date",
         F.to_utc_timestamp(local(F.lit(open_time)), zone).alias("open_utc"),
         F.to_utc_timestamp(local(F.coalesce(F.col("_early"), F.lit(close_time))), zone).alias("close_utc"))
 
 
 def session_filter(events: DataFrame, cal: DataFrame, ts: str = "ts") -> DataFrame:
     """Events on session days (label = the UTC date of the instant)."""
-    return events.withColumn("date", F.to_date(ts)).join(cal.select("date"), "date", "left_semi")
+    own = keys(events, cal)
+    return events.withColumn("date", F.to_date(ts)).join(cal.select(*own, "date"), [*own, "date"], "left_semi")
 
 
 def uncovered(events: DataFrame, coverage: Coverage, ts: str = "ts") -> DataFrame:
@@ -94,8 +103,9 @@ def open_minute(events: DataFrame, cal: DataFrame, ts: str = "ts", close_inclusi
     ``open <= ts < close`` (``close_inclusive`` flips the right end).  A date that
     is not covered has ``calendar_error`` and neither flag."""
     e = events.withColumn("_d", F.to_date(ts))
-    c = cal.select(F.col("date").alias("_d"), "open_utc", "close_utc")
-    j = e.join(c, "_d", "left").withColumn("calendar_error", calendar_error("_d", coverage))
+    own = keys(events, cal)
+    c = cal.select(*own, F.col("date").alias("_d"), "open_utc", "close_utc")
+    j = e.join(c, [*own, "_d"], "left").withColumn("calendar_error", calendar_error("_d", coverage))
     known = F.col("calendar_error").isNull()
     right = (F.col(ts) <= F.col("close_utc")) if close_inclusive else (F.col(ts) < F.col("close_utc"))
     return j.withColumn("is_session", F.when(known, F.col("open_utc").isNotNull())).withColumn(
@@ -108,8 +118,7 @@ def next_weekday(date) -> Column:
     return F.date_add(d, F.when(F.dayofweek(d) == 6, 3).when(F.dayofweek(d) == 7, 2).otherwise(1))
 
 
-def next_sessions(dates: DataFrame, holidays: DataFrame, early_closes: DataFrame, coverage: Coverage = None,
-                  market: str = EXCHANGE_ZONE) -> DataFrame:
+def next_sessions(dates: DataFrame, holidays: DataFrame, early_closes: DataFrame, coverage: Coverage = None) -> DataFrame:
     """D9 helper, a forward as-of join: for every date, the first session strictly
     after it, however long the exchange stays closed (null where the lists end
     before it).
@@ -117,23 +126,23 @@ def next_sessions(dates: DataFrame, holidays: DataFrame, early_closes: DataFrame
     The session wanted follows either the date itself or the last holiday of the
     closure it falls into, so the weekdays behind all dates and all holidays, less
     the holidays, hold it.  Dates and sessions are merged, and each date takes the
-    least session behind it.  The window goes over calendar dates, one row each,
-    of one ``market``: a few hundred a year."""
-    days = dates.select("date")
-    behind = days.unionAll(holidays.select("date")).select(next_weekday("date").alias("date")).distinct()
+    least session behind it, in a window over the calendar dates of a market: one
+    row each, a few hundred a year."""
+    own = keys(dates, holidays)
+    days, none = dates.select(*own, "date").withColumn("_wanted", F.lit(True)), F.lit(None).cast("date")
+    behind = days.select(*own, "date").unionAll(holidays.select(*own, "date")).withColumn("date", next_weekday("date")).distinct()
     open_days = sessions(behind, holidays, early_closes, coverage=coverage)
-    merged = days.withColumn("_s", F.lit(None).cast("date")).unionAll(open_days.select("date", F.col("date").alias("_s")))
-    one = merged.groupBy("date").agg(F.max("_s").alias("_s")).withColumn("_market", F.lit(market))
-    ahead = Window.partitionBy("_market").orderBy("date").rowsBetween(1, Window.unboundedFollowing)
-    found = one.withColumn("next_session", F.min("_s").over(ahead)).select("date", "next_session")
-    return found.join(days.distinct(), "date", "left_semi")
+    merged = days.withColumn("_s", none).unionAll(open_days.select(*own, "date", F.lit(False), F.col("date").alias("_s")))
+    one = merged.groupBy(*own, "date").agg(F.bool_or("_wanted").alias("_wanted"), F.max("_s").alias("_s"))
+    ahead = Window.partitionBy(*own).orderBy("date").rowsBetween(1, Window.unboundedFollowing)
+    return one.withColumn("next_session", F.min("_s").over(ahead)).where("_wanted").drop("_wanted", "_s")
 
 
 def next_session(events: DataFrame, following: DataFrame, ts: str = "ts") -> DataFrame:
     """As-of forward join: the next session after each event's UTC date
     (``following``: the ``next_sessions`` of the events' dates)."""
     ns = following.withColumnRenamed("date", "_d")
-    return events.withColumn("_d", F.to_date(ts)).join(ns, "_d", "left").drop("_d")
+    return events.withColumn("_d", F.to_date(ts)).join(ns, [*keys(events, following), "_d"], "left").drop("_d")
 
 
 def market_status(events: DataFrame, cal: DataFrame, following: DataFrame, ts: str = "ts", coverage: Coverage = None) -> DataFrame:

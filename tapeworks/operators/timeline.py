@@ -227,25 +227,35 @@ def segment_error(s) -> Column:
             .otherwise(loop))
 
 
-def _loop_errors(docs: DataFrame, key: str, start: str | None, duration: str | None = None) -> DataFrame:
-    """The document loop over segments in order, on exploded segments: (key,
-    ``model_error``) of the first segment that repeats an earlier ID, starts
-    before the previous one (first compared with 0) or ends after the duration.
-
-    Repeats come from the smallest position per ID, previous starts from an
-    equi-join on the position, so one long document is many rows of any task."""
-    cols = [key] + ([F.col(duration).alias("_duration")] if duration else [])
-    seg = docs.select(*cols, F.posexplode(F.coalesce("segments", F.array())).alias("seg_pos", "s"))
-    firsts = seg.groupBy(key, F.col("s.segment_id").alias("_id")).agg(F.min("seg_pos").alias("_first"))
-    seg = seg.withColumn("_id", F.col("s.segment_id")).join(firsts, [key, "_id"])
-    code = F.when(F.col("_first") < F.col("seg_pos"), F.lit("segment_id_unique"))
+def _first_repeat(ids: Column) -> Column:
+    """Position of the first element equal to an earlier one: sorted with their
+    positions, equal elements are neighbours."""
+    order = F.sort_array(F.transform(ids, lambda x, i: F.struct(x.alias("id"), i.alias("at"))))
+    size = F.greatest(F.size(order) - 1, F.lit(0))
+    pairs = F.arrays_zip(F.slice(order, 1, size).alias("a"), F.slice(order, 2, size).alias("b"))
+    return F.array_min(F.transform(pairs, lambda p: F.when(p["a"]["id"] == p["b"]["id"], p["b"]["at"])))
+
+
+def _first_step_back(starts: Column) -> Column:
+    """Position of the first start before its predecessor (the first one's is 0)."""
+    before = F.slice(F.concat(F.array(F.lit(0).cast("long")), starts), 1, F.size(starts))
+    return F.array_min(F.transform(F.arrays_zip(starts.alias("a"), before.alias("b")), lambda p, i: F.when(p["a"] < p["b"], i)))
+
+
+def loop_error(segments: Column, start: str | None, duration: Column | None = None) -> Column:
+    """The document loop over a document's segments in order: the code of the
+    first segment that repeats an earlier ID, starts before the previous one or
+    ends after the duration.  One pass over the row that the document is: the
+    previous start and the IDs seen come from the array itself, nothing is
+    joined, and the cost grows with the segments (their IDs are sorted)."""
+    found = [(_first_repeat(F.transform(segments, lambda s: s["segment_id"])), "segment_id_unique")]
     if start:
-        seg = with_previous(seg.withColumn("_start", F.col(f"s.{start}")), [key], "seg_pos", ["_start"])
-        code = code.when(F.col("_start") < F.coalesce(F.col("prev__start"), F.lit(0)), F.lit("segment_order"))
-    if duration:
-        code = code.when(F.col("s.end_ms") > F.col("_duration"), F.lit("segment_duration"))
-    return (seg.select(key, "seg_pos", code.alias("_code")).filter("_code is not null")
-            .groupBy(key).agg(F.min_by("_code", "seg_pos").alias("model_error")))
+        found.append((_first_step_back(F.transform(segments, lambda s: s[start])), "segment_order"))
+    if duration is not None:
+        found.append((F.array_min(F.transform(segments, lambda s, i: F.when(s["end_ms"] > duration, i))), "segment_duration"))
+    first = F.array_min(F.array(*[F.when(at.isNotNull(), F.struct(at.alias("at"), F.lit(k).alias("k"), F.lit(code).alias("code")))
+                                  for k, (at, code) in enumerate(found)]))
+    return first["code"]
 
 
 def transcript_checks(parsed: DataFrame, key: str) -> DataFrame:
@@ -256,7 +266,7 @@ def transcript_checks(parsed: DataFrame, key: str) -> DataFrame:
       model (non-empty), in field order;
     * ``segment_errors`` / ``first_segment_error``: segments failing their own
       validation, and the first one's code;
-    * ``model_error``: the document loop (``_loop_errors``), only when fields
+    * ``model_error``: the document loop (``loop_error``), only when fields
       and segments are valid: an outer model isn't built from invalid parts.
     """
     segs = F.coalesce(F.col("segments"), F.array())
@@ -268,12 +278,8 @@ def transcript_checks(parsed: DataFrame, key: str) -> DataFrame:
              .when(F.coalesce(trim_len("model"), F.lit(0)) < 1, F.lit("model")))
     checked = parsed.select("*", field.alias("field_error"), F.size(failing).cast("long").alias("segment_errors"),
                             F.try_element_at(failing, F.lit(1)).alias("first_segment_error"))
-    return _with_model_error(checked, _loop_errors(parsed, key, "start_ms", "duration_ms"), key,
-                             F.col("field_error").isNull() & F.col("first_segment_error").isNull())
-
-
-def _with_model_error(checked: DataFrame, errors: DataFrame, key: str, inner_ok: Column) -> DataFrame:
-    return checked.join(errors, key, "left").withColumn("model_error", F.when(inner_ok, F.col("model_error")))
+    inner_ok = F.col("field_error").isNull() & F.col("first_segment_error").isNull()
+    return checked.withColumn("model_error", F.when(inner_ok, loop_error(segs, "start_ms", F.col("duration_ms"))))
 
 
 def _first(codes) -> Column:
@@ -290,8 +296,7 @@ def translated_timeline_checks(parsed: DataFrame, key: str) -> DataFrame:
                      .when(F.coalesce(s["translation_version"], F.lit(1)) < 1, F.lit("translation_version"))
                      .when(F.length(F.btrim(s["translated_text"])) < 1, F.lit("translated_text")))
     checked = parsed.select("*", _first(F.transform(segs, seg)).alias("first_segment_error"))
-    return _with_model_error(checked, _loop_errors(parsed, key, "source_start_ms"), key,
-                             F.col("first_segment_error").isNull())
+    return checked.withColumn("model_error", F.when(F.col("first_segment_error").isNull(), loop_error(segs, "source_start_ms")))
 
 
 def synthesis_checks(parsed: DataFrame, key: str) -> DataFrame:
@@ -302,4 +307,4 @@ def synthesis_checks(parsed: DataFrame, key: str) -> DataFrame:
     seg = lambda s: (F.when(~(s["target_end_ms"] > s["target_start_ms"]), F.lit("target_interval"))
                      .when(~(s["actual_duration_ms"] > 0), F.lit("actual_duration")))
     checked = parsed.select("*", _first(F.transform(segs, seg)).alias("first_segment_error"))
-    return _with_model_error(checked, _loop_errors(parsed, key, None), key, F.col("first_segment_error").isNull())
+    return checked.withColumn("model_error", F.when(F.col("first_segment_error").isNull(), loop_error(segs, None)))

@@ -86,6 +86,22 @@ def stored_items(spark: SparkSession, sf: str, order: str = "newest") -> DataFra
     return spark.read.parquet(path)
 
 
+def page_files(spark: SparkSession, sf: str) -> str:
+    """A folder of JSON files, a page of ``playlist_items`` per line; by page % 7
+    some bodies are cut off (3), have no items (4) or empty items (5)."""
+    pages = playlist_items(spark, sf).groupBy("playlist_id", "page", "next_token").agg(
+        F.sort_array(F.collect_list(F.struct("pos", "video_id"))).alias("_i"))
+    items = F.transform("_i", lambda x: F.struct(F.struct(x["video_id"].alias("videoId")).alias("contentDetails")))
+    way = F.col("page") % 7
+    head = (F.col("playlist_id").alias("playlistId"), "page", F.col("next_token").alias("nextPageToken"))
+    broken = F.concat(F.lit('{"playlistId":"'), "playlist_id", F.lit('","page":'), F.col("page").cast("string"), F.lit(',"items":[{'))
+    body = (F.when(way == 3, broken).when(way == 4, F.to_json(F.struct(*head)))
+            .otherwise(F.to_json(F.struct(*head, F.when(way == 5, F.slice(items, 1, 0)).otherwise(items).alias("items")))))
+    path = scratch_path(spark, "pages")
+    pages.select(body.alias("value")).write.text(path)
+    return path
+
+
 def _playlist_sql(name: str, order: str) -> str:
     _, size, order_sql = _ORDERS[order]
     return f"""{name}_rn AS (
@@ -428,16 +444,23 @@ def faulty_words(spark: SparkSession, sf: str) -> DataFrame:
         "start_ms", F.when(back, F.col("_seg")).otherwise(F.col("start_ms"))).drop("_seg")
 
 
+def _words_of(start: Column, text: Column) -> Column:
+    """The words of one segment as a transcript holds them (``transcript_words``, nested)."""
+    step = lambda acc, w: F.struct((acc["at"] + F.length(w) + 1).alias("at"), F.array_append(acc["words"], F.struct(
+        (start + 10 * acc["at"]).alias("start_ms"), (start + 10 * acc["at"] + 12 * F.length(w)).alias("end_ms"), w.alias("text"),
+        F.lit(None).cast("double").alias("probability"))).alias("words"))
+    empty = F.array().cast("array<struct<start_ms:bigint,end_ms:bigint,text:string,probability:double>>")
+    return F.reduce(F.split(text, " "), F.struct(F.lit(0).cast("long").alias("at"), empty.alias("words")), step)["words"]
+
+
 def transcript_docs(spark: SparkSession, sf: str) -> DataFrame:
     """Nested transcript documents: a document is one row, as its contract says."""
     seg = transcript_segments(spark, sf)
-    words = transcript_words(spark, sf).groupBy("doc_id", "segment_id").agg(F.array_sort(F.collect_list(F.struct(
-        "word_pos", "start_ms", "end_ms", "text", F.lit(None).cast("double").alias("probability")))).alias("_w"))
-    seg = seg.join(words, ["doc_id", "segment_id"], "left").withColumn(
-        "words", F.transform("_w", lambda x: x.dropFields("word_pos"))).drop("_w")
-    docs = nest_segments(seg, fields=["segment_id", "start_ms", "end_ms", "text", "words", "speaker"])
-    return docs.join(transcript_durations(spark, sf), "doc_id").select(
-        "doc_id", "duration_ms", F.lit("en").alias("language"), "segments")
+    part = F.struct("segment_id", "start_ms", "end_ms", "text", _words_of(F.col("start_ms"), F.col("text")).alias("words"), "speaker")
+    docs = seg.select("doc_id", "seg_pos", (F.col("end_ms") - F.col("start_ms")).alias("ms"), part.alias("s")).groupBy("doc_id").agg(
+        (F.floor(F.sum("ms") / 1000) * 1000).cast("long").alias("duration_ms"),
+        F.sort_array(F.collect_list(F.struct("seg_pos", "s"))).alias("_s"))
+    return docs.select("doc_id", "duration_ms", F.lit("en").alias("language"), F.transform("_s", lambda x: x["s"]).alias("segments"))
 
 
 def transcript_durations(spark: SparkSession, sf: str) -> DataFrame:
@@ -471,15 +494,24 @@ _FAULTY_WORDS_SQL = """faulty_words AS (
   FROM transcript_words w JOIN transcript_segments s ON w.doc_id = s.doc_id AND w.segment_id = s.segment_id)"""
 
 
-def translations(spark: SparkSession, sf: str) -> DataFrame:
+def translated_segments(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per segment and translation version, with the speech made from
+    version 1 beside it."""
     seg = transcript_segments(spark, sf)
-    base = seg.select("doc_id", "segment_id", F.col("start_ms").alias("source_start_ms"),
-                      F.col("end_ms").alias("source_end_ms"), F.col("text").alias("source_text"), "speaker")
-    v1 = base.withColumn("translated_text", F.concat(F.lit("T1:"), "source_text")).withColumn(
-        "translation_version", F.lit(1).cast("long"))
-    v2 = base.filter(F.col("speaker") == "assistant").withColumn(
-        "translated_text", F.concat(F.lit("T2:"), "source_text")).withColumn("translation_version", F.lit(2).cast("long"))
-    return v1.unionByName(v2)
+    first = F.concat(F.lit("T1:"), F.col("text"))
+    version = lambda n: F.struct(F.concat(F.lit(f"T{n}:"), F.col("text")).alias("translated_text"),
+                                 F.lit(n).cast("long").alias("translation_version"))
+    versions = F.when(F.col("speaker") == "assistant", F.array(version(1), version(2))).otherwise(F.array(version(1)))
+    return seg.select("doc_id", "segment_id", "seg_pos", F.col("start_ms").alias("source_start_ms"),
+                      F.col("end_ms").alias("source_end_ms"), F.col("text").alias("source_text"), "speaker", first.alias("spoken_text"),
+                      F.concat(F.lit("voice-"), "speaker").alias("voice"),
+                      F.concat(F.lit("s3://tts/"), F.col("doc_id").cast("string"), F.lit("/"), "segment_id", F.lit(".wav")).alias("audio_uri"),
+                      (F.length(first).cast("long") * 9 + 150).alias("actual_duration_ms"), F.inline(versions))
+
+
+def translations(spark: SparkSession, sf: str) -> DataFrame:
+    return translated_segments(spark, sf).select("doc_id", "segment_id", "source_start_ms", "source_end_ms", "source_text", "speaker",
+                                                 "translated_text", "translation_version")
 
 
 _TRANSLATIONS_SQL = """translations AS (

@@ -2,7 +2,8 @@
 
 Holidays and early closes are the published lists of 2024 and 2025, given to
 the operators as tables with the range they cover.  One event in 97 is read as a
-year later (2025, covered) and one as three years later (not covered).
+year later (2025, covered) and one as three years later (not covered).  Users of
+even number trade on one exchange, the others on another that keeps the same days.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from tapeworks.operators import calendar as C
 from tapeworks.plans.catalog import register
 from tapeworks.sources.tables import as_utc, table
 
+MARKETS = ("XNYS", "XNAS")
 _SHIFT_1, _SHIFT_3 = 1, 2   # residues of event_id % 97
 
 
@@ -21,14 +23,16 @@ def _events(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "events")
     ts, way = as_utc("ts"), F.col("event_id") % 97
     later = lambda years: ts + F.make_interval(years=F.lit(years))
-    return e.select("event_id", F.when(way == _SHIFT_1, later(1)).when(way == _SHIFT_3, later(3)).otherwise(ts).alias("ts"))
+    market = F.element_at(F.array(*[F.lit(m) for m in MARKETS]), (F.col("user_id") % 2 + 1).cast("int"))
+    return e.select("event_id", market.alias("market"), F.when(way == _SHIFT_1, later(1)).when(way == _SHIFT_3, later(3)).otherwise(ts).alias("ts"))
 
 
 def _lists(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
     """(holidays, early closes) as tables."""
-    holidays = spark.createDataFrame([(d,) for d in C.HOLIDAYS_2024 + C.HOLIDAYS_2025], "d string")
-    early = spark.createDataFrame(list(C.EARLY_CLOSES_2024 + C.EARLY_CLOSES_2025), "d string, close_time string")
-    return (holidays.select(F.to_date("d").alias("date")), early.select(F.to_date("d").alias("date"), "close_time"))
+    holidays = spark.createDataFrame([(m, d) for m in MARKETS for d in C.HOLIDAYS_2024 + C.HOLIDAYS_2025], "market string, d string")
+    early = spark.createDataFrame([(m, *x) for m in MARKETS for x in C.EARLY_CLOSES_2024 + C.EARLY_CLOSES_2025],
+                                  "market string, d string, close_time string")
+    return (holidays.select("market", F.to_date("d").alias("date")), early.select("market", F.to_date("d").alias("date"), "close_time"))
 
 
 def _spine(spark: SparkSession, sf: str) -> DataFrame:

@@ -13,6 +13,7 @@ from tapeworks.operators import discovery as D
 from tapeworks.operators.payload import message_payload
 from tapeworks.plans import bindings as B
 from tapeworks.plans.catalog import register
+from tapeworks.sources.pages import read_pages
 
 # Query parameters (ours; the reference takes them per call).
 AFTER = "2024-01-03T00:00:00Z"
@@ -211,15 +212,23 @@ def utc_timestamp(spark: SparkSession, sf: str) -> DataFrame:
 # ------------------------------------------------------------------ A3, F2, F3, F8
 
 @register("pages_explode", B.with_sql([_ITEMS], """
-SELECT playlist_id, page, pos, video_id, next_token FROM playlist_items"""))
+WITH p AS (SELECT *, page % 7 AS way, '{"playlistId":"' || playlist_id || '","page":' || page AS head FROM playlist_items)
+SELECT playlist_id, page, pos, video_id, next_token, 'ok' AS state, CAST(NULL AS VARCHAR) AS raw FROM p WHERE way NOT IN (3, 4, 5)
+UNION ALL
+SELECT DISTINCT CAST(NULL AS VARCHAR), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), 'broken', head || ',"items":[{' FROM p WHERE way = 3
+UNION ALL
+SELECT DISTINCT playlist_id, page, CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), next_token, CASE way WHEN 4 THEN 'no_items' ELSE 'empty_items' END, CAST(NULL AS VARCHAR)
+FROM p WHERE way IN (4, 5)"""))
 def pages_explode(spark: SparkSession, sf: str) -> DataFrame:
-    """A3: page documents (items[] per page) → one row per item, with position."""
-    items = B.playlist_items(spark, sf)
-    pages = items.groupBy("playlist_id", "page", "next_token").agg(
-        F.array_sort(F.collect_list(F.struct("pos", F.struct(F.struct(F.col("video_id").alias("videoId"))
-                                                              .alias("contentDetails")).alias("item")))).alias("_i"))
-    pages = pages.select("playlist_id", "page", "next_token", F.transform("_i", lambda x: x["item"]).alias("items"))
-    return D.explode_pages(pages)
+    """A3: page documents written as JSON files and read back with a fixed
+    schema → one row per item with its position; pages without items keep a
+    row, broken pages are quarantined with their text."""
+    pages = read_pages(spark, B.page_files(spark, sf))
+    items = D.explode_pages(pages.where("state <> 'broken'")).select(
+        "playlist_id", "page", F.col("pos").cast("long").alias("pos"), "video_id", "next_token", "state", F.lit(None).cast("string").alias("raw"))
+    none = lambda kind: F.lit(None).cast(kind)
+    broken = pages.where("state = 'broken'").select(none("string"), none("long"), none("long"), none("string"), none("string"), "state", "raw")
+    return items.unionAll(broken)
 
 
 @register("page_dedupe", B.with_sql([_SHUF], """
@@ -430,13 +439,24 @@ def message_payload_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("event_dedupe", B.with_sql([_ITEMS] + _B_VID, f"""WITH {_found_sql(_ITEMS, AFTER_SQL, BEFORE_SQL, K)},
-ev AS (SELECT 'youtube://channel/' || channel_id || '/uploads' AS uri, count(*) AS n FROM found GROUP BY channel_id)
-SELECT uri FROM ev"""))
+ev AS (SELECT channel_id, 'youtube://channel/' || channel_id || '/uploads' AS uri, count(*) AS n,
+              '{{"page":' || min(page) || ',"videos":' || count(*) || '}}' AS first FROM found GROUP BY channel_id)
+SELECT uri, '{{"a":"' || channel_id || '","published_after":"{AFTER}","stats":' || first || ',"video_count":' || n || '}}' AS extra FROM ev
+UNION ALL
+SELECT uri, '{{"a":"' || channel_id || '","published_after":"{AFTER}","stats":' || first || ',"video_count":' || n + 1 || '}}' FROM ev WHERE n % 2 = 0"""))
 def event_dedupe(spark: SparkSession, sf: str) -> DataFrame:
-    """The same channel event emitted twice (two runs) collapses to one."""
-    ev = D.channel_events(_found(spark, sf), AFTER, BEFORE)
-    ev = ev.select("uri", F.to_json(F.struct("video_count", "video_ids", "published_after", "published_before")).alias("extra"))
-    return D.event_dedupe(ev.unionByName(ev)).select("uri")
+    """The same channel event emitted three times, its fields (nested ones
+    too) in other orders, collapses to one; another count stays another event."""
+    per = _found(spark, sf).groupBy("channel_id").agg(F.count("*").alias("n"), F.min("page").alias("p"))
+    c, n, p = F.col("channel_id"), F.col("n"), F.col("p")
+    after = F.lit(AFTER)
+    one = F.to_json(F.struct(n.alias("video_count"), after.alias("published_after"), F.struct(n.alias("videos"), p.alias("page")).alias("stats"), c.alias("a")))
+    two = F.to_json(F.struct(F.struct(p.alias("page"), n.alias("videos")).alias("stats"), c.alias("a"), n.alias("video_count"), after.alias("published_after")))
+    three = F.replace(two, F.lit(","), F.lit(" ,\t"))
+    other = F.when(n % 2 == 0, F.to_json(F.struct((n + 1).alias("video_count"), after.alias("published_after"),
+                                                  F.struct(p.alias("page"), n.alias("videos")).alias("stats"), c.alias("a"))))
+    ev = per.select(channel_uploads_uri("channel_id").alias("uri"), F.explode(F.array(one, two, three, other)).alias("extra")).where("extra is not null")
+    return D.event_dedupe(ev)
 
 
 @register("outlet_merge", B.with_sql(["channel_refs"], """

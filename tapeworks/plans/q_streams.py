@@ -75,18 +75,19 @@ def daily_uploads(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("write_replace", B.with_sql(["stage_records"], f"""
-SELECT video_id, job_type, job_id, CASE WHEN job_type = 'download' THEN 'rechecked' ELSE status END AS status,
+SELECT video_id, job_type, job_id, CASE WHEN job_type = 'download' AND right(job_id, 1) = '7' THEN 'rechecked' ELSE status END AS status,
        {_ts_sql('updated_at')} AS updated_at FROM (
   SELECT *, row_number() OVER (PARTITION BY video_id, job_type ORDER BY updated_at DESC, job_id DESC) AS rn
   FROM stage_records) WHERE rn = 1"""))
 def write_replace(spark: SparkSession, sf: str) -> DataFrame:
-    """The latest-stage table written by job type, then one job type
-    rewritten with changed rows: only that partition is replaced; read back whole."""
+    """The latest-stage table written by job type, then a tenth of one job
+    type's rows replaced by key: that partition's other rows stay, other
+    partitions aren't touched; read back whole."""
     ls = J.latest_stage(B.stage_records(spark, sf)).select("video_id", "job_type", "job_id", "status", "updated_at")
     path = scratch_path(spark, "latest_stage")
     sinks.write_replace(ls, path, ["job_type"])
-    changed = ls.filter(F.col("job_type") == "download").withColumn("status", F.lit("rechecked"))
-    sinks.write_replace(changed, path, ["job_type"])
+    changed = ls.filter((F.col("job_type") == "download") & F.col("job_id").endswith("7")).withColumn("status", F.lit("rechecked"))
+    sinks.write_replace(changed, path, ["job_type"], ["video_id"])
     back = spark.read.parquet(path)
     return back.select("video_id", "job_type", "job_id", "status", ts_text("updated_at").alias("updated_at"))
 

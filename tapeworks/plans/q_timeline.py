@@ -267,37 +267,34 @@ def timeline_contracts(spark: SparkSession, sf: str) -> DataFrame:
     """Translated timelines (latest version per segment, G6) and synthesis
     results per conversation, written as contract documents (A2), read back
     strictly (A1) and checked with their segment and document rules."""
-    segs = B.transcript_segments(spark, sf).select("doc_id", "segment_id", "seg_pos")
     art = lambda prefix: F.struct(F.concat(F.lit(prefix), F.col("doc_id").cast("string")).alias("uri"),
                                   F.lit("application/json").alias("content_type"))
-    lt = TL.latest_translation(B.translations(spark, sf)).join(segs, ["doc_id", "segment_id"])
+    # Flat rows are built once: a segment's versions and its speech side by side.
+    rows = B.translated_segments(spark, sf)
     tseg = F.struct("segment_id", "source_start_ms", "source_end_ms", "source_text", "translated_text", "speaker",
                     "translation_version")
-    tdocs = lt.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("seg_pos", tseg.alias("s")))).alias("_s"))
-    tdocs = tdocs.select("doc_id", F.to_json(F.struct(
-        F.lit("1.0").alias("schema_version"), art("s3://asr/").alias("source_transcript"),
-        F.lit("en").alias("source_language"), F.lit("zh-CN").alias("target_language"), F.lit("mt").alias("provider"),
-        F.lit("base").alias("model"), F.transform("_s", lambda x: x["s"]).alias("segments"))).alias("raw"))
-    t = TL.translated_timeline_checks(parse_contract(tdocs, "raw", CONTRACTS["translated_timeline"]), "doc_id")
-    sy = B.synthesis(spark, sf).join(segs, ["doc_id", "segment_id"])
-    sseg = F.struct("segment_id", "target_start_ms", "target_end_ms", "text", "voice",
+    sseg = F.struct("segment_id", F.col("source_start_ms").alias("target_start_ms"), F.col("source_end_ms").alias("target_end_ms"),
+                    F.col("spoken_text").alias("text"), "voice",
                     F.struct(F.col("audio_uri").alias("uri"), F.lit("audio/wav").alias("content_type")).alias("audio"),
                     "actual_duration_ms")
-    sdocs = sy.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("seg_pos", sseg.alias("s")))).alias("_s"))
-    sdocs = sdocs.select("doc_id", F.to_json(F.struct(
-        F.lit("1.0").alias("schema_version"), art("s3://translation/").alias("source_timeline"),
-        F.lit("zh-CN").alias("language"), F.lit("tts").alias("provider"), F.lit("base").alias("model"),
-        F.lit("voice").alias("voice"), F.transform("_s", lambda x: x["s"]).alias("segments"),
-        art("s3://tts/").alias("dubbed_audio"))).alias("raw"))
-    s = TL.synthesis_checks(parse_contract(sdocs, "raw", CONTRACTS["synthesis_result"]), "doc_id")
-    t = t.select("doc_id", F.size("segments").cast("long").alias("translated_segments"),
+    docs = TL.latest_translation(rows).groupBy("doc_id").agg(
+        F.sort_array(F.collect_list(F.struct("seg_pos", tseg.alias("t"), sseg.alias("s")))).alias("_r"))
+    docs = docs.select("doc_id", F.to_json(F.struct(
+        F.lit("1.0").alias("schema_version"), art("s3://asr/").alias("source_transcript"),
+        F.lit("en").alias("source_language"), F.lit("zh-CN").alias("target_language"), F.lit("mt").alias("provider"),
+        F.lit("base").alias("model"), F.transform("_r", lambda x: x["t"]).alias("segments"))).alias("traw"),
+        F.to_json(F.struct(
+            F.lit("1.0").alias("schema_version"), art("s3://translation/").alias("source_timeline"),
+            F.lit("zh-CN").alias("language"), F.lit("tts").alias("provider"), F.lit("base").alias("model"),
+            F.lit("voice").alias("voice"), F.transform("_r", lambda x: x["s"]).alias("segments"),
+            art("s3://tts/").alias("dubbed_audio"))).alias("sraw"))
+    t = TL.translated_timeline_checks(parse_contract(docs, "traw", CONTRACTS["translated_timeline"]), "doc_id")
+    t = t.select("doc_id", "sraw", F.size("segments").cast("long").alias("translated_segments"),
                  F.col("first_segment_error").alias("translation_segment_error"),
                  F.col("model_error").alias("translation_model_error"), F.col("unknown_fields").alias("_u1"))
-    s = s.select("doc_id", F.size("segments").cast("long").alias("synthesized_segments"),
-                 F.col("first_segment_error").alias("synthesis_segment_error"),
-                 F.col("model_error").alias("synthesis_model_error"), F.col("unknown_fields").alias("_u2"))
-    none = F.array().cast("array<string>")
-    j = t.join(s, "doc_id", "full_outer")
-    return j.select("doc_id", "translated_segments", "translation_segment_error", "translation_model_error",
-                    "synthesized_segments", "synthesis_segment_error", "synthesis_model_error",
-                    F.array_join(F.array_union(F.coalesce("_u1", none), F.coalesce("_u2", none)), ",").alias("unknown_fields"))
+    s = TL.synthesis_checks(parse_contract(t, "sraw", CONTRACTS["synthesis_result"]), "doc_id")
+    return s.select("doc_id", "translated_segments", "translation_segment_error", "translation_model_error",
+                    F.size("segments").cast("long").alias("synthesized_segments"),
+                    F.col("first_segment_error").alias("synthesis_segment_error"),
+                    F.col("model_error").alias("synthesis_model_error"),
+                    F.array_join(F.array_union("_u1", "unknown_fields"), ",").alias("unknown_fields"))

@@ -132,3 +132,11 @@ def test_filters_pass_the_parse_generator(spark):
     from tapeworks.sources.contracts import CONTRACTS, parse_contract
     df = parse_contract(B.artifact_docs(spark, SF_SMALL), "raw", CONTRACTS["artifact"]).filter(F.col("doc_id") < 10)
     assert "PushedFilters: [IsNotNull(doc_id), LessThan(doc_id,10)]" in _plan(df, "formatted")
+
+
+def test_timeline_documents_are_built_once(spark, queries):
+    """Scans and shuffles of the initial plans: flat rows once, loops inside the row."""
+    for name, scans, shuffles in (("transcript_contract", 4, 10), ("timeline_contracts", 4, 10), ("channel_events", 2, 6)):
+        plan = _plan(queries[name](spark, SF_SMALL))
+        assert plan.count("FileScan parquet") <= scans, name
+        assert plan.count("Exchange ") <= shuffles, name

@@ -237,3 +237,32 @@ def test_dates_outside_the_lists_are_errors(spark):
     gates = {r["id"]: r for r in C.open_minute(ev, cal, coverage=C.COVERAGE).select(
         "id", C.open_gate("is_session", "is_open").alias("o"), C.close_gate("is_session", "is_open").alias("c")).collect()}
     assert [(gates[i]["o"], gates[i]["c"]) for i in (1, 3, 4)] == [(False, True), (None, None), (True, False)]
+
+
+def test_loop_error_against_a_plain_loop(spark):
+    import random
+    rng = random.Random(6)
+    docs = []
+    for i in range(80):
+        segs = [(f"s{rng.randint(0, 9)}" if rng.random() < 0.3 else f"u{k}", rng.choice([k * 10, k * 10, 0, -5]), rng.choice([k * 10 + 5, 99]))
+                for k in range(rng.randint(0, 8))]
+        docs.append((i, segs, 60))
+    docs.append((80, [(f"s{k}", k, k + 1) for k in range(5000)] + [("s0", 5000, 5001)], 10**6))
+
+    def plain(segs, duration, order, limit):
+        seen, before = set(), 0
+        for sid, start, end in segs:
+            if sid in seen:
+                return "segment_id_unique"
+            if order and start < before:
+                return "segment_order"
+            if limit and end > duration:
+                return "segment_duration"
+            seen.add(sid)
+            before = start
+        return None
+
+    df = spark.createDataFrame(docs, "id int, segments array<struct<segment_id:string,start_ms:long,end_ms:long>>, duration_ms long")
+    for order, limit in ((True, True), (True, False), (False, False)):
+        got = df.select("id", TL.loop_error(F.col("segments"), "start_ms" if order else None, F.col("duration_ms") if limit else None).alias("c")).collect()
+        assert {r["id"]: r["c"] for r in got} == {i: plain(s, d, order, limit) for i, s, d in docs}
