@@ -118,9 +118,10 @@ def dedup_lines(docs: DataFrame, min_run: int = MIN_RUN, min_words: int | None =
         F.size(F.coalesce("deleted", none)).cast("long").alias("n_deleted"))
 
 
-def line_dedup(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
-    """doc_id, n_lines, n_deleted and the text that is left."""
-    return dedup_lines(docs, min_run).select("row.doc_id", "n_lines", "n_deleted", "row.text")
+def line_dedup(docs: DataFrame, min_run: int = MIN_RUN, min_words: int | None = None) -> DataFrame:
+    """doc_id, n_lines, n_deleted and the text that is left.  With ``min_words``
+    repeated runs of fewer lines go too if they have that many words."""
+    return dedup_lines(docs, min_run, min_words).select("row.doc_id", "n_lines", "n_deleted", "row.text")
 
 
 def drop_repeated_lines(docs: DataFrame, min_run: int = MIN_RUN, min_words: int | None = MIN_WORDS) -> DataFrame:
@@ -141,16 +142,22 @@ WITH lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos
   FROM documents WHERE text IS NOT NULL),
 seq AS (
-  SELECT doc_id, pos, line, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS k
+  SELECT doc_id, pos, line, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS k,
+         len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS n
   FROM lines WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
 win AS (
-  SELECT doc_id, k, line || chr(10) || lead(line, 1) OVER w || chr(10) || lead(line, 2) OVER w AS run
+  SELECT doc_id, k, 1 AS size, line AS run FROM seq WHERE n >= {MIN_WORDS}
+  UNION ALL
+  SELECT doc_id, k, 2, line || chr(10) || lead(line, 1) OVER w FROM seq
+  WINDOW w AS (PARTITION BY doc_id ORDER BY k) QUALIFY n + lead(n, 1) OVER w >= {MIN_WORDS}
+  UNION ALL
+  SELECT doc_id, k, {MIN_RUN}, line || chr(10) || lead(line, 1) OVER w || chr(10) || lead(line, 2) OVER w
   FROM seq WINDOW w AS (PARTITION BY doc_id ORDER BY k)),
 later AS (
-  SELECT doc_id, k FROM win WHERE run IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY run ORDER BY doc_id, k) > 1),
+  SELECT doc_id, k, size FROM win WHERE run IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY size, run ORDER BY doc_id, k) > 1),
 gone AS (
-  SELECT DISTINCT s.doc_id, s.pos FROM seq s JOIN (SELECT doc_id, unnest(range(k, k + {MIN_RUN})) AS k FROM later) l
+  SELECT DISTINCT s.doc_id, s.pos FROM seq s JOIN (SELECT doc_id, unnest(range(k, k + size)) AS k FROM later) l
   ON s.doc_id = l.doc_id AND s.k = l.k),
 kept AS (
   SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) AS text FROM lines

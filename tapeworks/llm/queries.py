@@ -67,9 +67,9 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line dedup over all documents: lines with a word, lines deleted, and
-    the text that is left."""
-    return ld.line_dedup(_table(spark, sf_dir, "documents"))
+    """Line dedup over all documents: lines with a word, lines deleted (repeated
+    runs of three lines, or of 20 words in fewer), and the text that is left."""
+    return ld.line_dedup(_table(spark, sf_dir, "documents"), min_words=ld.MIN_WORDS)
 
 
 def op10_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -62,11 +63,19 @@ def calibrated(projections: int = PROJECTIONS, width: float = WIDTH, recall: flo
     return 0
 
 
+@cache
 def directions(size: int) -> np.ndarray:
     """The dealing direction and the counted ones for vectors of ``size``."""
     return np.random.default_rng([5, size]).standard_normal((1 + PROJECTIONS, size))
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Vectors (rows) times the power of two that brings their largest component
+    to between 0.5 and 1: norms and products neither overflow nor vanish, and no
+    digit of a component changes."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=-1, keepdims=True))[1])
+
+
 def valid(label: str, vector: str) -> Column:
     bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     return F.coalesce(F.col(label).isNotNull() & (F.size(vector) > 0) & ~bad & F.exists(vector, lambda x: x != 0), F.lit(False))
@@ -77,7 +86,7 @@ def _cells(spread_of_pair: float):
         for batch in batches:
             cell = []
             for v in batch.column("vector").to_pylist():
-                v = np.array(v, np.float64)
+                v = scaled(np.array(v, np.float64))
                 at = directions(len(v))[0] @ v / np.linalg.norm(v)
                 cell.append(math.floor(at / (DEALING * spread_of_pair)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell, pa.int32())], [*batch.schema.names, "own"])
@@ -87,6 +96,7 @@ def _cells(spread_of_pair: float):
 def linked_pairs(vectors: np.ndarray, cosine: float) -> np.ndarray:
     """Boolean matrix of the pairs found with this cosine or more."""
     n, size = vectors.shape
+    vectors = scaled(vectors)
     width, least = WIDTH * math.sqrt(2 - 2 * cosine), calibrated()
     norms = np.linalg.norm(vectors, axis=1)
     at = (vectors / norms[:, None]) @ directions(size)[1:].T

@@ -235,6 +235,17 @@ def test_tree_states_sum_to_one_and_find_structure(spark, monkeypatch):
     assert held and sum(r.score for r in held) > 0.6 * sum(r.base_score for r in held)
 
 
+# --- vectors of any magnitude -----------------------------------------------------
+
+def test_vectors_of_extreme_magnitude(spark):
+    rows = [(1, [1e200, 0.0, 0.0], "a"), (2, [1e200, 1e190, 0.0], "a"), (3, [1e-200, 0.0, 1e-210], "a"), (4, [1.0, 0.0, 0.0], "a"),
+            (5, [0.0, 1e300, 1e300], "a"), (6, [0.0, 1e-320, 1e-320], "a"), (7, [1.7e308, 1.7e308, -1.7e308], "a"), (8, [1e200, 0.0, 0.0], "b"),
+            (9, [float("inf"), 0.0, 0.0], "a"), (10, [0.0, 0.0, 0.0], "a"), (11, [-1e200, 0.0, 0.0], "a")]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_vectors(df).collect()}
+    assert got == {1: (3, 1), 2: (3, 1), 3: (3, 1), 4: (3, 1), 5: (1, 5), 6: (1, 5), 7: (0, 7), 8: (0, 8), 9: (0, 9), 10: (0, 10), 11: (0, 11)}
+
+
 # --- importance resampling --------------------------------------------------------
 
 def test_importance_weights(spark, tables):

@@ -153,6 +153,21 @@ def test_pipeline_deletes_short_runs_with_many_words(spark, tables):
         assert Counter((r.doc_id, r.text) for r in line_dedup.drop_repeated_lines(df).collect()) == want
 
 
+def test_line_dedup_of_short_runs(spark, tables):
+    """The query's rule: runs of three lines, and of 20 words in one or two."""
+    for df, rows in ((tables[0], corpus()), (tables[1], odd_rows())):
+        left = brute_short_runs(rows)
+        got = line_dedup.line_dedup(df, min_words=line_dedup.MIN_WORDS).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            keys = [(k, x) for k, x in left.items() if k[0] == (line_dedup.LAST if r.doc_id is None else r.doc_id)]
+            if r.n_deleted < r.n_lines or r.n_deleted == 0:
+                assert r.text is None or r.text in [x for _, x in keys]
+        assert sum(r.n_deleted for r in got) >= sum(r.n_deleted for r in line_dedup.line_dedup(df).collect())
+    plan = line_dedup.line_dedup(tables[0], min_words=line_dedup.MIN_WORDS)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
 def test_line_dedup_uses_no_python(spark, tables):
     plan = line_dedup.line_dedup(tables[0])._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
