@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tapeworks.functions import evaluate_once
 from tapeworks.operators.discovery import dedupe_keep_last
 from tapeworks.operators.ordering import dense_positions
 
@@ -154,6 +155,65 @@ def chunk_merge(chunks: DataFrame, chunk_ms: int, overlap_ms: int, doc: str = "d
                            name="seg_pos")
 
 
+def normal_word(text) -> Column:
+    """A word as two recognitions of it are compared: lower case, no punctuation at its ends."""
+    return F.lower(F.regexp_replace(text, r"^\p{Punct}+|\p{Punct}+\z", ""))
+
+
+def longest_common_run(a: Column, b: Column) -> Column:
+    """(size, i, j) of the longest run of elements that stands in both arrays, from
+    ``i`` and ``j``; the smallest i, then j, among equals; size 0 if there is none.
+    One pass over ``a`` with the run lengths that end at each element of ``b``."""
+    def step(acc: Column, x: Column) -> Column:
+        ending = F.transform(b, lambda y, j: F.when(x == y, F.coalesce(F.get(acc["ending"], j - 1), F.lit(0)) + 1).otherwise(F.lit(0)))
+        found = F.transform(ending, lambda size, j: F.struct(size.alias("size"), (size - acc["at"] - 1).alias("i"), (size - j - 1).alias("j")))
+        return F.struct((acc["at"] + 1).alias("at"), ending.alias("ending"),
+                        F.greatest(acc["best"], F.array_max(found)).alias("best"))
+
+    none = F.struct(F.lit(0).alias("size"), F.lit(0).alias("i"), F.lit(0).alias("j"))
+    start = F.struct(F.lit(0).alias("at"), F.transform(b, lambda _: F.lit(0)).alias("ending"), none.alias("best"))
+    best = F.reduce(a, start, step)["best"]  # i and j negated, so that the greatest is the earliest
+    return F.struct(best["size"].alias("size"), (-best["i"]).alias("i"), (-best["j"]).alias("j"))
+
+
+def aligned_chunk_merge(words: DataFrame, step_ms: int, overlap_ms: int, doc: str = "doc_id") -> DataFrame:
+    """T4 where chunks disagree: merge recognised words of chunks that begin every
+    ``step_ms`` and overlap by ``overlap_ms``.
+
+    Input rows: (doc, chunk, pos, start_ms, end_ms, text) with times relative to
+    the chunk and ``pos`` the order in it.  Times jitter and words at a chunk's
+    edge may be misheard, so the seam is found by the words: of the two word lists
+    in an overlap (by midpoint) the longest common run is taken, and the chunks
+    meet in its middle.  Without a common word the overlap is split in half by
+    time.  Words are renumbered per document.
+
+    An overlap's words are few (its length bounds them), so their lists are one
+    row per seam; seams and words meet by (doc, chunk), which spreads a long
+    document over all tasks."""
+    if 2 * overlap_ms > step_ms:
+        raise ValueError(f"an overlap of {overlap_ms} ms leaves nothing between two seams of chunks every {step_ms} ms")
+    offset = F.col("chunk") * step_ms
+    w = words.withColumn("start_ms", F.col("start_ms") + offset).withColumn("end_ms", F.col("end_ms") + offset)
+    mid2 = F.col("start_ms") + F.col("end_ms")
+    tail, head = mid2 >= 2 * (offset + step_ms), (F.col("chunk") > 0) & (mid2 < 2 * (offset + overlap_ms))
+    sides = F.filter(F.array(F.when(tail, F.struct(F.col("chunk").alias("seam"), F.lit(True).alias("left"))),
+                             F.when(head, F.struct((F.col("chunk") - 1).alias("seam"), F.lit(False).alias("left")))), lambda x: x.isNotNull())
+    item = F.struct("pos", normal_word(F.col("text")).alias("x"))
+    lists = (w.select(doc, "pos", "text", F.inline(sides)).groupBy(doc, "seam").agg(
+        F.sort_array(F.collect_list(F.when(F.col("left"), item))).alias("a"), F.sort_array(F.collect_list(F.when(~F.col("left"), item))).alias("b")))
+    run = longest_common_run(F.col("a.x"), F.col("b.x"))
+    half = F.floor((F.col("run.size") + 1) / 2).cast("int")
+    seams = evaluate_once(lists, [doc, "seam", "a", "b"], [run.alias("run")]).where("run.size > 0").select(
+        doc, "seam", F.get("a.pos", F.col("run.i") + half - 1).alias("last"), F.get("b.pos", F.col("run.j") + half - 1).alias("before"))
+    after = seams.select(doc, F.col("seam").alias("chunk"), "last")
+    ahead = seams.select(doc, (F.col("seam") + 1).alias("chunk"), "before")
+    middle = 2 * offset + overlap_ms
+    kept = (w.join(after, [doc, "chunk"], "left").join(ahead, [doc, "chunk"], "left")
+            .where(F.coalesce(F.col("pos") <= F.col("last"), mid2 < middle + 2 * step_ms)
+                   & ((F.col("chunk") == 0) | F.coalesce(F.col("pos") > F.col("before"), mid2 >= middle))).drop("last", "before"))
+    return dense_positions(kept, [doc], F.col("chunk"), ["chunk", "pos"], name="word_no")
+
+
 def _srt_time(ms) -> F.Column:
     return F.format_string("%02d:%02d:%02d,%03d", (ms / MS_PER_HOUR).cast("long"),
                            ((ms % MS_PER_HOUR) / 60000).cast("long"), ((ms % 60000) / 1000).cast("long"),

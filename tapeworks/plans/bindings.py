@@ -557,6 +557,32 @@ def recognition_chunks(spark: SparkSession, sf: str) -> DataFrame:
                     (F.col("end_ms") - F.col("chunk") * step).alias("end_ms"), "text")
 
 
+# words as two recognitions of overlapping chunks hear them: a word is in every
+# chunk whose range holds its midpoint; times jitter by up to 60 ms with the chunk,
+# and every sixth word (another one in each chunk) is misheard.
+
+def recognised_words(spark: SparkSession, sf: str) -> DataFrame:
+    w = transcript_words(spark, sf)
+    step = CHUNK_MS - OVERLAP_MS
+    mid2 = F.col("start_ms") + F.col("end_ms")
+    lo = F.greatest(F.lit(0).cast("long"), (F.floor((mid2 - 2 * CHUNK_MS) / (2 * step)) + 1).cast("long"))
+    x = w.select("doc_id", (F.col("start_ms") / 10).cast("long").alias("pos"), "start_ms", "end_ms", "text",
+                 F.explode(F.sequence(lo, F.floor(mid2 / (2 * step)).cast("long"))).alias("chunk"))
+    jitter = (F.col("pos") + 7 * F.col("chunk")) % 13 * 10 - 60 - F.col("chunk") * step
+    misheard = (F.col("pos") + F.col("chunk")) % 6 == 0
+    return x.select("doc_id", "chunk", "pos", (F.col("start_ms") + jitter).alias("start_ms"), (F.col("end_ms") + jitter).alias("end_ms"),
+                    F.when(misheard, F.concat(F.lit("um"), F.col("chunk").cast("string"))).otherwise(F.col("text")).alias("text"))
+
+
+_RECOGNISED_SQL = f"""recognised_words AS (
+  SELECT doc_id, chunk, pos, start_ms + (pos + 7 * chunk) % 13 * 10 - 60 AS start_ms, end_ms + (pos + 7 * chunk) % 13 * 10 - 60 AS end_ms,
+         CASE WHEN (pos + chunk) % 6 = 0 THEN 'um' || chunk ELSE text END AS text FROM (
+    SELECT doc_id, start_ms // 10 AS pos, start_ms, end_ms, text, unnest(range(
+      greatest(0, CAST(floor((start_ms + end_ms - {2 * CHUNK_MS}) / {2 * (CHUNK_MS - OVERLAP_MS)}.0) + 1 AS BIGINT)),
+      CAST(floor((start_ms + end_ms) / {2 * (CHUNK_MS - OVERLAP_MS)}.0) AS BIGINT) + 1)) AS chunk
+    FROM transcript_words))"""
+
+
 # ---------------------------------------------------------------- HTTP attempt log
 # events → API attempts: request = (user, day), attempts in time order; the
 # status comes from props.k (429, 503, 500, 403, 404, 401, 422, 451 or 200);
@@ -709,6 +735,7 @@ SQL = {
     "video_requests": _VIDEO_REQUESTS_SQL,
     "artifact_docs": _ARTIFACT_DOCS_SQL,
     "typed_docs": _TYPED_DOCS_SQL,
+    "recognised_words": _RECOGNISED_SQL,
     "job_log": _JOB_LOG_SQL,
     "transcript_segments": _SEGMENTS_SQL,
     "transcript_durations": _DOCS_SQL,
@@ -724,7 +751,7 @@ SQL = {
 }
 
 # Bindings whose SQL reads another binding.
-_NEEDS = {"typed_docs": ["artifact_docs"], "faulty_segments": ["transcript_segments"], "faulty_words": ["transcript_segments", "transcript_words"],
+_NEEDS = {"typed_docs": ["artifact_docs"], "recognised_words": ["transcript_words"], "faulty_segments": ["transcript_segments"], "faulty_words": ["transcript_segments", "transcript_words"],
           "playlist_items": ["publications"], "playlist_shuffled": ["publications"],
           "transcript_durations": ["transcript_segments"], "transcript_words": ["transcript_segments"],
           "translations": ["transcript_segments"], "synthesis": ["translations"]}

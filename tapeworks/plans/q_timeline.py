@@ -157,6 +157,33 @@ def chunk_merge(spark: SparkSession, sf: str) -> DataFrame:
     return m.select("doc_id", "seg_pos", "start_ms", "end_ms", "text")
 
 
+_STEP = B.CHUNK_MS - B.OVERLAP_MS
+
+
+@register("chunk_merge_aligned", B.with_sql(["recognised_words"], f"""
+WITH n AS (SELECT *, start_ms + end_ms AS mid2, lower(regexp_replace(text, '^[!-/:-@\\[-`{{-~]+|[!-/:-@\\[-`{{-~]+$', '', 'g')) AS x FROM recognised_words),
+a AS (SELECT doc_id, chunk AS seam, pos, x, row_number() OVER (PARTITION BY doc_id, chunk ORDER BY pos) AS i
+      FROM n WHERE mid2 >= 2 * (chunk + 1) * {_STEP}),
+b AS (SELECT doc_id, chunk - 1 AS seam, pos, x, row_number() OVER (PARTITION BY doc_id, chunk ORDER BY pos) AS j
+      FROM n WHERE chunk > 0 AND mid2 < 2 * (chunk * {_STEP} + {B.OVERLAP_MS})),
+m AS (SELECT a.doc_id, a.seam, a.i, b.j, a.i - row_number() OVER (PARTITION BY a.doc_id, a.seam, a.i - b.j ORDER BY a.i) AS island
+      FROM a JOIN b ON a.doc_id = b.doc_id AND a.seam = b.seam AND a.x = b.x),
+best AS (SELECT doc_id, seam, min(i) AS i, min(j) AS j, count(*) AS size FROM m GROUP BY doc_id, seam, i - j, island
+         QUALIFY row_number() OVER (PARTITION BY doc_id, seam ORDER BY count(*) DESC, min(i), min(j)) = 1),
+seams AS (SELECT best.doc_id, best.seam, a.pos AS last, b.pos AS before FROM best
+          JOIN a ON a.doc_id = best.doc_id AND a.seam = best.seam AND a.i = best.i + (best.size + 1) // 2 - 1
+          JOIN b ON b.doc_id = best.doc_id AND b.seam = best.seam AND b.j = best.j + (best.size + 1) // 2 - 1)
+SELECT n.doc_id, row_number() OVER (PARTITION BY n.doc_id ORDER BY n.chunk, n.pos) - 1 AS word_no, n.chunk, n.start_ms, n.end_ms, n.text
+FROM n LEFT JOIN seams s ON n.doc_id = s.doc_id AND n.chunk = s.seam LEFT JOIN seams p ON n.doc_id = p.doc_id AND n.chunk = p.seam + 1
+WHERE coalesce(n.pos <= s.last, n.mid2 < 2 * (n.chunk + 1) * {_STEP} + {B.OVERLAP_MS})
+  AND (n.chunk = 0 OR coalesce(n.pos > p.before, n.mid2 >= 2 * n.chunk * {_STEP} + {B.OVERLAP_MS}))"""))
+def chunk_merge_aligned(spark: SparkSession, sf: str) -> DataFrame:
+    """T4 where chunks disagree: words recognised twice in the overlaps, with
+    jittered times and misheard words, merged at their longest common run."""
+    m = TL.aligned_chunk_merge(B.recognised_words(spark, sf), _STEP, B.OVERLAP_MS)
+    return m.select("doc_id", "word_no", "chunk", "start_ms", "end_ms", "text")
+
+
 def _srt_sql_time(x: str) -> str:
     return (f"printf('%02d:%02d:%02d,%03d', CAST({x} // 3600000 AS BIGINT), CAST(({x} % 3600000) // 60000 AS BIGINT), "
             f"CAST(({x} % 60000) // 1000 AS BIGINT), CAST({x} % 1000 AS BIGINT))")

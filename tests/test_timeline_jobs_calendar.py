@@ -266,3 +266,38 @@ def test_loop_error_against_a_plain_loop(spark):
     for order, limit in ((True, True), (True, False), (False, False)):
         got = df.select("id", TL.loop_error(F.col("segments"), "start_ms" if order else None, F.col("duration_ms") if limit else None).alias("c")).collect()
         assert {r["id"]: r["c"] for r in got} == {i: plain(s, d, order, limit) for i, s, d in docs}
+
+
+def test_chunks_meet_at_their_longest_common_run(spark):
+    said = "the quick brown fox jumps over the lazy dog and runs far away".split()
+    words = [(1, 0, k, 20_000 + 1000 * k, 20_400 + 1000 * k, x) for k, x in enumerate(said[:10])]          # 20 .. 29.4 s
+    heard = ["box", "Jumps,", "over", "the", "crazy", "dog", "and", "runs", "far", "away"]                  # from word 3; 80 ms late
+    words += [(1, 1, k, 1080 + 1000 * k, 1480 + 1000 * k, x) for k, x in enumerate(heard)]                  # chunk 1 begins at 22 s
+    words += [(2, 0, 0, 25_000, 25_500, "left"), (2, 0, 1, 28_000, 28_500, "gone"), (2, 1, 0, 3000, 3500, "other"), (2, 1, 1, 6500, 6900, "right")]
+    df = spark.createDataFrame(words, "doc_id int, chunk long, pos long, start_ms long, end_ms long, text string")
+    out = TL.aligned_chunk_merge(df, 22_000, 8_000).orderBy("doc_id", "word_no").collect()
+    # doc 1: "jumps over the" is the longest run; its middle is "over".  doc 2: nothing in common, split at 26 s.
+    assert " ".join(r["text"] for r in out if r["doc_id"] == 1) == "the quick brown fox jumps over the crazy dog and runs far away"
+    assert [r["text"] for r in out if r["doc_id"] == 2] == ["left", "right"]
+    assert [r["word_no"] for r in out if r["doc_id"] == 1] == list(range(13))
+
+
+def test_longest_common_run_against_all_pairs(spark):
+    import random
+    rng = random.Random(2)
+    data = [(i, [rng.choice("abc") for _ in range(rng.randint(0, 9))], [rng.choice("abcd") for _ in range(rng.randint(0, 9))]) for i in range(60)]
+
+    def plain(a, b):
+        best = (0, 0, 0)
+        for i in range(len(a)):
+            for j in range(len(b)):
+                n = 0
+                while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n]:
+                    n += 1
+                if n > best[0]:
+                    best = (n, i, j)
+        return best
+
+    df = spark.createDataFrame(data, "id int, a array<string>, b array<string>")
+    got = {r["id"]: tuple(r["r"]) for r in df.select("id", TL.longest_common_run(F.col("a"), F.col("b")).alias("r")).collect()}
+    assert got == {i: plain(a, b) for i, a, b in data}
