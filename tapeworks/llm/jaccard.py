@@ -231,7 +231,9 @@ def _with_grams(n: int):
 
 def verified_links(docs: DataFrame, classes: DataFrame, groups: DataFrame, threshold: float, n: int) -> DataFrame:
     """(a, b, n) as ``_verified`` says, over all candidate groups."""
-    sized = groups.groupBy("component").agg(F.count("*").alias("members"))
+    # Stored, as the groups' first places below, so that the joins shuffle both
+    # sides and a hot component's can be split.
+    sized = stored(groups.groupBy("component").agg(F.count("*").alias("members")), "sized")
     needed = (groups.join(sized, "component").withColumnRenamed("node", "cls")
               .join(classes.select("cls", "copies", "size", "rep"), "cls")
               .select("component", "cls", "copies", "members", F.col("rep.d").alias("d"), F.col("rep.t").alias("t"), "size"))
@@ -263,7 +265,7 @@ def jaccard_groups(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     groups = connected_components(links.where("b is not null").select("a", "b"))
     own = (classes.select("cls", "rep", "copies").join(groups.withColumnRenamed("node", "cls"), "cls", "left")
            .withColumn("component", F.coalesce("component", "cls")))
-    first = own.groupBy("component").agg(F.min("rep").alias("group_rep"))
+    first = stored(own.groupBy("component").agg(F.min("rep").alias("group_rep")), "group-places")
     judged = (own.join(first, "component").join(counts, "cls", "left")
               .select("cls", "rep", "group_rep", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
     with_words = (signed.where("cls is not null").select("d", "t", "cls").join(judged, "cls")
@@ -283,8 +285,9 @@ def jaccard_join(docs: DataFrame, **options) -> DataFrame:
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one document of each group, all columns.  Rows equal in
-    doc_id and text are one document, so one of them stays; rows without words
-    are no copies of anything and all stay."""
+    doc_id and text are one document, so one of them stays (that whose other
+    columns are least as JSON); rows without words are no copies of anything and
+    all stay."""
     judged = stored(jaccard_groups(docs, **options), "judged")
     gone = judged.where("not kept").select(F.col("d").alias("_d"), F.col("t").alias("_t")).distinct()
     row = docs.select(*[k.alias(f"_{n}") for k, n in zip(row_keys(docs), "dt")], F.struct(*docs.columns).alias("row"))
@@ -293,6 +296,7 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     if twice.isEmpty():
         return left.select("row.*")
     words = F.length(F.trim(F.coalesce("row.text", F.lit("")), F.lit(" \t\n\x0b\x0c\r"))) > 0
-    single = left.where(words).groupBy("_d", "_t").agg(F.min(F.struct(
-        *[F.col(f"row.{c}").alias(c) for c in docs.columns])).alias("row"))
+    others = [F.col(f"row.{c}").alias(c) for c in docs.columns if c not in ("doc_id", "text")]
+    order = F.to_json(F.struct(*others)) if others else F.lit("")
+    single = left.where(words).groupBy("_d", "_t").agg(F.min_by("row", order).alias("row"))
     return single.select("row.*").unionAll(left.where(~words).select("row.*"))

@@ -2,24 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.  Only a local
-    session that has none gets one of its own; a cluster must name one."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="tapeworks-shared-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+from tapeworks.session import scratch_path
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -27,7 +14,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     is cut, several readers share one computation, and a lost executor costs
     a re-read only."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -257,7 +257,8 @@ def remove_repeats(docs: DataFrame, group: int = GROUP) -> DataFrame:
     survey = stored(docs.select("doc_id", *row_keys(docs), "text").mapInArrow(
         _survey, f"doc_id {kind}, d long, t long, n_words long, sha binary, at array<int>, g array<long>"), "survey")
     whole = survey.select("doc_id", "d", "t", "n_words", "sha")
-    first = whole.groupBy("sha").agg(F.min(F.struct("d", "t")).alias("rep"))
+    # Stored, so that the join shuffles both sides and a hot text's can be split.
+    first = stored(whole.groupBy("sha").agg(F.min(F.struct("d", "t")).alias("rep")), "first-texts")
 
     points = survey.select("t", F.explode(F.arrays_zip("at", "g")).alias("p")).select("t", "p.at", "p.g")
     place = F.xxhash64("t", "at")

@@ -185,7 +185,8 @@ def near_vectors(table: DataFrame, cosine: float = COSINE) -> DataFrame:
     groups = connected_components(links.where("b is not null").select("a", "b")).withColumnRenamed("node", "cls")
     own = (classes.select("cls", "copies", "first").join(groups, "cls", "left")
            .withColumn("component", F.coalesce("component", "cls")))
-    least = own.groupBy("component").agg(F.min("first").alias("component_id"))
+    # Stored, so that the join shuffles both sides and a hot component's can be split.
+    least = stored(own.groupBy("component").agg(F.min("first").alias("component_id")), "vector-components")
     judged = (own.join(least, "component").join(counts, "cls", "left")
               .select("cls", "component_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
     named = good.select("id", "cls").join(judged, "cls").select("id", "n_links", "component_id")

@@ -256,6 +256,14 @@ def test_jaccard_join(spark, tables):
     assert sorted(r.doc_id for r in jaccard.keep_one(plain).collect()) == sorted(set(groups.values()))
 
 
+def test_one_of_repeated_rows_stays_with_a_map_column(spark):
+    text = "five words and some more of them to compare"
+    rows = [(1, text, {"a": 2}), (1, text, {"a": 1}), (2, "quite another text that stands alone here", {}), (3, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, tags map<string,int>")
+    got = sorted((r.doc_id, r.tags) for r in jaccard.keep_one(df).collect())
+    assert got == [(1, {"a": 1}), (2, {}), (3, None)]
+
+
 def test_jaccard_blocks_and_buckets(spark, monkeypatch):
     rows = corpus(3, 12) + [(100 + i, " ".join(f"q{k}" if k != i else f"z{i}" for k in range(80)), "en", "s", 1) for i in range(40)]
     monkeypatch.setattr(jaccard, "BLOCK", 7)
