@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -64,19 +65,24 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="tapeworks-shared-")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables:
     ``spark.checkpoint.dir`` as the cluster names it.
 
-    A cluster that names none is refused.  Only a local session (tests, bench)
-    gets a folder of its own.
+    A cluster that names none is refused.  Only a local session (tests, bench),
+    whose tasks run on this machine, gets a folder of its own, one per process.
+    What a run writes there stays until the folder's owner clears it.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        configured = tempfile.mkdtemp(prefix="tapeworks-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
+        configured = _local_folder()
     return configured.rstrip("/")
 
 
