@@ -4,6 +4,7 @@ import contextlib
 import datetime as dt
 import io
 import math
+import re
 
 import duckdb
 import pytest
@@ -139,4 +140,4 @@ def test_timeline_documents_are_built_once(spark, queries):
     for name, scans, shuffles in (("transcript_contract", 4, 10), ("timeline_contracts", 4, 10), ("channel_events", 2, 6)):
         plan = _plan(queries[name](spark, SF_SMALL))
         assert plan.count("FileScan parquet") <= scans, name
-        assert plan.count("Exchange ") <= shuffles, name
+        assert len(re.findall(r"\bExchange ", plan)) <= shuffles, name  # broadcasts are no shuffles
