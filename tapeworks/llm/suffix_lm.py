@@ -1,41 +1,49 @@
-"""Language-model scoring with a probabilistic suffix tree (PST) over tokens.
+"""Language-model scoring with a probabilistic suffix tree (PST) over words.
 
 Documents whose crc32(doc_id as text) mod 10 is not 0 train, all are scored.  A
-text is lower-cased (A to Z); its tokens are its words and one end token.
+text is lower-cased (A to Z); its tokens are its words and one end token.  A
+start stands before the first token, as a context only.
 
 *Root.*  With c training occurrences of a token, N of all, V distinct ones:
 (c + 0.1) / (N + 0.1 (V + 1)), all tokens never seen being one event.  The base
 score uses the root alone.
 
-*Symbols.*  Words with a share of the training tokens of at least
-``SYMBOL_SHARE`` (at most 1 / SYMBOL_SHARE of them), the start and the end are
-symbols of their own; all other words are the symbol OTHER.
-
-*Contexts* are the up to ``DEPTH`` symbols before a token, cut at the start and
-at the nearest OTHER.  A context is retained if its share is at least
-``SYMBOL_SHARE`` and its next-symbol distribution diverges from that of its
-suffix: count times Kullback-Leibler divergence of at least ``MIN_GAIN`` nats
-plus one for every symbol seen after it (twice what chance gives); with it all
-its suffixes are retained.
-
-*Smoothing* (Witten-Bell).  After a context with n tokens of t symbols, a
-symbol seen m times has the probability (m + r P) / (n + t): P is its
-probability after the suffix, r what the listed m leave of n + t.  Symbols with
-a share of at least ``PAIR_SHARE`` after the context are listed.  OTHER's
-probability is divided among its tokens as in the root, so probabilities sum to
-1 in every state.  A token is scored in the state of the longest retained suffix
-of the symbols before it.
-
-All counts are over all training documents.  Words are counted by 64-bit hash;
-those with a share of at least ``COMMON_SHARE`` are looked up in a broadcast
-table, occurrences of all others are joined with their counts.  What is
-broadcast is bounded by the shares above whatever the corpus: 1 / COMMON_SHARE
-words, DEPTH / SYMBOL_SHARE contexts, DEPTH / PAIR_SHARE pairs.
+*Contexts* are the 1 to ``DEPTH`` tokens before a token, any words.  A symbol is
+listed after a context if it follows it at least ``MIN_COUNT`` times in training,
+a fixed number, so the tree grows with the corpus.  A context is retained if
+its listed symbols, and all others as one event, diverge from what its suffix
+gives them: count times Kullback-Leibler divergence of at least ``MIN_GAIN`` nats
+plus one for every listed symbol; with it all its suffixes are retained.
+
+*Smoothing* (absolute discounting).  After a context with n occurrences a listed
+symbol seen m times has the probability (m - d + r P) / n, any other r P / n: d
+is ``DISCOUNT``, P the probability after the context's suffix, r what the listed
+m - d leave of n.  Probabilities sum to 1 in every state.  A token is scored in
+the state of the longest retained suffix of the tokens before it.
+
+*How it is counted.*  All counts are over all training documents and exact.
+1. Words are counted by 64-bit hash.
+2. Pairs of tokens are counted in 2^``CELL_BITS`` cells; a bit per cell tells
+   whether it reaches ``MIN_COUNT``.  Only grams all of whose pairs lie in such
+   cells are sent to be counted by 64-bit hash.  The bits (8 MB whatever the
+   corpus) save shuffle alone; what a cell lets through is counted exactly.
+3. Retention and probabilities are joins of the gram table with itself.  The
+   score telescopes: every listed gram has one number, what it adds to the
+   state without it, and every retained context what an unlisted symbol loses,
+   so a text's gain is the sum of the numbers of the grams in it.
+4. Grams of the texts meet that table in a shuffled join, added up per text.
+
+Nothing that grows with the corpus is broadcast: words with a share of at least
+``COMMON_SHARE`` (at most 1 / COMMON_SHARE) are looked up in the task, all others
+go through the join of step 4.  The bits of step 4 mark the table's cells.
 
 Nulls and edge cases: a null text is empty: one token, the end.  A null doc_id
 counts as the empty id (crc32 0, held out).  Without training documents all
-counts are 0 and the root is all there is.  Repeated rows are counted and
-scored each by itself.  Extra columns are ignored.
+counts are 0 and the root is all there is; an empty table gives no rows.
+Repeated rows are counted and scored each by itself; rows of one text (told by
+64-bit hash) share its sums.  Ties can't matter: nothing is ranked.  Very long
+texts are one row each, hashed whole with a few arrays of 8 bytes a word.  Extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -47,18 +55,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapeworks.llm.shared import stored
-from tapeworks.llm.text import WordHasher, utf8_column
+from tapeworks.llm.shared import runs, stored
+from tapeworks.llm.text import WordHasher, mix, utf8_column
 
 DEPTH = 3
-BITS = 16  # of a symbol
-OTHER, START, END, FIRST = 0, 1, 2, 3
-SYMBOL_SHARE = 1e-4
-PAIR_SHARE = 1e-6
-COMMON_SHARE = 2e-6
+MIN_COUNT = 16
+DISCOUNT = 0.75
 MIN_GAIN = 10.0
+COMMON_SHARE = 2e-6
+CELL_BITS = 26
+BLOCK_BITS = 16
 CHUNK = 4_000_000
-MASK = (1 << BITS) - 1
+HELD = 1_000_000
+START, END = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def with_fold(docs: DataFrame) -> DataFrame:
@@ -101,130 +111,188 @@ def word_counts(training: DataFrame) -> DataFrame:
             .groupBy("word").agg(F.sum("n").alias("n")))
 
 
-def symbol_stream(words: list[np.ndarray], symbols: np.ndarray) -> np.ndarray:
-    """Symbols of texts (word hashes) one after another, each after a start and
-    before an end.  ``symbols``: the hashes of the words that are symbols."""
+def token_stream(words: list[np.ndarray]) -> np.ndarray:
+    """Texts (word hashes) one after another, each after a start and before an end."""
     size = np.array([len(w) for w in words])
-    every = np.concatenate(words)
-    found = np.full(len(every), OTHER, np.int64)
-    if len(symbols):
-        at = np.minimum(np.searchsorted(symbols, every), len(symbols) - 1)
-        found = np.where(symbols[at] == every, at + FIRST, OTHER)
-    out = np.empty(len(every) + 2 * len(words), np.int64)
+    out = np.empty(size.sum() + 2 * len(words), np.uint64)
     end = np.cumsum(size + 2) - 1
-    edge = np.zeros(len(out), bool)
-    edge[end] = edge[end - size - 1] = True
-    out[~edge] = found
+    inner = np.ones(len(out), bool)
+    inner[end] = inner[end - size - 1] = False
+    out[inner] = np.concatenate(words)
     out[end], out[end - size - 1] = END, START
     return out
 
 
-def histories(stream: np.ndarray) -> np.ndarray:
-    """Context of every place of the stream: the symbols before it, the nearest
-    in the lowest bits, 0 from the first OTHER or beyond the start."""
-    code = np.zeros(len(stream), np.int64)
-    going = np.ones(len(stream), bool)
-    for k in range(1, DEPTH + 1):
-        before = np.zeros(len(stream), np.int64)
-        before[k:] = stream[:-k]
-        going &= (before != OTHER) & (before != END)
-        code |= np.where(going, before, 0) << (BITS * (k - 1))
-        going &= before != START
-    return code
-
-
-def context_counts(training: DataFrame, symbols: np.ndarray) -> DataFrame:
-    """(c, x, n): training occurrences of a symbol after a full context, added
-    up per task first."""
+def grams(stream: np.ndarray, bits: np.ndarray | None = None, chained: bool = True,
+          longest: int = DEPTH + 1) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(k, places, key, context, suffix) of the k-grams of 2 to ``longest`` tokens
+    that lie within a text: the place of the last token; the keys of the gram,
+    of the gram without its last token and without its first one.
+
+    With ``bits``, only grams whose cell is set; if ``chained``, those all of
+    whose pairs are in such cells instead."""
+    inside, key = stream != START, stream
+    lies, pairs = np.ones(len(stream), bool), None
+    for k in range(2, longest + 1):
+        shorter = key
+        key = np.zeros(len(stream), np.uint64)
+        key[1:] = mix(shorter[:-1] * _STEP + stream[1:])
+        lies = inside & np.concatenate([[False], lies[:-1]])
+        if bits is None:
+            at = np.flatnonzero(lies)
+        elif not chained:
+            at = np.flatnonzero(lies)
+            at = at[marked(bits, key[at])]
+        else:
+            if pairs is None:
+                pairs = np.zeros(len(stream), bool)
+                at = np.flatnonzero(lies)
+                pairs[at] = marked(bits, key[at])
+            lies &= pairs
+            at = np.flatnonzero(lies)
+        yield k, at, key[at], shorter[at - 1], shorter[at]
+
+
+def marked(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    cell = keys >> np.uint64(64 - CELL_BITS)
+    return (bits[cell >> np.uint64(3)] >> (cell & np.uint64(7)).astype(np.uint8)) & 1 > 0
+
+
+def _cells(keys: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The cells of keys by block: cells within the block, counts up to 255."""
+    cell, n = np.unique((keys >> np.uint64(64 - CELL_BITS)).astype(np.int64), return_counts=True)
+    if not len(cell):
+        return
+    cut = runs(cell >> BLOCK_BITS)
+    low, n = cell.astype(np.uint16), np.minimum(n, 255).astype(np.uint8)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(cell[cut[:-1]] >> BLOCK_BITS, pa.int32()),
+         pa.array([low[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary()),
+         pa.array([n[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary())], ["block", "low", "n"])
+
+
+def cell_bits(cells: DataFrame, least: int) -> np.ndarray:
+    """A bit per cell, packed: whether its counts add up to ``least`` (up to 255).
+    Blocks of cells are added up in tasks; 8 MB of bits come back, whatever the
+    number of keys."""
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, low, n in zip(*(batch.column(c).to_pylist() for c in range(3))):
+                total = sums.setdefault(block, np.zeros(1 << BLOCK_BITS, np.uint8))
+                low = np.frombuffer(low, np.uint16)
+                total[low] = np.minimum(total[low].astype(np.uint16) + np.frombuffer(n, np.uint8), 255)
+        for block, total in sums.items():
+            packed = np.packbits(total >= least, bitorder="little").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([packed], pa.binary())], ["block", "bits"])
+
+    out = np.zeros((1 << (CELL_BITS - BLOCK_BITS), 1 << (BLOCK_BITS - 3)), np.uint8)
+    table = cells.repartition("block").mapInArrow(add, "block int, bits binary").toArrow()
+    for block, packed in zip(table.column(0).to_pylist(), table.column(1).to_pylist()):
+        out[block] = np.frombuffer(packed, np.uint8)
+    return out.reshape(-1)
+
+
+CELLS = "block int, low binary, n binary"
+
+
+def pair_cells(training: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
-        held = np.empty(0, np.uint64), np.empty(0, np.int64)
+        for _, texts in chunks(batches):
+            (_, _, keys, _, _), = grams(token_stream([hasher(x) for x in texts]), longest=2)
+            yield from _cells(keys)
+
+    return training.select("text").mapInArrow(count, CELLS)
+
+
+def key_cells(table: DataFrame) -> DataFrame:
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from _cells(batch.column(0).to_numpy().view(np.uint64))
 
-        def send():
-            yield from _send(c=(held[0] >> np.uint64(BITS)).view(np.int64),
-                             x=(held[0] & np.uint64(MASK)).astype(np.int64), n=held[1])
+    return table.select("key").mapInArrow(mark, CELLS)
 
+
+def gram_counts(training: DataFrame, bits: np.ndarray) -> DataFrame:
+    """(key, k, context, suffix, m): the grams of 2 to DEPTH + 1 tokens with at
+    least ``MIN_COUNT`` training occurrences, added up per task first."""
+    shared = training.sparkSession.sparkContext.broadcast(bits)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, names = WordHasher(), ("key", "k", "context", "suffix", "m")
+        held: list[list[np.ndarray]] = [[np.empty(0, np.int64)] for _ in names]
         for _, texts in chunks(batches):
-            stream = symbol_stream([hasher(x) for x in texts], symbols)
-            code = (histories(stream) << BITS | stream)[stream != START].view(np.uint64)
-            code, n = np.unique(code, return_counts=True)
-            code, row = np.unique(np.concatenate([held[0], code]), return_inverse=True)
-            held = code, np.bincount(row, np.concatenate([held[1], n])).astype(np.int64)
-            if len(code) > CHUNK:
-                yield from send()
-                held = held[0][:0], held[1][:0]
-        yield from send()
-
-    return (training.select("text").mapInArrow(count, "c long, x long, n long")
-            .groupBy("c", "x").agg(F.sum("n").alias("n")))
-
-
-def retained(counts: DataFrame, tokens: int, min_gain: float) -> tuple[pa.Table, pa.Table]:
-    """The retained contexts (k, c, n, t) and their listed symbols (k, c, x, m).
-    Contexts are counted, tested and chosen by Spark."""
-    last = lambda k: F.col("c").bitwiseAND((1 << BITS * k) - 1)
-    per_length = F.filter(F.array(*[F.struct(F.lit(k).alias("k"), last(k).alias("c")) for k in range(DEPTH + 1)]),
-                          # The k-th symbol before is there, so the context is that long.
-                          lambda s: (s["k"] == 0) | (s["c"] >= F.pow(F.lit(2.0), BITS * (s["k"] - 1))))
-    nodes = stored(counts.select(F.explode(per_length).alias("s"), "x", "n").groupBy("s.k", "s.c", "x")
-                   .agg(F.sum("n").alias("m")), "contexts")
-    sums = (nodes.groupBy("k", "c").agg(F.sum("m").alias("n"), F.count("*").alias("t"))
-            .where((F.col("k") == 0) | (F.col("n") >= max(1.0, SYMBOL_SHARE * tokens))))
-    held = nodes.join(sums, ["k", "c"])
-    parent = held.select((F.col("k") + 1).alias("k"), F.col("c").alias("p"), "x", (F.col("m") / F.col("n")).alias("q"))
-    cut = F.expr(f"c & (shiftleft(1L, {BITS} * (k - 1)) - 1)")
-    gain = F.sum(F.col("m") * F.log(F.col("m") / F.col("n") / F.col("q")))
-    chosen = (held.where("k > 0").withColumn("p", cut).join(parent, ["k", "p", "x"])
-              .groupBy("k", "c").agg(gain.alias("gain"), F.first("t").alias("t"))
-              .where(F.col("gain") >= min_gain + F.col("t")))
-    closed = stored(chosen.select("c", F.explode(F.sequence(F.lit(1), "k")).alias("k"))
-                    .select("k", F.expr(f"c & (shiftleft(1L, {BITS} * k) - 1)").alias("c")).distinct(), "retained")
-    listed = nodes.where(F.col("m") >= max(1.0, PAIR_SHARE * tokens)).join(closed, ["k", "c"])
-    return sums.join(closed, ["k", "c"]).toArrow(), listed.select("k", "c", "x", "m").toArrow()
+            for k, _, key, context, suffix in grams(token_stream([hasher(x) for x in texts]), shared.value):
+                key, at, m = np.unique(key, return_index=True, return_counts=True)
+                found = key.view(np.int64), np.full(len(key), k), context[at].view(np.int64), suffix[at].view(np.int64), m
+                for c, v in zip(held, found):
+                    c.append(v)
+            if sum(map(len, held[0])) > HELD:
+                held = [[c] for c in _added(held)]
+                if len(held[0][0]) > HELD // 2:
+                    yield from _send(**{c: v[0] for c, v in zip(names, held)})
+                    held = [[v[0][:0]] for v in held]
+        yield from _send(**dict(zip(names, _added(held))))
+
+    return (training.select("text").mapInArrow(count, "key long, k long, context long, suffix long, m long")
+            .groupBy("key").agg(F.first("k").alias("k"), F.first("context").alias("context"),
+                                F.first("suffix").alias("suffix"), F.sum("m").alias("m"))
+            .where(F.col("m") >= MIN_COUNT))
+
+
+def _added(held: list[list[np.ndarray]]) -> list[np.ndarray]:
+    key, *rest, m = [np.concatenate(c) for c in held]
+    key, at, row = np.unique(key, return_index=True, return_inverse=True)
+    return [key, *(c[at] for c in rest), np.bincount(row, m, len(key)).astype(np.int64)]
 
 
 class SuffixTree:
-    """Gains log10 P(symbol | state) / P(symbol | root) of the retained contexts.
+    """The retained contexts and what they give, as stored tables.
 
-    Per length: the contexts (ascending), what a symbol that isn't listed gains
-    over the shorter context, and the listed pairs (context, symbol) with their
-    whole gains.
+    ``contexts``: (context, length, n, r); ``symbols``: (key, k, context, p), the
+    listed grams with the probability of their last token; ``gains``: (key, gain),
+    what every occurrence of a gram adds to a text's log10 probability.
     """
 
-    def __init__(self, root: np.ndarray, contexts: pa.Table, listed: pa.Table):
-        self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
-        col = lambda t, c: t.column(c).to_numpy().astype(np.int64)
-        ck, pk = col(contexts, "k"), col(listed, "k")
-        for k in range(1, DEPTH + 1):
-            c, at = np.unique(col(contexts, "c")[ck == k], return_index=True)
-            n, t = col(contexts, "n")[ck == k][at], col(contexts, "t")[ck == k][at]
-            pair = col(listed, "c")[pk == k] << BITS | col(listed, "x")[pk == k]
-            order = np.argsort(pair)
-            pair, m = pair[order], col(listed, "m")[pk == k][order]
-            of, x = np.searchsorted(c, pair >> BITS), pair & MASK
-            rest = n + t - np.bincount(of, m, len(c))
-            below = 10 ** self.gain(pair >> BITS & ((1 << BITS * (k - 1)) - 1), x) * root[x]
-            value = np.log10((m + rest[of] * below) / (n + t)[of] / root[x])
-            self.levels.append((c, np.log10(rest / (n + t)), pair, value))
-
-    def gain(self, history: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-        """Gain of each symbol after its history, in the longest retained state."""
-        out = np.zeros(len(symbol))
-        for k, (contexts, left, pairs, value) in enumerate(self.levels, 1):
-            if not len(contexts):
-                break
-            c = history & ((1 << BITS * k) - 1)
-            at = np.minimum(np.searchsorted(contexts, c), len(contexts) - 1)
-            hit = np.flatnonzero(contexts[at] == c)
-            if not len(hit):
-                continue
-            out[hit] += left[at[hit]]
-            if len(pairs):
-                key = c[hit] << BITS | symbol[hit]
-                at = np.minimum(np.searchsorted(pairs, key), len(pairs) - 1)
-                listed = pairs[at] == key
-                out[hit[listed]] = value[at[listed]]
-        return out
+    def __init__(self, found: DataFrame, words: DataFrame, tokens: int, size: float, min_gain: float):
+        # Counts of all grams of one token or more: those of contexts and suffixes.
+        single = words.select(F.col("word").alias("key"), F.col("n").alias("m"))
+        every = single.unionAll(found.select("key", "m"))
+        listed = stored(found.join(every.select(F.col("key").alias("context"), F.col("m").alias("n")), "context"), "listed")
+        share = (single.select(F.col("key").alias("suffix"), (F.col("m") / max(tokens, 1)).alias("q"))
+                 .unionAll(listed.select(F.col("key").alias("suffix"), (F.col("m") / F.col("n")).alias("q"))))
+        lost = F.col("n") - F.col("s")
+        rest = F.when(lost > 0, lost * F.log(lost / F.col("n") / F.greatest(1 - F.col("sq"), F.lit(1e-12)))).otherwise(0.0)
+        tested = stored(
+            listed.join(share, "suffix").groupBy("context")
+            .agg((F.first("k") - 1).alias("length"), F.first("n").alias("n"), F.count("*").alias("t"),
+                 F.sum("m").alias("s"), F.sum("q").alias("sq"),
+                 F.sum(F.col("m") * F.log(F.col("m") / F.col("n") / F.col("q"))).alias("gain"))
+            .select("context", "length", "n", (lost + DISCOUNT * F.col("t")).alias("r"),
+                    (F.col("gain") + rest >= min_gain + F.col("t")).alias("chosen")), "tested")
+        kept, longer = [], None
+        for length in range(DEPTH, 0, -1):
+            own = tested.where(F.col("chosen") & (F.col("length") == length)).select("context")
+            if longer is not None:  # with a context all its suffixes
+                own = own.unionAll(longer.join(found, longer["context"] == found["key"])
+                                   .select(F.col("suffix").alias("context"))).distinct()
+            longer = stored(own, "retained")
+            kept.append(longer)
+        self.contexts = stored(tested.drop("chosen").join(kept[0].unionAll(kept[1]).unionAll(kept[2]), "context"), "contexts")
+        lower = single.select(F.col("key").alias("suffix"), ((F.col("m") + 0.1) / size).alias("low"))
+        steps = []
+        for k in range(2, DEPTH + 2):
+            step = (listed.where(F.col("k") == k).select("key", "k", "context", "suffix", "m")
+                    .join(self.contexts.select("context", "n", "r"), "context").join(lower, "suffix")
+                    .withColumn("p", (F.col("m") - DISCOUNT + F.col("r") * F.col("low")) / F.col("n")))
+            steps.append(stored(step.select("key", "k", "context", "p", (F.log10(F.col("p") / F.col("low"))
+                                            - F.log10(F.col("r") / F.col("n"))).alias("gain")), "symbols"))
+            lower = steps[-1].select(F.col("key").alias("suffix"), F.col("p").alias("low"))
+        self.symbols = steps[0].unionAll(steps[1]).unionAll(steps[2])
+        left = self.contexts.select(F.col("context").alias("key"), F.log10(F.col("r") / F.col("n")).alias("gain"))
+        self.gains = stored(self.symbols.select("key", "gain").unionAll(left)
+                            .groupBy("key").agg(F.sum("gain").alias("gain")), "gains")
 
 
 def score_documents(docs: DataFrame, min_gain: float = MIN_GAIN) -> DataFrame:
@@ -237,49 +305,74 @@ def score_documents(docs: DataFrame, min_gain: float = MIN_GAIN) -> DataFrame:
     sums = words.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     n, v = (sums.n or 0) + ends, sums.v + (ends > 0)
     size = n + 0.1 * (v + 1)
-    common = words.where(F.col("n") >= max(1.0, COMMON_SHARE * n)).toArrow()
+    bits = cell_bits(pair_cells(training), MIN_COUNT)
+    found = stored(gram_counts(training, bits), "grams")
+    edges = spark.createDataFrame([(int(x.view(np.int64)), ends) for x in (START, END)], "word long, n long")
+    tree = SuffixTree(found, words.unionAll(edges), n, size, min_gain)
+    known_words = words.join(tree.gains.withColumnRenamed("key", "word"), "word", "left")
+    # (key, n, gain): words not looked up in the task, and grams.
+    gram_gains = tree.gains.join(words.withColumnRenamed("word", "key"), "key", "left_anti")
+    least = max(1.0, COMMON_SHARE * n)
+    rare = stored(known_words.where(F.col("n") < least).select(F.col("word").alias("key"), "n", "gain")
+                  .unionAll(gram_gains.select("key", F.lit(None).cast("long"), "gain")), "gains-by-key")
+    common = known_words.where(F.col("n") >= least).toArrow()
     known = common.column("word").to_numpy().view(np.uint64)
     order = np.argsort(known)
     known, times = known[order], common.column("n").to_numpy()[order]
-    is_symbol = times >= SYMBOL_SHARE * n
-    symbols = known[is_symbol]
-    root = np.ones(FIRST + len(symbols))
-    root[END], root[FIRST:] = (ends + 0.1) / size, (times[is_symbol] + 0.1) / size
-    root[OTHER] = max(1 - root[END] - root[FIRST:].sum(), 0.1 / size)
-    tree = SuffixTree(root, *retained(context_counts(training, symbols), n, min_gain))
-    shared = spark.sparkContext.broadcast((known, times, symbols, tree.levels))
+    word_gain = np.nan_to_num(common.column("gain").to_numpy().astype(float)[order])
+    first = tree.gains.where(F.col("key") == int(START.view(np.int64))).first()
+    at_start = first.gain if first else 0.0
+    shared = spark.sparkContext.broadcast((known, times, word_gain, cell_bits(key_cells(gram_gains), 1)))
+
+    def look_up(every: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(known):
+            return np.zeros(len(every), np.int64), np.zeros(len(every), bool)
+        at = np.minimum(np.searchsorted(known, every), len(known) - 1)
+        return at, known[at] == every
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, times, symbols, levels = shared.value
-        hasher, tree = WordHasher(), SuffixTree.__new__(SuffixTree)
-        tree.levels = levels
-        names = ["doc_id", "held_out", "n_tokens", "known", "base", "gain", "rare"]
+        known, times, word_gain, _ = shared.value
+        hasher, logs = WordHasher(), np.log10(times + 0.1)
         for part, texts in chunks(batches):
             words = [hasher(x) for x in texts]
             count, rows = np.array([len(w) for w in words]), len(words)
-            stream = symbol_stream(words, symbols)
-            history = histories(stream)
-            told = np.flatnonzero((history != 0) & (stream != START))
-            gain = np.bincount(np.repeat(np.arange(rows), count + 2)[told],
-                               tree.gain(history[told], stream[told]), rows)
-            every, of = np.concatenate(words), np.repeat(np.arange(rows), count)
-            at = np.minimum(np.searchsorted(known, every), max(len(known) - 1, 0))
-            hit = known[at] == every if len(known) else np.zeros(len(every), bool)
-            base = np.bincount(of[hit], np.log10(times[at[hit]] + 0.1), rows) + np.log10(ends + 0.1)
-            left = np.concatenate([[0], np.cumsum(np.bincount(of[~hit], minlength=rows))]).astype(np.int32)
+            at, hit = look_up(np.concatenate(words), known)
+            of, at = np.repeat(np.arange(rows), count)[hit], at[hit]
+            hits = np.bincount(of, minlength=rows)
+            base = np.bincount(of, logs[at], rows) + (count - hits) * np.log10(0.1) + np.log10(ends + 0.1)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("held_out"), pa.array(count + 1, pa.int64()),
-                 pa.array(np.bincount(of[hit], minlength=rows), pa.int64()), pa.array(base), pa.array(gain),
-                 pa.ListArray.from_arrays(left, every[~hit].view(np.int64))], names)
+                [part.column("doc_id"), part.column("held_out"), part.column("row"), pa.array(count + 1, pa.int64()),
+                 pa.array(hits, pa.int64()), pa.array(base), pa.array(np.bincount(of, word_gain[at], rows) + at_start)],
+                ["doc_id", "held_out", "row", "n_tokens", "known", "base", "gain"])
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, _, _, bits = shared.value
+        hasher = WordHasher()
+        for part, texts in chunks(batches):
+            words = [hasher(x) for x in texts]
+            row = part.column("row").to_numpy()
+            stream = token_stream(words)
+            of = np.repeat(row, [len(w) + 2 for w in words])
+            for _, at, key, _, _ in grams(stream, bits, chained=False):
+                yield from _send(row=of[at], key=key.view(np.int64))
+            inner = np.flatnonzero((stream != START) & (stream != END))
+            inner = inner[~look_up(stream[inner], known)[1]]
+            yield from _send(row=of[inner], key=stream[inner].view(np.int64))
 
     kind = dict(docs.dtypes)["doc_id"]
-    scored = folded.mapInArrow(score, f"doc_id {kind}, held_out boolean, n_tokens long, known long, base double, "
-                                      "gain double, rare array<long>")
-    scored = stored(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
-    rare = (scored.select("row", F.explode("rare").alias("word")).join(words, "word", "left").groupBy("row")
-            .agg(F.count("n").alias("more_known"), F.sum(F.log10(F.coalesce("n", F.lit(0)) + 0.1)).alias("more")))
-    base = F.col("base") + F.coalesce("more", F.lit(0.0)) - F.col("n_tokens") * float(np.log10(size))
-    return scored.join(rare, "row", "left").select(
+    rows = folded.withColumn("row", F.xxhash64("text"))
+    scored = stored(rows.mapInArrow(score, f"doc_id {kind}, held_out boolean, row long, n_tokens long, known long, "
+                                           "base double, gain double"), "scored")
+    more = (rows.select("row", "text").mapInArrow(places, "row long, key long").join(rare, "key").groupBy("row")
+            .agg(F.count("n").alias("more_known"), F.sum(F.log10(F.col("n") + 0.1) - F.log10(F.lit(0.1))).alias("more"),
+                 F.sum("gain").alias("more_gain")))
+    # Rows of one text have added to one sum.
+    copies = scored.groupBy("row").agg(F.count("*").alias("copies"))
+    each = stored(more.join(copies, "row"), "text-sums")
+    part = lambda c: F.coalesce(F.col(c) / F.col("copies"), F.lit(0.0))
+    base = F.col("base") + part("more") - F.col("n_tokens") * float(np.log10(size))
+    return scored.join(each, "row", "left").select(
         "doc_id", "held_out", "n_tokens",
-        (F.col("known") + F.coalesce("more_known", F.lit(0)) + int(ends > 0)).alias("n_known"),
-        F.lit(n).cast("long").alias("train_tokens"), base.alias("base_score"), (base + F.col("gain")).alias("score"))
+        (F.col("known") + part("more_known").cast("long") + int(ends > 0)).alias("n_known"),
+        F.lit(n).cast("long").alias("train_tokens"), base.alias("base_score"),
+        (base + F.col("gain") + part("more_gain")).alias("score"))

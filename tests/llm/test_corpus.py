@@ -208,31 +208,104 @@ def test_language_model(spark, tables):
     assert suffix_lm.score_documents(tables[2]).count() == 0
 
 
-def test_tree_states_sum_to_one_and_find_structure(spark, monkeypatch):
+def chain_rows(docs: int = 200) -> list[tuple]:
     rng = random.Random(4)
-    follow = {"the": "cat", "cat": "sat", "sat": "down", "down": "the", "a": "dog", "dog": "ran", "ran": "a"}
+    follow = {"the": "cat", "cat": "sat", "sat": "down", "down": "the", "a": "cat", "dog": "ran", "ran": "a"}
     rows = []
-    for i in range(200):
-        w = [rng.choice(list(follow))]
+    for i in range(docs):
+        w = [rng.choice(["the", "a"])]
         for _ in range(60):
-            w.append(follow[w[-1]] if rng.random() < 0.9 else rng.choice(list(follow)))
+            after = follow.get(w[-1], "dog")
+            if w[-3:] == ["a", "cat", "sat"]:  # three words decide
+                after = "ran"
+            w.append(after if rng.random() < 0.9 else rng.choice([*follow, f"rare{rng.randint(0, 400)}"]))
         rows.append((i, " ".join(w)))
-    monkeypatch.setattr(suffix_lm, "PAIR_SHARE", 1e-3)
+    return rows + [(docs, rows[3][1]), (docs, rows[3][1]), (docs + 1, None), (docs + 2, "")]
+
+
+class BruteTree:
+    """The tree of the method, by dictionaries over all contexts."""
+
+    def __init__(self, texts: list[list[str]], min_count: int, min_gain: float, d: float, depth: int = 3):
+        self.follow, self.d, self.depth = {}, d, depth
+        for w in texts:
+            w = ["<s>", *w, "</s>"]
+            for i in range(1, len(w)):
+                for k in range(0, min(depth, i) + 1):
+                    self.follow.setdefault(tuple(w[i - k:i]), Counter())[w[i]] += 1
+        self.n = {c: sum(f.values()) for c, f in self.follow.items()}
+        self.size = self.n[()] + 0.1 * (len(self.follow[()]) + 1)
+        self.listed = {c: {x: m for x, m in f.items() if m >= min_count} for c, f in self.follow.items() if c}
+        self.kept = set()
+        for c, f in self.listed.items():
+            if f:
+                q = {x: self.follow[c[1:]][x] / self.n[c[1:]] for x in f}
+                gain = sum(m * math.log(m / self.n[c] / q[x]) for x, m in f.items())
+                lost = self.n[c] - sum(f.values())
+                if lost:
+                    gain += lost * math.log(lost / self.n[c] / max(1 - sum(q.values()), 1e-12))
+                if gain >= min_gain + len(f):
+                    self.kept |= {c[k:] for k in range(len(c))}
+
+    def p(self, c: tuple, x: str) -> float:
+        if not c:
+            return (self.follow[()][x] + 0.1) / self.size
+        f = self.listed[c]
+        r = self.n[c] - sum(m - self.d for m in f.values())
+        return (max(f.get(x, 0) - self.d, 0) + r * self.p(c[1:], x)) / self.n[c]
+
+    def score(self, words: list[str]) -> float:
+        w, total = ["<s>", *words, "</s>"], 0.0
+        for i in range(1, len(w)):
+            c = next(c for k in range(min(self.depth, i), -1, -1) if (c := tuple(w[i - k:i])) in self.kept or not c)
+            total += math.log10(self.p(c, w[i]))
+        return total
+
+
+def test_scores_equal_a_brute_force_tree(spark):
+    held = lambda i: zlib.crc32(str(i).encode()) % 10 == 0
+    rows = chain_rows()
+    tree = BruteTree([(t or "").split() for i, t in rows if not held(i)], suffix_lm.MIN_COUNT, suffix_lm.MIN_GAIN, suffix_lm.DISCOUNT)
+    assert {len(c) for c in tree.kept} == {1, 2, 3} and ("<s>",) in tree.kept
+    got = suffix_lm.score_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    want = sorted((i, tree.score((t or "").split())) for i, t in rows)
+    have = sorted((r.doc_id, r.score) for r in got)
+    assert [x[0] for x in have] == [x[0] for x in want]
+    assert [x[1] for x in have] == pytest.approx([x[1] for x in want])
+    tested = [r for r in got if r.held_out]
+    assert tested and sum(r.score for r in tested) > 0.6 * sum(r.base_score for r in tested)
+    for c in tree.kept:  # probabilities sum to 1: every seen token and one for all others
+        seen = tree.follow[()]
+        assert sum(tree.p(c, x) for x in seen) + tree.p(c, "never seen") == pytest.approx(1)
+
+
+def test_tables_of_the_tree_equal_brute_force(spark, monkeypatch):
+    rows = chain_rows(90)
+    monkeypatch.setattr(suffix_lm, "COMMON_SHARE", 0.2)  # nearly all words go through the join
     built = []
     plain = suffix_lm.SuffixTree.__init__
-    monkeypatch.setattr(suffix_lm.SuffixTree, "__init__", lambda self, root, *a: (plain(self, root, *a), built.append((self, root)))[0])
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = suffix_lm.score_documents(df).collect()
-    (tree, root), = built
-    assert sum(len(level[0]) for level in tree.levels) >= 7
-    symbols = np.array([s for s in range(len(root)) if s != suffix_lm.START])
-    assert root[symbols].sum() == pytest.approx(1)
-    for contexts, *_ in tree.levels:
-        for c in contexts.tolist():
-            p = root[symbols] * 10 ** tree.gain(np.full(len(symbols), c), symbols)
-            assert p.sum() == pytest.approx(1)
-    held = [r for r in got if r.held_out]
-    assert held and sum(r.score for r in held) > 0.6 * sum(r.base_score for r in held)
+    monkeypatch.setattr(suffix_lm.SuffixTree, "__init__", lambda self, *a: (plain(self, *a), built.append(self))[0])
+    held = lambda i: zlib.crc32(str(i).encode()) % 10 == 0
+    texts = [(t or "").split() for i, t in rows if not held(i)]
+    got = suffix_lm.score_documents(spark.createDataFrame(rows, "doc_id long, text string"), min_gain=2.0).collect()
+    want = BruteTree(texts, suffix_lm.MIN_COUNT, 2.0, suffix_lm.DISCOUNT)
+    (tree,) = built
+    assert Counter(r["length"] for r in tree.contexts.collect()) == Counter(map(len, want.kept))
+    assert sorted(r.p for r in tree.symbols.collect()) == pytest.approx(
+        sorted(want.p(c, x) for c in want.kept for x in want.listed[c]))
+    assert sorted(r.score for r in got) == pytest.approx(sorted(want.score((t or "").split()) for _, t in rows))
+
+
+def test_contexts_grow_with_the_corpus(spark, monkeypatch):
+    counted = []
+    plain = suffix_lm.SuffixTree.__init__
+    monkeypatch.setattr(suffix_lm.SuffixTree, "__init__",
+                        lambda self, *a: (plain(self, *a), counted.append(self.contexts.count()))[0])
+    rng = random.Random(9)
+    for docs in (40, 400):
+        rows = [(i, " ".join(f"x{rng.randint(0, 9 * docs)} t{i // 20}a t{i // 20}b t{i // 20}c" for _ in range(3))) for i in range(docs)]
+        suffix_lm.score_documents(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert counted[1] > 3 * counted[0] > 0
 
 
 # --- vectors of any magnitude -----------------------------------------------------
