@@ -23,10 +23,11 @@ the state of the longest retained suffix of the tokens before it.
 
 *How it is counted.*  All counts are over all training documents and exact.
 1. Words are counted by 64-bit hash.
-2. Pairs of tokens are counted in 2^``CELL_BITS`` cells; a bit per cell tells
-   whether it reaches ``MIN_COUNT``.  Only grams all of whose pairs lie in such
-   cells are sent to be counted by 64-bit hash.  The bits (8 MB whatever the
-   corpus) save shuffle alone; what a cell lets through is counted exactly.
+2. Pairs of tokens are counted by 64-bit hash.  Those with ``MIN_COUNT`` mark
+   their cells of 2^``CELL_BITS``; only grams all of whose pairs lie in marked cells
+   are sent, with the keys of context and suffix, to be counted in their turn.
+   The bits (16 MB whatever the corpus) save shuffle alone; what a cell lets
+   through is counted exactly.
 3. Retention and probabilities are joins of the gram table with itself.  The
    score telescopes: every listed gram has one number, what it adds to the
    state without it, and every retained context what an unlisted symbol loses,
@@ -63,10 +64,11 @@ MIN_COUNT = 16
 DISCOUNT = 0.75
 MIN_GAIN = 10.0
 COMMON_SHARE = 2e-6
-CELL_BITS = 26
+CELL_BITS = 27
 BLOCK_BITS = 16
 CHUNK = 4_000_000
 HELD = 1_000_000
+HELD_PAIRS = 2_500_000
 START, END = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -159,51 +161,55 @@ def marked(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def _cells(keys: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """The cells of keys by block: cells within the block, counts up to 255."""
-    cell, n = np.unique((keys >> np.uint64(64 - CELL_BITS)).astype(np.int64), return_counts=True)
+    """The cells of keys by block, as places within the block."""
+    cell = np.unique((keys >> np.uint64(64 - CELL_BITS)).astype(np.int64))
     if not len(cell):
         return
-    cut = runs(cell >> BLOCK_BITS)
-    low, n = cell.astype(np.uint16), np.minimum(n, 255).astype(np.uint8)
+    cut, low = runs(cell >> BLOCK_BITS), cell.astype(np.uint16)
     yield pa.RecordBatch.from_arrays(
         [pa.array(cell[cut[:-1]] >> BLOCK_BITS, pa.int32()),
-         pa.array([low[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary()),
-         pa.array([n[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary())], ["block", "low", "n"])
+         pa.array([low[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary())], ["block", "low"])
 
 
-def cell_bits(cells: DataFrame, least: int) -> np.ndarray:
-    """A bit per cell, packed: whether its counts add up to ``least`` (up to 255).
-    Blocks of cells are added up in tasks; 8 MB of bits come back, whatever the
+def cell_bits(table: DataFrame) -> np.ndarray:
+    """A bit per cell, packed: whether a ``key`` of the table lies in it.  Blocks
+    of cells are put together in tasks; 16 MB of bits come back, whatever the
     number of keys."""
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
+        found: dict[int, np.ndarray] = {}
         for batch in batches:
-            for block, low, n in zip(*(batch.column(c).to_pylist() for c in range(3))):
-                total = sums.setdefault(block, np.zeros(1 << BLOCK_BITS, np.uint8))
+            for block, low in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                packed = found.setdefault(block, np.zeros(1 << (BLOCK_BITS - 3), np.uint8))
                 low = np.frombuffer(low, np.uint16)
-                total[low] = np.minimum(total[low].astype(np.uint16) + np.frombuffer(n, np.uint8), 255)
-        for block, total in sums.items():
-            packed = np.packbits(total >= least, bitorder="little").tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([packed], pa.binary())], ["block", "bits"])
+                np.bitwise_or.at(packed, low >> 3, np.left_shift(np.uint8(1), (low & 7).astype(np.uint8)))
+        for block, packed in found.items():
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([packed.tobytes()], pa.binary())], ["block", "bits"])
 
     out = np.zeros((1 << (CELL_BITS - BLOCK_BITS), 1 << (BLOCK_BITS - 3)), np.uint8)
-    table = cells.repartition("block").mapInArrow(add, "block int, bits binary").toArrow()
-    for block, packed in zip(table.column(0).to_pylist(), table.column(1).to_pylist()):
+    blocks = key_cells(table).repartition("block").mapInArrow(add, "block int, bits binary").toArrow()
+    for block, packed in zip(blocks.column(0).to_pylist(), blocks.column(1).to_pylist()):
         out[block] = np.frombuffer(packed, np.uint8)
     return out.reshape(-1)
 
 
-CELLS = "block int, low binary, n binary"
-
-
-def pair_cells(training: DataFrame) -> DataFrame:
+def pair_counts(training: DataFrame) -> DataFrame:
+    """(key): pairs of tokens with ``MIN_COUNT`` training occurrences, added up per
+    task first."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher()
+        hasher, held = WordHasher(), [[np.empty(0, np.int64)], [np.empty(0, np.int64)]]
         for _, texts in chunks(batches):
-            (_, _, keys, _, _), = grams(token_stream([hasher(x) for x in texts]), longest=2)
-            yield from _cells(keys)
+            (_, _, key, _, _), = grams(token_stream([hasher(x) for x in texts]), longest=2)
+            key, m = np.unique(key.view(np.int64), return_counts=True)
+            held[0].append(key)
+            held[1].append(m)
+            held = [[c] for c in _added(held)]
+            if len(held[0][0]) > HELD_PAIRS:
+                yield from _send(key=held[0][0], m=held[1][0])
+                held = [[c[0][:0]] for c in held]
+        yield from _send(key=held[0][-1], m=held[1][-1])
 
-    return training.select("text").mapInArrow(count, CELLS)
+    return (training.select("text").mapInArrow(count, "key long, m long").groupBy("key").agg(F.sum("m").alias("m"))
+            .where(F.col("m") >= MIN_COUNT).select("key"))
 
 
 def key_cells(table: DataFrame) -> DataFrame:
@@ -211,7 +217,7 @@ def key_cells(table: DataFrame) -> DataFrame:
         for batch in batches:
             yield from _cells(batch.column(0).to_numpy().view(np.uint64))
 
-    return table.select("key").mapInArrow(mark, CELLS)
+    return table.select("key").mapInArrow(mark, "block int, low binary")
 
 
 def gram_counts(training: DataFrame, bits: np.ndarray) -> DataFrame:
@@ -305,7 +311,7 @@ def score_documents(docs: DataFrame, min_gain: float = MIN_GAIN) -> DataFrame:
     sums = words.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     n, v = (sums.n or 0) + ends, sums.v + (ends > 0)
     size = n + 0.1 * (v + 1)
-    bits = cell_bits(pair_cells(training), MIN_COUNT)
+    bits = cell_bits(pair_counts(training))
     found = stored(gram_counts(training, bits), "grams")
     edges = spark.createDataFrame([(int(x.view(np.int64)), ends) for x in (START, END)], "word long, n long")
     tree = SuffixTree(found, words.unionAll(edges), n, size, min_gain)
@@ -322,7 +328,7 @@ def score_documents(docs: DataFrame, min_gain: float = MIN_GAIN) -> DataFrame:
     word_gain = np.nan_to_num(common.column("gain").to_numpy().astype(float)[order])
     first = tree.gains.where(F.col("key") == int(START.view(np.int64))).first()
     at_start = first.gain if first else 0.0
-    shared = spark.sparkContext.broadcast((known, times, word_gain, cell_bits(key_cells(gram_gains), 1)))
+    shared = spark.sparkContext.broadcast((known, times, word_gain, cell_bits(gram_gains)))
 
     def look_up(every: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(known):
