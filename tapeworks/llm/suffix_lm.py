@@ -67,8 +67,7 @@ COMMON_SHARE = 2e-6
 CELL_BITS = 27
 BLOCK_BITS = 16
 CHUNK = 4_000_000
-HELD = 1_000_000
-HELD_PAIRS = 2_500_000
+HELD = 600_000  # grams or pairs that a task adds up before it sends them
 START, END = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -203,7 +202,7 @@ def pair_counts(training: DataFrame) -> DataFrame:
             held[0].append(key)
             held[1].append(m)
             held = [[c] for c in _added(held)]
-            if len(held[0][0]) > HELD_PAIRS:
+            if len(held[0][0]) > HELD:
                 yield from _send(key=held[0][0], m=held[1][0])
                 held = [[c[0][:0]] for c in held]
         yield from _send(key=held[0][-1], m=held[1][-1])
@@ -248,9 +247,14 @@ def gram_counts(training: DataFrame, bits: np.ndarray) -> DataFrame:
 
 
 def _added(held: list[list[np.ndarray]]) -> list[np.ndarray]:
-    key, *rest, m = [np.concatenate(c) for c in held]
-    key, at, row = np.unique(key, return_index=True, return_inverse=True)
-    return [key, *(c[at] for c in rest), np.bincount(row, m, len(key)).astype(np.int64)]
+    """Columns with equal keys (first column) added up (last column)."""
+    key = np.concatenate(held[0])
+    order = np.argsort(key)
+    key = key[order]
+    first = runs(key)[:-1] if len(key) else np.empty(0, np.int64)
+    rest = [np.concatenate(c)[order[first]] for c in held[1:-1]]
+    m = np.concatenate(held[-1])[order]
+    return [key[first], *rest, np.add.reduceat(m, first) if len(key) else m]
 
 
 class SuffixTree:
