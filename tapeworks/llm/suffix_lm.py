@@ -23,9 +23,10 @@ the state of the longest retained suffix of the tokens before it.
 
 *How it is counted.*  All counts are over all training documents and exact.
 1. Words are counted by 64-bit hash.
-2. Pairs of tokens are counted by 64-bit hash.  Those with ``MIN_COUNT`` mark
-   their cells of 2^``CELL_BITS``; only grams all of whose pairs lie in marked cells
-   are sent, with the keys of context and suffix, to be counted in their turn.
+2. Words with ``MIN_COUNT`` mark their cells of 2^``CELL_BITS``; pairs of marked
+   tokens are counted by 64-bit hash.  Pairs with ``MIN_COUNT`` mark theirs; only
+   grams all of whose pairs lie in marked cells are sent, with the keys of context
+   and suffix, to be counted in their turn.
    The bits (16 MB whatever the corpus) save shuffle alone; what a cell lets
    through is counted exactly.
 3. Retention and probabilities are joins of the gram table with itself.  The
@@ -191,14 +192,17 @@ def cell_bits(table: DataFrame) -> np.ndarray:
     return out.reshape(-1)
 
 
-def pair_counts(training: DataFrame) -> DataFrame:
+def pair_counts(training: DataFrame, bits: np.ndarray) -> DataFrame:
     """(key): pairs of tokens with ``MIN_COUNT`` training occurrences, added up per
-    task first."""
+    task first.  ``bits`` marks the cells of tokens with as many."""
+    shared = training.sparkSession.sparkContext.broadcast(bits)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, held = WordHasher(), [[np.empty(0, np.int64)], [np.empty(0, np.int64)]]
         for _, texts in chunks(batches):
-            (_, _, key, _, _), = grams(token_stream([hasher(x) for x in texts]), longest=2)
-            key, m = np.unique(key.view(np.int64), return_counts=True)
+            (_, _, key, one, other), = grams(token_stream([hasher(x) for x in texts]), longest=2)
+            often = marked(shared.value, one) & marked(shared.value, other)
+            key, m = np.unique(key[often].view(np.int64), return_counts=True)
             held[0].append(key)
             held[1].append(m)
             held = [[c] for c in _added(held)]
@@ -226,19 +230,21 @@ def gram_counts(training: DataFrame, bits: np.ndarray) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, names = WordHasher(), ("key", "k", "context", "suffix", "m")
-        held: list[list[np.ndarray]] = [[np.empty(0, np.int64)] for _ in names]
+        held = {k: [[np.empty(0, np.int64)] for _ in names] for k in range(2, DEPTH + 2)}
         for _, texts in chunks(batches):
             for k, _, key, context, suffix in grams(token_stream([hasher(x) for x in texts]), shared.value):
                 key, at, m = np.unique(key, return_index=True, return_counts=True)
                 found = key.view(np.int64), np.full(len(key), k), context[at].view(np.int64), suffix[at].view(np.int64), m
-                for c, v in zip(held, found):
+                for c, v in zip(held[k], found):
                     c.append(v)
-            if sum(map(len, held[0])) > HELD:
-                held = [[c] for c in _added(held)]
-                if len(held[0][0]) > HELD // 2:
-                    yield from _send(**{c: v[0] for c, v in zip(names, held)})
-                    held = [[v[0][:0]] for v in held]
-        yield from _send(**dict(zip(names, _added(held))))
+                # Each order by itself: short grams come again, long ones rarely.
+                if sum(map(len, held[k][0])) > HELD:
+                    held[k] = [[c] for c in _added(held[k])]
+                    if len(held[k][0][0]) > HELD // 2:
+                        yield from _send(**{c: v[0] for c, v in zip(names, held[k])})
+                        held[k] = [[v[0][:0]] for v in held[k]]
+        for columns in held.values():
+            yield from _send(**dict(zip(names, _added(columns))))
 
     return (training.select("text").mapInArrow(count, "key long, k long, context long, suffix long, m long")
             .groupBy("key").agg(F.first("k").alias("k"), F.first("context").alias("context"),
@@ -315,10 +321,11 @@ def score_documents(docs: DataFrame, min_gain: float = MIN_GAIN) -> DataFrame:
     sums = words.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     n, v = (sums.n or 0) + ends, sums.v + (ends > 0)
     size = n + 0.1 * (v + 1)
-    bits = cell_bits(pair_counts(training))
-    found = stored(gram_counts(training, bits), "grams")
     edges = spark.createDataFrame([(int(x.view(np.int64)), ends) for x in (START, END)], "word long, n long")
-    tree = SuffixTree(found, words.unionAll(edges), n, size, min_gain)
+    tokens = words.unionAll(edges)
+    often = cell_bits(tokens.where(F.col("n") >= MIN_COUNT).select(F.col("word").alias("key")))
+    found = stored(gram_counts(training, cell_bits(pair_counts(training, often))), "grams")
+    tree = SuffixTree(found, tokens, n, size, min_gain)
     known_words = words.join(tree.gains.withColumnRenamed("key", "word"), "word", "left")
     # (key, n, gain): words not looked up in the task, and grams.
     gram_gains = tree.gains.join(words.withColumnRenamed("word", "key"), "key", "left_anti")
