@@ -23,21 +23,24 @@ the state of the longest retained suffix of the tokens before it.
 
 *How it is counted.*  All counts are over all training documents and exact.
 1. Words are counted by 64-bit hash.
-2. Words with ``MIN_COUNT`` mark their cells of 2^``CELL_BITS``; pairs of marked
-   tokens are counted by 64-bit hash.  Pairs with ``MIN_COUNT`` mark theirs; only
-   grams all of whose pairs lie in marked cells are sent, with the keys of context
-   and suffix, to be counted in their turn.
-   The bits (16 MB whatever the corpus) save shuffle alone; what a cell lets
-   through is counted exactly.
+2. No gram occurs more often than a shorter one inside it.  Words with
+   ``MIN_COUNT`` mark their cells of 2^``CELL_BITS``; pairs of marked words are
+   counted by their 64-bit keys alone, and those with ``MIN_COUNT`` mark theirs;
+   then in the same way triples of marked pairs.  Last, marked pairs and triples,
+   and grams of four of marked triples, are counted with the keys of their
+   context and suffix, from which their own key follows.
+   The bits (16 MB an order whatever the corpus) save shuffle alone; what a cell
+   lets through is counted exactly.
 3. Retention and probabilities are joins of the gram table with itself.  The
    score telescopes: every listed gram has one number, what it adds to the
    state without it, and every retained context what an unlisted symbol loses,
    so a text's gain is the sum of the numbers of the grams in it.
 4. Grams of the texts meet that table in a shuffled join, added up per text.
 
-Nothing that grows with the corpus is broadcast: words with a share of at least
-``COMMON_SHARE`` (at most 1 / COMMON_SHARE) are looked up in the task, all others
-go through the join of step 4.  The bits of step 4 mark the table's cells.
+Nothing that grows with the corpus is broadcast: words and grams with a share of
+at least ``COMMON_SHARE`` of the tokens (at most 1 / COMMON_SHARE of each order)
+are looked up in the task, so no hot gram is shuffled; all others go through the
+join of step 4.  The bits of step 4 mark the cells of either kind.
 
 Nulls and edge cases: a null text is empty: one token, the end.  A null doc_id
 counts as the empty id (crc32 0, held out).  Without training documents all
@@ -61,6 +64,7 @@ from tapeworks.llm.shared import runs, stored
 from tapeworks.llm.text import WordHasher, mix, utf8_column
 
 DEPTH = 3
+GRAMS = tuple(range(2, DEPTH + 2))
 MIN_COUNT = 16
 DISCOUNT = 0.75
 MIN_GAIN = 10.0
@@ -83,14 +87,14 @@ def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
     """Slices of the batches of about ``CHUNK`` bytes, with their texts in lower
     case."""
     for batch in batches:
-        texts = [(x or b"").lower() for x in utf8_column(batch, "text")]
+        texts = utf8_column(batch, "text")
         low = 0
         while low < len(texts):
             high, size = low, 0
             while high < len(texts) and (high == low or size < CHUNK):
-                size += len(texts[high])
+                size += len(texts[high] or b"")
                 high += 1
-            yield batch.slice(low, high - low), texts[low:high]
+            yield batch.slice(low, high - low), [(x or b"").lower() for x in texts[low:high]]
             low = high
 
 
@@ -125,33 +129,32 @@ def token_stream(words: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def grams(stream: np.ndarray, bits: np.ndarray | None = None, chained: bool = True,
-          longest: int = DEPTH + 1) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def gram_keys(context: np.ndarray, suffix: np.ndarray) -> np.ndarray:
+    """A gram's key, from those of the gram without its last and its first token."""
+    return mix(context * _STEP + suffix)
+
+
+def grams(stream: np.ndarray, bits: np.ndarray | None = None, orders: tuple[int, ...] = (), longest: int = DEPTH + 1,
+          chained: bool = True) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(k, places, key, context, suffix) of the k-grams of 2 to ``longest`` tokens
     that lie within a text: the place of the last token; the keys of the gram,
     of the gram without its last token and without its first one.
 
-    With ``bits``, only grams whose cell is set; if ``chained``, those all of
-    whose pairs are in such cells instead."""
+    Of the ``orders`` only grams (1: tokens) in cells set in ``bits``; if
+    ``chained``, only grams whose context and suffix are let through as well."""
     inside, key = stream != START, stream
-    lies, pairs = np.ones(len(stream), bool), None
+    lies = np.ones(len(stream), bool)
+    let = marked(bits, stream) if 1 in orders else lies
     for k in range(2, longest + 1):
-        shorter = key
+        shorter, before = key, let
         key = np.zeros(len(stream), np.uint64)
-        key[1:] = mix(shorter[:-1] * _STEP + stream[1:])
+        key[1:] = gram_keys(shorter[:-1], shorter[1:])
         lies = inside & np.concatenate([[False], lies[:-1]])
-        if bits is None:
-            at = np.flatnonzero(lies)
-        elif not chained:
-            at = np.flatnonzero(lies)
+        at = np.flatnonzero(lies & before & np.concatenate([[False], before[:-1]]) if chained else lies)
+        if k in orders:
             at = at[marked(bits, key[at])]
-        else:
-            if pairs is None:
-                pairs = np.zeros(len(stream), bool)
-                at = np.flatnonzero(lies)
-                pairs[at] = marked(bits, key[at])
-            lies &= pairs
-            at = np.flatnonzero(lies)
+        let = np.zeros(len(stream), bool)
+        let[at] = True
         yield k, at, key[at], shorter[at - 1], shorter[at]
 
 
@@ -192,26 +195,37 @@ def cell_bits(table: DataFrame) -> np.ndarray:
     return out.reshape(-1)
 
 
-def pair_counts(training: DataFrame, bits: np.ndarray) -> DataFrame:
-    """(key): pairs of tokens with ``MIN_COUNT`` training occurrences, added up per
-    task first.  ``bits`` marks the cells of tokens with as many."""
+def _sums(training: DataFrame, found, names: tuple[str, ...], bits: np.ndarray) -> DataFrame:
+    """Rows of the columns ``names`` (the last one a count) that ``found`` gives for
+    the words of texts and the bits; counts of equal rows are added up per task
+    first, ``HELD`` rows at a time."""
     shared = training.sparkSession.sparkContext.broadcast(bits)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, held = WordHasher(), [[np.empty(0, np.int64)], [np.empty(0, np.int64)]]
+        hasher, held = WordHasher(), [[] for _ in names]
         for _, texts in chunks(batches):
-            (_, _, key, one, other), = grams(token_stream([hasher(x) for x in texts]), longest=2)
-            often = marked(shared.value, one) & marked(shared.value, other)
-            key, m = np.unique(key[often].view(np.int64), return_counts=True)
-            held[0].append(key)
-            held[1].append(m)
+            for columns in found([hasher(x) for x in texts], shared.value):
+                for c, v in zip(held, columns):
+                    c.append(v)
             held = [[c] for c in _added(held)]
             if len(held[0][0]) > HELD:
-                yield from _send(key=held[0][0], m=held[1][0])
-                held = [[c[0][:0]] for c in held]
-        yield from _send(key=held[0][-1], m=held[1][-1])
+                yield from _send(**{c: v[0].view(np.int64) for c, v in zip(names, held)})
+                held = [[] for _ in names]
+        if held[0]:
+            yield from _send(**{c: v[0].view(np.int64) for c, v in zip(names, held)})
+
+    return training.select("text").mapInArrow(count, ", ".join(f"{c} long" for c in names))
 
-    return (training.select("text").mapInArrow(count, "key long, m long").groupBy("key").agg(F.sum("m").alias("m"))
+
+def frequent_keys(training: DataFrame, order: int, bits: np.ndarray) -> DataFrame:
+    """(key): grams of ``order`` tokens with ``MIN_COUNT`` training occurrences.
+    ``bits`` marks the cells of the next shorter grams with as many."""
+    def found(words: list[np.ndarray], bits: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        for k, _, key, _, _ in grams(token_stream(words), bits, (order - 1,), order):
+            if k == order:
+                yield np.unique(key, return_counts=True)
+
+    return (_sums(training, found, ("key", "m"), bits).groupBy("key").agg(F.sum("m").alias("m"))
             .where(F.col("m") >= MIN_COUNT).select("key"))
 
 
@@ -225,50 +239,46 @@ def key_cells(table: DataFrame) -> DataFrame:
 
 def gram_counts(training: DataFrame, bits: np.ndarray) -> DataFrame:
     """(key, k, context, suffix, m): the grams of 2 to DEPTH + 1 tokens with at
-    least ``MIN_COUNT`` training occurrences, added up per task first."""
-    shared = training.sparkSession.sparkContext.broadcast(bits)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, names = WordHasher(), ("key", "k", "context", "suffix", "m")
-        held = {k: [[np.empty(0, np.int64)] for _ in names] for k in range(2, DEPTH + 2)}
-        for _, texts in chunks(batches):
-            for k, _, key, context, suffix in grams(token_stream([hasher(x) for x in texts]), shared.value):
-                key, at, m = np.unique(key, return_index=True, return_counts=True)
-                found = key.view(np.int64), np.full(len(key), k), context[at].view(np.int64), suffix[at].view(np.int64), m
-                for c, v in zip(held[k], found):
-                    c.append(v)
-                # Each order by itself: short grams come again, long ones rarely.
-                if sum(map(len, held[k][0])) > HELD:
-                    held[k] = [[c] for c in _added(held[k])]
-                    if len(held[k][0][0]) > HELD // 2:
-                        yield from _send(**{c: v[0] for c, v in zip(names, held[k])})
-                        held[k] = [[v[0][:0]] for v in held[k]]
-        for columns in held.values():
-            yield from _send(**dict(zip(names, _added(columns))))
+    least ``MIN_COUNT`` training occurrences.  ``bits`` marks the cells of those
+    with fewer than DEPTH + 1 tokens."""
+    def found(words: list[np.ndarray], bits: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        for k, _, key, context, suffix in grams(token_stream(words), bits, tuple(range(2, DEPTH + 1))):
+            _, at, m = np.unique(key, return_index=True, return_counts=True)
+            yield context[at], suffix[at], np.full(len(at), k), m
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            context, suffix = (batch.column(c).to_numpy().view(np.uint64) for c in ("context", "suffix"))
+            key = pa.array(gram_keys(context, suffix).view(np.int64))
+            yield pa.RecordBatch.from_arrays([key, *batch.columns], ["key", *batch.schema.names])
 
-    return (training.select("text").mapInArrow(count, "key long, k long, context long, suffix long, m long")
-            .groupBy("key").agg(F.first("k").alias("k"), F.first("context").alias("context"),
-                                F.first("suffix").alias("suffix"), F.sum("m").alias("m"))
-            .where(F.col("m") >= MIN_COUNT))
+    return (_sums(training, found, ("context", "suffix", "k", "m"), bits)
+            .groupBy("context", "suffix").agg(F.first("k").alias("k"), F.sum("m").alias("m")).where(F.col("m") >= MIN_COUNT)
+            .select("k", "context", "suffix", "m").mapInArrow(keyed, "key long, k long, context long, suffix long, m long"))
 
 
 def _added(held: list[list[np.ndarray]]) -> list[np.ndarray]:
-    """Columns with equal keys (first column) added up (last column)."""
-    key = np.concatenate(held[0])
+    """Columns with equal keys (the first column, or the first two of more than
+    two) added up (last column)."""
+    if not held[0]:
+        return [np.empty(0, np.int64) for _ in held]
+    columns = [np.concatenate(c) for c in held]
+    key = columns[0] if len(columns) == 2 else gram_keys(*columns[:2])
     order = np.argsort(key)
     key = key[order]
     first = runs(key)[:-1] if len(key) else np.empty(0, np.int64)
-    rest = [np.concatenate(c)[order[first]] for c in held[1:-1]]
-    m = np.concatenate(held[-1])[order]
-    return [key[first], *rest, np.add.reduceat(m, first) if len(key) else m]
+    rest = [c[order[first]] for c in columns[:-1]]
+    m = columns[-1][order]
+    return [*rest, np.add.reduceat(m, first) if len(key) else m]
 
 
 class SuffixTree:
     """The retained contexts and what they give, as stored tables.
 
-    ``contexts``: (context, length, n, r); ``symbols``: (key, k, context, p), the
-    listed grams with the probability of their last token; ``gains``: (key, gain),
-    what every occurrence of a gram adds to a text's log10 probability.
+    ``contexts``: (context, length, n, r); ``symbols``: (key, k, context, m, p),
+    the listed grams with the probability of their last token; ``gains``: (key, gain,
+    m), what every occurrence of a gram adds to a text's log10 probability, and the
+    number of its training occurrences.
     """
 
     def __init__(self, found: DataFrame, words: DataFrame, tokens: int, size: float, min_gain: float):
@@ -302,13 +312,22 @@ class SuffixTree:
             step = (listed.where(F.col("k") == k).select("key", "k", "context", "suffix", "m")
                     .join(self.contexts.select("context", "n", "r"), "context").join(lower, "suffix")
                     .withColumn("p", (F.col("m") - DISCOUNT + F.col("r") * F.col("low")) / F.col("n")))
-            steps.append(stored(step.select("key", "k", "context", "p", (F.log10(F.col("p") / F.col("low"))
+            steps.append(stored(step.select("key", "k", "context", "m", "p", (F.log10(F.col("p") / F.col("low"))
                                             - F.log10(F.col("r") / F.col("n"))).alias("gain")), "symbols"))
             lower = steps[-1].select(F.col("key").alias("suffix"), F.col("p").alias("low"))
         self.symbols = steps[0].unionAll(steps[1]).unionAll(steps[2])
-        left = self.contexts.select(F.col("context").alias("key"), F.log10(F.col("r") / F.col("n")).alias("gain"))
-        self.gains = stored(self.symbols.select("key", "gain").unionAll(left)
-                            .groupBy("key").agg(F.sum("gain").alias("gain")), "gains")
+        left = self.contexts.select(F.col("context").alias("key"), F.log10(F.col("r") / F.col("n")).alias("gain"),
+                                    F.col("n").alias("m"))
+        self.gains = stored(self.symbols.select("key", "gain", "m").unionAll(left)
+                            .groupBy("key").agg(F.sum("gain").alias("gain"), F.max("m").alias("m")), "gains")
+
+
+def _sorted(table: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The three columns of a bounded table by the first one: hashes, counts, gains (null: 0)."""
+    got = table.toArrow()
+    key = got.column(0).to_numpy().view(np.uint64)
+    order = np.argsort(key)
+    return key[order], got.column(1).to_numpy()[order], np.nan_to_num(got.column(2).to_numpy().astype(float)[order])
 
 
 def score_documents(docs: DataFrame, min_gain: float = MIN_GAIN) -> DataFrame:
@@ -324,22 +343,24 @@ def score_documents(docs: DataFrame, min_gain: float = MIN_GAIN) -> DataFrame:
     edges = spark.createDataFrame([(int(x.view(np.int64)), ends) for x in (START, END)], "word long, n long")
     tokens = words.unionAll(edges)
     often = cell_bits(tokens.where(F.col("n") >= MIN_COUNT).select(F.col("word").alias("key")))
-    found = stored(gram_counts(training, cell_bits(pair_counts(training, often))), "grams")
+    pairs = cell_bits(frequent_keys(training, 2, often))
+    triples = cell_bits(frequent_keys(training, 3, pairs))
+    found = stored(gram_counts(training, pairs | triples), "grams")
     tree = SuffixTree(found, tokens, n, size, min_gain)
-    known_words = words.join(tree.gains.withColumnRenamed("key", "word"), "word", "left")
-    # (key, n, gain): words not looked up in the task, and grams.
-    gram_gains = tree.gains.join(words.withColumnRenamed("word", "key"), "key", "left_anti")
+    known_words = words.join(tree.gains.select(F.col("key").alias("word"), "gain"), "word", "left")
+    gram_gains = stored(tree.gains.join(words.select(F.col("word").alias("key")), "key", "left_anti"), "gram-gains")
     least = max(1.0, COMMON_SHARE * n)
+    hot = F.col("m") >= least
+    # (key, n, gain): words and grams not looked up in the task.
     rare = stored(known_words.where(F.col("n") < least).select(F.col("word").alias("key"), "n", "gain")
-                  .unionAll(gram_gains.select("key", F.lit(None).cast("long"), "gain")), "gains-by-key")
-    common = known_words.where(F.col("n") >= least).toArrow()
-    known = common.column("word").to_numpy().view(np.uint64)
-    order = np.argsort(known)
-    known, times = known[order], common.column("n").to_numpy()[order]
-    word_gain = np.nan_to_num(common.column("gain").to_numpy().astype(float)[order])
+                  .unionAll(gram_gains.where(~hot).select("key", F.lit(None).cast("long"), "gain")), "gains-by-key")
+    common, times, word_gain = _sorted(known_words.where(F.col("n") >= least).select("word", "n", "gain"))
+    common_grams, _, hot_gain = _sorted(gram_gains.where(hot).select("key", "m", "gain"))
     first = tree.gains.where(F.col("key") == int(START.view(np.int64))).first()
     at_start = first.gain if first else 0.0
-    shared = spark.sparkContext.broadcast((known, times, word_gain, cell_bits(gram_gains)))
+    shared = spark.sparkContext.broadcast((common, times, word_gain, common_grams, hot_gain))
+    hot_bits = spark.sparkContext.broadcast(cell_bits(gram_gains.where(hot)))
+    rare_bits = spark.sparkContext.broadcast(cell_bits(gram_gains.where(~hot)))
 
     def look_up(every: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(known):
@@ -348,7 +369,7 @@ def score_documents(docs: DataFrame, min_gain: float = MIN_GAIN) -> DataFrame:
         return at, known[at] == every
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, times, word_gain, _ = shared.value
+        known, times, word_gain, common_grams, hot_gain = shared.value
         hasher, logs = WordHasher(), np.log10(times + 0.1)
         for part, texts in chunks(batches):
             words = [hasher(x) for x in texts]
@@ -357,20 +378,25 @@ def score_documents(docs: DataFrame, min_gain: float = MIN_GAIN) -> DataFrame:
             of, at = np.repeat(np.arange(rows), count)[hit], at[hit]
             hits = np.bincount(of, minlength=rows)
             base = np.bincount(of, logs[at], rows) + (count - hits) * np.log10(0.1) + np.log10(ends + 0.1)
+            gain = np.bincount(of, word_gain[at], rows) + at_start
+            text = np.repeat(np.arange(rows), count + 2)
+            for _, place, key, _, _ in grams(token_stream(words), hot_bits.value, GRAMS, chained=False):
+                at, hit = look_up(key, common_grams)
+                gain += np.bincount(text[place[hit]], hot_gain[at[hit]], rows)
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), part.column("held_out"), part.column("row"), pa.array(count + 1, pa.int64()),
-                 pa.array(hits, pa.int64()), pa.array(base), pa.array(np.bincount(of, word_gain[at], rows) + at_start)],
+                 pa.array(hits, pa.int64()), pa.array(base), pa.array(gain)],
                 ["doc_id", "held_out", "row", "n_tokens", "known", "base", "gain"])
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, _, _, bits = shared.value
+        known, bits = shared.value[0], rare_bits.value
         hasher = WordHasher()
         for part, texts in chunks(batches):
             words = [hasher(x) for x in texts]
             row = part.column("row").to_numpy()
             stream = token_stream(words)
             of = np.repeat(row, [len(w) + 2 for w in words])
-            for _, at, key, _, _ in grams(stream, bits, chained=False):
+            for _, at, key, _, _ in grams(stream, bits, GRAMS, chained=False):
                 yield from _send(row=of[at], key=key.view(np.int64))
             inner = np.flatnonzero((stream != START) & (stream != END))
             inner = inner[~look_up(stream[inner], known)[1]]
