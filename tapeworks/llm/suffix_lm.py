@@ -25,12 +25,14 @@ the state of the longest retained suffix of the tokens before it.
 1. Words are counted by 64-bit hash.
 2. No gram occurs more often than a shorter one inside it.  Words with
    ``MIN_COUNT`` mark their cells of 2^``CELL_BITS``; pairs of marked words are
-   counted by their 64-bit keys alone, and those with ``MIN_COUNT`` mark theirs;
-   then in the same way triples of marked pairs.  Last, marked pairs and triples,
-   and grams of four of marked triples, are counted with the keys of their
-   context and suffix, from which their own key follows.
-   The bits (16 MB an order whatever the corpus) save shuffle alone; what a cell
-   lets through is counted exactly.
+   counted by their 64-bit keys, and those with ``MIN_COUNT`` mark theirs; then
+   triples of marked pairs, then grams of four of marked triples.
+   The bits (16 MB whatever the corpus) save shuffle alone; what a cell lets
+   through is counted exactly.
+   With a key goes a tag, 32 bits of its suffix's key, rather than the keys of
+   context and suffix: the hash can be undone, so key and suffix give the
+   context.  Of the shorter grams with the tag the suffix is the one whose
+   context is a frequent gram too (by 64 bits, as all keys are compared).
 3. Retention and probabilities are joins of the gram table with itself.  The
    score telescopes: every listed gram has one number, what it adds to the
    state without it, and every retained context what an unlisted symbol loses,
@@ -61,7 +63,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapeworks.llm.shared import runs, stored
-from tapeworks.llm.text import WordHasher, mix, utf8_column
+from tapeworks.llm.text import MIX_FACTORS, WordHasher, mix, utf8_column
 
 DEPTH = 3
 GRAMS = tuple(range(2, DEPTH + 2))
@@ -72,8 +74,9 @@ COMMON_SHARE = 2e-6
 CELL_BITS = 27
 BLOCK_BITS = 16
 CHUNK = 4_000_000
-HELD = 600_000  # grams or pairs that a task adds up before it sends them
+HELD = 600_000  # grams that a task adds up before it sends them
 START, END = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
+TAG = np.uint64(0xFFFFFFFF)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -134,6 +137,15 @@ def gram_keys(context: np.ndarray, suffix: np.ndarray) -> np.ndarray:
     return mix(context * _STEP + suffix)
 
 
+def contexts_of(key: np.ndarray, suffix: np.ndarray) -> np.ndarray:
+    """The context for which ``gram_keys(context, suffix)`` is the key."""
+    h = key ^ (key >> np.uint64(33))
+    for factor in MIX_FACTORS[::-1]:
+        h = h * np.uint64(pow(factor, -1, 2**64))
+        h ^= h >> np.uint64(33)
+    return (h - suffix) * np.uint64(pow(int(_STEP), -1, 2**64))
+
+
 def grams(stream: np.ndarray, bits: np.ndarray | None = None, orders: tuple[int, ...] = (), longest: int = DEPTH + 1,
           chained: bool = True) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(k, places, key, context, suffix) of the k-grams of 2 to ``longest`` tokens
@@ -217,16 +229,28 @@ def _sums(training: DataFrame, found, names: tuple[str, ...], bits: np.ndarray)
     return training.select("text").mapInArrow(count, ", ".join(f"{c} long" for c in names))
 
 
-def frequent_keys(training: DataFrame, order: int, bits: np.ndarray) -> DataFrame:
-    """(key): grams of ``order`` tokens with ``MIN_COUNT`` training occurrences.
-    ``bits`` marks the cells of the next shorter grams with as many."""
+def frequent_grams(training: DataFrame, order: int, bits: np.ndarray, shorter: DataFrame) -> DataFrame:
+    """(key, k, context, suffix, m): grams of ``order`` tokens with ``MIN_COUNT``
+    training occurrences.  ``shorter``: the keys of the next shorter grams with as
+    many; ``bits`` marks their cells."""
     def found(words: list[np.ndarray], bits: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
-        for k, _, key, _, _ in grams(token_stream(words), bits, (order - 1,), order):
+        for k, _, key, _, suffix in grams(token_stream(words), bits, (order - 1,), order):
             if k == order:
-                yield np.unique(key, return_counts=True)
+                yield key, suffix & TAG, np.ones(len(key), np.int64)
+
+    def with_context(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key, suffix = (batch.column(c).to_numpy().view(np.uint64) for c in ("key", "suffix"))
+            context = pa.array(contexts_of(key, suffix).view(np.int64))
+            yield pa.RecordBatch.from_arrays([*batch.columns, context], [*batch.schema.names, "context"])
 
-    return (_sums(training, found, ("key", "m"), bits).groupBy("key").agg(F.sum("m").alias("m"))
-            .where(F.col("m") >= MIN_COUNT).select("key"))
+    counts = (_sums(training, found, ("key", "tag", "m"), bits).groupBy("key", "tag").agg(F.sum("m").alias("m"))
+              .where(F.col("m") >= MIN_COUNT))
+    tagged = shorter.select(F.col("key").alias("suffix"), F.col("key").bitwiseAND(F.lit(int(TAG))).alias("tag"))
+    return (counts.join(tagged, "tag").select("key", F.lit(order).cast("long").alias("k"), "suffix", "m")
+            .mapInArrow(with_context, "key long, k long, suffix long, m long, context long")
+            .join(shorter.select(F.col("key").alias("context")), "context", "left_semi")
+            .select("key", "k", "context", "suffix", "m"))
 
 
 def key_cells(table: DataFrame) -> DataFrame:
@@ -237,39 +261,16 @@ def key_cells(table: DataFrame) -> DataFrame:
     return table.select("key").mapInArrow(mark, "block int, low binary")
 
 
-def gram_counts(training: DataFrame, bits: np.ndarray) -> DataFrame:
-    """(key, k, context, suffix, m): the grams of 2 to DEPTH + 1 tokens with at
-    least ``MIN_COUNT`` training occurrences.  ``bits`` marks the cells of those
-    with fewer than DEPTH + 1 tokens."""
-    def found(words: list[np.ndarray], bits: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
-        for k, _, key, context, suffix in grams(token_stream(words), bits, tuple(range(2, DEPTH + 1))):
-            _, at, m = np.unique(key, return_index=True, return_counts=True)
-            yield context[at], suffix[at], np.full(len(at), k), m
-
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            context, suffix = (batch.column(c).to_numpy().view(np.uint64) for c in ("context", "suffix"))
-            key = pa.array(gram_keys(context, suffix).view(np.int64))
-            yield pa.RecordBatch.from_arrays([key, *batch.columns], ["key", *batch.schema.names])
-
-    return (_sums(training, found, ("context", "suffix", "k", "m"), bits)
-            .groupBy("context", "suffix").agg(F.first("k").alias("k"), F.sum("m").alias("m")).where(F.col("m") >= MIN_COUNT)
-            .select("k", "context", "suffix", "m").mapInArrow(keyed, "key long, k long, context long, suffix long, m long"))
-
-
 def _added(held: list[list[np.ndarray]]) -> list[np.ndarray]:
-    """Columns with equal keys (the first column, or the first two of more than
-    two) added up (last column)."""
+    """Columns with equal keys (first column) added up (last column)."""
     if not held[0]:
         return [np.empty(0, np.int64) for _ in held]
     columns = [np.concatenate(c) for c in held]
-    key = columns[0] if len(columns) == 2 else gram_keys(*columns[:2])
-    order = np.argsort(key)
-    key = key[order]
+    order = np.argsort(columns[0])
+    key = columns[0][order]
     first = runs(key)[:-1] if len(key) else np.empty(0, np.int64)
-    rest = [c[order[first]] for c in columns[:-1]]
     m = columns[-1][order]
-    return [*rest, np.add.reduceat(m, first) if len(key) else m]
+    return [key[first], *(c[order[first]] for c in columns[1:-1]), np.add.reduceat(m, first) if len(key) else m]
 
 
 class SuffixTree:
@@ -342,11 +343,13 @@ def score_documents(docs: DataFrame, min_gain: float = MIN_GAIN) -> DataFrame:
     size = n + 0.1 * (v + 1)
     edges = spark.createDataFrame([(int(x.view(np.int64)), ends) for x in (START, END)], "word long, n long")
     tokens = words.unionAll(edges)
-    often = cell_bits(tokens.where(F.col("n") >= MIN_COUNT).select(F.col("word").alias("key")))
-    pairs = cell_bits(frequent_keys(training, 2, often))
-    triples = cell_bits(frequent_keys(training, 3, pairs))
-    found = stored(gram_counts(training, pairs | triples), "grams")
-    tree = SuffixTree(found, tokens, n, size, min_gain)
+    # Only frequent tokens are in listed grams.
+    tokens = tokens.where(F.col("n") >= MIN_COUNT)
+    shorter, found = tokens.select(F.col("word").alias("key")), []
+    for k in GRAMS:
+        found.append(stored(frequent_grams(training, k, cell_bits(shorter), shorter), f"grams-{k}"))
+        shorter = found[-1].select("key")
+    tree = SuffixTree(found[0].unionAll(found[1]).unionAll(found[2]), tokens, n, size, min_gain)
     known_words = words.join(tree.gains.select(F.col("key").alias("word"), "gain"), "word", "left")
     gram_gains = stored(tree.gains.join(words.select(F.col("word").alias("key")), "key", "left_anti"), "gram-gains")
     least = max(1.0, COMMON_SHARE * n)

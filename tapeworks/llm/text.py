@@ -75,13 +75,15 @@ class WordHasher:
         return self.pieces(text, *self.bounds(text))
 
 
+MIX_FACTORS = (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Finalise 64-bit values so that all their bits depend on all bits given."""
     h = h.astype(np.uint64, copy=True)
-    h ^= h >> np.uint64(33)
-    h *= np.uint64(0xFF51AFD7ED558CCD)
-    h ^= h >> np.uint64(33)
-    h *= np.uint64(0xC4CEB9FE1A85EC53)
+    for factor in MIX_FACTORS:
+        h ^= h >> np.uint64(33)
+        h *= np.uint64(factor)
     h ^= h >> np.uint64(33)
     return h
 

@@ -486,3 +486,8 @@ def test_queries_are_registered(spark):
     assert "pipeline" in names
     for n in range(1, 11):
         assert len([q for q in names if q.startswith(f"op{n}_")]) == 1
+
+
+def test_context_follows_from_key_and_suffix():
+    context, suffix = (np.random.default_rng(i).integers(0, 2**64, 1000, dtype=np.uint64) for i in (1, 2))
+    assert (suffix_lm.contexts_of(suffix_lm.gram_keys(context, suffix), suffix) == context).all()
