@@ -26,12 +26,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapeworks.functions import col_of, evaluate_once
+from tapeworks.functions import bind, col_of, evaluate_once
 from tapeworks.functions.text import ARTIFACT_KEY_PATTERN, SHA256_PATTERN, strip_ws
 from tapeworks.functions.time import aware_timestamp, has_offset
 from tapeworks.functions.uri import is_http_url, is_s3_uri
 from tapeworks.operators.rules import DUBBED_STRATEGIES, JOB_STATUSES, JOB_TYPES, MESSAGE_LEVELS, TERMINAL_STATUSES
-from tapeworks.sources.contracts import SCHEMA_VERSION, lax_int
+from tapeworks.sources.contracts import SCHEMA_VERSION, is_object, lax_int, parts_of
 
 Check = Callable[[Column, str], Column]
 
@@ -52,10 +52,6 @@ def kind_of(x: Column) -> Column:
     return F.schema_of_variant(x)
 
 
-def bind(x: Column, then: Callable[[Column], Column]) -> Column:
-    """``then(x)`` with ``x`` evaluated once, however often it is used."""
-    return F.element_at(F.transform(F.array(x), then), 1)
-
 
 def is_null(x: Column) -> Column:
     return F.coalesce(F.is_variant_null(x), F.lit(False))
@@ -96,15 +92,16 @@ def member(values) -> Check:
 
 def integer(lo: int | None = None, hi: int | None = None, above: int | None = None) -> Check:
     def check(x, at):
-        n = lax_int(text_of(x))
-        cases = [(kind_of(x).rlike("^(OBJECT|ARRAY)") | n.isNull(), "int_type")]
-        if lo is not None:
-            cases.append((n < lo, "too_small"))
-        if above is not None:
-            cases.append((n <= above, "too_small"))
-        if hi is not None:
-            cases.append((n > hi, "too_large"))
-        return one_of(at, *cases)
+        def judged(n):
+            cases = [(kind_of(x).rlike("^(OBJECT|ARRAY)") | n.isNull(), "int_type")]
+            if lo is not None:
+                cases.append((n < lo, "too_small"))
+            if above is not None:
+                cases.append((n <= above, "too_small"))
+            if hi is not None:
+                cases.append((n > hi, "too_large"))
+            return one_of(at, *cases)
+        return bind(lax_int(text_of(x)), judged)
     return check
 
 
@@ -137,7 +134,7 @@ def s3(x: Column, at: str) -> Column:
 
 
 def json_object(x: Column, at: str) -> Column:
-    return one_of(at, (~kind_of(x).startswith("OBJECT"), "object_type"))
+    return one_of(at, (~is_object(x), "object_type"))
 
 
 # ------------------------------------------------------------------ composition
@@ -175,20 +172,15 @@ def _field(x: Column, f: Item, at: str) -> Column:
     return F.when(x.isNull(), missing).when(is_null(x), null).otherwise(f.check(x, path))
 
 
-def _field_of(f: Item, at: str) -> Callable[[Column], Column]:
-    return lambda x: _field(x, f, at)
-
-
-def _value(v: Column, f: Item) -> Column:
-    x = get(v, f.name)
-    return F.coalesce(x, get(v, f.alias)) if f.alias else x
+def _value(own: Callable[[str], Column], f: Item) -> Column:
+    return F.coalesce(own(f.name), own(f.alias)) if f.alias else own(f.name)
 
 
-def _unknown(v: Column, fields: tuple[Item, ...], at: str) -> Column:
+def _unknown(v: Column, own: Callable[[str], Column], fields: tuple[Item, ...], at: str) -> Column:
     # An alias is known only where the name itself isn't used.
     known = F.array(*[F.lit(f.name) for f in fields],
-                    *[F.when(get(v, f.name).isNull(), F.lit(f.alias)) for f in fields if f.alias])
-    keys = F.array_except(F.map_keys(F.try_variant_get(v, "$", "map<string,variant>")), known)
+                    *[F.when(own(f.name).isNull(), F.lit(f.alias)) for f in fields if f.alias])
+    keys = F.array_except(F.map_keys(F.try_variant_get(v, "$", "map<string,struct<>>")), known)
     named = F.transform(F.array_sort(keys), lambda k: F.concat(F.lit(inside(at, "")), k, F.lit(":unknown")))
     return F.when(F.size(keys) > 0, named).otherwise(no_codes())
 
@@ -200,18 +192,28 @@ class Model:
         own = (defaulted("schema_version", member([SCHEMA_VERSION])),) if versioned else ()
         self.fields, self.rule = (*own, *fields), rule
 
-    def found(self, v: Column, values: dict[str, Column], at: str) -> Column:
-        """Codes of the fields, whose values are given, and of undeclared ones."""
-        return F.concat(*[_field(values[f.name], f, at) for f in self.fields], _unknown(v, self.fields, at))
+    def found(self, v: Column, own: Callable[[str], Column], values: dict[str, Column], at: str) -> Column:
+        """Codes of the fields, whose values are given, and of undeclared ones;
+        ``own``: the value under a name or alias."""
+        return F.concat(*[_field(values[f.name], f, at) for f in self.fields], _unknown(v, own, self.fields, at))
+
+    def ruled(self, v: Column, found: Column, at: str) -> Column:
+        """``found``, or the rule's codes where nothing was found."""
+        return found if self.rule is None else F.when(F.size(found) > 0, found).otherwise(self.rule(v, at))
 
     def settled(self, v: Column, found: Column, at: str) -> Column:
-        """All codes: ``found``, or the rule's where nothing was found."""
-        whole = found if self.rule is None else F.when(F.size(found) > 0, found).otherwise(self.rule(v, at))
-        return F.when(~kind_of(v).startswith("OBJECT"), code(at, "object_type")).otherwise(whole)
+        """All codes of a value, given those of its fields."""
+        return F.when(~is_object(v), code(at, "object_type")).otherwise(self.ruled(v, found, at))
 
     def __call__(self, v: Column, at: str) -> Column:
-        parts = [bind(_value(v, f), _field_of(f, at)) for f in self.fields]
-        return bind(F.concat(*parts, _unknown(v, self.fields, at)), lambda found: self.settled(v, found, at))
+        # All fields are taken out in one pass over the object.
+        names = [n for f in self.fields for n in (f.name, f.alias) if n]
+
+        def judged(row):
+            own = lambda name: row[name]
+            found = self.found(v, own, {f.name: _value(own, f) for f in self.fields}, at)
+            return F.when(row.isNull(), code(at, "object_type")).otherwise(bind(found, lambda x: self.ruled(v, x, at)))
+        return bind(parts_of(v, names), judged)
 
 
 model = Model
@@ -219,19 +221,21 @@ model = Model
 
 def listing(part: Check) -> Check:
     def check(x, at):
-        parts, own = F.try_variant_get(x, "$", "array<variant>"), inside(at, "[]")
-        found = F.flatten(F.transform(parts, lambda e: F.when(e.isNull() | is_null(e), code(own, "null")).otherwise(part(e, own))))
-        return F.when(kind_of(x).startswith("ARRAY"), found).otherwise(code(at, "list_type"))
+        own = inside(at, "[]")
+        found = lambda parts: F.flatten(F.transform(parts, lambda e: F.when(e.isNull() | is_null(e), code(own, "null")).otherwise(part(e, own))))
+        return bind(F.try_variant_get(x, "$", "array<variant>"),
+                    lambda parts: F.when(parts.isNotNull(), found(parts)).otherwise(code(at, "list_type")))
     return check
 
 
 def mapping(key: Callable[[Column], Column], part: Check) -> Check:
     """A check of an object used as a map: its keys, then its values."""
     def check(x, at):
-        entries = F.map_entries(F.try_variant_get(x, "$", "map<string,variant>"))
-        keys = F.flatten(F.transform(entries, lambda e: F.when(key(e["key"]), no_codes()).otherwise(code(at, "key"))))
-        values = F.flatten(F.transform(entries, lambda e: part(e["value"], inside(at, "{}"))))
-        return F.when(kind_of(x).startswith("OBJECT"), F.concat(F.array_distinct(keys), values)).otherwise(code(at, "object_type"))
+        def found(entries):
+            keys = F.flatten(F.transform(entries, lambda e: F.when(key(e["key"]), no_codes()).otherwise(code(at, "key"))))
+            values = F.flatten(F.transform(entries, lambda e: part(e["value"], inside(at, "{}"))))
+            return F.when(entries.isNotNull(), F.concat(F.array_distinct(keys), values)).otherwise(code(at, "object_type"))
+        return bind(F.map_entries(F.try_variant_get(x, "$", "map<string,variant>")), found)
     return check
 
 
@@ -296,27 +300,35 @@ def _list(v: Column, name: str) -> Column:
 
 def _in_order(starts: Column, first: Column) -> Column:
     """Whether starts never go back; the first is compared with ``first``."""
-    before = F.slice(F.concat(F.array(first), starts), 1, F.size(starts))
-    return F.forall(F.arrays_zip(starts.alias("a"), before.alias("b")), lambda p: p["a"] >= p["b"])
+    def forward(s):
+        before = F.slice(F.concat(F.array(first), s), 1, F.size(s))
+        return F.forall(F.zip_with(s, before, lambda a, b: a >= b), lambda ok: ok)
+    return bind(starts, forward)
 
 
 def _segment_rule(v: Column, at: str) -> Column:
-    start, end, words = _long(v, "start_ms"), _long(v, "end_ms"), _list(v, "words")
-    inside = F.forall(words, lambda w: (_long(w, "start_ms") >= start) & (_long(w, "end_ms") <= end))
-    return one_of(at, (end <= start, "interval"), (~inside, "word_outside"),
-                  (~_in_order(F.transform(words, lambda w: _long(w, "start_ms")), start), "word_order"))
+    times = lambda x: F.struct(_long(x, "start_ms").alias("start"), _long(x, "end_ms").alias("end"))
+
+    def judged(own, words):
+        inside = F.forall(words, lambda w: (w["start"] >= own["start"]) & (w["end"] <= own["end"]))
+        return one_of(at, (own["end"] <= own["start"], "interval"), (~inside, "word_outside"),
+                      (~_in_order(F.transform(words, lambda w: w["start"]), own["start"]), "word_order"))
+    return bind(times(v), lambda own: bind(F.transform(_list(v, "words"), times), lambda words: judged(own, words)))
 
 
 def _timeline_rule(start: str | None, duration: str | None = None) -> Callable[[Column, str], Column]:
     def rule(v, at):
-        segments = _list(v, "segments")
-        ids = F.transform(segments, lambda s: _string(s, "segment_id"))
-        cases = [(F.size(F.array_distinct(ids)) != F.size(ids), "segment_id_repeated")]
-        if start:
-            cases.append((~_in_order(F.transform(segments, lambda s: _long(s, start)), F.lit(0).cast("long")), "segment_order"))
-        if duration:
-            cases.append((~F.forall(segments, lambda s: _long(s, "end_ms") <= _long(v, duration)), "segment_beyond_duration"))
-        return one_of(at, *cases)
+        def judged(segments):
+            repeated = bind(F.transform(segments, lambda s: _string(s, "segment_id")),
+                            lambda ids: F.size(F.array_distinct(ids)) != F.size(ids))
+            cases = [(repeated, "segment_id_repeated")]
+            if start:
+                cases.append((~_in_order(F.transform(segments, lambda s: _long(s, start)), F.lit(0).cast("long")), "segment_order"))
+            if duration:
+                within = bind(_long(v, duration), lambda most: F.forall(segments, lambda s: _long(s, "end_ms") <= most))
+                cases.append((~within, "segment_beyond_duration"))
+            return one_of(at, *cases)
+        return bind(_list(v, "segments"), judged)
     return rule
 
 
@@ -326,8 +338,8 @@ def _manifest_rule(v: Column, at: str) -> Column:
     stages = F.map_entries(F.coalesce(get(v, "stages", "map<string,variant>"), F.create_map().cast("map<string,variant>")))
     known = F.coalesce(F.map_keys(get(v, "artifacts", "map<string,variant>")), empty)
     keyed = F.forall(stages, lambda e: e["key"] == get(e["value"], "job_type", "string"))
-    whole = F.forall(stages, lambda e: F.size(F.array_except(
-        F.array_union(of(e["value"], "input_artifacts"), of(e["value"], "output_artifacts")), known)) == 0)
+    whole = bind(known, lambda k: F.forall(stages, lambda e: F.size(F.array_except(
+        F.array_union(of(e["value"], "input_artifacts"), of(e["value"], "output_artifacts")), k)) == 0))
     return one_of(at, (_string(v, "video_id") != _string(get(v, "source"), "video_id"), "identity"),
                   (_time(v, "updated_at") < _time(v, "created_at"), "updated_before_created"),
                   (~keyed, "stage_key"), (~whole, "missing_artifacts"))
@@ -437,13 +449,13 @@ def parsed_documents(df: DataFrame, raw: str, name: str) -> DataFrame:
     of its fields, aliases folded: one parse, each value taken out once."""
     parsed = evaluate_once(df, df.columns, [_parsed(raw).alias("_v")])
     fields = contract_model(name).fields
-    return evaluate_once(parsed, parsed.columns, [_value(F.col("_v"), f).alias(f"_x_{f.name}") for f in fields])
+    return evaluate_once(parsed, parsed.columns, [_value(lambda n: get(F.col("_v"), n), f).alias(f"_x_{f.name}") for f in fields])
 
 
 def field_codes(name: str) -> Column:
     """Codes of a document in ``parsed_documents``' columns, before the rule across fields."""
     m = contract_model(name)
-    return m.found(F.col("_v"), {f.name: F.col(f"_x_{f.name}") for f in m.fields}, "")
+    return m.found(F.col("_v"), lambda n: get(F.col("_v"), n), {f.name: F.col(f"_x_{f.name}") for f in m.fields}, "")
 
 
 def settled_codes(name: str, found: str) -> Column:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tapeworks.functions import col_of, evaluate_once
+from tapeworks.functions import bind, col_of, evaluate_once
 from tapeworks.functions.text import strip_ws
 from tapeworks.functions.time import iso_text
 
@@ -397,6 +397,18 @@ def _default(value, dtype: T.DataType) -> Column:
     return F.lit(value).cast(dtype)
 
 
+def is_object(x: Column) -> Column:
+    """Whether the VARIANT ``x`` is a JSON object; looks at its own fields'
+    names alone, where ``schema_of_variant`` reads all that is inside."""
+    return F.when(x.isNotNull(), F.try_variant_get(x, "$", "struct<>").isNotNull())
+
+
+def parts_of(x: Column, names: list[str]) -> Column:
+    """The values of the JSON object ``x`` under these names, as a struct of
+    VARIANTs taken out in one pass; null where ``x`` is no object."""
+    return F.try_variant_get(x, "$", f"struct<{','.join(f'`{n}`:variant' for n in names)}>")
+
+
 def decode(x: Column, dtype: T.DataType, name: str = "") -> Column:
     """The value of the VARIANT ``x`` as the type of a contract's field ``name``;
     null where the field would refuse it."""
@@ -404,7 +416,7 @@ def decode(x: Column, dtype: T.DataType, name: str = "") -> Column:
     said = F.try_variant_get(x, "$", "string")
     if isinstance(dtype, T.StringType):
         if name in OBJECT_FIELDS:
-            return F.when(kind.startswith("OBJECT"), F.to_json(x))
+            return F.when(is_object(x), F.to_json(x))
         if name in EXACT_FIELDS:
             return F.when(kind == "STRING", said)
         if name.endswith(INSTANT_SUFFIX):
@@ -419,14 +431,14 @@ def decode(x: Column, dtype: T.DataType, name: str = "") -> Column:
         return F.when(kind.rlike("^(BOOLEAN|STRING|BIGINT)"), F.when(low.isin(*TRUE_TEXTS), True).when(low.isin(*FALSE_TEXTS), False))
     if isinstance(dtype, T.ArrayType):
         parts = F.try_variant_get(x, "$", "array<variant>")
-        return F.when(kind.startswith("ARRAY"), F.transform(parts, lambda e: decode(e, dtype.elementType)))
+        return F.transform(parts, lambda e: decode(e, dtype.elementType))
     if isinstance(dtype, T.MapType):
         parts = F.try_variant_get(x, "$", "map<string,variant>")
-        return F.when(kind.startswith("OBJECT"), F.transform_values(parts, lambda k, e: decode(e, dtype.valueType)))
+        return F.transform_values(parts, lambda k, e: decode(e, dtype.valueType))
     defaults = next((d for part, d in PART_DEFAULTS if part == dtype), {})
-    fields = F.struct(*[with_default(decode(F.try_variant_get(x, f"$.{f.name}", "variant"), f.dataType, f.name),
-                                     F.try_variant_get(x, f"$.{f.name}", "variant"), f, defaults).alias(f.name) for f in dtype.fields])
-    return F.when(kind.startswith("OBJECT"), fields)
+    fields = lambda own: F.struct(*[with_default(decode(own[f.name], f.dataType, f.name), own[f.name], f, defaults).alias(f.name)
+                                    for f in dtype.fields])
+    return bind(parts_of(x, [f.name for f in dtype.fields]), lambda own: F.when(own.isNotNull(), fields(own)))
 
 
 def with_default(value: Column, x: Column, f: T.StructField, defaults: dict) -> Column:
