@@ -27,3 +27,11 @@ def as_utc(col: Column | str) -> Column:
     """``timestamp_ntz`` wall clock read as a UTC instant (session tz is UTC)."""
     c = F.col(col) if isinstance(col, str) else col
     return c.cast("timestamp")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The rows dealt evenly over as many tasks as a shuffle has (or the cores
+    are, if more): for costly work on few bytes, which a scan cuts by size alone
+    and a Parquet file by row group, whatever the rows cost."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))

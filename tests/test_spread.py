@@ -1,6 +1,19 @@
 """Costly work on small files is shared by all tasks of a shuffle, whatever the files' row groups."""
 
 from tapeworks.operators.contract_check import document_codes
+from tapeworks.plans import q_documents
+
+
+def write(df, path):
+    df.coalesce(1).write.parquet(str(path))
+    return df
+
+
+def test_contract_documents_of_one_row_group_go_to_many_tasks(spark, tmp_path):
+    write(spark.range(40).selectExpr("id AS p_partkey", "cast(id AS int) AS p_size"), tmp_path / "part.parquet")
+    docs = q_documents.documents(spark, str(tmp_path), "transcript")
+    assert docs.rdd.getNumPartitions() >= 8
+    assert sorted(r["p_partkey"] for r in docs.collect()) == list(range(40))
 
 
 def test_object_checks_do_not_read_the_whole_value(spark):
