@@ -16,7 +16,7 @@ from tapeworks.operators.ordering import dense_positions, running_total, running
 from tapeworks.operators.rules import JOB_TYPES
 from tapeworks.operators.timeline import nest_segments
 from tapeworks.session import scratch_path
-from tapeworks.sources.tables import as_utc, table
+from tapeworks.sources.tables import as_utc, spread, table
 
 # ---------------------------------------------------------------- publications
 # events → one published video per event; channel = user.
@@ -124,7 +124,7 @@ def _playlist_sql(name: str, order: str) -> str:
 # event type pick which optional parts are present, empty or malformed.
 
 def video_items(spark: SparkSession, sf: str) -> DataFrame:
-    e = table(spark, sf, "events")
+    e = spread(table(spark, sf, "events"))  # an item takes far longer to parse than its row to read
     vid = F.concat(F.lit("v"), e.event_id.cast("string"))
     k = F.get_json_object("props", "$.k").cast("int")
     et = F.col("event_type")

@@ -1,6 +1,9 @@
 """Costly work on small files is shared by all tasks of a shuffle, whatever the files' row groups."""
 
+import datetime as dt
+
 from tapeworks.operators.contract_check import document_codes
+from tapeworks.plans import bindings as B
 from tapeworks.plans import q_documents
 
 
@@ -22,3 +25,17 @@ def test_object_checks_do_not_read_the_whole_value(spark):
     assert ", OBJECT)" not in plan and ", ARRAY)" not in plan
     found = [r["c"] for r in df.select(document_codes("raw", "artifact").alias("c")).collect()]
     assert found == [["uri:missing", "content_type:missing", "a:unknown"], ["object_type"], ["uri:missing", "content_type:missing"], ["object_type"]]
+
+
+def events(spark, tmp_path, n=300):
+    rows = [(k, dt.datetime(2024, 1, 2, 10) + dt.timedelta(minutes=k), k % 7, ["view", "click", "purchase", "error"][k % 4], float(k), '{"k": %d}' % (k % 100))
+            for k in range(n)]
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    return write(spark.createDataFrame(rows, schema), tmp_path / "events.parquet")
+
+
+def test_video_items_of_one_row_group_go_to_many_tasks(spark, tmp_path):
+    events(spark, tmp_path)
+    items = B.video_items(spark, str(tmp_path))
+    assert items.rdd.getNumPartitions() >= 8
+    assert sorted(r["id"] for r in items.collect()) == sorted(f"v{k}" for k in range(300))
