@@ -7,6 +7,8 @@ the batch SQL the stream must agree with.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,16 +30,19 @@ def _ts_sql(x: str) -> str:
     return f"strftime({x}, '%Y-%m-%d %H:%M:%S.%f')"
 
 
+FILE_ROWS = 250_000  # ours: rows a delivered file holds at most, about
+
+
 def _delivered(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A table as a stream of small out-of-order deliveries: four files that each
-    hold rows of all times, then a third of the rows once more in another, one
-    file per micro-batch."""
+    """A table as a stream of out-of-order deliveries: four that each hold rows of
+    all times, then a third of the rows once more.  A delivery is a micro-batch of
+    as many files as there are cores, more for many rows, so all cores share it."""
     rows = table(spark, sf, name)
-    key = rows.columns[0]
+    files = max(spark.sparkContext.defaultParallelism, math.ceil(rows.count() / (4 * FILE_ROWS)))
     path = scratch_path(spark, f"in-{name}")
-    rows.repartition(4, key).write.parquet(f"{path}/first")
-    rows.filter(F.col(key) % 3 == 0).coalesce(1).write.parquet(f"{path}/again")
-    return S.files_stream(spark, path, rows.schema, max_files=1)
+    rows.repartition(4 * files).write.parquet(f"{path}/first")
+    rows.filter(F.col(rows.columns[0]) % 3 == 0).repartition(files).write.parquet(f"{path}/again")
+    return S.files_stream(spark, path, rows.schema, max_files=files)
 
 
 @register("stream_uploads", f"""

@@ -4,7 +4,7 @@ import datetime as dt
 
 from tapeworks.operators.contract_check import document_codes
 from tapeworks.plans import bindings as B
-from tapeworks.plans import q_documents
+from tapeworks.plans import q_documents, q_streams
 
 
 def write(df, path):
@@ -39,3 +39,14 @@ def test_video_items_of_one_row_group_go_to_many_tasks(spark, tmp_path):
     items = B.video_items(spark, str(tmp_path))
     assert items.rdd.getNumPartitions() >= 8
     assert sorted(r["id"] for r in items.collect()) == sorted(f"v{k}" for k in range(300))
+
+
+def test_a_delivery_is_many_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(q_streams, "scratch_path", lambda spark, name: f"{tmp_path}/{name}")
+    events(spark, tmp_path)
+    q_streams._delivered(spark, str(tmp_path), "events")
+    cores = spark.sparkContext.defaultParallelism
+    first, again = (spark.read.parquet(f"{tmp_path}/in-events/{x}") for x in ("first", "again"))
+    assert (len(first.inputFiles()), len(again.inputFiles())) == (4 * cores, cores)
+    assert sorted(r[0] for r in first.select("event_id").collect()) == list(range(300))
+    assert sorted(r[0] for r in again.select("event_id").collect()) == list(range(0, 300, 3))
