@@ -41,6 +41,13 @@ def test_video_items_of_one_row_group_go_to_many_tasks(spark, tmp_path):
     assert sorted(r["id"] for r in items.collect()) == sorted(f"v{k}" for k in range(300))
 
 
+def test_status_log_of_one_row_group_goes_to_many_tasks(spark, tmp_path):
+    events(spark, tmp_path)
+    log = B.job_log(spark, str(tmp_path))
+    assert log.rdd.getNumPartitions() >= 8
+    assert sorted(r["event_id"] for r in log.collect()) == list(range(300))
+
+
 def test_a_delivery_is_many_files(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(q_streams, "scratch_path", lambda spark, name: f"{tmp_path}/{name}")
     events(spark, tmp_path)
