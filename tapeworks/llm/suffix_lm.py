@@ -29,6 +29,10 @@ the state of the longest retained suffix of the tokens before it.
    triples of marked pairs, then grams of four of marked triples.
    The bits (16 MB whatever the corpus) save shuffle alone; what a cell lets
    through is counted exactly.
+   Most of these grams are rare still.  A task sends them by ranges of keys, a
+   range's sorted keys, tags and counts in one value, byte by byte: the equal bytes
+   at the front of keys and counts are compressed.  Tasks add up range after range;
+   rows of single grams are made of the frequent ones alone.
    With a key goes a tag, 32 bits of its suffix's key, rather than the keys of
    context and suffix: the hash can be undone, so key and suffix give the
    context.  Of the shorter grams with the tag the suffix is the one whose
@@ -39,10 +43,11 @@ the state of the longest retained suffix of the tokens before it.
    so a text's gain is the sum of the numbers of the grams in it.
 4. Grams of the texts meet that table in a shuffled join, added up per text.
 
-Nothing that grows with the corpus is broadcast: words and grams with a share of
-at least ``COMMON_SHARE`` of the tokens (at most 1 / COMMON_SHARE of each order)
-are looked up in the task, so no hot gram is shuffled; all others go through the
-join of step 4.  The bits of step 4 mark the cells of either kind.
+Nothing that grows with the corpus is broadcast: the most frequent words and
+grams, 1 / ``COMMON_SHARE`` of each order and all with a share of ``COMMON_SHARE``
+of the tokens (again at most as many), are looked up in the task, so no hot gram
+is shuffled; all others go through the join of step 4.  The bits of step 4 mark
+the cells of either kind.
 
 Nulls and edge cases: a null text is empty: one token, the end.  A null doc_id
 counts as the empty id (crc32 0, held out).  Without training documents all
@@ -73,6 +78,8 @@ MIN_GAIN = 10.0
 COMMON_SHARE = 2e-6
 CELL_BITS = 27
 BLOCK_BITS = 16
+RANGE_BITS = 11  # ranges of keys, more for many tokens
+RANGE_TOKENS = 1 << 22
 CHUNK = 4_000_000
 HELD = 600_000  # grams that a task adds up before it sends them
 START, END = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
@@ -207,45 +214,91 @@ def cell_bits(table: DataFrame) -> np.ndarray:
     return out.reshape(-1)
 
 
-def _sums(training: DataFrame, found, names: tuple[str, ...], bits: np.ndarray) -> DataFrame:
-    """Rows of the columns ``names`` (the last one a count) that ``found`` gives for
-    the words of texts and the bits; counts of equal rows are added up per task
-    first, ``HELD`` rows at a time."""
+def range_bits(tokens: int) -> int:
+    """Key ranges are 2^this many, about ``RANGE_TOKENS`` tokens each, if not fewer."""
+    return max(RANGE_BITS, (tokens // RANGE_TOKENS).bit_length())
+
+
+def packed_counts(key: np.ndarray, tag: np.ndarray, m: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
+    """(range, grams): sorted distinct keys with tags and counts by the first ``bits``
+    bits of the key, as 15 rows of bytes: the last 7 of the key, 4 of tag and count."""
+    if not len(key):
+        return
+    own = (key >> np.uint64(64 - bits)).astype(np.int32)
+    table = np.hstack([key.view(np.uint8).reshape(-1, 8)[:, :7],
+                       *(x.astype(np.uint32).view(np.uint8).reshape(-1, 4) for x in (tag, m))])
+    cut = runs(own)
+    for k in range(0, len(cut) - 1, 1000):
+        part = cut[k:k + 1001]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(own[part[:-1]]), pa.array([table[a:b].T.tobytes() for a, b in zip(part, part[1:])], pa.binary())], ["range", "grams"])
+
+
+def unpacked_counts(own: int, values: list[bytes], bits: int) -> list[np.ndarray]:
+    """Keys, tags and counts of values of ``packed_counts`` of one range."""
+    table = np.concatenate([np.frombuffer(x, np.uint8).reshape(15, -1).T for x in values])
+    key = np.full((len(table), 8), own >> (bits - 8), np.uint8)
+    key[:, :7] = table[:, :7]
+    tag, m = (np.ascontiguousarray(table[:, a:a + 4]).view(np.uint32).ravel().astype(np.uint64) for a in (7, 11))
+    return [key.view(np.uint64).ravel(), tag, m.astype(np.int64)]
+
+
+def frequent_counts(packed: DataFrame, bits: int) -> DataFrame:
+    """(key, tag, m) of ``MIN_COUNT`` occurrences or more.  A task adds up one range
+    after another, batch by batch."""
+    def send(key: np.ndarray, tag: np.ndarray, m: np.ndarray) -> Iterator[pa.RecordBatch]:
+        many = m >= MIN_COUNT
+        yield from _send(key=key[many].view(np.int64), tag=tag[many].view(np.int64), m=m[many])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, held = None, None
+        for batch in batches:
+            each = batch.column(0).to_numpy()
+            cut = runs(each)
+            for a, b in zip(cut, cut[1:]):
+                if held and own != each[a]:
+                    yield from send(*held)
+                    held = None
+                own = int(each[a])
+                more = unpacked_counts(own, batch.column(1)[a:b].to_pylist(), bits)
+                held = _added([list(c) for c in zip(held, more)] if held else [[c] for c in more])
+        if held:
+            yield from send(*held)
+
+    return packed.repartition("range").sortWithinPartitions("range").mapInArrow(add, "key long, tag long, m long")
+
+
+def gram_counts(training: DataFrame, order: int, bits: np.ndarray, ranges: int) -> DataFrame:
+    """(range, grams): counts of the grams of ``order`` tokens whose shorter ones the
+    bits let through, added up per task first, ``HELD`` grams at a time."""
     shared = training.sparkSession.sparkContext.broadcast(bits)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, held = WordHasher(), [[] for _ in names]
+        hasher, held = WordHasher(), None
         for _, texts in chunks(batches):
-            for columns in found([hasher(x) for x in texts], shared.value):
-                for c, v in zip(held, columns):
-                    c.append(v)
-            held = [[c] for c in _added(held)]
-            if len(held[0][0]) > HELD:
-                yield from _send(**{c: v[0].view(np.int64) for c, v in zip(names, held)})
-                held = [[] for _ in names]
-        if held[0]:
-            yield from _send(**{c: v[0].view(np.int64) for c, v in zip(names, held)})
+            *_, (_, _, key, _, suffix) = grams(token_stream([hasher(x) for x in texts]), shared.value, (order - 1,), order)
+            more = key, suffix & TAG, np.ones(len(key), np.int64)
+            held = _added([list(c) for c in zip(held, more)] if held else [[c] for c in more])
+            if len(held[0]) > HELD:
+                yield from packed_counts(*held, ranges)
+                held = None
+        if held:
+            yield from packed_counts(*held, ranges)
 
-    return training.select("text").mapInArrow(count, ", ".join(f"{c} long" for c in names))
+    return training.select("text").mapInArrow(count, "range int, grams binary")
 
 
-def frequent_grams(training: DataFrame, order: int, bits: np.ndarray, shorter: DataFrame) -> DataFrame:
+def frequent_grams(training: DataFrame, order: int, bits: np.ndarray, shorter: DataFrame, ranges: int) -> DataFrame:
     """(key, k, context, suffix, m): grams of ``order`` tokens with ``MIN_COUNT``
     training occurrences.  ``shorter``: the keys of the next shorter grams with as
-    many; ``bits`` marks their cells."""
-    def found(words: list[np.ndarray], bits: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
-        for k, _, key, _, suffix in grams(token_stream(words), bits, (order - 1,), order):
-            if k == order:
-                yield key, suffix & TAG, np.ones(len(key), np.int64)
-
+    many; ``bits`` marks their cells; grams are added up in 2^``ranges`` ranges."""
     def with_context(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             key, suffix = (batch.column(c).to_numpy().view(np.uint64) for c in ("key", "suffix"))
             context = pa.array(contexts_of(key, suffix).view(np.int64))
             yield pa.RecordBatch.from_arrays([*batch.columns, context], [*batch.schema.names, "context"])
 
-    counts = (_sums(training, found, ("key", "tag", "m"), bits).groupBy("key", "tag").agg(F.sum("m").alias("m"))
-              .where(F.col("m") >= MIN_COUNT))
+    counts = frequent_counts(gram_counts(training, order, bits, ranges), ranges)
     tagged = shorter.select(F.col("key").alias("suffix"), F.col("key").bitwiseAND(F.lit(int(TAG))).alias("tag"))
     return (counts.join(tagged, "tag").select("key", F.lit(order).cast("long").alias("k"), "suffix", "m")
             .mapInArrow(with_context, "key long, k long, suffix long, m long, context long")
@@ -263,8 +316,6 @@ def key_cells(table: DataFrame) -> DataFrame:
 
 def _added(held: list[list[np.ndarray]]) -> list[np.ndarray]:
     """Columns with equal keys (first column) added up (last column)."""
-    if not held[0]:
-        return [np.empty(0, np.int64) for _ in held]
     columns = [np.concatenate(c) for c in held]
     order = np.argsort(columns[0])
     key = columns[0][order]
@@ -323,12 +374,25 @@ class SuffixTree:
                             .groupBy("key").agg(F.sum("gain").alias("gain"), F.max("m").alias("m")), "gains")
 
 
-def _sorted(table: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The three columns of a bounded table by the first one: hashes, counts, gains (null: 0)."""
-    got = table.toArrow()
-    key = got.column(0).to_numpy().view(np.uint64)
+def _sorted(table: DataFrame) -> tuple[np.ndarray, ...]:
+    """The columns of a bounded table by the first one, a hash; the last one is a gain (null: 0)."""
+    key, *others, gain = (c.to_numpy() for c in table.toArrow().columns)
+    key = key.view(np.uint64)
     order = np.argsort(key)
-    return key[order], got.column(1).to_numpy()[order], np.nan_to_num(got.column(2).to_numpy().astype(float)[order])
+    return key[order], *(c[order] for c in others), np.nan_to_num(gain.astype(float)[order])
+
+
+def least_count(table: DataFrame, count: str, most: float, enough: float) -> float:
+    """The count from which on rows are looked up in tasks: ``enough``, or less if
+    ``most`` rows at most have it.  Counts are told apart by 16ths of their octave."""
+    levels = table.groupBy(F.floor(F.log2(count) * 16)).agg(F.min(count).alias("least"), F.count("*").alias("rows")).collect()
+    rows, least = 0, enough
+    for level in sorted(levels, key=lambda x: -x.least):
+        rows += level.rows
+        if rows > most:
+            break
+        least = min(least, level.least)
+    return least
 
 
 def score_documents(docs: DataFrame, min_gain: float = MIN_GAIN) -> DataFrame:
@@ -347,18 +411,19 @@ def score_documents(docs: DataFrame, min_gain: float = MIN_GAIN) -> DataFrame:
     tokens = tokens.where(F.col("n") >= MIN_COUNT)
     shorter, found = tokens.select(F.col("word").alias("key")), []
     for k in GRAMS:
-        found.append(stored(frequent_grams(training, k, cell_bits(shorter), shorter), f"grams-{k}"))
+        found.append(stored(frequent_grams(training, k, cell_bits(shorter), shorter, range_bits(n)), f"grams-{k}"))
         shorter = found[-1].select("key")
     tree = SuffixTree(found[0].unionAll(found[1]).unionAll(found[2]), tokens, n, size, min_gain)
     known_words = words.join(tree.gains.select(F.col("key").alias("word"), "gain"), "word", "left")
     gram_gains = stored(tree.gains.join(words.select(F.col("word").alias("key")), "key", "left_anti"), "gram-gains")
-    least = max(1.0, COMMON_SHARE * n)
-    hot = F.col("m") >= least
+    enough = max(1.0, COMMON_SHARE * n)
+    least = least_count(words, "n", 1 / COMMON_SHARE, enough)
+    hot = F.col("m") >= least_count(gram_gains, "m", len(GRAMS) / COMMON_SHARE, enough)
     # (key, n, gain): words and grams not looked up in the task.
     rare = stored(known_words.where(F.col("n") < least).select(F.col("word").alias("key"), "n", "gain")
                   .unionAll(gram_gains.where(~hot).select("key", F.lit(None).cast("long"), "gain")), "gains-by-key")
     common, times, word_gain = _sorted(known_words.where(F.col("n") >= least).select("word", "n", "gain"))
-    common_grams, _, hot_gain = _sorted(gram_gains.where(hot).select("key", "m", "gain"))
+    common_grams, hot_gain = _sorted(gram_gains.where(hot).select("key", "gain"))
     first = tree.gains.where(F.col("key") == int(START.view(np.int64))).first()
     at_start = first.gain if first else 0.0
     shared = spark.sparkContext.broadcast((common, times, word_gain, common_grams, hot_gain))

@@ -296,6 +296,41 @@ def test_tables_of_the_tree_equal_brute_force(spark, monkeypatch):
     assert sorted(r.score for r in got) == pytest.approx(sorted(want.score((t or "").split()) for _, t in rows))
 
 
+def test_rare_grams_are_sent_by_range_and_common_ones_looked_up(spark, monkeypatch):
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(48)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(200))) for i in range(400)]
+    monkeypatch.setattr(suffix_lm, "COMMON_SHARE", 0.0205)  # every word has less, but there are fewer than 1 / 0.0205
+    sent, written = [], {}
+    count, store = suffix_lm.gram_counts, suffix_lm.stored
+    monkeypatch.setattr(suffix_lm, "gram_counts", lambda *a: (sent.append(count(*a)), sent[-1])[1])
+    monkeypatch.setattr(suffix_lm, "stored", lambda df, name: (written.update({name: store(df, name)}), written[name])[1])
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = suffix_lm.score_documents(frame).collect()
+    held = lambda i: zlib.crc32(str(i).encode()) % 10 == 0
+    tree = BruteTree([t.split() for i, t in rows if not held(i)], suffix_lm.MIN_COUNT, suffix_lm.MIN_GAIN, suffix_lm.DISCOUNT)
+    assert sorted(r.score for r in got) == pytest.approx(sorted(tree.score(t.split()) for _, t in rows))
+    for df, order in zip(sent, suffix_lm.GRAMS):
+        parts = df.collect()
+        assert len(parts) <= 2 * 2 ** suffix_lm.RANGE_BITS
+        assert order != 3 or sum(len(r.grams) // 15 for r in parts) > 4 * len(parts)  # many grams in a row
+    assert written["gains-by-key"].where("n is not null").count() == 0
+
+
+def test_packed_counts_come_back():
+    rng = np.random.default_rng(5)
+    key = np.unique(rng.integers(0, 2**64, 3000, dtype=np.uint64))
+    key = np.unique(np.concatenate([key, key + np.uint64(1), np.array([0, 2**64 - 1], np.uint64)]))
+    tag = rng.integers(0, 2**32, len(key), dtype=np.uint64)
+    m = rng.integers(1, 2**31, len(key))
+    for bits in (suffix_lm.range_bits(0), suffix_lm.range_bits(10**11)):
+        parts = [r for batch in suffix_lm.packed_counts(key, tag, m, bits) for r in batch.to_pylist()]
+        assert [r["range"] for r in parts] == sorted({int(k) >> (64 - bits) for k in key})
+        back = [suffix_lm.unpacked_counts(r["range"], [r["grams"]], bits) for r in parts]
+        for want, have in zip((key, tag, m), zip(*back)):
+            assert (np.concatenate(have) == want).all()
+
+
 def test_contexts_grow_with_the_corpus(spark, monkeypatch):
     counted = []
     plain = suffix_lm.SuffixTree.__init__
